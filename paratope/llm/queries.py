@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paratope.llm import binary, bpe, njoin, packing
+from paratope.llm import binary, bpe, lattice, njoin, packing
 from paratope.llm.common import Scratch
 
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.lattice_groups(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return njoin.jaccard_groups(table(spark, sf_dir, "documents"), k=5, num=75, den=100)
 
@@ -33,6 +37,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lattice": op1_lattice,
     "op3_ngram_join": op3_ngram_join,
     "op6_bpe": op6_bpe,
     "op9_packing": op9_packing,
