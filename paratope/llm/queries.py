@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from paratope.llm import binary, bpe, lattice, njoin, packing
+from paratope.llm import binary, bpe, lattice, njoin, packing, suffixes, units
 from paratope.llm.common import Scratch
 
 
@@ -18,10 +17,18 @@ def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.lattice_groups(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"), min_words=50)
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return njoin.jaccard_groups(table(spark, sf_dir, "documents"), k=5, num=75, den=100)
 
 
+def op5_unit_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return units.repeated_units(table(spark, sf_dir, "documents"), units.LINE, min_words=5).drop("text_hash")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -38,10 +45,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lattice": op1_lattice,
+    "op2_suffix_array": op2_suffix_array,
     "op3_ngram_join": op3_ngram_join,
+    "op5_unit_hash": op5_unit_hash,
     "op6_bpe": op6_bpe,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_unit_hash": units.ORACLE}
