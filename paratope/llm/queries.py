@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paratope.llm import binary, bpe, lattice, njoin, packing, suffixes, units
+from paratope.llm import binary, bpe, langid, lattice, njoin, packing, suffixes, units
 from paratope.llm.common import Scratch
 
 
@@ -25,6 +25,12 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return njoin.jaccard_groups(table(spark, sf_dir, "documents"), k=5, num=75, den=100)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.fit(docs, ~langid.held_out()))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op5_unit_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.repeated_units(table(spark, sf_dir, "documents"), units.LINE, min_words=5).drop("text_hash")
 
@@ -47,6 +53,7 @@ QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_suffix_array": op2_suffix_array,
     "op3_ngram_join": op3_ngram_join,
+    "op4_language": op4_language,
     "op5_unit_hash": op5_unit_hash,
     "op6_bpe": op6_bpe,
     "op9_packing": op9_packing,
