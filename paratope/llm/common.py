@@ -237,6 +237,27 @@ def bloom_of(keys: DataFrame, bits: int = 26) -> Bloom:
     return Bloom(bits, [(r.i, bytes(r.b)) for r in parts])
 
 
+def parted(df: DataFrame, key: Callable[[pa.RecordBatch], np.ndarray], keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose key may be in ``keys`` (one column of longs) and rows whose key surely isn't.
+
+    Only the first part, usually a few rows, then needs a join; the second goes on without a shuffle.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(bloom_of(keys))
+
+    def side(wanted: bool):
+        def run(batches):
+            for b in batches:
+                yield b.filter(pa.array(shared.value.has(key(b).view(np.uint64)) == wanted))
+
+        return run
+
+    return df.mapInArrow(side(True), df.schema), df.mapInArrow(side(False), df.schema)
+
+
+def id_key(b: pa.RecordBatch) -> np.ndarray:
+    return np.asarray(b.column(b.schema.get_field_index("doc_id")).fill_null(-1)).astype(np.int64)
+
+
 # ---------------------------------------------------------------- joins with hot keys
 def join_hot(left: DataFrame, right: DataFrame, key: str, counts: DataFrame, total: int, how: str = "left") -> DataFrame:
     """Join on ``key`` (unique in ``right``) when a few keys may hold most rows of ``left``.

@@ -249,6 +249,19 @@ def scorer(name: str, models: Models) -> Scorer:
     return _scorers[name]
 
 
+def judge(s: Scorer, texts: list[str | None]):
+    """Language, confidence, bits per symbol, rejection and number of symbols of each text."""
+    m = s.models
+    if not m.langs:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), np.ones(len(texts), bool), np.zeros(len(texts), np.int64)
+    n, h = s.entropies(texts)
+    j = h.argmin(1)
+    best = h[np.arange(len(j)), j]
+    z = np.exp(-(h - best[:, None]) * (np.minimum(n, SHORT)[:, None] * m.scale))
+    mean, limit = np.array([m.mean[x] for x in m.langs])[j], np.array([m.limit[x] for x in m.langs])[j]
+    return [m.langs[k] if c else UNKNOWN for k, c in zip(j, n, strict=True)], np.where(n > 0, 1 / z.sum(1), 0.0), best, (n == 0) | (_deviation(best, n, mean) > limit), n
+
+
 def identify(docs: DataFrame, models: Models) -> DataFrame:
     """(doc_id, lang_pred, score, cross_entropy, rejected) of each document of (doc_id, text), a row for each input row.
 
@@ -264,23 +277,26 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                texts = part.column(1).to_pylist()
-                if m.langs:
-                    n, h = s.entropies(texts)
-                    j = h.argmin(1)
-                    best = h[np.arange(len(j)), j]
-                    z = np.exp(-(h - best[:, None]) * (np.minimum(n, SHORT)[:, None] * m.scale))
-                    score = np.where(n > 0, 1 / z.sum(1), 0.0)
-                    names = [m.langs[k] if c else UNKNOWN for k, c in zip(j, n, strict=True)]
-                    mean, limit = np.array([m.mean[x] for x in m.langs])[j], np.array([m.limit[x] for x in m.langs])[j]
-                    rejected = (n == 0) | (_deviation(best, n, mean) > limit)
-                else:
-                    n, best = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-                    score, names, rejected = np.zeros(len(texts)), [UNKNOWN] * len(texts), np.ones(len(texts), bool)
+                names, score, best, rejected, n = judge(s, part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(best, mask=n == 0), pa.array(rejected)], names=["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
+def accepted(docs: DataFrame, models: Models) -> DataFrame:
+    """The rows of ``docs`` that ``identify`` doesn't reject, with all their columns."""
+    shared, name = docs.sparkSession.sparkContext.broadcast(models), uuid.uuid4().hex
+
+    def run(batches):
+        m = shared.value
+        s = scorer(name, m)
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                yield part.filter(pa.array(~judge(s, part.column(part.schema.get_field_index("text")).to_pylist())[3]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(remainder: int = 1, folds: int = 3):
     return F.pmod(crc_text("doc_id"), F.lit(folds)) == remainder

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paratope.llm.common import Scratch, join_hot
+from paratope.llm.common import Scratch, join_hot, parted
 
 LINE = "\n"
 PARAGRAPH = "\n\n"
@@ -67,44 +69,49 @@ def without_units(docs: DataFrame, removed: DataFrame, separator: str = LINE) ->
     """``docs`` with the spans of ``removed`` and the separators after them cut out of text; all other columns are kept, and
     ``kept_at`` lists where each kept stretch began in the original text."""
     width = len(separator)
-    cuts = removed.select("doc_id", "text_hash", "start", "end").distinct().groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+    scratch = Scratch(docs.sparkSession, "cuts")
+    cuts = scratch.table(removed.select("doc_id", "text_hash", "start", "end").distinct().groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts")))
     names = docs.columns
-    schema = docs.schema.add("kept_at", "array<int>")
+    schema = docs.schema.fromJson(docs.schema.jsonValue()).add("kept_at", T.ArrayType(T.IntegerType()))
 
-    def keys(batches):
+    def text_of(b):
+        return b.column(b.schema.get_field_index("text")).to_pylist()
+
+    def key(b):
+        return np.array([0 if t is None else _text_hash(t) for t in text_of(b)], dtype=np.int64)
+
+    def whole(batches):
+        for b in batches:
+            yield b.append_column("kept_at", pa.array([[] if t is None else [0] for t in text_of(b)], pa.list_(pa.int32())))
+
+    def hashed(batches):
         for b in batches:
-            yield b.append_column("text_hash", pa.array([None if t is None else _text_hash(t) for t in b.column(b.schema.get_field_index("t")).to_pylist()], pa.int64()))
+            yield b.append_column("__hash", pa.array(key(b)))
 
     def cut(batches):
         for b in batches:
             texts, kept = [], []
-            for text, spans in zip(b.column(b.schema.get_field_index("t")).to_pylist(), b.column(b.schema.get_field_index("cuts")).to_pylist(), strict=True):
-                if spans is None:
-                    texts.append(text)
-                    kept.append([] if text is None else [0])
-                    continue
+            for text, spans in zip(text_of(b), b.column(b.schema.get_field_index("__cuts")).to_pylist(), strict=True):
                 at, parts, starts = 0, [], []
-                for s in spans:
+                for s in spans or ():
                     if s["start"] > at:
                         parts.append(text[at : s["start"]])
                         starts.append(at)
                     at = max(at, min(len(text), s["end"] + width))
-                if at < len(text):
+                if text is not None and at < len(text):
                     parts.append(text[at:])
                     starts.append(at)
-                texts.append("".join(parts))
+                texts.append(None if text is None else "".join(parts))
                 kept.append(starts)
-            row = b.column(b.schema.get_field_index("row"))
-            fields = [row.field(i) for i in range(row.type.num_fields)]
-            fields[names.index("text")] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*fields, pa.array(kept, pa.list_(pa.int32()))], names=[*names, "kept_at"])
-
-    # Only the columns that the join needs stand beside the row, so no other column's name can clash.
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("d"), F.col("text").alias("t"))
-    keyed = rows.mapInArrow(keys, rows.schema.add("text_hash", "long"))
-    c = cuts.select(F.col("doc_id").alias("cd"), F.col("text_hash").alias("ch"), "cuts")
-    joined = keyed.join(c, F.col("d").eqNullSafe(F.col("cd")) & (F.col("text_hash") == F.col("ch")), "left")
-    return joined.select("row", "t", "cuts").mapInArrow(cut, schema)
+            columns = [pa.array(texts, pa.string()) if n == "text" else b.column(b.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.list_(pa.int32()))], names=[*names, "kept_at"])
+
+    # Texts without a cut, most of them, don't go through the join.
+    maybe, rest = parted(docs, key, cuts.select("text_hash").distinct())
+    c = cuts.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"), F.col("cuts").alias("__cuts"))
+    keyed = maybe.mapInArrow(hashed, docs.schema.fromJson(docs.schema.jsonValue()).add("__hash", T.LongType()))
+    met = keyed.join(c, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__text")), "left")
+    return met.select(*names, "__cuts").mapInArrow(cut, schema).unionByName(rest.mapInArrow(whole, schema))
 
 
 ORACLE = r"""
