@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paratope.llm.common import BASE, Scratch, components, forest, join_hot, mix64, signed
+from paratope.llm.common import BASE, Scratch, components, forest, mix64, signed
 
 CHUNK = 2048  # vectors of one cell that a task holds at once on either side
 
@@ -73,7 +73,55 @@ def _cell(table: int, label: np.ndarray, point: np.ndarray) -> np.ndarray:
     return mix64(key)
 
 
-def lattice_groups(vectors: DataFrame, cosine: float = 0.98, seed: int = 8, scale: float = 4.0) -> DataFrame:
+def _runs(batches, keys: int):
+    """Sorted Arrow rows as tables, each of all rows that share their first ``keys`` columns (if there are at least two)."""
+    kept = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b] if kept is None else [kept, b]).combine_chunks()
+        cols = [np.asarray(t.column(i)) for i in range(keys)]
+        new = np.zeros(t.num_rows, dtype=bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        starts = np.concatenate([[0], np.flatnonzero(new)])
+        for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            if j - i > 1:
+                yield t.slice(i, j - i)
+        kept = t.slice(int(starts[-1])).combine_chunks().to_batches()[0]
+    if kept is not None and kept.num_rows > 1:
+        yield pa.Table.from_batches([kept])
+
+
+def _floats(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    column = column.combine_chunks()
+    width = len(column[0].as_buffer())
+    off = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[off[0] : off[-1]].reshape(len(column), width).copy().view(kind)
+
+
+def _tiles(n: int, m: int):
+    """Slices that cut an n by m square into tiles of at most CHUNK on a side."""
+    for i in range(0, n, CHUNK):
+        for j in range(0, m, CHUNK):
+            yield slice(i, min(n, i + CHUNK)), slice(j, min(m, j + CHUNK))
+
+
+def _squares(rows: DataFrame, load: DataFrame, total: int) -> DataFrame:
+    """Rows (cell, home, ...) dealt so that each home of a cell meets each member once, in squares of about CHUNK by CHUNK rows.
+
+    Only cells with at least CHUNK rows and a ten-thousandth of all rows are split; they number at most 10,000 and are broadcast.
+    """
+    hot = load.where(F.col("n") >= max(CHUNK, total // 10_000)).select("cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts"))
+    cut = rows.join(F.broadcast(hot), "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+    others = F.sequence(F.lit(0), F.col("parts") - 1)
+    x = cut.where("home").withColumn("q", F.explode(others)).withColumn("p", F.col("part")).withColumn("x", F.lit(True))
+    y = cut.withColumn("p", F.explode(others)).withColumn("q", F.col("part")).withColumn("x", F.lit(False))
+    keep = ["cell", "p", "q", "x", *[c for c in rows.columns if c != "cell"]]
+    return x.select(*keep).unionByName(y.select(*keep)).repartition("cell", "p", "q").sortWithinPartitions("cell", "p", "q")
+
+
+def lattice_groups(vectors: DataFrame, cosine: float = 0.98, seed: int = 8, scale: float = 3.5) -> DataFrame:
     """Links and components of vectors with equal non-null labels and cosine of at least ``cosine`` in double precision.
 
     Takes (vec_id, embedding array, label) and returns (vec_id, n_links, component_id, kept), a row for each distinct vec_id.
@@ -81,6 +129,9 @@ def lattice_groups(vectors: DataFrame, cosine: float = 0.98, seed: int = 8, scal
     id count once, as their least (label, embedding); rows with a null id come back with a null component_id and are kept.
     Vectors of different lengths link with nothing. Equal vectors of a label are one class, carried with its size, so copies are
     never paired. Other columns are ignored; an empty table gives no rows. Lattice points are those of E8 divided by ``scale``.
+
+    First each cell's members are compared by the table's block alone, and only vectors that have one that near go on; then
+    whole vectors of these meet in the same cells, and a cell yields link counts and a spanning forest, not its pairs.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "lattice")
@@ -91,89 +142,106 @@ def lattice_groups(vectors: DataFrame, cosine: float = 0.98, seed: int = 8, scal
     named = scratch.table(named.withColumn("ok", ~F.coalesce(bad, F.lit(True))))
     classes = scratch.table(named.where("ok").groupBy("label", "e").agg(F.min("vec_id").alias("cls"), F.count("*").alias("w")))
 
+    def near(dim: int) -> float:
+        return float(np.sqrt((2 - 2 * cosine) / -(-dim // 8)) * (1 + 1e-9) + 1e-9)
+
+    def unit(flat: pa.Array):
+        """(rows, unit vectors) for each length of vector."""
+        at, values = np.asarray(flat.offsets), np.asarray(flat.values)
+        sizes = np.diff(at)
+        for dim in np.unique(sizes).tolist():
+            of = np.flatnonzero(sizes == dim)
+            v = values[(at[of][:, None] - at[0] + np.arange(dim)[None, :]).ravel()].reshape(-1, dim)
+            v = v / np.abs(v).max(1, keepdims=True)
+            yield dim, of, v / np.sqrt((v**2).sum(1, keepdims=True))
+
     def place(batches):
         for b in batches:
-            cls, label, w = (np.asarray(b.column(i)) for i in range(3))
-            flat = b.column(3)
-            sizes = np.diff(np.asarray(flat.offsets))
-            values = np.asarray(flat.values)
-            for dim in np.unique(sizes):
-                of = np.flatnonzero(sizes == dim)
-                unit = values[(np.asarray(flat.offsets)[of][:, None] + np.arange(dim)[None, :]).ravel()].reshape(-1, dim)
-                unit = unit / np.abs(unit).max(1, keepdims=True)
-                unit = unit / np.sqrt((unit**2).sum(1, keepdims=True))
-                turned = unit @ rotation(int(dim), seed)
-                tables = turned.shape[1] // 8
-                radius = np.sqrt((2 - 2 * cosine) / tables) * (1 + 1e-9) + 1e-9
+            cls, label = np.asarray(b.column(0)), np.asarray(b.column(1))
+            for dim, of, v in unit(b.column(2)):
+                turned = v @ rotation(dim, seed)
+                radius = near(dim)
                 grid = max(1.0, min(scale, 0.43 / radius))
-                raw = [x.tobytes() for x in turned]
-                for t in range(tables):
-                    x = turned[:, 8 * t : 8 * t + 8] * grid
-                    home = decode_e8(x)
-                    row, point = probes(x, home, radius * grid)
-                    for is_home, r, p in ((True, np.arange(len(x)), home), (False, row, point)):
-                        if len(r):
-                            yield pa.RecordBatch.from_pydict(
-                                {"cell": pa.array(signed(_cell(t, label[of][r] ^ (int(dim) << 32), p))), "t": pa.array(np.full(len(r), t, np.int32)), "home": pa.array(np.full(len(r), is_home)), "cls": pa.array(cls[of][r]), "label": pa.array(label[of][r]), "w": pa.array(w[of][r]), "v": pa.array([raw[i] for i in r], pa.binary())}
-                            )
-
-    # A vector's bytes travel once to each cell that another vector may share with it.
-    cells = classes.select("cls", "label", "w", "e").mapInArrow(place, "cell long, t int, home boolean, cls long, label long, w long, v binary")
-    placed = scratch.table(cells)
-    load = placed.groupBy("cell").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("h")).where("n > 1 and h > 0")
-    load = scratch.table(load)
-    # Cells are dealt in squares of CHUNK homes by CHUNK visitors, so a crowded cell is shared by many tasks.
-    met = placed.join(load.withColumnRenamed("n", "total"), "cell")
-    pick = F.pmod(F.xxhash64("cls", F.lit(seed)), F.ceil(F.col("total") / CHUNK)).cast("long")
-    pieces = F.ceil(F.col("total") / CHUNK).cast("long")
-    met = met.withColumn("part", pick).withColumn("parts", pieces)
-    as_home = met.where("home").withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("cell", F.col("part").alias("p"), "q", F.lit(True).alias("side"), "t", "cls", "label", "w", "v")
-    as_visitor = met.withColumn("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("cell", "p", F.col("part").alias("q"), F.lit(False).alias("side"), "t", "cls", "label", "w", "v")
-    squares = as_home.unionByName(as_visitor)
-
-    def verify(key, table):
-        side = np.asarray(table.column("side").combine_chunks())
-        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "w": pa.array([], pa.int64())})
-        if side.all() or not side.any() or len(side) < 2:
-            return none
-        t = table.column("t")[0].as_py()
-        cls, label, w = (np.asarray(table.column(c)) for c in ("cls", "label", "w"))
-        size = len(table.column("v")[0].as_buffer())
-        same = np.array([len(x.as_buffer()) == size for x in table.column("v")])
-        side, cls, label, w = side[same], cls[same], label[same], w[same]
-        v = np.frombuffer(b"".join(table.column("v").filter(pa.array(same)).to_pylist()), dtype=np.float64).reshape(len(cls), -1)
-        x, y = v[side], v[~side]
-        tables = v.shape[1] // 8
-        radius2 = ((np.sqrt((2 - 2 * cosine) / tables)) * (1 + 1e-9) + 1e-9) ** 2
-        ok = (x @ y.T >= cosine) & (label[side][:, None] == label[~side][None, :]) & (cls[side][:, None] != cls[~side][None, :])
-        i, j = np.nonzero(ok)
-        near = ((x[i] - y[j]).reshape(-1, tables, 8) ** 2).sum(2) <= radius2
-        first = near.any(1) & (near.argmax(1) == t)
-        i, j = i[first], j[first]
-        if not len(i):
-            return none
-        a, b, wb = cls[side][i], cls[~side][j], w[~side][j]
-        own, at = np.unique(a, return_inverse=True)
-        total = np.bincount(at, weights=wb).astype(np.int64)
-        p, q = forest(a, b)
-        return pa.table({"a": pa.array(np.concatenate([own, p])), "b": pa.array(np.concatenate([own, q])), "w": pa.array(np.concatenate([total, np.zeros(len(p), np.int64)]))})
-
-    found = scratch.table(squares.groupBy("cell", "p", "q").applyInArrow(verify, "a long, b long, w long"))
-    scratch.drop(placed, load)
+                for t in range(turned.shape[1] // 8):
+                    block = turned[:, 8 * t : 8 * t + 8]
+                    home = decode_e8(block * grid)
+                    row, point = probes(block * grid, home, radius * grid)
+                    space = label[of] ^ (dim << 32)
+                    own, others = signed(_cell(t, space, home)), signed(_cell(t, space[row], point))
+                    # Of two near vectors in different cells, the one whose cell's key is less visits the other.
+                    visits = others > own[row]
+                    row, others = row[visits], others[visits]
+                    small = block.astype(np.float32)
+                    r = np.concatenate([np.arange(len(of)), row])
+                    yield pa.RecordBatch.from_pydict(
+                        {"cell": pa.array(np.concatenate([own, others])), "t": pa.array(np.full(len(r), t, np.int32)), "dim": pa.array(np.full(len(r), dim, np.int32)), "home": pa.array(np.arange(len(r)) < len(of)), "cls": pa.array(cls[of][r]), "v": pa.array([x.tobytes() for x in small[r]], pa.binary())}
+                    )
+
+    placed = scratch.table(classes.select("cls", "label", "e").mapInArrow(place, "cell long, t int, dim int, home boolean, cls long, v binary"))
+
+    def sift(batches):
+        for t in _runs(batches, 3):
+            x = np.asarray(t.column("x"))
+            if not x.any():
+                continue
+            v, cls = _floats(t.column("v"), np.float32), np.asarray(t.column("cls"))
+            a, b = v[x], v[~x]
+            reach = (near(t.column("dim")[0].as_py()) + 1e-5) ** 2
+            keep = np.zeros(len(x), dtype=bool)
+            for m, n in _tiles(len(a), len(b)):
+                close = ((a[m] ** 2).sum(1)[:, None] + (b[n] ** 2).sum(1)[None, :] - 2 * (a[m] @ b[n].T) <= reach + 1e-6) & (cls[x][m, None] != cls[~x][None, n])
+                keep[np.flatnonzero(x)[m][close.any(1)]] = True
+                keep[np.flatnonzero(~x)[n][close.any(0)]] = True
+            if keep.any():
+                yield t.filter(pa.array(keep)).select(["cell", "t", "home", "cls"]).combine_chunks().to_batches()[0]
+
+    size = placed.count()
+    load = placed.groupBy("cell").agg(F.count("*").alias("n"))
+    close = scratch.table(_squares(placed, load, size).mapInArrow(sift, "cell long, t int, home boolean, cls long").distinct())
+    scratch.drop(placed)
+
+    def verify(batches):
+        for t in _runs(batches, 3):
+            x = np.asarray(t.column("x"))
+            if not x.any():
+                continue
+            table = t.column("t")[0].as_py()
+            cls, home, w = np.asarray(t.column("cls")), np.asarray(t.column("home")), np.asarray(t.column("w"))
+            _, _, v = next(unit(t.column("e").combine_chunks()))
+            a, b = v[x], v[~x]
+            turned = v @ rotation(v.shape[1], seed)
+            for m, n in _tiles(len(a), len(b)):
+                i, j = np.nonzero((a[m] @ b[n].T >= cosine) & (cls[x][m, None] != cls[~x][None, n]))
+                if not len(i):
+                    continue
+                i, j = i + m.start, j + n.start
+                blocks = ((turned[x][i] - turned[~x][j]).reshape(len(i), -1, 8) ** 2).sum(2) <= near(v.shape[1]) ** 2
+                first = blocks.any(1) & (blocks.argmax(1) == table)
+                i, j = i[first], j[first]
+                if not len(i):
+                    continue
+                p, q, visitor = cls[x][i], cls[~x][j], ~home[~x][j]
+                own, at = np.unique(np.concatenate([p, q[visitor]]), return_inverse=True)
+                total = np.bincount(at, weights=np.concatenate([w[~x][j], w[x][i][visitor]])).astype(np.int64)
+                low, high = forest(p, q)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(np.concatenate([own, low])), "b": pa.array(np.concatenate([own, high])), "w": pa.array(np.concatenate([total, np.zeros(len(low), np.int64)]))})
+
+    again = close.groupBy("cell").agg(F.count("*").alias("n"))
+    full = _squares(close, again, size).join(classes.select("cls", "e", "w"), "cls").select("cell", "p", "q", "x", "t", "home", "cls", "w", "e")
+    full = full.repartition("cell", "p", "q").sortWithinPartitions("cell", "p", "q")
+    found = scratch.table(full.mapInArrow(verify, "a long, b long, w long"))
     links = found.where("a = b").groupBy("a").agg(F.sum("w").alias("others"))
     known = components(found.where("a <> b").select("a", "b"), scratch)
     per_class = classes.join(links.withColumnRenamed("a", "cls"), "cls", "left").join(known.withColumnRenamed("node", "cls"), "cls", "left")
-    per_class = per_class.select("label", "e", "w", F.col("cls"), (F.coalesce("others", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("component", "cls").alias("component_id"))
-    out = named.where("ok").select("vec_id", F.xxhash64("label", "e").alias("h"), "label", "e")
+    per_class = per_class.select("label", "e", "w", "cls", (F.coalesce("others", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("component", "cls").alias("component_id"))
     single = per_class.where("w = 1").select(F.col("cls").alias("vec_id"), "n_links", "component_id")
-    copied = scratch.table(per_class.where("w > 1").withColumn("h", F.xxhash64("label", "e")))
-    sizes = copied.groupBy("h").agg(F.sum("w").alias("n"))
-    right = copied.select("h", F.col("label").alias("l2"), F.col("e").alias("e2"), "n_links", "component_id")
-    total = named.count()
-    hot = sizes.where(F.col("n") >= max(1000, total // 10_000)).select("h")
-    hot_right, cold_right = right.join(F.broadcast(hot), "h", "left_semi"), right.join(F.broadcast(hot), "h", "left_anti")
+    # Members of classes of copies: joined by a hash, then by the vector itself.
+    copied = scratch.table(per_class.where("w > 1").withColumn("h", F.xxhash64("label", "e")).select("h", F.col("label").alias("l2"), F.col("e").alias("e2"), "w", "n_links", "component_id"))
+    hot = copied.groupBy("h").agg(F.sum("w").alias("n")).where(F.col("n") >= max(1000, named.count() // 10_000)).select("h")
+    members = named.where("ok").select("vec_id", F.xxhash64("label", "e").alias("h"), "label", "e")
     same = (F.col("label") == F.col("l2")) & (F.col("e") == F.col("e2"))
-    many = out.join(F.broadcast(hot_right), "h").where(same).unionByName(out.join(F.broadcast(hot), "h", "left_anti").join(cold_right, "h").where(same))
+    many = members.join(F.broadcast(copied.join(F.broadcast(hot), "h", "left_semi")), "h").where(same)
+    many = many.unionByName(members.join(F.broadcast(hot), "h", "left_anti").join(copied.join(F.broadcast(hot), "h", "left_anti"), "h").where(same))
     alone = named.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     result = single.unionByName(many.select("vec_id", "n_links", "component_id")).unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
     nameless = vectors.where("vec_id is null").select(F.col("vec_id").cast("long"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
