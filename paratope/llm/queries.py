@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paratope.llm import binary, bpe, langid, lattice, njoin, packing, suffixes, units
+from paratope.llm import binary, bpe, langid, lattice, njoin, packing, simhash, suffixes, suffixtree, units
 from paratope.llm.common import Scratch
 
 
@@ -39,6 +39,14 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"), k=5)
+
+
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(table(spark, sf_dir, "documents"), suffixtree.held_out())
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, size=2048)
 
@@ -56,6 +64,8 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_unit_hash": op5_unit_hash,
     "op6_bpe": op6_bpe,
+    "op7_simhash": op7_simhash,
+    "op8_suffix_tree": op8_suffix_tree,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
 }
