@@ -1,6 +1,604 @@
-"""Every registered query of the library and its SQL."""
+"""Every registered query of the library and, where SQL can express it, the same in DuckDB's SQL.
+
+Queries run over whole tables, derived from the driver's as ``plans.derived`` says. Percentages are rounded to six digits.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from paratope.functions import sequences as S
+from paratope.functions import stats
+from paratope.operators import abundance, cluster, diversity, filters, hts, motifs, primer, productivity, refine, restriction, upstream
+from paratope.plans.derived import oracle
+from paratope.plans.derived import table as derived
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(fn):
+        QUERIES[name] = fn
+        if sql:
+            ORACLES[name] = oracle(sql)
+        return fn
+
+    return add
+
+
+def annot(spark: SparkSession, d: str) -> DataFrame:
+    return derived(spark, d, "clone_annot")
+
+
+SITES = [("E1", "GRTC"), ("E2", "CCWGG"), ("E3", "AAGCTT"), ("E4", "NNN")]
+PRIMERS = [("P1", "GGTACGTTACGA"), ("P2", "ACGTAGCTTACG"), ("P3", "TTACGGATNNAT")]
+ACCEPT = "bitscore >= 300 AND alignlen >= 250 AND vstart BETWEEN 1 AND 3 AND vqstart >= 1"
+GENE = "split_part({0}, '*', 1)"
+FAMILY = "rtrim(split_part(split_part(split_part({0}, '*', 1), '-', 1), '/', 1), 'D')"
+V_GENE, V_FAMILY = GENE.format("vgene"), FAMILY.format("vgene")
+REGIONS = productivity.REGIONS
+RC = "reverse(translate({0}, 'ACGTRYKMSWBDHVNacgtrykmswbdhvn', 'TGCAYRMKSWVHDBNtgcayrmkswvhdbn'))"
+
+
+def share(name: str, source: str, key: str) -> str:
+    return f"SELECT {key} AS {name}, count(*) AS cnt, round(1e2 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM {source} GROUP BY 1"
+
+
+# ---------------------------------------------------------------- abundance
+@query("a1_v_family_abundance", share("family", f"clone_annot WHERE {ACCEPT}", V_FAMILY))
+def _(spark, d):
+    rows = filters.accepted(annot(spark, d)).where("vgene IS NOT NULL")
+    return abundance.shares(rows, S.family(F.col("vgene")).alias("family"))
+
+
+def _levels_sql(c: str) -> str:
+    one = lambda level, e: f"SELECT '{level}' AS level, {e} AS name FROM f"
+    return f"""WITH f AS (SELECT {c} FROM clone_annot WHERE {ACCEPT} AND {c} IS NOT NULL),
+    n AS ({one("variant", c)} UNION ALL {one("gene", GENE.format(c))} UNION ALL {one("family", FAMILY.format(c))})
+    SELECT level, name, count(*) AS cnt, round(1e2 * count(*) / sum(count(*)) OVER (PARTITION BY level), 6) AS pct FROM n GROUP BY 1, 2"""
+
+
+for _c in ("vgene", "dgene", "jgene"):
+    query(f"a1_{_c}_levels", _levels_sql(_c))(lambda spark, d, c=_c: abundance.by_level(filters.accepted(annot(spark, d)), c))
+
+
+@query("a2_roll_up", f"SELECT {V_FAMILY} AS name, count(*) AS cnt FROM clone_annot WHERE vgene IS NOT NULL GROUP BY 1")
+def _(spark, d):
+    counts = annot(spark, d).where("vgene IS NOT NULL").groupBy("vgene").agg(F.count("*").alias("cnt"))
+    return abundance.roll_up(counts, S.family(F.col("vgene")))
+
+
+@query("a3_sequences_by_gene", f"SELECT {GENE.format('germline')} AS gene, count(*) AS cnt, sum(length(fr1)) AS bases FROM clone_seqs GROUP BY 1")
+def _(spark, d):
+    return derived(spark, d, "clone_seqs").groupBy(S.gene(F.col("germline")).alias("gene")).agg(F.count("*").alias("cnt"), F.sum(F.length("fr1")).alias("bases"))
+
+
+@query("a4_vj_association", f"SELECT {V_FAMILY} AS v, {GENE.format('jgene')} AS j, count(*) AS value FROM clone_annot WHERE {ACCEPT} AND length(vgene) >= 5 AND length(jgene) >= 5 GROUP BY 1, 2")
+def _(spark, d):
+    return abundance.vj_association(filters.accepted(annot(spark, d)))
+
+
+LENGTHS_SQL = "SELECT {g} AS gene, '{r}' AS region, {r}_end - {r}_start + 1 AS len FROM clone_annot WHERE v_j_frame = 'In-frame'"
+FR_SQL = " UNION ALL ".join(LENGTHS_SQL.format(r=r, g=GENE.format(g)) for r, g in (("fr1", "vgene"), ("fr2", "vgene"), ("fr3", "vgene"), ("fr4", "jgene")))
+FR_COUNTS = f"SELECT gene, region, len, count(*) AS cnt FROM ({FR_SQL}) x WHERE gene IS NOT NULL AND len IS NOT NULL GROUP BY 1, 2, 3"
+CONSENSUS_SQL = f"SELECT gene, region, len FROM (SELECT *, row_number() OVER (PARTITION BY gene, region ORDER BY cnt DESC, len) AS rn FROM ({FR_COUNTS}) y) z WHERE rn = 1"
+
+
+@query("a5_framework_lengths", FR_COUNTS)
+def _(spark, d):
+    return productivity.framework_lengths(annot(spark, d))
+
+
+@query("a6_consensus_lengths", CONSENSUS_SQL)
+def _(spark, d):
+    return productivity.consensus(productivity.framework_lengths(annot(spark, d)))
+
+
+def _fit(r: str, g: str) -> str:
+    return f"coalesce(a.{r}_end - a.{r}_start + 1 = (SELECT max(len) FROM c WHERE c.region = '{r}' AND c.gene = {GENE.format('a.' + g)}), a.{r}_end IS NULL OR a.{r}_start IS NULL)"
+
+
+@query("a6_filtered", f"WITH c AS ({CONSENSUS_SQL}) SELECT CASE WHEN a.v_j_frame = 'In-frame' AND {' AND '.join(_fit(r, g) for r, g in (('fr1', 'vgene'), ('fr2', 'vgene'), ('fr3', 'vgene'), ('fr4', 'jgene')))} THEN 'No' ELSE 'Yes' END AS filtered, count(*) AS cnt FROM clone_annot a GROUP BY 1")
+def _(spark, d):
+    return productivity.mark_filtered(annot(spark, d)).groupBy("filtered").agg(F.count("*").alias("cnt"))
+
+
+SPECTRA = " UNION ALL ".join(f"SELECT '{n}' AS region, CAST(floor(({e} - {s} + 1) / 3) AS INT) AS len FROM clone_annot WHERE {ACCEPT}" for n, s, e in [*((r, f"{r}_start", f"{r}_end") for r in REGIONS), ("v", "fr1_start", "fr4_end")])
+
+
+@query("a7_spectratypes", f"SELECT region, len, count(*) AS cnt FROM ({SPECTRA}) x WHERE len IS NOT NULL GROUP BY 1, 2")
+def _(spark, d):
+    return diversity.spectratypes(filters.accepted(annot(spark, d)))
+
+
+WHOLE = f"CASE WHEN least({', '.join(f'length({r})' for r in REGIONS)}) > 0 THEN {' || '.join(REGIONS)} END"
+REGION_ROWS = " UNION ALL ".join(f"SELECT germline, '{n}' AS region, {e} AS aa FROM clone_seqs" for n, e in [*((r, r) for r in REGIONS), ("v", WHOLE)])
+CLONES = f"SELECT region, aa, count(*) AS cnt FROM ({REGION_ROWS}) x WHERE aa IS NOT NULL AND aa <> '' GROUP BY 1, 2"
+
+
+@query("a8_clonotypes", CLONES)
+def _(spark, d):
+    return diversity.clonotypes(derived(spark, d, "clone_seqs"))
+
+
+@query("a9_clonotypes_by_gene", f"SELECT {GENE.format('germline')} AS gene, region, aa, count(*) AS cnt FROM ({REGION_ROWS}) x WHERE aa IS NOT NULL AND aa <> '' GROUP BY GROUPING SETS ((1, 2, 3), (2, 3))")
+def _(spark, d):
+    return diversity.clonotypes_by_gene(derived(spark, d, "clone_seqs"))
+
+
+@query(
+    "a10_productivity",
+    """WITH t AS (SELECT count(*) AS n, count(*) FILTER (v_j_frame = 'In-frame' AND stopcodon <> 'Yes') AS a, count(*) FILTER (v_j_frame = 'In-frame' AND stopcodon = 'Yes') AS b,
+    count(*) FILTER (v_j_frame = 'Out-of-frame' AND stopcodon <> 'Yes') AS c, count(*) FILTER (v_j_frame = 'Out-of-frame' AND stopcodon = 'Yes') AS d FROM clone_annot),
+    r AS (SELECT 'Productive' AS productivity, '-' AS reason, a AS cnt, n FROM t UNION ALL SELECT 'Unproductive', 'Stopcodon', b, n FROM t UNION ALL SELECT 'Unproductive', 'Out-of-Frame', c, n FROM t UNION ALL SELECT 'Unproductive', 'Both', d, n FROM t)
+    SELECT productivity, reason, cnt, round(1e2 * cnt / n, 6) AS pct FROM r""",
+)
+def _(spark, d):
+    return productivity.classes(annot(spark, d))
+
+
+def _distribution_sql(columns: list[str], where: str = "TRUE") -> str:
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS metric, coalesce(CAST({c} AS VARCHAR), 'NaN') AS value FROM clone_annot WHERE {where}" for c in columns)
+    return f"SELECT metric, value, count(*) AS cnt, round(1e2 * count(*) / sum(count(*)) OVER (PARTITION BY metric), 6) AS pct FROM ({rows}) x GROUP BY 1, 2"
+
+
+@query("a11_gaps_mismatches", _distribution_sql(["vgaps", "vmismatches", "jgene"]))
+def _(spark, d):
+    return productivity.distributions(annot(spark, d), ["vgaps", "vmismatches", "jgene"])
+
+
+@query("a12_frames", _distribution_sql(["v_j_frame"]))
+def _(spark, d):
+    return productivity.distributions(annot(spark, d), ["v_j_frame"])
+
+
+@query("a12_out_of_frame", _distribution_sql(["vgaps", "vmismatches"], "v_j_frame <> 'In-frame'"))
+def _(spark, d):
+    return productivity.distributions(annot(spark, d).where("v_j_frame <> 'In-frame'"), ["vgaps", "vmismatches"])
+
+
+@query("a12_in_frame_stop_family", share("family", "clone_annot WHERE v_j_frame = 'In-frame' AND stopcodon = 'Yes'", V_FAMILY))
+def _(spark, d):
+    return abundance.shares(annot(spark, d).where("v_j_frame = 'In-frame' AND stopcodon = 'Yes'"), S.family(F.col("vgene")).alias("family"))
+
+
+@query("a13_productive_family", share("family", "clone_annot WHERE v_j_frame = 'In-frame' AND stopcodon = 'No'", V_FAMILY))
+def _(spark, d):
+    return abundance.shares(filters.productive(annot(spark, d)), S.family(F.col("vgene")).alias("family"))
+
+
+@query("a14_stops_by_region", " UNION ALL ".join(f"SELECT '{r}' AS region, count(*) FILTER (contains({r}, '*')) AS cnt FROM clone_seqs" for r in REGIONS))
+def _(spark, d):
+    return productivity.stops_by_region(derived(spark, d, "clone_seqs"))
+
+
+@query("a15_region_diversity", f"SELECT cdr3, count(*) AS cnt, {', '.join(f'count(DISTINCT {r}) AS n_{r}' for r in REGIONS if r != 'cdr3')} FROM clone_seqs WHERE length(cdr3) > 0 GROUP BY 1")
+def _(spark, d):
+    return diversity.region_diversity(derived(spark, d, "clone_seqs"))
+
+
+@query(
+    "a16_lengths_without_outliers",
+    """WITH h AS (SELECT length(seq) AS value, count(*) AS cnt FROM reads GROUP BY 1), s AS (SELECT sum(cnt * value::DOUBLE) / sum(cnt) AS m, sqrt(greatest(sum(cnt * value::DOUBLE * value) / sum(cnt) - power(sum(cnt * value::DOUBLE) / sum(cnt), 2), 0)) AS sd FROM h)
+    SELECT value, cnt FROM h, s WHERE abs(value - m) <= 4 * sd""",
+)
+def _(spark, d):
+    return abundance.histogram(derived(spark, d, "reads"), F.length("seq"), outliers=False)
+
+
+@query("a17_lengths_by_family", f"SELECT {V_FAMILY} AS family, alignlen, count(*) AS cnt FROM clone_annot GROUP BY 1, 2")
+def _(spark, d):
+    return annot(spark, d).groupBy(S.family(F.col("vgene")).alias("family"), "alignlen").agg(F.count("*").alias("cnt"))
+
+
+@query("a18_distribution", share("chain_frame", "clone_annot", "concat(chain, '/', v_j_frame)"))
+def _(spark, d):
+    return abundance.shares(annot(spark, d), F.concat("chain", F.lit("/"), "v_j_frame").alias("chain_frame"))
+
+
+@query(
+    "a19_heatmap",
+    """WITH e AS (SELECT min(alignlen)::DOUBLE AS x0, max(alignlen)::DOUBLE AS x1, min(identity) AS y0, max(identity) AS y1 FROM clone_annot),
+    b AS (SELECT CAST(coalesce(least(floor((alignlen - x0) / nullif(x1 - x0, 0) * 10), 9), 0) AS INT) AS bx, CAST(coalesce(least(floor((identity - y0) / nullif(y1 - y0, 0) * 10), 9), 0) AS INT) AS "by" FROM clone_annot, e)
+    SELECT bx, "by", count(*) AS cnt, round(1e2 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM b GROUP BY 1, 2""",
+)
+def _(spark, d):
+    return abundance.heatmap(annot(spark, d), "alignlen", "identity")
+
+
+SHORT = "SELECT substring(cdr3, 1, 3) AS aa, count(*) AS cnt FROM clone_seqs WHERE length(cdr3) > 0 GROUP BY 1"
+
+
+def _short(spark, d):
+    return derived(spark, d, "clone_seqs").where(F.length("cdr3") > 0).groupBy(F.substring("cdr3", 1, 3).alias("aa")).agg(F.count("*").alias("cnt"))
+
+
+@query(
+    "a20_duplication",
+    f"""WITH s AS ({SHORT}), f AS (SELECT cnt AS f, count(*) AS k FROM s GROUP BY 1), t AS (SELECT sum(f * k) AS total FROM f),
+    x AS (SELECT 10 + i * (10000 - 10) / 99.0::DOUBLE AS times FROM range(100) r(i))
+    SELECT 'cdr3' AS region, round(times, 6) AS times, round(n / total, 9) AS share FROM (SELECT f::DOUBLE AS times, k::DOUBLE AS n FROM f WHERE f < 10 UNION ALL SELECT times, sum(CASE WHEN f >= times THEN f * k ELSE 0 END)::DOUBLE FROM f, x GROUP BY 1) y, t""",
+)
+def _(spark, d):
+    return diversity.duplication(_short(spark, d).withColumn("region", F.lit("cdr3")))
+
+
+COMPOSITION = "SELECT CAST(i AS INT) AS position, substring(cdr3, i::INT + 1, 1) AS aa, count(*) AS weight FROM clone_seqs, range(30) r(i) WHERE i < length(cdr3) GROUP BY 1, 2"
+
+
+def _composition(spark, d):
+    return diversity.composition(diversity.clonotypes(derived(spark, d, "clone_seqs")).where("region = 'cdr3'"))
+
+
+@query("a21_composition", COMPOSITION)
+def _(spark, d):
+    return _composition(spark, d)
+
+
+@query("a22_logo", f"WITH c AS ({COMPOSITION}), t AS (SELECT position, sum(weight) AS total FROM c GROUP BY 1) SELECT position, aa, round(weight / total, 9) AS fraction FROM c JOIN t USING (position) WHERE total >= 0.01 * (SELECT max(total) FROM t)")
+def _(spark, d):
+    return diversity.logo_fractions(_composition(spark, d))
+
+
+# ---------------------------------------------------------------- restriction sites
+def _hits_sql() -> str:
+    one = lambda e, s: f"SELECT read_id, '{e}' AS enzyme, '{s}' AS iupac, CASE WHEN len(regexp_extract_all(upper(seq), '{S.iupac_regex(s)}')) > 0 THEN len(regexp_extract_all(upper(seq), '{S.iupac_regex(s)}')) ELSE len(regexp_extract_all({RC.format('upper(seq)')}, '{S.iupac_regex(s)}')) END AS n_hits FROM reads"
+    return f"SELECT * FROM ({' UNION ALL '.join(one(e, s) for e, s in SITES)}) x WHERE n_hits > 0"
+
+
+@query("c8_site_hits", _hits_sql())
+def _(spark, d):
+    return restriction.hits(derived(spark, d, "reads"), SITES)
+
+
+@query(
+    "a24_rsa_statistics",
+    f"""WITH h AS ({_hits_sql()}), p AS (SELECT enzyme, iupac, CAST(sum(n_hits) AS BIGINT) AS hits, count(*) AS cut FROM h GROUP BY 1, 2), e AS (SELECT CAST(sum(hits) AS BIGINT) AS a FROM p), t AS (SELECT count(*) AS m FROM reads)
+    SELECT enzyme, iupac, hits, round(1e2 * hits / a, 6) AS pct_hits, cut AS molecules, round(1e2 * cut / m, 6) AS pct_molecules FROM p, e, t
+    UNION ALL SELECT 'Cut by any', '', NULL, NULL, count(DISTINCT read_id), round(1e2 * count(DISTINCT read_id) / max(m), 6) FROM h, t
+    UNION ALL SELECT 'Total', '', a, 1e2, m, 1e2 FROM e, t""",
+)
+def _(spark, d):
+    return restriction.statistics(derived(spark, d, "reads"), SITES)
+
+
+@query(
+    "a25_rsa_jaccard",
+    f"""WITH h AS ({_hits_sql()}), n AS (SELECT * FROM (VALUES ('E1'), ('E2'), ('E3'), ('E4')) v(e)), s AS (SELECT enzyme, count(*) AS c FROM h GROUP BY 1),
+    i AS (SELECT x.enzyme AS a, y.enzyme AS b, count(*) AS c FROM h x JOIN h y USING (read_id) GROUP BY 1, 2)
+    SELECT p.e AS a, q.e AS b, round(coalesce(coalesce(i.c, 0)::DOUBLE / nullif(coalesce(sa.c, 0) + coalesce(sb.c, 0) - coalesce(i.c, 0), 0), 1), 9) AS jaccard
+    FROM n p CROSS JOIN n q LEFT JOIN i ON i.a = p.e AND i.b = q.e LEFT JOIN s sa ON sa.enzyme = p.e LEFT JOIN s sb ON sb.enzyme = q.e""",
+)
+def _(spark, d):
+    return restriction.jaccard(restriction.hits(derived(spark, d, "reads"), SITES), [e for e, _ in SITES])
+
+
+@query("a28_venn", f"WITH h AS ({_hits_sql()}) SELECT CAST(mask AS INT) AS mask, count(*) AS cnt FROM (SELECT read_id, sum(CASE enzyme WHEN 'E1' THEN 1 WHEN 'E2' THEN 2 ELSE 4 END) AS mask FROM h WHERE enzyme IN ('E1', 'E2', 'E3') GROUP BY 1) x GROUP BY 1")
+def _(spark, d):
+    return restriction.venn(restriction.hits(derived(spark, d, "reads"), SITES), ["E1", "E2", "E3"])
+
+
+def _reads_with_annotation(spark, d):
+    """One read of each text joined to each annotation row by a synthetic id, as the fixtures say."""
+    reads = derived(spark, d, "reads")
+    n = reads.agg(F.count("*").alias("n"))
+    rows = annot(spark, d).dropDuplicates(["queryid"]).withColumn("__k", F.split("queryid", "-")[0].cast("long"))
+    return rows.crossJoin(F.broadcast(n)).withColumn("read_id", F.col("__k") % F.col("n")).join(reads, "read_id").drop("__k", "n", "sample")
+
+
+@query("c9_region_hits")
+def _(spark, d):
+    rows = _reads_with_annotation(spark, d).withColumn("read_id", F.col("queryid"))
+    return restriction.region_hits(rows, SITES[:3])
+
+
+# ---------------------------------------------------------------- upstream, primers, refinement
+ONE_EACH = "SELECT DISTINCT ON (queryid) * FROM clone_annot"
+WITH_READS = f"SELECT a.*, r.seq FROM ({ONE_EACH}) a JOIN reads r ON r.read_id = CAST(split_part(a.queryid, '-', 1) AS BIGINT) % (SELECT count(*) FROM reads)"
+UPSTREAM = f"""SELECT vgene, concat_ws('|', queryid, vgene) AS id, substring(CASE WHEN strand = 'reversed' THEN {RC.format("seq")} ELSE seq END, st, greatest(en - st + 1, 0)) AS upstream
+FROM (SELECT *, vqstart - 1 - vstart + 1 AS en, greatest(1, vqstart - 20 - vstart + 1) AS st FROM ({WITH_READS}) w WHERE vstart <= 3) x WHERE en > 1"""
+
+
+def _upstream(spark, d):
+    return upstream.extract(_reads_with_annotation(spark, d), 1, 20)
+
+
+@query("c10_upstream_lengths", f"WITH u AS ({UPSTREAM}) SELECT length(upstream) AS length, count(*) AS cnt FROM u GROUP BY 1")
+def _(spark, d):
+    return upstream.length_distribution(_upstream(spark, d))
+
+
+@query("a29_upstream_classes")
+def _(spark, d):
+    return upstream.counts(upstream.classify(_upstream(spark, d), "secsig", (10, 20)))
+
+
+@query("a26_primer_integrity")
+def _(spark, d):
+    reads = derived(spark, d, "reads").withColumn("strand", F.lit("forward"))
+    return primer.integrity(primer.add_primers(reads, PRIMERS, "5"), "5")
+
+
+@query("a27_indelled_primers")
+def _(spark, d):
+    reads = derived(spark, d, "reads").withColumns({"strand": F.lit("forward"), "v_j_frame": F.lit("In-frame"), "stopcodon": F.lit("No")})
+    return primer.indelled(primer.add_primers(reads, PRIMERS, "5"), "5")
+
+
+@query("u7_refinement_flags")
+def _(spark, d):
+    return refine.flag_counts(refine.refine(_reads_with_annotation(spark, d)))
+
+
+# ---------------------------------------------------------------- filters, set operations, order
+@query("f1_accepted", f"SELECT queryid, vgene, bitscore FROM clone_annot WHERE {ACCEPT}")
+def _(spark, d):
+    return filters.accepted(annot(spark, d)).select("queryid", "vgene", "bitscore")
+
+
+@query("f2_rejected", f"SELECT queryid, vgene, vstart, vqstart, bitscore, alignlen FROM clone_annot WHERE NOT coalesce({ACCEPT}, FALSE)")
+def _(spark, d):
+    return filters.rejected(annot(spark, d))
+
+
+@query("f5_restrict", f"SELECT s.* FROM clone_seqs s WHERE queryid IN (SELECT CAST(split_part(queryid, '-', 1) AS BIGINT) FROM clone_annot WHERE {ACCEPT})")
+def _(spark, d):
+    ids = filters.accepted(annot(spark, d)).select(F.split("queryid", "-")[0].cast("long").alias("queryid"))
+    return filters.restrict(derived(spark, d, "clone_seqs"), ids, "queryid")
+
+
+@query("f6_slices", f"SELECT queryid, substring(seq, greatest(vqstart - vstart, 0) + 1, greatest(coalesce(fr4_end, length(seq)) - greatest(vqstart - vstart, 0), 0)) AS slice FROM ({WITH_READS}) w WHERE vstart <= 2")
+def _(spark, d):
+    rows = _reads_with_annotation(spark, d).where("vstart <= 2")
+    return rows.select("queryid", S.slice_read(F.col("seq"), F.col("vqstart"), F.col("vstart"), F.col("fr4_end")).alias("slice"))
+
+
+@query("f7_iupac_match", "SELECT read_id, regexp_full_match(upper(substring(seq, 1, 6)), '[AG].C[ACG][ACT]T') AS fits FROM reads WHERE length(seq) >= 6")
+def _(spark, d):
+    return derived(spark, d, "reads").where(F.length("seq") >= 6).select("read_id", S.matches_codes(F.substring("seq", 1, 6), F.lit("RNCVHT"), S.IUPAC).alias("fits"))
+
+
+@query("f14_strip_n", "SELECT read_id, regexp_replace(concat('NN', substring(seq, 1, 10), 'N'), '^N+|N+$', '', 'g') AS seq FROM reads")
+def _(spark, d):
+    return derived(spark, d, "reads").select("read_id", S.strip_n(F.concat(F.lit("NN"), F.substring("seq", 1, 10), F.lit("N"))).alias("seq"))
+
+
+@query("e1_xor", "WITH a AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1), b AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) (SELECT doc_id FROM a EXCEPT SELECT doc_id FROM b) UNION (SELECT doc_id FROM b EXCEPT SELECT doc_id FROM a)")
+def _(spark, d):
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    return filters.one_only(labels.where("quality = 1").select("doc_id"), labels.where("toxic = 1").select("doc_id"), "doc_id")
+
+
+@query("e1_and_not", "SELECT doc_id FROM labels WHERE quality = 1 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)")
+def _(spark, d):
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    return filters.exclude(labels.where("quality = 1").select("doc_id"), labels.where("toxic = 1"), "doc_id")
+
+
+@query("e4_random_split")
+def _(spark, d):
+    a, b = filters.random_split(derived(spark, d, "reads"), "read_id", 0.5, seed=7)
+    return a.agg(F.count("*").alias("first")).crossJoin(b.agg(F.count("*").alias("second")))
+
+
+@query("o1_top_clonotypes", f"WITH s AS ({SHORT}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt DESC, aa LIMIT 50")
+def _(spark, d):
+    return abundance.top(_short(spark, d), 50, "aa")
+
+
+@query("o1_rare_clonotypes", f"WITH s AS ({SHORT}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt, aa LIMIT 50")
+def _(spark, d):
+    return abundance.top(_short(spark, d), 50, "aa", rare=True)
+
+
+@query("w3_cumulative", f"WITH s AS ({SHORT}) SELECT aa, cnt, CAST(sum(cnt) OVER (ORDER BY aa ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM s")
+def _(spark, d):
+    return diversity.cumulative(_short(spark, d), "aa")
+
+
+@query("w5_average_ranks", "SELECT experiment, probe, value, rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2.0::DOUBLE AS rank FROM hts")
+def _(spark, d):
+    return stats.average_ranks(derived(spark, d, "hts"), "value")
+
+
+# ---------------------------------------------------------------- sequence functions
+@query("c1_reverse_complement", f"SELECT read_id, {RC.format('seq')} AS rc FROM reads")
+def _(spark, d):
+    return derived(spark, d, "reads").select("read_id", S.reverse_complement(F.col("seq")).alias("rc"))
+
+
+CODE_SQL = "MAP {" + ", ".join(f"'{c}': '{a}'" for c, a in S.CODONS.items()) + "}"
+
+
+@query("c3_translate", f"SELECT read_id, CASE WHEN length(seq) >= 3 THEN list_aggregate(list_transform(range(1, length(seq) - 1, 3), lambda i: coalesce(element_at({CODE_SQL}, substring(seq, i, 3))[1], 'X')), 'string_agg', '') ELSE '' END AS protein FROM reads")
+def _(spark, d):
+    return derived(spark, d, "reads").select("read_id", S.translate_dna(F.col("seq")).alias("protein"))
+
+
+@query("c4_protein_fragment", "SELECT queryid, substring('ACDEFGHIKLMNPQRSTVWYACDEFGHIKLMNPQRSTVWY', CAST(greatest(floor((fr1_start - vstart - 1) / 3), 0) AS INT) + 1, greatest(CAST(floor((fr1_end - vstart) / 3) AS INT) - CAST(greatest(floor((fr1_start - vstart - 1) / 3), 0) AS INT), 0)) AS frag FROM clone_annot")
+def _(spark, d):
+    protein = F.lit("ACDEFGHIKLMNPQRSTVWYACDEFGHIKLMNPQRSTVWY")
+    return annot(spark, d).select("queryid", S.protein_fragment(protein, F.col("fr1_start"), F.col("fr1_end"), F.col("vstart")).alias("frag"))
+
+
+@query("c7_hit_positions")
+def _(spark, d):
+    return derived(spark, d, "reads").select("read_id", restriction.hit_positions(F.col("seq"), S.iupac_regex("GRTC")).alias("at"))
+
+
+@query("c14_identical_places", "SELECT read_id, CAST(list_sum(list_transform(range(1, 9), lambda i: CASE WHEN substring(seq, i, 1) = substring('ACGTACGT', i, 1) THEN 1 ELSE 0 END)) AS INT) AS same FROM reads WHERE length(seq) >= 8")
+def _(spark, d):
+    return derived(spark, d, "reads").where(F.length("seq") >= 8).select("read_id", S.identical_places(F.substring("seq", 1, 8), F.lit("ACGTACGT")).alias("same"))
+
+
+@query("c16_fixed_width", "SELECT read_id, length(seq) + CAST(greatest(ceil(length(seq) / 70.0) - 1, 0) AS INT) AS size FROM reads")
+def _(spark, d):
+    return derived(spark, d, "reads").select("read_id", F.length(S.fixed_width(F.col("seq"))).alias("size"))
+
+
+# ---------------------------------------------------------------- diversity estimators
+RARE_SIZES = [10, 15, 22, 33, 49, 73, 109, 163, 244, 366]
+
+
+@query(
+    "d1_rarefaction",
+    f"""WITH s AS ({SHORT}), f AS (SELECT cnt AS f, count(*) AS k FROM s GROUP BY 1), t AS (SELECT CAST(sum(cnt) AS BIGINT) AS n FROM s), x AS (SELECT unnest({RARE_SIZES}) AS m),
+    l AS (SELECT m, k, CASE WHEN m > n - f THEN 0 ELSE exp(lgamma(n - f + 1) - lgamma(n - f - m + 1) - lgamma(n + 1) + lgamma(n - m + 1)) END AS missed FROM f, t, x WHERE m <= n)
+    SELECT CAST(m AS BIGINT) AS n, round(sum(k * (1 - missed)), 6) AS expected FROM l GROUP BY 1""",
+)
+def _(spark, d):
+    return diversity.rarefaction(_short(spark, d), RARE_SIZES)
+
+
+@query("d2_recapture", f"WITH s AS ({SHORT}), u AS (SELECT count(*)::DOUBLE AS u FROM s) SELECT CAST(m AS BIGINT) AS n, round(100 * (1 - power(1 - 1 / u, m)), 6) AS pct FROM u, (SELECT unnest([100, 500, 1000, 5000]) AS m) x")
+def _(spark, d):
+    return diversity.recapture(_short(spark, d), [100, 500, 1000, 5000])
+
+
+@query("d1_sampled_richness")
+def _(spark, d):
+    return diversity.sampled_richness(_short(spark, d), "aa", 100, [1, 2, 3])
+
+
+# ---------------------------------------------------------------- matrices and annotation
+@query("f9_bound", "SELECT probe FROM hts WHERE experiment = 'click' AND value <= 20")
+def _(spark, d):
+    return hts.at_most(derived(spark, d, "hts"), "click", 20)
+
+
+@query("f10_bound_in_all", "SELECT probe FROM (SELECT probe FROM hts WHERE regexp_matches(experiment, '^c') GROUP BY probe HAVING bool_and(value <= 60)) a WHERE probe IN (SELECT probe FROM hts WHERE regexp_matches(experiment, 'view') GROUP BY probe HAVING bool_and(value >= 1))")
+def _(spark, d):
+    return _bound(spark, d)
+
+
+def _bound(spark, d):
+    rows = derived(spark, d, "hts")
+    return filters.restrict(hts.bound_in_all(rows, ["^c"], 60), hts.bound_in_all(rows, ["~view"], 1), "probe")
+
+
+@query("f11_experiments", "SELECT DISTINCT experiment FROM hts WHERE regexp_matches(experiment, 'i')")
+def _(spark, d):
+    return hts.experiments(derived(spark, d, "hts"), "i")
+
+
+@query("o3_highest", "SELECT probe, value FROM (SELECT probe, value FROM hts WHERE experiment = 'click' ORDER BY value DESC, probe LIMIT 20) x WHERE value >= 10")
+def _(spark, d):
+    return hts.extremes(derived(spark, d, "hts"), "click", 20, threshold=10)
+
+
+@query("n6_rank_pvalue", "SELECT round(greatest(count(*) FILTER (value > 30), 1)::DOUBLE / nullif(count(*), 0), 9) AS p FROM hts WHERE experiment = 'click'")
+def _(spark, d):
+    return hts.rank_pvalue(derived(spark, d, "hts"), "click", 30)
+
+
+@query("a34_category_sizes", "SELECT size, count(*) AS categories FROM (SELECT category, count(DISTINCT gene) AS size FROM annotation GROUP BY 1) x GROUP BY 1")
+def _(spark, d):
+    return hts.category_sizes(derived(spark, d, "annotation").select("gene", "category"))
+
+
+@query(
+    "m23_enrichment",
+    """WITH a AS (SELECT DISTINCT gene, category FROM annotation), t AS (SELECT count(DISTINCT gene) AS n, count(DISTINCT category) AS c FROM a), g AS (SELECT DISTINCT gene FROM annotation WHERE size <= 10),
+    w AS (SELECT count(DISTINCT gene) AS d FROM a WHERE gene IN (SELECT gene FROM g)), p AS (SELECT category, count(*) FILTER (gene IN (SELECT gene FROM g)) AS found, count(*) AS size FROM a GROUP BY 1),
+    l AS (SELECT p.*, n, c, d, list_sum(list_transform(range(found, least(d, p.size) + 1), lambda k: CASE WHEN d - k > n - p.size THEN 0 ELSE exp(lgamma(p.size + 1) - lgamma(k + 1) - lgamma(p.size - k + 1) + lgamma(n - p.size + 1) - lgamma(d - k + 1) - lgamma(n - p.size - d + k + 1) - lgamma(n + 1) + lgamma(d + 1) + lgamma(n - d + 1)) END)) AS tail FROM p, t, w WHERE found > 0)
+    SELECT category, found, size, round(least(1, tail * c), 8) AS p FROM l""",
+)
+def _(spark, d):
+    a = derived(spark, d, "annotation")
+    return hts.enrichment(a.where("size <= 10").select("gene"), a.select("gene", "category")).withColumn("p", F.round("p", 8))
+
+
+# ---------------------------------------------------------------- motifs
+CANON = "least(w, reverse(translate(w, 'ACGTWSKMYRNacgtwskmyrn', 'TGCAWSMKRYNtgcawsmkryn')))"
+KMERS = "SELECT unnest(list_transform(range(1, greatest(length(seq) - {k} + 2, 1)), lambda i: substring(upper(seq), i, {k}))) AS w FROM reads"
+
+
+@query("a30_kmers", f"WITH k AS ({KMERS.format(k=6)}) SELECT {CANON} AS kmer, count(*) AS cnt FROM k WHERE NOT contains(w, 'N') GROUP BY 1")
+def _(spark, d):
+    return motifs.top_kmers(derived(spark, d, "reads"), 6)
+
+
+@query("a30_top_kmers", f"WITH k AS ({KMERS.format(k=8)}) SELECT {CANON} AS kmer, count(*) AS cnt FROM k WHERE NOT contains(w, 'N') GROUP BY 1 ORDER BY cnt DESC, kmer LIMIT 100")
+def _(spark, d):
+    return motifs.top_kmers(derived(spark, d, "reads"), 8, 100)
+
+
+@query("a32_site_histogram", "SELECT CAST(len(regexp_extract_all(upper(seq), 'AC[AG]T')) AS INT) AS n_sites, count(*) AS probes FROM reads GROUP BY 1")
+def _(spark, d):
+    return motifs.site_histogram(derived(spark, d, "reads"), S.iupac_regex("ACRT"))
+
+
+BOTH = f"SELECT upper(seq) AS s FROM reads UNION ALL SELECT {RC.format('upper(seq)')} FROM reads"
+
+
+@query("m31_markov", f"WITH b AS ({BOTH}), k AS (SELECT unnest(list_transform(range(1, greatest(length(s) - 1, 1)), lambda i: substring(s, i, 3))) AS kmer FROM b), c AS (SELECT kmer, count(*) AS cnt FROM k WHERE regexp_full_match(kmer, '[ACGT]+') GROUP BY 1) SELECT kmer, cnt, round((cnt + 1) / (sum(cnt) OVER (PARTITION BY substring(kmer, 1, 2)) + 4), 9) AS p FROM c")
+def _(spark, d):
+    return motifs.markov(derived(spark, d, "reads"), 2)
+
+
+@query("m2_pfm", "WITH w AS (SELECT sample, max(length(seq)) AS m FROM (SELECT sample, substring(seq, 1, 40) AS seq FROM reads) x GROUP BY 1) SELECT sample, CAST(i AS INT) AS pos, substring(rpad(substring(seq, 1, 40), m::INT, '-'), i::INT + 1, 1) AS letter, count(*) AS cnt FROM reads JOIN w USING (sample), range(40) r(i) WHERE i < m GROUP BY 1, 2, 3")
+def _(spark, d):
+    return motifs.pfm(derived(spark, d, "reads").select("sample", F.substring("seq", 1, 40).alias("seq")), "sample")
+
+
+def _probes(spark, d):
+    return derived(spark, d, "reads").select(F.col("read_id").alias("probe_id"), "seq")
+
+
+def _subset(spark, d):
+    return spark.read.parquet(f"{d}/labels.parquet").where("quality = 1").select(F.col("doc_id").alias("probe_id"))
+
+
+@query("m17_pattern_enrichment", f"WITH h AS (SELECT read_id, regexp_matches(upper(seq), 'TGA[CGS]TCA') OR regexp_matches({RC.format('upper(seq)')}, 'TGA[CGS]TCA') AS hit, read_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS own FROM reads) SELECT count(*) FILTER (hit AND own) AS found, count(*) FILTER (own) AS draws, count(*) FILTER (hit) AS marked, count(*) AS total FROM h")
+def _(spark, d):
+    return motifs.enrichment(motifs.pattern_match(_probes(spark, d), "TGASTCA"), _subset(spark, d)).drop("p")
+
+
+@query("m17_enrichment_p")
+def _(spark, d):
+    return motifs.enrichment(motifs.pattern_match(_probes(spark, d), "TGASTCA"), _subset(spark, d))
+
+
+@query("m12_scan")
+def _(spark, d):
+    return motifs.sitemap(_probes(spark, d), {"tgastca": motifs.Motif.from_text("TGASTCA"), "acgtr": motifs.Motif.from_text("ACGTRA")}, 0.8)
+
+
+@query("m19_group_specificity")
+def _(spark, d):
+    scored = _probes(spark, d).select("probe_id", motifs.best_scorer(motifs.Motif.from_text("TGASTCA"))("seq").alias("score"))
+    return motifs.group_specificity(scored, _subset(spark, d))
+
+
+@query("m22_rank_sum", "WITH s AS (SELECT n_chars AS v, lang = 'en' AS g FROM documents), r AS (SELECT g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0::DOUBLE AS r FROM s), a AS (SELECT count(*) FILTER (g) AS n1, count(*) FILTER (NOT g) AS n2, sum(CASE WHEN g THEN r ELSE 0 END) AS w FROM r) SELECT n1, n2, round((w - n1 * (n1 + 1) / 2) / (n1::DOUBLE * n2), 9) AS auc FROM a")
+def _(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.col("n_chars").alias("v"), (F.col("lang") == "en").alias("g"))
+    return stats.rank_sum(docs, "v", "g").select("n1", "n2", F.round("auc", 9).alias("auc"))
+
+
+@query("m30_em")
+def _(spark, d):
+    rows = derived(spark, d, "reads").select(F.substring("seq", 1, 60).alias("seq"))
+    return cluster.em_runs(rows, ["TGACTCA", "ACGTAC"], motifs.UNIFORM)
+
+
+EMB = "aggregate(zip_with(a.e, b.e, (x, y) -> (x - y) * (x - y)), 0D, (t, x) -> t + x)"
+
+
+def _pair_distances(spark, d):
+    e = spark.read.parquet(f"{d}/embeddings.parquet").where("vec_id < 60").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))  # the fixture's 60 points
+    return e.alias("a").join(e.alias("b"), F.col("a.vec_id") < F.col("b.vec_id")).select(F.col("a.vec_id").cast("int").alias("i"), F.col("b.vec_id").cast("int").alias("j"), F.round(F.sqrt(F.expr(EMB)), 6).alias("d"))
+
+
+@query("j9_pair_distances", "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE vec_id < 60) SELECT CAST(a.vec_id AS INT) AS i, CAST(b.vec_id AS INT) AS j, round(sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))), 6) AS d FROM e a JOIN e b ON a.vec_id < b.vec_id")
+def _(spark, d):
+    return _pair_distances(spark, d)
+
+
+@query("m35_k_medoids")
+def _(spark, d):
+    return cluster.k_medoids_runs(_pair_distances(spark, d), 60, [2, 4, 8], [1, 2, 3])
