@@ -37,7 +37,7 @@ def parse_record(text: str) -> dict:
             row["queryid"] = (line[8:].split() or [None])[0]
         elif "rearrangement summary" in line:
             section = "rearrangement"
-        elif "sub-region sequence details" in line:
+        elif "sub-region sequence details" in line.lower():
             section = "cdr3"
         elif line.startswith("# Alignment summary"):
             section = "summary"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,9 +71,6 @@ def quality_by_position(reads: DataFrame) -> DataFrame:
 def merge_pairs(first: DataFrame, second: DataFrame, overlap: int = 15, mismatch: float = 0.1) -> DataFrame:
     """(read_id, seq): pairs joined where the end of the first read and the start of the second one's reverse complement agree
     best, over at least ``overlap`` bases with at most a share ``mismatch`` of differences; other pairs are left out."""
-    import numpy as np
-    import pandas as pd
-
     flip = str.maketrans("ACGTN", "TGCAN")
 
     @F.pandas_udf("string")
