@@ -362,9 +362,9 @@ def _(spark, d):
     return derived(spark, d, "reads").where(F.length("seq") >= 6).select("read_id", S.matches_codes(F.substring("seq", 1, 6), F.lit("RNCVHT"), S.IUPAC).alias("fits"))
 
 
-@query("f14_strip_n", "SELECT read_id, regexp_replace(concat('NN', substring(seq, 1, 10), 'N'), '^N+|N+$', '', 'g') AS seq FROM reads")
+@query("f14_strip_n", "SELECT read_id, regexp_replace(concat('NN', seq, 'N'), '^N+|N+$', '', 'g') AS seq FROM reads")
 def _(spark, d):
-    return derived(spark, d, "reads").select("read_id", S.strip_n(F.concat(F.lit("NN"), F.substring("seq", 1, 10), F.lit("N"))).alias("seq"))
+    return derived(spark, d, "reads").select("read_id", S.strip_n(F.concat(F.lit("NN"), F.col("seq"), F.lit("N"))).alias("seq"))
 
 
 @query("e1_xor", "WITH a AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1), b AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) (SELECT doc_id FROM a EXCEPT SELECT doc_id FROM b) UNION (SELECT doc_id FROM b EXCEPT SELECT doc_id FROM a)")
@@ -540,9 +540,9 @@ def _(spark, d):
     return motifs.markov(derived(spark, d, "reads"), 2)
 
 
-@query("m2_pfm", "WITH w AS (SELECT sample, max(length(seq)) AS m FROM (SELECT sample, substring(seq, 1, 40) AS seq FROM reads) x GROUP BY 1) SELECT sample, CAST(i AS INT) AS pos, substring(rpad(substring(seq, 1, 40), m::INT, '-'), i::INT + 1, 1) AS letter, count(*) AS cnt FROM reads JOIN w USING (sample), range(40) r(i) WHERE i < m GROUP BY 1, 2, 3")
+@query("m2_pfm", f"WITH x AS (SELECT {GENE.format('germline')} AS gene, fr1 AS seq FROM clone_seqs), w AS (SELECT gene, max(length(seq)) AS m FROM x GROUP BY 1) SELECT gene, CAST(i AS INT) AS pos, substring(rpad(seq, m::INT, '-'), i::INT + 1, 1) AS letter, count(*) AS cnt FROM x JOIN w USING (gene), range(25) r(i) WHERE i < m GROUP BY 1, 2, 3")
 def _(spark, d):
-    return motifs.pfm(derived(spark, d, "reads").select("sample", F.substring("seq", 1, 40).alias("seq")), "sample")
+    return motifs.pfm(derived(spark, d, "clone_seqs").select(S.gene(F.col("germline")).alias("gene"), F.col("fr1").alias("seq")), "gene")
 
 
 def _probes(spark, d):
@@ -582,23 +582,26 @@ def _(spark, d):
 
 @query("m30_em")
 def _(spark, d):
-    rows = derived(spark, d, "reads").select(F.substring("seq", 1, 60).alias("seq"))
-    return cluster.em_runs(rows, ["TGACTCA", "ACGTAC"], motifs.UNIFORM)
+    return cluster.em_table(derived(spark, d, "reads"), ["TGACTCA"], motifs.UNIFORM, rounds=12)
 
 
-EMB = "aggregate(zip_with(a.e, b.e, (x, y) -> (x - y) * (x - y)), 0D, (t, x) -> t + x)"
-
-
-def _pair_distances(spark, d):
-    e = spark.read.parquet(f"{d}/embeddings.parquet").where("vec_id < 60").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))  # the fixture's 60 points
-    return e.alias("a").join(e.alias("b"), F.col("a.vec_id") < F.col("b.vec_id")).select(F.col("a.vec_id").cast("int").alias("i"), F.col("b.vec_id").cast("int").alias("j"), F.round(F.sqrt(F.expr(EMB)), 6).alias("d"))
+@query(
+    "j9_pair_distances",
+    """WITH p AS (SELECT label, generate_subscripts(embedding, 1) AS k, unnest(embedding)::DOUBLE AS x FROM embeddings), m AS (SELECT label, k, avg(x) AS x FROM p GROUP BY 1, 2)
+    SELECT a.label AS i, b.label AS j, round(sqrt(sum((a.x - b.x) * (a.x - b.x))), 6) AS d FROM m a JOIN m b ON a.k = b.k AND a.label < b.label GROUP BY 1, 2""",
+)
+def _(spark, d):
+    return _label_distances(spark, d)
 
 
-@query("j9_pair_distances", "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE vec_id < 60) SELECT CAST(a.vec_id AS INT) AS i, CAST(b.vec_id AS INT) AS j, round(sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))), 6) AS d FROM e a JOIN e b ON a.vec_id < b.vec_id")
-def _(spark, d):
-    return _pair_distances(spark, d)
+def _label_distances(spark, d):
+    """Distances between the mean vectors of the labels, a few rows however many vectors there are."""
+    parts = spark.read.parquet(f"{d}/embeddings.parquet").select("label", F.posexplode("embedding").alias("k", "x"))
+    mean = parts.groupBy("label", "k").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    pairs = mean.toDF("i", "k", "x").join(mean.toDF("j", "k", "y"), "k").where("i < j")
+    return pairs.groupBy("i", "j").agg(F.round(F.sqrt(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y")))), 6).alias("d"))
 
 
 @query("m35_k_medoids")
 def _(spark, d):
-    return cluster.k_medoids_runs(_pair_distances(spark, d), 60, [2, 4, 8], [1, 2, 3])
+    return cluster.k_medoids_runs(_label_distances(spark, d), [2, 3, 4], [1, 2, 3])

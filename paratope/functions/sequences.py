@@ -27,10 +27,17 @@ def reverse_complement(seq: Column, table: tuple[str, str] = COMPLEMENT) -> Colu
 
 def translate_dna(seq: Column) -> Column:
     """Protein of the first frame; trailing bases are dropped, stops are ``*`` and codons with other letters ``X``."""
-    code = F.create_map(*(F.lit(x) for pair in CODONS.items() for x in pair))
+    listed = F.lit("|".join(CODONS))
     n = F.floor(F.length(seq) / 3).cast("int")
-    codon = lambda i: F.upper(F.substring(seq, 3 * i - 2, F.lit(3)))
-    letters = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.coalesce(F.try_element_at(code, codon(i)), F.lit("X")))
+
+    def residue(at: Column) -> Column:
+        return F.when(at % 4 == 1, F.substring(F.lit(AMINO), F.floor(at / 4).cast("int") + 1, F.lit(1))).otherwise("X")
+
+    def letter(i: Column) -> Column:
+        place = F.call_function("locate", F.upper(F.substring(seq, 3 * i - 2, F.lit(3))), listed)
+        return F.transform(F.array(place), residue)[0]
+
+    letters = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), letter)
     return F.when(n > 0, F.array_join(letters, "")).when(seq.isNotNull(), F.lit(""))
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,19 +103,23 @@ def k_medoids(d: np.ndarray, k: int, seed: int = 0, rounds: int = 100) -> tuple[
     return medoids, own, float(d[np.arange(len(d)), own].sum())
 
 
-def k_medoids_runs(pairs: DataFrame, points: int, ks: list[int], seeds: list[int]) -> DataFrame:
-    """(k, seed, total, medoids): one task a run over a broadcast matrix of few points, from (i, j, d) with i < j."""
-    m = np.zeros((points, points))
-    for r in pairs.where((F.col("i") < points) & (F.col("j") < points)).collect():
-        m[r.i, r.j] = m[r.j, r.i] = r.d
+def k_medoids_runs(pairs: DataFrame, ks: list[int], seeds: list[int], most: int = 10_000) -> DataFrame:
+    """(k, seed, total, medoids): one task a run over a broadcast matrix, from (i, j, d) with i < j, of at most ``most`` points."""
+    points = sorted(r.p for r in pairs.select(F.explode(F.array("i", "j")).alias("p")).distinct().limit(most + 1).collect())
+    if len(points) > most:
+        raise ValueError(f"more than {most} points")
+    place, m = {p: n for n, p in enumerate(points)}, np.zeros((len(points), len(points)))
+    for r in pairs.toLocalIterator():
+        m[place[r.i], place[r.j]] = m[place[r.j], place[r.i]] = r.d
     spark = pairs.sparkSession
-    shared = spark.sparkContext.broadcast(m)
+    shared = spark.sparkContext.broadcast((m, points))
 
     def run(frames):
+        m, points = shared.value
         for f in frames:
             for k, s in zip(f["k"], f["seed"], strict=True):
-                medoids, _, total = k_medoids(shared.value, int(k), int(s))
-                yield f.iloc[:1].assign(k=k, seed=s, total=total, medoids=[medoids])
+                medoids, _, total = k_medoids(m, min(int(k), len(m)), int(s))
+                yield f.iloc[:1].assign(k=k, seed=s, total=total, medoids=[[points[x] for x in medoids]])
 
     grid = spark.createDataFrame([(k, s) for k in ks for s in seeds], "k int, seed int").repartition(len(ks) * len(seeds))
     return grid.mapInPandas(run, "k int, seed int, total double, medoids array<int>")
@@ -129,48 +134,64 @@ def distinct_motifs(motifs: list[tuple[Motif, float]], most: float = 0.5) -> lis
     return sorted(kept)
 
 
-def em(seqs: list[str], seed: Motif, background: dict[str, float], gamma: float = 0.5, tolerance: float = 1e-4, rounds: int = 500) -> tuple[Motif, float, float]:
-    """Zero or one occurrence a sequence: the motif, the share of sequences that hold it and the log-likelihood gain in bits."""
-    bg = np.array([background[b] for b in BASES])
-    motif, last = seed, -np.inf
-    width = len(seed)
+def _windows(seq: str, width: int) -> np.ndarray:
+    """Every window of a sequence without other letters than bases, as codes, and then their reverse complements."""
     code = np.full(128, -1)
     code[[ord(b) for b in BASES]] = range(4)
-    windows = []
+    x = code[np.frombuffer(seq.upper().encode("ascii", "replace"), np.uint8)]
+    if len(x) < width:
+        return np.zeros((0, width), dtype=int)
+    w = np.lib.stride_tricks.sliding_window_view(x, width)
+    w = w[(w >= 0).all(1)]
+    return np.concatenate([w, 3 - w[:, ::-1]])
+
+
+def _expect(seqs, ratios: np.ndarray, gamma: float) -> np.ndarray:
+    """The E step over some sequences: expected base counts by place, then log-likelihood gain, occurrences and sequences."""
+    width = len(ratios)
+    counts, total, hold, used = np.zeros((width, 4)), 0.0, 0.0, 0
     for s in seqs:
-        x = code[np.frombuffer(s.upper().encode("ascii", "replace"), np.uint8)]
-        if len(x) >= width:
-            w = np.lib.stride_tricks.sliding_window_view(x, width)
-            w = w[(w >= 0).all(1)]
-            if len(w):
-                windows.append(np.concatenate([w, 3 - w[:, ::-1]]))
-    for _ in range(rounds):
-        r = motif.ratios
-        counts, total, hold = np.zeros((width, 4)), 0.0, 0.0
-        for w in windows:
-            odds = 2.0 ** r[np.arange(width), w].sum(1) * gamma / len(w)
+        w = _windows(s, width)
+        if len(w):
+            odds = 2.0 ** ratios[np.arange(width), w].sum(1) * gamma / len(w)
             z = odds / (odds.sum() + 1 - gamma)
             total += np.log2(odds.sum() + 1 - gamma)
             hold += z.sum()
+            used += 1
             for i in range(width):
                 counts[i] += np.bincount(w[:, i], weights=z, minlength=4)
+    return np.concatenate([counts.ravel(), [total, hold, used]])
+
+
+def _maximise(seed: Motif, background: dict[str, float], gamma: float, tolerance: float, rounds: int, expect) -> tuple[Motif, float, float]:
+    bg = np.array([background[b] for b in BASES])
+    motif, last, total = seed, -np.inf, 0.0
+    for _ in range(rounds):
+        sums = expect(motif.ratios, gamma)
+        counts, (total, hold, used) = sums[:-3].reshape(-1, 4), sums[-3:]
         motif = Motif((counts + 0.01 * bg) / (counts.sum(1, keepdims=True) + 0.01), bg)
-        gamma = min(0.999, max(1e-3, hold / max(1, len(windows))))
+        gamma = min(0.999, max(1e-3, hold / max(1, used)))
         if abs(total - last) < tolerance:
             break
         last = total
     return motif, gamma, float(total)
 
 
-def em_runs(groups: DataFrame, seeds: list[str], background: dict[str, float]) -> DataFrame:
-    """(seed, consensus, share, gain): EM from each seed word over (grp, seq); a task a seed, over sequences that fit in a worker."""
-    sample = groups.select("seq").orderBy(F.xxhash64("seq"), "seq").limit(10_000)  # as many as the EM is defined over
-    seqs = groups.sparkSession.sparkContext.broadcast([r.seq for r in sample.collect()])
+def em(seqs: list[str], seed: Motif, background: dict[str, float], gamma: float = 0.5, tolerance: float = 1e-4, rounds: int = 500) -> tuple[Motif, float, float]:
+    """Zero or one occurrence a sequence: the motif, the share of sequences that hold it and the log-likelihood gain in bits."""
+    return _maximise(seed, background, gamma, tolerance, rounds, lambda r, g: _expect(seqs, r, g))
 
-    def run(frames):
-        for f in frames:
-            for s in f["seed"]:
-                m, share, gain = em(seqs.value, Motif.from_text(s, background), background)
-                yield f.iloc[:1].assign(seed=s, consensus=m.consensus, share=share, gain=gain)
 
-    return groups.sparkSession.createDataFrame([(s,) for s in seeds], "seed string").repartition(len(seeds)).mapInPandas(run, "seed string, consensus string, share double, gain double")
+def em_table(seqs: DataFrame, seeds: list[str], background: dict[str, float], gamma: float = 0.5, tolerance: float = 1e-3, rounds: int = 500) -> DataFrame:
+    """(seed, consensus, share, gain) over all rows of ``seq``: each round's E step runs where the sequences are, and a task sends
+    back one row of sums."""
+
+    def expect(ratios: np.ndarray, share: float) -> np.ndarray:
+        def run(frames):
+            total = sum((_expect(f["seq"].dropna(), ratios, share) for f in frames), np.zeros(4 * len(ratios) + 3))
+            yield pd.DataFrame({"sums": [total.tolist()]})
+
+        return np.sum([r.sums for r in seqs.select("seq").mapInPandas(run, "sums array<double>").toLocalIterator()], axis=0)
+
+    found = [(s, *_maximise(Motif.from_text(s, background), background, gamma, tolerance, rounds, expect)) for s in seeds]
+    return seqs.sparkSession.createDataFrame([(s, m.consensus, float(share), gain) for s, m, share, gain in found], "seed string, consensus string, share double, gain double")

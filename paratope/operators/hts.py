@@ -72,4 +72,4 @@ def category_sizes(annotation: DataFrame) -> DataFrame:
 
 def nearest(positions: DataFrame, marks: DataFrame) -> DataFrame:
     """Distance from each (id, chrom, pos) to the nearest mark (chrom, mark) of its chromosome."""
-    return positions.join(F.broadcast(marks), "chrom").groupBy("id", "chrom", "pos").agg(F.min(F.abs(F.col("pos") - F.col("mark"))).alias("distance"))
+    return positions.join(marks, "chrom").groupBy("id", "chrom", "pos").agg(F.min(F.abs(F.col("pos") - F.col("mark"))).alias("distance"))

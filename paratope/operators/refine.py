@@ -37,8 +37,10 @@ def locate_fr4(rows: DataFrame, chain: str = "VH") -> DataFrame:
     CDR3dna), else CDR3 ends with the J gene and FR4 is missing."""
     tail = F.expr("substring(protein, cast(floor((fr3_end - offset) / 3) as int) + 1)")
     dna = F.expr("substring(read, fr3_end + 1)")
-    out = settled(rows.withColumn("__p", aligned_to(FR4_PROTEIN[chain], False)(tail)).withColumn("__d", aligned_to(FR4_DNA[chain], True)(dna)))
     ok_p, ok_d = F.col("__p.start").isNotNull() & ~F.col("__p.gapped"), F.col("__d.start").isNotNull() & ~F.col("__d.gapped")
+    out = settled(rows.withColumn("__p", aligned_to(FR4_PROTEIN[chain], False)(tail)))
+    out = settled(out.withColumn("__d", aligned_to(FR4_DNA[chain], True)(F.when(~F.coalesce(ok_p, F.lit(False)), dna))))
+    ok_p, ok_d = F.coalesce(ok_p, F.lit(False)), F.coalesce(ok_d, F.lit(False))
     start = F.when(ok_p, (F.col("__p.start") - 1) * 3 + F.col("fr3_end") + 1).when(ok_d, F.col("__d.start") + F.col("fr3_end"))
     end = F.when(ok_p, F.col("fr3_end") + F.col("__p.end") * 3).when(ok_d, F.col("fr3_end") + F.col("__d.end"))
     jqend = F.col("jqend") if "jqend" in rows.columns else F.lit(None).cast("int")

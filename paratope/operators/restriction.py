@@ -63,13 +63,15 @@ def venn(found: DataFrame, enzymes: list[str]) -> DataFrame:
 
 
 def hit_positions(seq: Column, regex: str) -> Column:
-    """0-based starts of non-overlapping hits: the text is split at hits, and lengths are added up."""
-    found = F.regexp_extract_all(F.upper(seq), F.lit(f"({regex})"), 1)
-    gaps = F.split(F.upper(seq), regex, -1)
-    n = F.size(found)
-    size = lambda upto: F.aggregate(F.sequence(F.lit(0), upto), F.lit(0), lambda t, i: t + F.length(gaps[i]))
-    before = lambda i: F.when(i > 0, F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda t, x: t + F.length(x))).otherwise(F.lit(0))
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: size(i) + before(i))).otherwise(F.array().cast("array<int>"))
+    """0-based starts of non-overlapping hits: the text is split at hits once, and lengths are added up."""
+    both = F.struct(F.split(F.upper(seq), regex, -1).alias("gap"), F.regexp_extract_all(F.upper(seq), F.lit(f"({regex})"), 1).alias("hit"))
+
+    def starts(x: Column) -> Column:
+        pairs = F.arrays_zip(x["hit"].alias("hit"), F.slice(x["gap"], F.lit(1), F.size(x["hit"])).alias("gap"))
+        zero = F.struct(F.array().cast("array<int>").alias("p"), F.lit(0).alias("at"))
+        return F.aggregate(pairs, zero, lambda t, y: F.struct(F.array_append(t["p"], t["at"] + F.length(y["gap"])).alias("p"), (t["at"] + F.length(y["gap"]) + F.length(y["hit"])).alias("at")))["p"]
+
+    return F.transform(F.array(both), starts)[0]
 
 
 def region_of(position: Column) -> Column:

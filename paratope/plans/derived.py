@@ -37,7 +37,7 @@ FROM (
 """
 READS = """
 SELECT doc_id AS read_id, lang AS sample,
-       substring(translate(regexp_replace(lower(text),'[^a-z]',''{g}),'abcdefghijklmnopqrstuvwxyz','ACGTAGCTTACGGATCCATGCGTAAC'),1,600) AS seq
+       translate(regexp_replace(lower(text),'[^a-z]',''{g}),'abcdefghijklmnopqrstuvwxyz','ACGTAGCTTACGGATCCATGCGTAAC') AS seq
 FROM {documents}
 """
 CLONE_SEQS = """
