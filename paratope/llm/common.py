@@ -160,10 +160,10 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     if n == 0:
         return h[:0]
     if n < k:
-        acc = np.uint64(n)
-        for x in h:
-            acc = mix64(np.array([acc * np.uint64(BASE) + x], dtype=np.uint64))[0]
-        return np.array([acc], dtype=np.uint64)
+        acc = np.array([n], dtype=np.uint64)
+        for i in range(n):
+            acc = mix64(acc * np.uint64(BASE) + h[i : i + 1])
+        return acc
     acc = np.zeros(n - k + 1, dtype=np.uint64)
     for i in range(k):
         acc = acc * np.uint64(BASE) + h[i : n - k + 1 + i]
