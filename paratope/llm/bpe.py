@@ -30,7 +30,7 @@ EDGE = 4  # ids at a window's right edge that may differ because the window ends
 class Coder:
     """A vocabulary file of the tokenizers library, with a bounded memo of units (cleared when full; results don't depend on it)."""
 
-    def __init__(self, path: str, leaf: int = 4096, memo: int = 1_000_000) -> None:
+    def __init__(self, path: str, leaf: int = 4096, memo: int = 2_000_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core; threads only add to its work
         from tokenizers import Tokenizer
 
@@ -52,7 +52,7 @@ class Coder:
 
     def _learn(self, units: set[str]) -> None:
         memo = self.memo
-        new = [u for u in units if u not in memo and len(u) <= self.leaf]
+        new = [u for u in units.difference(memo) if len(u) <= self.leaf]
         if len(memo) + len(new) > self.limit:
             memo.clear()
             self.text_memo.clear()
