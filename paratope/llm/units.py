@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paratope.llm.common import Scratch, join_hot, parted
+from paratope.llm.common import Scratch, join_hot, parted, release
 
 LINE = "\n"
 PARAGRAPH = "\n\n"
@@ -30,6 +30,7 @@ def units_of(docs: DataFrame, separator: str, min_words: int) -> DataFrame:
     its normal form (A-Z in lower case, words joined by one space). ``text_hash`` keeps apart rows that share an id."""
 
     def run(batches):
+        release()
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 rows = []
@@ -120,7 +121,7 @@ WITH lines AS (
   FROM documents WHERE text IS NOT NULL
 ), placed AS (
   SELECT doc_id, unit, length(raw) AS size,
-         sum(length(raw) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - length(raw) - 1 AS at,
+         sum(length(raw) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - length(raw) - 1 AS "at",
          trim(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
   FROM lines
 ), counted AS (
@@ -129,7 +130,7 @@ WITH lines AS (
   SELECT *, row_number() OVER w AS k, first_value(doc_id) OVER w AS fd, first_value(unit) OVER w AS fu
   FROM counted WHERE n >= 5 WINDOW w AS (PARTITION BY norm ORDER BY doc_id, unit)
 )
-SELECT doc_id, CAST(unit AS INT) AS unit, CAST(at AS INT) AS start, CAST(at + size AS INT) AS "end", CAST(n AS INT) AS words,
+SELECT doc_id, CAST(unit AS INT) AS unit, CAST("at" AS INT) AS "start", CAST("at" + size AS INT) AS "end", CAST(n AS INT) AS words,
        fd AS first_doc_id, CAST(fu AS INT) AS first_unit
 FROM ranked WHERE k > 1
 """
