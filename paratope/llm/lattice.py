@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from paratope.llm.common import BASE, Scratch, components, forest, mix64, signed
 
+PAIRS = 1 << 15  # pairs whose vectors are held at once
 CHUNK = 2048  # vectors of one cell that a task holds at once on either side
 
 
@@ -210,13 +211,17 @@ def lattice_groups(vectors: DataFrame, cosine: float = 0.98, seed: int = 8, scal
             _, _, v = next(unit(t.column("e").combine_chunks()))
             a, b = v[x], v[~x]
             turned = v @ rotation(v.shape[1], seed)
+            ours, theirs = turned[x], turned[~x]
             for m, n in _tiles(len(a), len(b)):
                 i, j = np.nonzero((a[m] @ b[n].T >= cosine) & (cls[x][m, None] != cls[~x][None, n]))
                 if not len(i):
                     continue
                 i, j = i + m.start, j + n.start
-                blocks = ((turned[x][i] - turned[~x][j]).reshape(len(i), -1, 8) ** 2).sum(2) <= near(v.shape[1]) ** 2
-                first = blocks.any(1) & (blocks.argmax(1) == table)
+                first = np.zeros(len(i), dtype=bool)
+                for k in range(0, len(i), PAIRS):  # a few pairs at a time: each takes two whole vectors
+                    gap = ours[i[k : k + PAIRS]] - theirs[j[k : k + PAIRS]]
+                    blocks = (gap.reshape(len(gap), -1, 8) ** 2).sum(2) <= near(v.shape[1]) ** 2
+                    first[k : k + PAIRS] = blocks.any(1) & (blocks.argmax(1) == table)
                 i, j = i[first], j[first]
                 if not len(i):
                     continue
