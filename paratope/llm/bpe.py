@@ -18,11 +18,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from paratope.llm.common import resident
+
 # White space as the vocabularies' patterns mean it (Unicode White_Space); \x1c-\x1f are not in it.
 SPACE = "\t-\r \x85\xa0  -     　"
 _KEEP = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 _PLAIN = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:]?").fullmatch
 _DROP = re.compile(f"[^{SPACE}]+")
+MEMO = 2_000_000  # units remembered by a worker, about 200 bytes each
 AGREE = 4  # ids that must be equal on either side of a join
 EDGE = 4  # ids at a window's right edge that may differ because the window ends there
 
@@ -30,7 +33,7 @@ EDGE = 4  # ids at a window's right edge that may differ because the window ends
 class Coder:
     """A vocabulary file of the tokenizers library, with a bounded memo of units (cleared when full; results don't depend on it)."""
 
-    def __init__(self, path: str, leaf: int = 4096, memo: int = 2_000_000) -> None:
+    def __init__(self, path: str, leaf: int = 4096, memo: int = MEMO) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core; threads only add to its work
         from tokenizers import Tokenizer
 
@@ -188,20 +191,15 @@ class Coder:
         return b"".join([table[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode("utf-8", "replace")
 
 
-_coders: dict[str, Coder] = {}
-
-
-def coder(path: str) -> Coder:
-    """One coder a worker process and file."""
-    if path not in _coders:
-        _coders[path] = Coder(path)
-    return _coders[path]
+def coder(path: str, memo: int = MEMO) -> Coder:
+    """One coder a worker process."""
+    return resident(("coder", path, memo), lambda: Coder(path, memo=memo))
 
 
-def encoded(column: pa.Array, path: str, decimal: bool = False, rows: int = 256) -> Iterator[tuple[bytes, bytes | None]]:
+def encoded(column: pa.Array, path: str, decimal: bool = False, rows: int = 256, memo: int = MEMO) -> Iterator[tuple[bytes, bytes | None]]:
     """``encode_many`` over a column of texts, ``rows`` at a time; null is the empty text."""
     for i in range(0, len(column), rows):
-        yield from coder(path).encode_many([t or "" for t in column.slice(i, rows).to_pylist()], decimal)
+        yield from coder(path, memo).encode_many([t or "" for t in column.slice(i, rows).to_pylist()], decimal)
 
 
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -145,6 +147,7 @@ def raw_texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
 
 def words_of(column: pa.Array, chunk: int = 1 << 20) -> Iterator[Words]:
     """Words of each text, some whole texts (about ``chunk`` bytes) at a time, so memory follows the longest text."""
+    release()
     data, off, valid = raw_texts(column)
     i, n = 0, len(off) - 1
     while i < n:
@@ -152,6 +155,8 @@ def words_of(column: pa.Array, chunk: int = 1 << 20) -> Iterator[Words]:
         j = min(j, n)
         yield Words(i, data[off[i] : off[j]], off[i : j + 1] - off[i], valid[i:j])
         i = j
+    del data, off
+    tidy()
 
 
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
@@ -187,6 +192,34 @@ def unsigned(column: pa.Array) -> np.ndarray:
     return np.asarray(column).astype(np.int64, copy=False).view(np.uint64)
 
 
+# ---------------------------------------------------------------- one memo a worker process
+_resident: dict = {}
+
+
+def resident(name, make: Callable):
+    """An object that outlives a task in its worker process; another one takes its place, so only one takes up memory."""
+    if name not in _resident:
+        release()
+        _resident[name] = make()
+    return _resident[name]
+
+
+def release() -> None:
+    if _resident:
+        _resident.clear()
+        gc.collect()
+        tidy()
+
+
+def tidy() -> None:
+    """Give freed memory back to the system, so that idle worker processes stay small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 # ---------------------------------------------------------------- a filter of bounded size
 class Bloom:
     """A Bloom filter over 64-bit keys. Its size is fixed by ``bits`` and so can be broadcast; a false hit only costs work."""

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paratope.llm.common import BASE, crc_text, mix64
+from paratope.llm.common import BASE, crc_text, mix64, resident
 
 WORD = re.compile(r"[^\W\d_]+")
 START, END = 2, 3
@@ -38,7 +38,7 @@ def _symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _hashes(codes: np.ndarray, order: int) -> list[np.ndarray]:
     """For n = 0..order the hash of the n symbols that end at each place (places too near the front hold no meaning)."""
     out, acc = [np.zeros(len(codes), dtype=np.uint64)], np.zeros(len(codes), dtype=np.uint64)
-    power = np.uint64(1)
+    power = np.ones(1, dtype=np.uint64)
     for n in range(1, order + 1):
         moved = np.zeros(len(codes), dtype=np.uint64)
         moved[n - 1 :] = codes[: len(codes) - n + 1]
@@ -134,7 +134,7 @@ def train(counts: dict[str, dict[str, int]], order: int) -> Models:
 class Scorer:
     """Bits of words, remembered up to a bound (then forgotten all at once; results don't depend on it)."""
 
-    def __init__(self, models: Models, memo: int = 600_000) -> None:
+    def __init__(self, models: Models, memo: int = 400_000) -> None:
         self.models, self.bound = models, memo
         self.clear()
 
@@ -238,15 +238,9 @@ def fit(docs: DataFrame, train_filter, order: int = 4, max_docs: int = 2000) ->
     return models
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def scorer(name: str, models: Models) -> Scorer:
     """The worker process's scorer of these models; it outlives a task, so words are scored once a worker."""
-    if name not in _scorers:
-        _scorers.clear()
-        _scorers[name] = Scorer(models)
-    return _scorers[name]
+    return resident(("scorer", name), lambda: Scorer(models))
 
 
 def judge(s: Scorer, texts: list[str | None]):

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paratope.llm.bpe import encoded
+from paratope.llm.bpe import MEMO, encoded
 from paratope.llm.common import Scratch
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -45,7 +45,7 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return bins, offsets
 
 
-def tokenised_pieces(docs: DataFrame, path: str, end_id: int, size: int) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, path: str, end_id: int, size: int, memo: int = MEMO) -> DataFrame:
     """Pieces of at most ``size`` ids of each document's ids and ``end_id``: PIECES and a random number ``r`` for grouping."""
 
     def run(batches):
@@ -53,7 +53,7 @@ def tokenised_pieces(docs: DataFrame, path: str, end_id: int, size: int) -> Data
         rng = np.random.default_rng(TaskContext.get().partitionId())
         for b in batches:
             rows = []
-            for doc, (ids, _) in zip(b.column(0).to_pylist(), encoded(b.column(1), path), strict=True):
+            for doc, (ids, _) in zip(b.column(0).to_pylist(), encoded(b.column(1), path, memo=memo), strict=True):
                 ids += end
                 n = len(ids) // 4
                 for s in range(0, n, size):
@@ -65,7 +65,7 @@ def tokenised_pieces(docs: DataFrame, path: str, end_id: int, size: int) -> Data
     return docs.select("doc_id", "text").mapInArrow(run, f"{PIECES}, r double")
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 1, size: int = 2048, group: int = 8192) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 1, size: int = 2048, group: int = 8192, memo: int = MEMO) -> DataFrame:
     """Pack all documents of (doc_id, text) into sequences of at most ``size`` ids.
 
     Documents longer than ``size`` are cut there; only the last piece of a document is shorter. Pieces are dealt at random to
@@ -75,7 +75,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, size: int = 2048, group: i
     gives no rows. The random deal is written to the shared folder, so a lost executor doesn't change it.
     """
     scratch = Scratch(docs.sparkSession, "packing")
-    pieces = scratch.table(tokenised_pieces(docs, path, end_id, size))
+    pieces = scratch.table(tokenised_pieces(docs, path, end_id, size, memo))
     groups = max(1, -(-pieces.count() // group))
 
     def place(table: pa.Table) -> pa.Table:
