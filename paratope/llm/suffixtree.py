@@ -3,8 +3,13 @@
 States are contexts of the last one or more tokens (Ron, Singer and Tishby 1996): a context is kept if it is frequent enough and
 its next-token distribution diverges enough from that of its suffix. A token is predicted from the longest kept suffix of what
 precedes it. In a state, next tokens seen often enough have a discounted share of their own, and what is left is spread as in the
-state's suffix; the root is the add-one unigram model. All counts cover the whole training corpus; the model's size is bounded by
-the reciprocals of the rates below, so it can be broadcast.
+state's suffix; the root is the add-one unigram model. All counts cover the whole training corpus, and contexts and next tokens
+need only ``LEAST`` occurrences, so the model grows with the corpus. ``values`` keeps it in tables, ``score`` joins them; ``fit``
+is the same model in one process, for corpora that fit there.
+
+The log probability of a token is a sum of terms that each depend on one run of tokens: the root's for the word; for a run that
+is a state, its share left to the suffix, met by whatever follows; for a run that is an entry, what corrects both. So a text's
+score is the sum of the values of all its runs of up to depth + 1 tokens, and a run without a value adds nothing.
 """
 
 from __future__ import annotations
@@ -17,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paratope.llm.common import Scratch, Words, crc_text, signed, words_of
+from paratope.llm.common import BASE, Bloom, Scratch, Words, bloom_of, crc_text, mix64, signed, words_of
 
-ROOT_RATE = 1e-6  # words at least that frequent in training have an id: at most a million
-NEXT_RATE = 5e-6  # next tokens of a state, as a share of all training tokens: at most 200,000 entries a depth
-STATE_RATE = 5e-5  # contexts: at most 20,000 a depth
+LEAST = 2  # occurrences of a context, and of a next token in it
+HOT_RATE = 1e-6  # runs at least that frequent in training are broadcast, at most a million a length; all others are joined
 DISCOUNT = 0.5
-BITS = 20  # of an id
+END = mix64(np.array([0x656E64], dtype=np.uint64))  # stands for the end in runs
+BITS = 20  # of an id in a Tree
 ID = np.int64((1 << BITS) - 1)
 
 
@@ -159,24 +164,25 @@ def _arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, training: Column, scratch: Scratch, depth: int = 2) -> tuple[Tree, DataFrame]:
-    """The tree of the rows for which ``training`` holds, and the table (k, c) of all words' hashes and counts."""
+    """The tree of the rows for which ``training`` holds, and the table (k, c) of all words' hashes and counts; under a million words."""
     spark = docs.sparkSession
     train = docs.where(training).select("text")
     words = scratch.table(_counted(train, lambda w: signed(w.hash)))
     texts = train.count()
     kinds, tokens = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     total = int(tokens) + texts
-    known, counts = _arrays(words.where(F.col("c") >= max(1, int(np.ceil(ROOT_RATE * total)))))
+    known, counts = _arrays(words)
+    if len(known) >= ID:
+        raise ValueError("too many words for one process")
     order = np.argsort(known.view(np.uint64))
     tree = Tree(total, int(kinds) + (texts > 0), texts, known[order].view(np.uint64), counts[order])
     often = np.concatenate([[0], tree.counts, [texts]])
-    candidates = np.flatnonzero(often >= max(2, STATE_RATE * total)).astype(np.int64)
+    candidates = np.flatnonzero(often >= LEAST).astype(np.int64)
     sizes = often[candidates]
-    least = max(2, int(np.ceil(NEXT_RATE * total)))
     for d in range(1, depth + 1):
         if not len(candidates):
             break
-        shared = spark.sparkContext.broadcast((tree, candidates, often >= least))
+        shared = spark.sparkContext.broadcast((tree, candidates, often >= LEAST))
 
         def pick(w: Words, shared=shared, d=d) -> np.ndarray:
             t, keys, frequent = shared.value
@@ -185,7 +191,7 @@ def fit(docs: DataFrame, training: Column, scratch: Scratch, depth: int = 2) ->
             ok = (state >= 0) & frequent[ids] & (ids > 0)
             return (state[ok] << BITS) | ids[ok]
 
-        pairs, c = _arrays(_counted(train, pick).where(F.col("c") >= least))
+        pairs, c = _arrays(_counted(train, pick).where(F.col("c") >= LEAST))
         state, nxt = pairs >> BITS, pairs & ID
         parent = _find(tree.keys[d - 1], candidates & ((np.int64(1) << (BITS * (d - 1))) - 1)) if d > 1 else np.full(len(candidates), -1)
         below = _below(tree, d - 1, parent[state], nxt)
@@ -205,7 +211,7 @@ def fit(docs: DataFrame, training: Column, scratch: Scratch, depth: int = 2) ->
         tree.at[d] = (number[state[mine]] << BITS) | nxt[mine]
         tree.value[d] = np.log10(p[mine])
         # Contexts one token longer: this one and a word after it, if together they are frequent and this one was kept.
-        grow = mine & (c >= STATE_RATE * total) & (nxt != tree.end)
+        grow = mine & (c >= LEAST) & (nxt != tree.end)
         candidates, sizes = (candidates[state[grow]] << BITS) | nxt[grow], c[grow]
         order = np.argsort(candidates)
         candidates, sizes = candidates[order], sizes[order]
@@ -227,56 +233,193 @@ def _below(tree: Tree, depth: int, state: np.ndarray, ids: np.ndarray) -> np.nda
     return 10.0 ** (out + np.where(open_, tree.root(ids), 0.0))
 
 
+def _runs(w: Words, most: int) -> tuple[dict[int, np.ndarray], np.ndarray, np.ndarray]:
+    """For each length up to ``most`` the key of the run that ends at each token of start, words, end of all texts; the text of each
+    token and its place there. A run of n tokens ends at place n - 1 or later; what lies before is another text's."""
+    size = w.hi - w.lo + 2
+    text = np.repeat(np.arange(len(w)), size)
+    front = np.cumsum(size) - size
+    token = np.full(len(text), END[0], dtype=np.uint64)
+    token[np.arange(len(w.hash)) + 2 * np.repeat(np.arange(len(w)), w.hi - w.lo) + 1] = w.hash
+    keys = {1: token}
+    for n in range(2, most + 1):
+        keys[n] = mix64(_before(keys[n - 1]) * np.uint64(BASE) + token)
+    return keys, text, np.arange(len(text)) - front[text]
+
+
+def _before(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([x[:1], x[:-1]])
+
+
+def _places(keys: dict[int, np.ndarray], place: np.ndarray, n: int, contexts: Bloom, suffixes: Bloom) -> np.ndarray:
+    """Where a run of n tokens ends whose context and suffix may be in the filters."""
+    at = np.flatnonzero(place >= n - 1)
+    at = at[suffixes.has(keys[n - 1][at])]
+    return at[contexts.has(keys[n - 1][at - 1])]
+
+
+def _linked(train: DataFrame, n: int, shared) -> DataFrame:
+    """(k, ctx, suf) of the runs of n tokens that may be in the filter: keys of the run, of its context and of its suffix."""
+
+    def run(batches):
+        known = shared.value
+        have, size = [], 0
+        for b in batches:
+            for w in words_of(b.column(0)):
+                keys, _, place = _runs(w, n)
+                at = np.flatnonzero(place >= n - 1)
+                at = at[known.has(keys[n][at])]
+                have.append(_first(np.stack([keys[n][at], keys[n - 1][at - 1], keys[n - 1][at]])))
+                size += have[-1].shape[1]
+                if size > 1 << 21:
+                    have = [_first(np.concatenate(have, axis=1))]
+                    size = have[0].shape[1]
+                    if size > 1 << 20:
+                        yield _links(have.pop())
+                        size = 0
+        if have:
+            yield _links(_first(np.concatenate(have, axis=1)))
+
+    return train.mapInArrow(run, "k long, ctx long, suf long").groupBy("k").agg(F.min("ctx").alias("ctx"), F.min("suf").alias("suf"))
+
+
+def _first(x: np.ndarray) -> np.ndarray:
+    return x[:, np.unique(x[0], return_index=True)[1]]
+
+
+def _links(x: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(signed(np.ascontiguousarray(c))) for c in x], names=["k", "ctx", "suf"])
+
+
+def _bits(n: int) -> int:
+    return min(29, max(20, int(np.ceil(np.log2(12 * max(1, n))))))
+
+
+def values(docs: DataFrame, training: Column, scratch: Scratch, depth: int = 2) -> tuple[DataFrame, int, float]:
+    """The model of the rows for which ``training`` holds: (k, c, v, b, known), its tokens, and log10 of a word never seen.
+
+    ``k`` is the key of a run that occurs ``c`` times, ``v`` what each occurrence adds to log10 of a text's probability, ``b`` what it
+    adds under the unigram model, ``known`` 1 for a word's own row. A key may have two rows, of the run as entry and as state.
+    """
+    spark = docs.sparkSession
+    train = docs.where(training).select("text")
+    words = scratch.table(_counted(train, lambda w: signed(w.hash)))
+    texts = train.count()
+    kinds, tokens = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+    total = int(tokens) + texts
+    room = float(total + int(kinds) + (texts > 0) + 1)
+    words = words.unionByName(spark.createDataFrame([(int(signed(END)[0]), texts)] if texts else [], "k long, c long"))
+    seen = F.log10(F.col("c") + 1)
+    out = words.select("k", "c", seen.alias("v"), seen.alias("b"), F.lit(1).alias("known"))
+    contexts = words.where(F.col("c") >= LEAST).select(F.col("k").alias("ctx"), F.col("c").alias("size"))
+    below = words.where(F.col("c") >= LEAST).select(F.col("k").alias("suf"), ((F.col("c") + 1) / room).alias("below"))
+    row = lambda t, k, c, v: t.select(F.col(k).alias("k"), F.col(c).alias("c"), v.alias("v"), F.lit(0.0).alias("b"), F.lit(0).alias("known"))
+    for n in range(2, depth + 2):
+        filters = spark.sparkContext.broadcast(tuple(bloom_of(t, _bits(t.count())) for t in (contexts.select("ctx"), below.select("suf"))))
+
+        def pick(w: Words, n=n, filters=filters) -> np.ndarray:
+            keys, _, place = _runs(w, n)
+            return signed(keys[n][_places(keys, place, n, *filters.value)])
+
+        counted = scratch.table(_counted(train, pick).where(F.col("c") >= LEAST))
+        _collect(spark)
+        many = counted.count()
+        known = spark.sparkContext.broadcast(bloom_of(counted.select("k"), _bits(many)))
+        share = (F.col("c") - DISCOUNT) / F.col("size")
+        e = counted.join(_linked(train, n, known), "k").join(contexts, "ctx").join(below, "suf").select("k", "ctx", "c", "size", "below", share.alias("share"))
+        e = scratch.table(e)
+        _collect(spark)
+        states = e.groupBy("ctx").agg(F.min("size").alias("size"), F.count("*").alias("n"), F.sum("c").alias("own"), F.sum("share").alias("own_share"), F.sum("below").alias("own_below"))
+        states = scratch.table(states.withColumn("left", F.greatest(1 - F.col("own_share"), F.lit(1e-12))))
+        p = F.col("share") + F.col("left") * F.col("below")
+        gain = e.join(states.select("ctx", "left"), "ctx").groupBy("ctx").agg(F.sum(F.col("c") * F.log2(p / F.col("below"))).alias("gain"))
+        # Divergence from the suffix in bits over all occurrences, next tokens without an entry taken as one.
+        rest = F.greatest(F.col("size") - F.col("own"), F.lit(0))
+        q = F.greatest(1 - F.col("own_below"), F.lit(1e-12))
+        pr = F.greatest(1 - F.col("own_share") - F.col("left") * F.col("own_below"), F.lit(1e-12))
+        kept = states.join(gain, "ctx").where(F.col("gain") + rest * F.log2(pr / q) > 0.5 * np.log2(max(2, total)) * (1 + F.col("n")))
+        kept = scratch.table(kept.select("ctx", "size", "left"))
+        e = scratch.table(e.drop("size").join(kept, "ctx", "left").select("k", "c", "below", "left", p.alias("p")))
+        _collect(spark)
+        mine = e.where("left is not null")
+        out = out.unionByName(row(kept, "ctx", "size", F.log10("left"))).unionByName(row(mine, "k", "c", F.log10(F.col("p") / F.col("left") / F.col("below"))))
+        contexts = mine.select(F.col("k").alias("ctx"), F.col("c").alias("size"))
+        below = e.select(F.col("k").alias("suf"), F.coalesce("p", "below").alias("below"))
+    return out, total, -float(np.log10(room))
+
+
+def _collect(spark) -> None:
+    """Shuffle files of what is written by now go when the JVM collects what refers to them."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def _hot(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys with the sums of v, b and known."""
+    t = rows.select("k", "v", "b", "known").toArrow()
+    keys, at = np.unique(np.asarray(t.column("k").combine_chunks()).astype(np.int64).view(np.uint64), return_inverse=True)
+    return keys, *(np.bincount(at, weights=np.asarray(t.column(x).combine_chunks()), minlength=len(keys)) for x in ("v", "b", "known"))
+
+
 def score(docs: DataFrame, held_out: Column, depth: int = 2) -> DataFrame:
     """Log probabilities of all whole texts under the tree and under the add-one unigram model, learnt where ``held_out`` is false.
 
     Takes (doc_id, text) and returns (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row for each input
     row. Tokens are words (runs of characters other than space and \\t..\\r, A-Z in lower case) and an end, so a null or empty text
     is the end alone. Without training rows every probability is 1. Null and repeated ids pass through, other columns are ignored.
-    Words are known by 64-bit hashes. Words too rare to have an id are looked up by a join on their hash.
+    Words are known by 64-bit hashes. The model's frequent runs are broadcast, all others looked up by a join on their key.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffixtree")
     flag = F.coalesce(held_out, F.lit(False))
-    tree, words = fit(docs, ~flag, scratch, depth)
-    shared = spark.sparkContext.broadcast(tree)
+    model, total, unseen = values(docs, ~flag, scratch, depth)
+    least = max(LEAST, int(np.ceil(HOT_RATE * total)))
+    cold = model.where(F.col("c") < least)
+    shared = spark.sparkContext.broadcast((_hot(model.where(F.col("c") >= least)), bloom_of(cold.select("k"), _bits(cold.count()))))
     rows = docs.select("doc_id", "text", flag.alias("held_out"), F.monotonically_increasing_id().alias("row"))
 
     def run(batches):
-        t = shared.value
+        (hot, *worth), rare = shared.value
         for b in batches:
             for w in words_of(b.column(1)):
                 part = b.slice(w.row0, len(w))
-                ids, text, known = t.ids(w)
-                n = w.hi - w.lo + 1
-                often = np.bincount(text, weights=ids > 0, minlength=len(w)).astype(np.int64) - (t.texts == 0)
-                base = np.bincount(text, weights=t.root(ids), minlength=len(w))
-                own = np.bincount(text, weights=t.log10(ids), minlength=len(w))
-                none = pa.nulls(len(w), pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(3), part.column(0), part.column(2), pa.array(n), pa.array(often), pa.array(base), pa.array(own), none, none], names=names)
-                rare = np.flatnonzero(known == 0)
-                if len(rare):
-                    of = np.repeat(np.arange(len(w)), w.hi - w.lo)[rare]
-                    order = np.lexsort((w.hash[rare], of))
-                    of, h = of[order], w.hash[rare][order]
-                    new = np.ones(len(of), dtype=bool)
-                    new[1:] = (of[1:] != of[:-1]) | (h[1:] != h[:-1])
-                    first = np.flatnonzero(new)
-                    times = np.diff(np.append(first, len(of)))
-                    m = len(first)
-                    yield pa.RecordBatch.from_arrays([part.column(3).take(pa.array(of[first])), *(pa.nulls(m, k) for k in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())), pa.array(signed(h[first])), pa.array(times)], names=names)
-
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "own", "k", "times"]
-    both = rows.select("doc_id", "text", "held_out", "row").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, own double, k long, times long")
-    both = scratch.table(both)
-    rare = both.where("k is not null").select("row", "k", "times").join(words, "k", "left")
-    value = F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(tree.total + tree.kinds + 1)))
-    rare = rare.groupBy("row").agg(F.sum(value).alias("r"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more"))
-    out = both.where("k is null").join(rare, "row", "left")
-    zero = F.lit(0.0)
+                keys, text, place = _runs(w, depth + 1)
+                sums, cold_keys, cold_of = np.zeros((3, len(w))), [], []
+                for n, k in keys.items():
+                    at = np.flatnonzero(place >= max(1, n - 1))
+                    k, of = k[at], text[at]
+                    found = _find(hot, k)
+                    hit = found >= 0
+                    for s, x in zip(sums, worth[: 3 if n == 1 else 1], strict=False):
+                        s += np.bincount(of[hit], weights=x[found[hit]], minlength=len(w))
+                    k, of = k[~hit], of[~hit]
+                    hit = rare.has(k)
+                    cold_keys.append(k[hit])
+                    cold_of.append(of[hit])
+                ids = part.column(3)
+                # A text's own row has a key of its own as well, so that it is dealt to any task; it has no ``times``.
+                own = signed(mix64(np.asarray(ids).astype(np.int64).view(np.uint64)))
+                none = pa.nulls(len(w), pa.int32())
+                yield pa.RecordBatch.from_arrays([ids, part.column(0), part.column(2), pa.array(w.hi - w.lo + 1), *(pa.array(s) for s in sums), pa.array(own), none], names=names)
+                k, of = np.concatenate(cold_keys), np.concatenate(cold_of)
+                order = np.lexsort((k, of))
+                k, of = k[order], of[order]
+                new = np.ones(len(of), dtype=bool)
+                new[1:] = (of[1:] != of[:-1]) | (k[1:] != k[:-1])
+                first = np.flatnonzero(new)
+                times = np.diff(np.append(first, len(of))).astype(np.int32)
+                m = len(first)
+                if m:
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(of[first])), *(pa.nulls(m, t) for t in (pa.int64(), pa.bool_(), pa.int64(), *[pa.float64()] * 3)), pa.array(signed(k[first])), pa.array(times)], names=names)
+
+    names = ["row", "doc_id", "held_out", "n_tokens", "own", "base", "n_known", "k", "times"]
+    both = rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, own double, base double, n_known double, k long, times int")
+    met = both.join(cold.select("k", "v", "b", "known"), "k", "left")
+    add = lambda own, x: F.sum(F.when(F.col("times").isNull(), F.col(own)).otherwise(F.col("times") * F.coalesce(x, F.lit(0.0))))
+    out = met.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), add("n_known", "known").alias("n_known"), add("base", "b").alias("base"), add("own", "v").alias("own"))
+    first = F.lit(unseen) * F.col("n_tokens")
     return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(tree.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("r", zero)).alias("base_score"), (F.col("own") + F.coalesce("r", zero)).alias("score"),
+        "doc_id", "held_out", "n_tokens", F.round("n_known").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (first + F.col("base")).alias("base_score"), (first + F.col("own")).alias("score"),
     )
 
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -400,3 +401,26 @@ def test_suffix_tree_states_are_distributions(spark):
 
 def _left(tree, before):
     return 10 ** tree.log10(np.array([*before, 0]))[-1]
+
+
+@pytest.mark.parametrize("hot", [1e-6, 0.02])
+def test_suffix_tree_keeps_rare_contexts(spark, monkeypatch, hot):
+    """All contexts and next tokens seen twice or more count, however large the corpus, broadcast or joined alike."""
+    monkeypatch.setattr(suffixtree, "HOT_RATE", hot)
+    rng, words = random.Random(9), vocabulary(5, 3000)
+    texts = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(300)]
+    pairs = [f"{a} {b} {c}" for a, b, c in zip(words[::3], words[1::3], words[2::3], strict=True)]
+    texts += [" ".join(rng.choice(pairs) for _ in range(40)) for _ in range(200)] + ["qqqq zzzz"] * 3
+    texts += [pairs[7], "", "not seen", "qqqq zzzz"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    flag = F.col("doc_id") >= 503
+    tree, _ = suffixtree.fit(frame, ~flag, Scratch(spark, "t"))
+    assert len(tree.keys[1]) > 500 and len(tree.keys[2]) > 200
+    found = {r.doc_id: r for r in suffixtree.score(frame, flag).collect()}
+    got = {i: r.score for i, r in found.items()}
+    assert found[506].score > found[506].base_score + 4  # three occurrences among more than 60,000 tokens make a state
+    for i, text in enumerate(texts):
+        (w,) = suffixtree.words_of(pa.array([text]))
+        ids, _, known = tree.ids(w)
+        want = tree.log10(ids).sum() - (known == 0).sum() * math.log10(tree.total + tree.kinds + 1)
+        assert got[i] == pytest.approx(want, abs=1e-6)
