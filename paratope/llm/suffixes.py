@@ -1,24 +1,36 @@
-"""Repeated passages by a sparse suffix array: suffixes at minimiser positions, sorted, compared with neighbours and extended.
+"""Repeated passages by a sparse suffix array: suffixes at minimiser positions, brought together by seed and extended exactly.
 
 Positions are words. In each window of ``window`` consecutive runs of ``seed`` words the run of least hash is selected, by its
-content alone, so two copies of a passage of seed + window - 1 words have a selected position in common. Suffixes there are
-sorted over the whole corpus; each is compared with its neighbours, and the match is extended right and left by up to
-window - 1 words, which is as far as a passage can reach beyond its first or last selected run.
+content alone, so two copies of a passage of seed + window - 1 words, the least that counts, have a selected position in common:
+one with l of the passage's words before the seed and window - 1 - l after it. Suffixes of a seed are therefore grouped by each of
+these window splits of their left and right contexts; a group of two or more is a repeat, and the splits of a suffix that are in
+one reach from its passage's first to its last word. Seeds of many suffixes are not grouped in a task: there the passages of
+seed + window - 1 words around them are counted over the corpus.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paratope.llm.common import BASE, Scratch, bloom_of, mix64, shuffle_partitions, signed, words_of
+from paratope.llm.common import BASE, Scratch, bloom_of, join_hot, mix64, shuffle_partitions, signed, words_of
 
-NEIGHBOURS = 4  # sorted neighbours on either side with which a suffix is compared
+CROWD = 20_000  # a seed of more suffixes (about 4 MB) is not grouped in one task
 SUFFIX = "seed long, right binary, left binary, doc_id long, pos int"
 MATCH = "doc_id long, start int, end int, other_doc_id long, later boolean"
+NONE = np.iinfo(np.int64).min  # stands for a null id
+
+
+def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each run of k words of a sequence of word hashes."""
+    n = len(h) - k + 1
+    total = np.zeros(len(h) + 1, dtype=np.uint64)
+    power = np.multiply.accumulate(np.full(len(h) + 1, BASE, dtype=np.uint64))
+    back = np.multiply.accumulate(np.full(len(h) + 1, pow(BASE, -1, 1 << 64), dtype=np.uint64))
+    np.cumsum(h * power[:-1], out=total[1:])
+    return mix64((total[k:] - total[:-k]) * back[:n])
 
 
 def minimisers(h: np.ndarray, seed: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -26,11 +38,7 @@ def minimisers(h: np.ndarray, seed: int, window: int) -> tuple[np.ndarray, np.nd
     n = len(h) - seed + 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    total = np.zeros(len(h) + 1, dtype=np.uint64)
-    power = np.multiply.accumulate(np.full(len(h) + 1, BASE, dtype=np.uint64))
-    back = np.multiply.accumulate(np.full(len(h) + 1, pow(BASE, -1, 1 << 64), dtype=np.uint64))
-    np.cumsum(h * power[:-1], out=total[1:])
-    run = mix64((total[seed:] - total[:-seed]) * back[:n])
+    run = run_hashes(h, seed)
     width = min(window, n)
     least = np.lib.stride_tricks.sliding_window_view(run, width).argmin(1) + np.arange(n - width + 1)
     at = np.unique(least)
@@ -38,7 +46,7 @@ def minimisers(h: np.ndarray, seed: int, window: int) -> tuple[np.ndarray, np.nd
 
 
 def _suffixes(docs: DataFrame, seed: int, window: int, known) -> DataFrame:
-    """Seeds of all selected positions or, with a filter of repeated seeds, SUFFIX rows of those that are in it."""
+    """Seeds of all selected positions or, with a filter of repeated seeds and the crowded ones, SUFFIX rows of repeated others."""
     reach = window - 1
 
     def seeds(batches):
@@ -48,7 +56,7 @@ def _suffixes(docs: DataFrame, seed: int, window: int, known) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"seed": pa.array(signed(np.concatenate(found)))})
 
     def suffixes(batches):
-        filt = known.value
+        filt, crowded = known.value
         for b in batches:
             ids = b.column(0)
             for w in words_of(b.column(1)):
@@ -56,7 +64,7 @@ def _suffixes(docs: DataFrame, seed: int, window: int, known) -> DataFrame:
                 for i in range(len(w)):
                     h = w.hash[w.lo[i] : w.hi[i]]
                     at, run = minimisers(h, seed, window)
-                    hit = filt.has(run)
+                    hit = filt.has(run) & ~_among(crowded, run)
                     if not hit.any():
                         continue
                     at, run = at[hit], run[hit]
@@ -74,46 +82,100 @@ def _suffixes(docs: DataFrame, seed: int, window: int, known) -> DataFrame:
     return docs.mapInArrow(seeds, "seed long") if known is None else docs.mapInArrow(suffixes, SUFFIX)
 
 
-def _table(rows: list[pa.RecordBatch]):
-    t = pa.Table.from_batches(rows).combine_chunks()
+def _passages(docs: DataFrame, seed: int, window: int, known) -> DataFrame:
+    """(k, doc_id, start) of the passages of seed + window - 1 words that hold a selected position of a crowded seed."""
+    size = seed + window - 1
+
+    def run(batches):
+        _, crowded = known.value
+        for b in batches:
+            for w in words_of(b.column(1)):
+                rows, starts, keys = [], [], []
+                for i in range(len(w)):
+                    h = w.hash[w.lo[i] : w.hi[i]]
+                    if len(h) < size:
+                        continue
+                    at, found = minimisers(h, seed, window)
+                    at = at[_among(crowded, found)]
+                    if not len(at):
+                        continue
+                    start = np.unique(at[:, None] - np.arange(window)[None, :])
+                    start = start[(start >= 0) & (start <= len(h) - size)]
+                    rows.append(np.full(len(start), w.row0 + i))
+                    starts.append(start)
+                    keys.append(run_hashes(h, size)[start])
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), b.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(starts).astype(np.int32))], names=["k", "doc_id", "start"])
+
+    return docs.mapInArrow(run, "k long, doc_id long, start int")
+
+
+def _crowded_matches(passages: DataFrame, size: int) -> DataFrame:
+    """MATCH rows of passages that occur twice or more: all but the first meet the first, the first meets the second."""
+    place = F.struct("doc_id", "start")
+    first = passages.groupBy("k").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1")
+    total = passages.count()
+    same = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("start") == F.col("f.start"))
+    met = join_hot(passages, first.select("k", "f"), "k", first.select("k", "n"), total, "inner")
+    # Rows that repeat an id may repeat its place as well; then the place is also later than itself.
+    twice = met.groupBy("k").agg(F.min(F.when(~same, place)).alias("s"), F.sum(same.cast("int")).alias("m")).withColumn("s", F.when(F.col("m") > 1, F.lit(None)).otherwise(F.col("s")))
+    both = first.join(twice, "k")
+    other = F.when(same & F.col("s").isNotNull(), F.col("s.doc_id")).otherwise(F.col("f.doc_id"))
+    met = join_hot(passages, both.select("k", "f", "s", "m"), "k", first.select("k", "n"), total, "inner")
+    return met.select("doc_id", "start", (F.col("start") + size).alias("end"), other.alias("other_doc_id"), (~same | (F.col("m") > 1)).alias("later"))
+
+
+def _among(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(keys):
+        return np.zeros(len(x), dtype=bool)
+    return keys[np.minimum(np.searchsorted(keys, x), len(keys) - 1)] == x
+
+
+def _table(t: pa.Table):
     ids = t.column("doc_id")
-    null = np.asarray(ids.is_null())
     grab = lambda c: np.frombuffer(b"".join(t.column(c).to_pylist()), dtype=np.uint32).reshape(t.num_rows, -1)
-    return np.asarray(t.column("seed")), grab("right"), grab("left"), np.where(null, np.iinfo(np.int64).min, np.asarray(ids.fill_null(0))), np.asarray(t.column("pos"))
+    return np.asarray(t.column("seed")), grab("right"), grab("left"), np.asarray(ids.fill_null(NONE)), np.asarray(t.column("pos"))
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of each pair of rows, where 0 is no word."""
-    differ = (a != b) | (a == 0)
-    return np.where(differ.any(1), differ.argmax(1), a.shape[1])
+def _prefixes(start: np.ndarray, words: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """A hash of each row's first 0, 1, ... words, and how many words there are (0 is no word)."""
+    out = [start]
+    for c in range(words.shape[1]):
+        out.append(mix64(out[-1] * np.uint64(BASE) + words[:, c]))
+    none = words == 0
+    return out, np.where(none.any(1), none.argmax(1), words.shape[1])
 
 
 def _matches(t, seed: int, least: int) -> pa.RecordBatch | None:
-    """The best match of each row of sorted suffixes among its neighbours."""
-    key, right, left, doc, pos = t
-    n = len(key)
-    best, lo, hi, other = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    """The extent of each row's repeats among all rows of its seed."""
+    order = np.lexsort((t[4], t[3]))
+    key, right, left, doc, pos = (x[order] for x in t)
+    n, reach = len(key), least - seed
+    before, n_before = _prefixes(mix64(key.view(np.uint64)), left)
+    after, n_after = _prefixes(np.zeros(n, np.uint64), right)
+    lo, hi, other = np.full(n, -1), np.full(n, -1), np.full(n, np.iinfo(np.int64).max)
     later = np.zeros(n, dtype=bool)
-    for shift in range(1, min(NEIGHBOURS, n - 1) + 1):
-        i = np.flatnonzero(key[shift:] == key[:-shift])
-        if not len(i):
-            break
-        j = i + shift
-        r, l = _common(right[i], right[j]), _common(left[i], left[j])
-        size = r + l + seed
-        ok = size >= least
-        i, j, r, l, size = i[ok], j[ok], r[ok], l[ok], size[ok]
-        first = (doc[i] < doc[j]) | ((doc[i] == doc[j]) & (pos[i] < pos[j]))
-        for x, y, after in ((i, j, ~first), (j, i, first)):
-            later[x] |= after
-            more = size > best[x]
-            x, y = x[more], y[more]
-            best[x], lo[x], hi[x], other[x] = size[more], pos[x] - l[more], pos[x] + seed + r[more], doc[y]
-    hit = np.flatnonzero(best)
+    for l in range(reach + 1):  # noqa: E741
+        at = np.flatnonzero((n_before >= l) & (n_after >= reach - l))
+        k = mix64(before[l][at] * np.uint64(BASE) + after[reach - l][at])
+        by = np.argsort(k, kind="stable")
+        at, k = at[by], k[by]
+        new = np.ones(len(k), dtype=bool)
+        new[1:] = k[1:] != k[:-1]
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(k)))
+        many = np.repeat(size > 1, size)
+        lead = np.repeat(first, size)
+        meets = np.where(new, np.minimum(lead + 1, max(0, len(k) - 1)), lead)
+        x, y, after_first = at[many], at[meets[many]], ~new[many]
+        lo[x] = l
+        hi[x] = np.where(hi[x] < 0, reach - l, hi[x])
+        other[x] = np.minimum(other[x], doc[y])
+        later[x] |= after_first
+    hit = np.flatnonzero(lo >= 0)
     if not len(hit):
         return None
-    none = np.iinfo(np.int64).min
-    return pa.RecordBatch.from_arrays([pa.array(doc[hit], mask=doc[hit] == none), pa.array(lo[hit].astype(np.int32)), pa.array(hi[hit].astype(np.int32)), pa.array(other[hit], mask=other[hit] == none), pa.array(later[hit])], names=["doc_id", "start", "end", "other_doc_id", "later"])
+    return pa.RecordBatch.from_arrays([pa.array(doc[hit], mask=doc[hit] == NONE), pa.array((pos[hit] - lo[hit]).astype(np.int32)), pa.array((pos[hit] + seed + hi[hit]).astype(np.int32)), pa.array(other[hit], mask=other[hit] == NONE), pa.array(later[hit])], names=["doc_id", "start", "end", "other_doc_id", "later"])
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> DataFrame:
@@ -121,9 +183,8 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> D
 
     Takes (doc_id, text) and returns (doc_id, start, end, n_words, other_doc_id, is_first): overlapping matches of a document are
     merged; start and end count words (runs of characters other than space and \\t..\\r, A-Z in lower case), end exclusive;
-    other_doc_id is the smallest document it was matched with; is_first says that no compared copy comes before it in
-    (doc_id, position). A run of 2 * min_words - seed words or more that recurs is found for certain; a shorter one, down to
-    min_words, unless more than NEIGHBOURS sorted suffixes agree with it further to the right but less to the left.
+    other_doc_id is the smallest document that holds a copy of any ``min_words`` words of it; is_first says that no copy of any
+    comes before it in (doc_id, position). Every run of min_words words or more that recurs is found, in its full extent.
     Null, empty and shorter texts have no span. Null ids count as one document that ranks first; rows that repeat an id count as
     one document too. Other columns are ignored; an empty table gives no rows. Words are known by hashes.
     """
@@ -131,43 +192,29 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> D
     scratch = Scratch(spark, "suffixes")
     window = min_words - seed + 1
     docs = docs.select("doc_id", "text")
-    repeated = scratch.table(_suffixes(docs, seed, window, None).groupBy("seed").count().where("count > 1").select("seed"))
-    known = spark.sparkContext.broadcast(bloom_of(repeated, bits=27))
-    order = ["seed", "right", "doc_id", "pos"]
-    rows = _suffixes(docs, seed, window, known).repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-    edge = "edge int, seed long, right binary, left binary, pos int"
+    repeated = scratch.table(_suffixes(docs, seed, window, None).groupBy("seed").count().where("count > 1"))
+    crowded = np.sort(np.asarray(repeated.where(F.col("count") > CROWD).select("seed").toArrow().column(0).combine_chunks()).astype(np.int64).view(np.uint64))
+    known = spark.sparkContext.broadcast((bloom_of(repeated.select("seed"), bits=27), crowded))
+    rows = _suffixes(docs, seed, window, known).repartition(shuffle_partitions(spark), "seed").sortWithinPartitions("seed")
 
     def compare(batches):
-        """Matches within a partition; its first and last rows are passed on, to be compared across partitions."""
-        part, kept, head, names = TaskContext.get().partitionId(), None, None, ["edge", "seed", "right", "left", "pos"]
-
-        def edges(b):
-            n = b.num_rows
-            return pa.RecordBatch.from_arrays([b.column(3), *(pa.nulls(n, t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.bool_())), pa.array([part] * n, pa.int32()), b.column(0), b.column(1), b.column(2), b.column(4)], names=["doc_id", "start", "end", "other_doc_id", "later", *names])
-
+        """Matches of whole seeds; the last one of a batch may go on in the next."""
+        kept = None
         for b in batches:
             if not b.num_rows:
                 continue
-            if head is None:
-                head = b.slice(0, NEIGHBOURS)
-                yield edges(head)
-            some = [kept, b] if kept is not None else [b]
-            m = _matches(_table(some), seed, min_words)
-            if m is not None:
-                yield pa.RecordBatch.from_arrays([*m.columns, *(pa.nulls(m.num_rows, t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32()))], names=[*m.schema.names, *names])
-            both = pa.Table.from_batches(some).combine_chunks()
-            kept = both.slice(max(0, both.num_rows - NEIGHBOURS)).to_batches()[0]
-        if kept is not None:
-            yield edges(kept)
-
-    found = scratch.table(rows.mapInArrow(compare, f"{MATCH}, {edge}"))
-    # A few rows of each partition: as many as there are partitions, whatever the data.
-    border = found.where("edge is not null").select("edge", "seed", "right", "left", "doc_id", "pos").distinct().orderBy("edge", "seed", "right", "doc_id", "pos").toArrow()
-    matches = found.where("edge is null").select("doc_id", "start", "end", "other_doc_id", "later")
-    if border.num_rows > 1:
-        m = _matches(_table(border.drop_columns(["edge"]).to_batches()), seed, min_words)
-        if m is not None:
-            matches = matches.union(spark.createDataFrame(pa.Table.from_batches([m])).select("doc_id", "start", "end", "other_doc_id", "later"))
+            t = pa.Table.from_batches([b]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([b])])
+            s = np.asarray(t.column("seed"))
+            cut = int(np.flatnonzero(s != s[-1])[-1]) + 1 if s[0] != s[-1] else 0
+            kept = t.slice(cut)
+            if cut and (m := _matches(_table(t.slice(0, cut)), seed, min_words)) is not None:
+                yield m
+        if kept is not None and (m := _matches(_table(kept), seed, min_words)) is not None:
+            yield m
+
+    matches = rows.mapInArrow(compare, MATCH)
+    if len(crowded):
+        matches = matches.unionByName(_crowded_matches(scratch.table(_passages(docs, seed, window, known)), min_words))
     span = matches.groupBy("doc_id", "start", "end").agg(F.min("other_doc_id").alias("other_doc_id"), F.max("later").alias("later"))
     by = Window.partitionBy("doc_id").orderBy("start", "end")
     islands = span.withColumn("new", (F.col("start") > F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))).cast("int"))

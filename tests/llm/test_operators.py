@@ -159,6 +159,43 @@ def test_suffix_array(docs, none, texts):
     assert suffixes.repeated_passages(none).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [20_000, 5])
+def test_suffix_array_is_exact(spark, monkeypatch, crowd):
+    """Spans, first copies and smallest partners equal brute force where boilerplate follows heads that few documents share."""
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    rng, words = random.Random(4), vocabulary(8, 3000)
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    texts = []
+    for size in (32, 40, 49, 50, 60):
+        hot, heads = prose(size), [prose(22) for _ in range(12)]
+        texts += [f"{prose(rng.randint(0, 9))} {h} {hot} {prose(rng.randint(0, 9))}" for h in heads * 2]
+        texts += [f"{prose(30)} {hot} {prose(30)}" for _ in range(40)]
+    texts += [texts[3] + " " + prose(5) + " " + texts[3], "again " * 80]
+    rng.shuffle(texts)
+    grams = defaultdict(list)
+    for d, t in enumerate(texts):
+        w = t.split()
+        for i in range(len(w) - 49):
+            grams[tuple(w[i : i + 50])].append((d, i))
+    spans = defaultdict(list)
+    for at in grams.values():
+        for d, i in at if len(at) > 1 else ():
+            spans[d].append((i, min(x[0] for x in at if x != (d, i)), (d, i) > min(at)))
+    want = set()
+    for d, found in spans.items():
+        islands = []
+        for i, other, later in sorted(found):
+            if islands and i <= islands[-1][1]:
+                a, _, o, n = islands.pop()
+                islands.append((a, i + 50, min(o, other), n or later))
+            else:
+                islands.append((i, i + 50, other, later))
+        want |= {(d, a, b, o, not n) for a, b, o, n in islands}
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = suffixes.repeated_passages(frame, min_words=50).collect()
+    assert {(r.doc_id, r.start, r.end, r.other_doc_id, r.is_first) for r in got} == want and len(got) == len(want)
+
+
 def test_units(docs, none, texts):
     removed = units.repeated_units(docs, units.LINE, 5)
     seen, want = {}, set()
