@@ -582,7 +582,7 @@ def _(spark, d):
 
 @query("m30_em")
 def _(spark, d):
-    return cluster.em_table(derived(spark, d, "reads"), ["TGACTCA"], motifs.UNIFORM, rounds=12)
+    return cluster.em_table(derived(spark, d, "reads"), ["TGACTCA", "ACGTAC"], motifs.UNIFORM)
 
 
 @query(
