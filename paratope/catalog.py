@@ -217,6 +217,24 @@ def _short(spark, d):
     return derived(spark, d, "clone_seqs").where(F.length("cdr3") > 0).groupBy(F.substring("cdr3", 1, 3).alias("aa")).agg(F.count("*").alias("cnt"))
 
 
+WHOLE = "SELECT cdr3 AS aa, count(*) AS cnt FROM clone_seqs WHERE length(cdr3) > 0 AND cdr3 <> 'None' GROUP BY 1"
+
+
+def _whole(spark, d):
+    """Clonotypes by their whole CDR3; the queries without ``_cdr3`` in their names count its first three letters, as their SQL does."""
+    return diversity.clonotypes(derived(spark, d, "clone_seqs")).where("region = 'cdr3'").select("aa", "cnt")
+
+
+DUPLICATION = """WITH s AS ({0}), f AS (SELECT cnt AS f, count(*) AS k FROM s GROUP BY 1), t AS (SELECT sum(f * k) AS total FROM f),
+    x AS (SELECT 10 + i * (10000 - 10) / 99.0::DOUBLE AS times FROM range(100) r(i))
+    SELECT 'cdr3' AS region, round(times, 6) AS times, round(n / total, 9) AS share FROM (SELECT f::DOUBLE AS times, k::DOUBLE AS n FROM f WHERE f < 10 UNION ALL SELECT times, sum(CASE WHEN f >= times THEN f * k ELSE 0 END)::DOUBLE FROM f, x GROUP BY 1) y, t"""
+
+
+@query("a20_duplication_cdr3", DUPLICATION.format(WHOLE))
+def _(spark, d):
+    return diversity.duplication(_whole(spark, d).withColumn("region", F.lit("cdr3")))
+
+
 @query(
     "a20_duplication",
     f"""WITH s AS ({SHORT}), f AS (SELECT cnt AS f, count(*) AS k FROM s GROUP BY 1), t AS (SELECT sum(f * k) AS total FROM f),
@@ -395,6 +413,21 @@ def _(spark, d):
     return abundance.top(_short(spark, d), 50, "aa", rare=True)
 
 
+@query("o1_top_clonotypes_cdr3", f"WITH s AS ({WHOLE}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt DESC, aa LIMIT 50")
+def _(spark, d):
+    return abundance.top(_whole(spark, d), 50, "aa")
+
+
+@query("o1_rare_clonotypes_cdr3", f"WITH s AS ({WHOLE}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt, aa LIMIT 50")
+def _(spark, d):
+    return abundance.top(_whole(spark, d), 50, "aa", rare=True)
+
+
+@query("w3_cumulative_cdr3", f"WITH s AS ({WHOLE}) SELECT aa, cnt, CAST(sum(cnt) OVER (ORDER BY aa ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM s")
+def _(spark, d):
+    return diversity.cumulative(_whole(spark, d), "aa")
+
+
 @query("w3_cumulative", f"WITH s AS ({SHORT}) SELECT aa, cnt, CAST(sum(cnt) OVER (ORDER BY aa ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM s")
 def _(spark, d):
     return diversity.cumulative(_short(spark, d), "aa")
@@ -461,7 +494,26 @@ def _(spark, d):
 
 @query("d1_sampled_richness")
 def _(spark, d):
-    return diversity.sampled_richness(_short(spark, d), "aa", 100, [1, 2, 3])
+    return diversity.sampled_richness(_whole(spark, d), "aa", 100, [1, 2, 3])
+
+
+@query(
+    "d1_rarefaction_cdr3",
+    f"""WITH s AS ({WHOLE}), f AS (SELECT cnt AS f, count(*) AS k FROM s GROUP BY 1), t AS (SELECT CAST(sum(cnt) AS BIGINT) AS n FROM s), x AS (SELECT m FROM (SELECT unnest({diversity.ticks(10**15)}) AS m) y, t WHERE m < n UNION SELECT n FROM t),
+    l AS (SELECT m, k, CASE WHEN m > n - f THEN 0 ELSE exp(lgamma(n - f + 1) - lgamma(n - f - m + 1) - lgamma(n + 1) + lgamma(n - m + 1)) END AS missed FROM f, t, x)
+    SELECT CAST(m AS BIGINT) AS n, round(sum(k * (1 - missed)), 6) AS expected FROM l GROUP BY 1""",
+)
+def _(spark, d):
+    counts = _whole(spark, d)
+    return diversity.rarefaction(counts, diversity.ticks(counts.agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]))
+
+
+RECAPTURE_SIZES = [100 + (35000 - 100) * i // 49 for i in range(50)]
+
+
+@query("d2_recapture_cdr3", f"WITH s AS ({WHOLE}), u AS (SELECT count(*)::DOUBLE AS u FROM s) SELECT CAST(m AS BIGINT) AS n, round(100 * (1 - power(1 - 1 / u, m)), 6) AS pct FROM u, (SELECT unnest({RECAPTURE_SIZES}) AS m) x")
+def _(spark, d):
+    return diversity.recapture(_whole(spark, d), RECAPTURE_SIZES)
 
 
 # ---------------------------------------------------------------- matrices and annotation

@@ -127,6 +127,18 @@ def test_em_meets_its_tolerance(spark, monkeypatch):
         assert (r.consensus, r.share, r.gain) == (found.consensus, pytest.approx(share, abs=1e-6), pytest.approx(gain, abs=1e-6))
 
 
+def test_clonotypes_are_whole(spark):
+    """Queries of clonotypes tell apart CDR3 that share their first letters; rarefaction goes on to the total."""
+    whole = {r.cdr3: r.cnt for r in catalog.derived(spark, SF, "clone_seqs").where("length(cdr3) > 0").groupBy("cdr3").agg(F.count("*").alias("cnt")).collect()}
+    last = max(catalog.QUERIES["w3_cumulative_cdr3"](spark, SF).collect(), key=lambda r: r.upto)
+    assert last.upto == sum(whole.values()) and last.aa == max(whole)
+    curve = {r.n: r.expected for r in catalog.QUERIES["d1_rarefaction_cdr3"](spark, SF).collect()}
+    assert curve[sum(whole.values())] == len(whole) > len({k[:3] for k in whole})
+    counts = spark.createDataFrame(list(whole.items()), "aa string, cnt long")
+    want = {tuple(r) for r in catalog.diversity.sampled_richness(counts, "aa", 100, [1, 2, 3]).collect()}
+    assert {tuple(r) for r in catalog.QUERIES["d1_sampled_richness"](spark, SF).collect()} == want
+
+
 def test_upstream(spark):
     d = spark.createDataFrame([("q1", "IGHV1-1*01", "forward", 3, 13, "ATGCCCGGGTTTAAACCC"), ("q2", "IGHV1-1*01", "forward", 4, 13, "A"), ("q3", "IGHV1-1*01", "forward", 3, 4, "ACGTACGT")], "queryid string, vgene string, strand string, vstart int, vqstart int, seq string")
     got = upstream.extract(d, 1, 6).collect()
