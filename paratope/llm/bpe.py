@@ -2,8 +2,8 @@
 
 A text is cut before white space that follows other text. No pre-tokenisation pattern here crosses such a place, so the ids of a
 text are those of its units one after another, and a unit's ids are remembered. A unit longer than ``leaf`` characters is cut in
-halves again and again, the leaves are encoded as one batch (on all cores if TOKENIZERS_PARALLELISM is set), and neighbours are joined bottom-up: a window around the
-join is encoded again and grows until its ids agree with both sides.
+halves again and again, the leaves are encoded in parallel by a few threads, and neighbours are joined bottom-up: a window around
+the join is encoded again and grows until its ids agree with both sides.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ _DROP = re.compile(f"[^{SPACE}]+")
 MEMO = 2_000_000  # units remembered by a worker, about 200 bytes each
 AGREE = 4  # ids that must be equal on either side of a join
 EDGE = 4  # ids at a window's right edge that may differ because the window ends there
+THREADS = 4  # that encode a long unit's leaves; the library gives up the interpreter's lock meanwhile
 
 
 class Coder:
@@ -108,8 +110,13 @@ class Coder:
         return cuts, self._parts(text, cuts)
 
     def _parts(self, text: str, cuts: list[tuple[int, int]]):
-        out = []
-        for (a, _), e in zip(cuts, self.tok.encode_batch([text[a:b] for a, b in cuts], add_special_tokens=False), strict=True):
+        out, encode = [], lambda c: self.tok.encode(text[c[0] : c[1]], add_special_tokens=False)
+        if len(cuts) > 1:
+            with ThreadPoolExecutor(THREADS) as threads:
+                found = list(threads.map(encode, cuts))
+        else:
+            found = [encode(cuts[0])]
+        for (a, _), e in zip(cuts, found, strict=True):
             at = np.array(e.offsets, dtype=np.int64).reshape(-1, 2) + a
             out.append((np.array(e.ids, dtype=np.int64), at[:, 0], at[:, 1]))
         return out

@@ -7,23 +7,52 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def _lean() -> None:
+    """Blocks of 4 MB or more are mapped and so go back to the system when freed; Arrow takes its memory from the same allocator."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 8 << 20)  # M_TRIM_THRESHOLD
+    except (AttributeError, OSError):  # another C library
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+_lean()
+
+
 # ---------------------------------------------------------------- scratch tables in the shared folder
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="paratope-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """While it holds, at most ``size`` passes between Spark and Python at once, however long the texts are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 class Scratch:
     """Tables that cut lineage: written once as Parquet in the shared folder, so a lost executor costs no recompute.
 
@@ -36,10 +65,11 @@ class Scratch:
         self.made = 0
         self.paths: dict[int, str] = {}
 
-    def table(self, df: DataFrame) -> DataFrame:
+    def table(self, df: DataFrame, codec: str = "snappy") -> DataFrame:
         self.made += 1
         path = f"{self.root}/{self.made}"
-        df.write.parquet(path)
+        with small_batches(self.spark):
+            df.write.parquet(path, compression=codec)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         out._scratch = path
@@ -83,7 +113,7 @@ def _power(kind: str, n: int) -> np.ndarray:
         step = np.full(size, BASE if kind == "up" else _INVERSE, dtype=np.uint64)
         step[0] = 1
         have = np.multiply.accumulate(step)
-        if size <= 1 << 23:
+        if size <= 1 << 20:
             _powers[kind] = have
     return have[:n]
 
@@ -145,7 +175,7 @@ def raw_texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return data, off, valid
 
 
-def words_of(column: pa.Array, chunk: int = 1 << 20) -> Iterator[Words]:
+def words_of(column: pa.Array, chunk: int = 1 << 18) -> Iterator[Words]:
     """Words of each text, some whole texts (about ``chunk`` bytes) at a time, so memory follows the longest text."""
     release()
     data, off, valid = raw_texts(column)
@@ -247,7 +277,13 @@ class Bloom:
         return out
 
 
-def bloom_of(keys: DataFrame, bits: int = 26) -> Bloom:
+def bloom_bits(keys: int) -> int:
+    """log2 of the bits of a filter for so many keys: 12 bits a key, 2**20 to 2**29 bits in all. Beyond 45 million keys more of
+    what isn't in it passes, which costs work but changes no result."""
+    return min(29, max(20, int(np.ceil(np.log2(12 * max(1, keys))))))
+
+
+def bloom_of(keys: DataFrame, bits: int) -> Bloom:
     """The filter of a one-column DataFrame of longs: one bitmap a task, merged in 64 slices, 2**bits / 8 bytes in the end."""
 
     def build(batches):
@@ -255,40 +291,48 @@ def bloom_of(keys: DataFrame, bits: int = 26) -> Bloom:
         for b in batches:
             own.add(unsigned(b.column(0)))
         size = len(own.map) // 64
-        at = [i for i in range(64) if own.map[i * size : (i + 1) * size].any()]
-        yield pa.RecordBatch.from_pydict({"i": pa.array(at, pa.int32()), "b": pa.array([own.map[i * size : (i + 1) * size].tobytes() for i in at], pa.binary())})
-
-    def merge(key, table):
-        out = None
-        for b in table.column("b").to_pylist():
-            x = np.frombuffer(b, dtype=np.uint8)
-            out = x.copy() if out is None else out | x
-        return pa.table({"i": pa.array([key[0].as_py()], pa.int32()), "b": pa.array([out.tobytes()], pa.binary())})
-
-    few = keys.coalesce(max(1, min(keys.sparkSession.sparkContext.defaultParallelism, 64)))
-    parts = few.mapInArrow(build, "i int, b binary").groupBy("i").applyInArrow(merge, "i int, b binary").collect()
-    return Bloom(bits, [(r.i, bytes(r.b)) for r in parts])
-
-
-def parted(df: DataFrame, key: Callable[[pa.RecordBatch], np.ndarray], keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``df`` whose key may be in ``keys`` (one column of longs) and rows whose key surely isn't.
-
-    Only the first part, usually a few rows, then needs a join; the second goes on without a shuffle.
+        for i in range(64):
+            part = own.map[i * size : (i + 1) * size]
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int32()), "b": pa.array([part.tobytes()], pa.binary())})
+
+    def merge(batches):
+        at, out = None, None
+        for t in batches:
+            for i, b in zip(t.column(0).to_pylist(), t.column(1), strict=True):
+                x = np.frombuffer(b.as_buffer(), dtype=np.uint8)
+                if i != at:
+                    if out is not None:
+                        yield pa.RecordBatch.from_pydict({"i": pa.array([at], pa.int32()), "b": pa.array([out.tobytes()], pa.binary())})
+                    at, out = i, x.copy()
+                else:
+                    out |= x
+        if out is not None:
+            yield pa.RecordBatch.from_pydict({"i": pa.array([at], pa.int32()), "b": pa.array([out.tobytes()], pa.binary())})
+
+    spark = keys.sparkSession
+    few = max(1, min(spark.sparkContext.defaultParallelism, 16))
+    with small_batches(spark):
+        parts = keys.repartition(few).mapInArrow(build, "i int, b binary").repartition(few, "i").sortWithinPartitions("i").mapInArrow(merge, "i int, b binary").toArrow()
+    out = Bloom(bits, [])
+    size = len(out.map) // 64
+    for i, b in zip(parts.column("i").to_pylist(), parts.column("b"), strict=True):
+        out.map[i * size : (i + 1) * size] = np.frombuffer(b.as_buffer(), np.uint8)
+    return out
+
+
+def parted(df: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose key (a long) may be in ``keys``, a written table of one column of longs, and rows whose key surely isn't.
+
+    Only the first part, usually a few rows, then needs a join; the second goes on without a shuffle. Only keys pass through Python.
     """
-    shared = df.sparkSession.sparkContext.broadcast(bloom_of(keys))
-
-    def side(wanted: bool):
-        def run(batches):
-            for b in batches:
-                yield b.filter(pa.array(shared.value.has(key(b).view(np.uint64)) == wanted))
-
-        return run
-
-    return df.mapInArrow(side(True), df.schema), df.mapInArrow(side(False), df.schema)
+    shared = df.sparkSession.sparkContext.broadcast(bloom_of(keys, bloom_bits(keys.count())))
 
+    @F.arrow_udf("boolean")
+    def known(k: pa.Array) -> pa.Array:
+        return pa.array(shared.value.has(unsigned(k)))
 
-def id_key(b: pa.RecordBatch) -> np.ndarray:
-    return np.asarray(b.column(b.schema.get_field_index("doc_id")).fill_null(-1)).astype(np.int64)
+    return df.where(known(key)), df.where(~known(key))
 
 
 # ---------------------------------------------------------------- joins with hot keys
@@ -354,13 +398,14 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))
-        new = scratch.table(small.select("e.a", "e.b").where("a <> b").distinct())
-        now = new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        seen = Observation()
+        new = scratch.table(small.select("e.a", "e.b").where("a <> b").distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")))
+        now = seen.get
         scratch.drop(edges)
         edges = new
-        if state == tuple(now):
+        if state == now:
             return edges.toDF("node", "component")
-        state = tuple(now)
+        state = now
 
 
 def crc_text(col: str) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paratope.llm.common import BASE, crc_text, mix64, resident
+from paratope.llm.common import BASE, crc_text, mix64, resident, small_batches, tidy
 
 WORD = re.compile(r"[^\W\d_]+")
 START, END = 2, 3
@@ -215,13 +216,16 @@ def fit(docs: DataFrame, train_filter, order: int = 4, max_docs: int = 2000) ->
         for lang, c in seen.items():
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(c), pa.string()), "word": pa.array(list(c), pa.string()), "n": pa.array(list(c.values()), pa.int64())})
 
-    table = chosen.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
+    with small_batches(spark):
+        table = chosen.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
     counts: dict[str, dict[str, int]] = {}
     for lang, word, n in zip(*(table.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
         counts.setdefault(lang, {})[word] = n
     if not counts:
         return Models([], order, 1.0)
     models = train(counts, order)
+    del table, counts
+    tidy()
     shared = spark.sparkContext.broadcast(models)
     names = models.langs
 
@@ -233,14 +237,15 @@ def fit(docs: DataFrame, train_filter, order: int = 4, max_docs: int = 2000) ->
                 n, h = s.entropies([t for _, t in keep])
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([x for x, _ in keep]), "n": pa.array(n), "h": pa.array(list(h), pa.list_(pa.float64()))})
 
-    got = chosen.mapInArrow(measure, "lang string, n long, h array<double>").where("n > 0").orderBy("lang", "n", "h").toArrow()
+    with small_batches(spark):
+        got = chosen.mapInArrow(measure, "lang string, n long, h array<double>").where("n > 0").orderBy("lang", "n", "h").toArrow()
     calibrate(models, got.column("lang").to_pylist(), np.array(got.column("n").to_pylist(), dtype=np.int64), np.array(got.column("h").to_pylist()).reshape(got.num_rows, len(names)))
     return models
 
 
-def scorer(name: str, models: Models) -> Scorer:
+def scorer(name: str, models: Models, memo: int = 400_000) -> Scorer:
     """The worker process's scorer of these models; it outlives a task, so words are scored once a worker."""
-    return resident(("scorer", name), lambda: Scorer(models))
+    return resident(("scorer", name), lambda: Scorer(models, memo))
 
 
 def judge(s: Scorer, texts: list[str | None]):
@@ -277,19 +282,18 @@ def identify(docs: DataFrame, models: Models) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
-def accepted(docs: DataFrame, models: Models) -> DataFrame:
-    """The rows of ``docs`` that ``identify`` doesn't reject, with all their columns."""
+def accepted(docs: DataFrame, models: Models, memo: int = 100_000) -> DataFrame:
+    """The rows of ``docs`` that ``identify`` doesn't reject, with all their columns; only the texts pass through Python."""
     shared, name = docs.sparkSession.sparkContext.broadcast(models), uuid.uuid4().hex
 
-    def run(batches):
-        m = shared.value
-        s = scorer(name, m)
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                yield part.filter(pa.array(~judge(s, part.column(part.schema.get_field_index("text")).to_pylist())[3]))
+    @F.arrow_udf("boolean")
+    def good(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        s = scorer(name, shared.value, memo)
+        for texts in parts:
+            kept = [~judge(s, texts.slice(lo, 256).to_pylist())[3] for lo in range(0, len(texts), 256)]
+            yield pa.array(np.concatenate(kept) if kept else np.zeros(0, bool))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(good("text"))
 
 
 def held_out(remainder: int = 1, folds: int = 3):

@@ -32,7 +32,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_unit_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return units.repeated_units(table(spark, sf_dir, "documents"), units.LINE, min_words=5).drop("text_hash")
+    return units.repeated_passages(table(spark, sf_dir, "documents"), units.LINE, run_words=20)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

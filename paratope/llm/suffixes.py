@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paratope.llm.common import BASE, Scratch, bloom_of, join_hot, mix64, shuffle_partitions, signed, words_of
+from paratope.llm.common import BASE, Scratch, bloom_bits, bloom_of, join_hot, mix64, shuffle_partitions, signed, words_of
 
 CROWD = 20_000  # a seed of more suffixes (about 4 MB) is not grouped in one task
 SUFFIX = "seed long, right binary, left binary, doc_id long, pos int"
@@ -194,7 +194,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> D
     docs = docs.select("doc_id", "text")
     repeated = scratch.table(_suffixes(docs, seed, window, None).groupBy("seed").count().where("count > 1"))
     crowded = np.sort(np.asarray(repeated.where(F.col("count") > CROWD).select("seed").toArrow().column(0).combine_chunks()).astype(np.int64).view(np.uint64))
-    known = spark.sparkContext.broadcast((bloom_of(repeated.select("seed"), bits=27), crowded))
+    known = spark.sparkContext.broadcast((bloom_of(repeated.select("seed"), bloom_bits(repeated.count())), crowded))
     rows = _suffixes(docs, seed, window, known).repartition(shuffle_partitions(spark), "seed").sortWithinPartitions("seed")
 
     def compare(batches):
