@@ -1,351 +1,574 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-States are contexts of the last one or more tokens (Ron, Singer and Tishby 1996): a context is kept if it is frequent enough and
+States are contexts of the last one or more tokens (Ron, Singer and Tishby 1996): a context is kept if it occurs ``LEAST`` times and
 its next-token distribution diverges enough from that of its suffix. A token is predicted from the longest kept suffix of what
-precedes it. In a state, next tokens seen often enough have a discounted share of their own, and what is left is spread as in the
-state's suffix; the root is the add-one unigram model. All counts cover the whole training corpus, and contexts and next tokens
-need only ``LEAST`` occurrences, so the model grows with the corpus. ``values`` keeps it in tables, ``score`` joins them; ``fit``
-is the same model in one process, for corpora that fit there.
+precedes it. In a state, next tokens seen ``LEAST`` times have a discounted share of their own, and what is left is spread as in
+the state's suffix; the root is the add-one unigram model. All counts cover the whole training corpus, so the model grows with it.
 
 The log probability of a token is a sum of terms that each depend on one run of tokens: the root's for the word; for a run that
 is a state, its share left to the suffix, met by whatever follows; for a run that is an entry, what corrects both. So a text's
 score is the sum of the values of all its runs of up to depth + 1 tokens, and a run without a value adds nothing.
+
+Runs are known by 64-bit keys: a run's key is its context's times ``BASE`` plus its last word's hash. Tables are packed: a row is a
+bucket, the keys with the same first bits, as sorted arrays in binary columns. A task gathers runs by the million, counts them and
+deals them out a few hundred blobs at a time, which costs a small part of what a row a run would.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paratope.llm.common import BASE, Bloom, Scratch, Words, bloom_of, crc_text, mix64, signed, words_of
+from paratope.llm.common import BASE, Scratch, Words, crc_text, mix64, shuffle_partitions, words_of
 
 LEAST = 2  # occurrences of a context, and of a next token in it
-HOT_RATE = 1e-6  # runs at least that frequent in training are broadcast, at most a million a length; all others are joined
 DISCOUNT = 0.5
 END = mix64(np.array([0x656E64], dtype=np.uint64))  # stands for the end in runs
-BITS = 20  # of an id in a Tree
-ID = np.int64((1 << BITS) - 1)
+BUCKET = 1 << 19  # runs of a bucket, about
+FLUSH = 1 << 21  # runs that a task gathers before it deals them out
+HOT_CONTEXT = 1 << 16  # a context of more occurrences, and of a 1024th of all tokens, has its entries spread over all buckets
+HOT_RUNS = 1 << 19  # the most frequent runs, at most so many, are broadcast with their values; all others are looked up in buckets
+DOCS = 60_000  # texts of a scoring batch, at most
+B8 = np.uint64(BASE)
 
 
-@dataclass
-class Tree:
-    """Words with an id (sorted hashes, id = place + 1) and their counts; for each depth the sorted contexts and entries.
+# ---------------------------------------------------------------- runs of tokens
+def _runs(w: Words, most: int) -> tuple[dict[int, np.ndarray], np.ndarray, np.ndarray]:
+    """For each length up to ``most`` the key of the run that ends at each token of start, words, end of all texts; the text of each
+    token and its place there. A run of n tokens ends at place n - 1 or later; what lies before is another text's."""
+    size = w.hi - w.lo + 2
+    text = np.repeat(np.arange(len(w)), size)
+    front = np.cumsum(size) - size
+    token = np.full(len(text), END[0], dtype=np.uint64)
+    token[np.arange(len(w.hash)) + 2 * np.repeat(np.arange(len(w)), w.hi - w.lo) + 1] = w.hash
+    keys = {1: token}
+    for n in range(2, most + 1):
+        keys[n] = np.concatenate([keys[n - 1][:1], keys[n - 1][:-1]]) * B8 + token
+    return keys, text, np.arange(len(text)) - front[text]
 
-    ``keys[d]`` are contexts of d tokens, ids packed oldest first; ``parent[d]`` is the place of each one's suffix among those of
-    depth d - 1 (-1: the root); ``left[d]`` is log10 of the share left to the suffix; ``at[d]`` sorts (place << BITS | next id) and
-    ``value[d]`` has log10 of the next token's whole probability.
-    """
 
-    total: int
-    kinds: int
-    texts: int
-    hashes: np.ndarray
-    counts: np.ndarray
-    keys: dict[int, np.ndarray] = field(default_factory=dict)
-    parent: dict[int, np.ndarray] = field(default_factory=dict)
-    left: dict[int, np.ndarray] = field(default_factory=dict)
-    at: dict[int, np.ndarray] = field(default_factory=dict)
-    value: dict[int, np.ndarray] = field(default_factory=dict)
-
-    @property
-    def end(self) -> int:
-        return len(self.hashes) + 1
-
-    def root(self, ids: np.ndarray) -> np.ndarray:
-        """log10 of the add-one unigram probability; id 0, whose count isn't known here, gives 0."""
-        c = np.concatenate([[0], self.counts, [self.texts]])
-        return np.where(ids > 0, np.log10((c[ids] + 1) / (self.total + self.kinds + 1)), 0.0)
-
-    def ids(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all tokens of all texts one after another, each text closed by the end; the text of each; the word hashes."""
-        of = np.repeat(np.arange(len(w)), w.hi - w.lo)
-        out = np.full(len(w.hash) + len(w), self.end, dtype=np.int64)
-        if len(self.hashes):
-            k = np.minimum(np.searchsorted(self.hashes, w.hash), len(self.hashes) - 1)
-            known = np.where(self.hashes[k] == w.hash, k + 1, 0)
-        else:
-            known = np.zeros(len(w.hash), dtype=np.int64)
-        out[np.arange(len(w.hash)) + of] = known
-        text = np.empty(len(out), dtype=np.int64)
-        text[np.arange(len(w.hash)) + of] = of
-        text[w.hi + np.arange(len(w))] = np.arange(len(w))
-        return out, text, known
-
-    def context(self, ids: np.ndarray, depth: int) -> np.ndarray:
-        """Packed context of ``depth`` tokens before each token, or -1: a text's front follows an end, nothing lies before it."""
-        key, ok = np.zeros(len(ids), dtype=np.int64), np.ones(len(ids), dtype=bool)
-        for back in range(depth, 0, -1):
-            before = np.concatenate([np.zeros(back - 1, dtype=np.int64), [self.end], ids])[: len(ids)]
-            ok &= before > 0
-            if back < depth:
-                ok &= before != self.end
-            key = (key << BITS) | before
-        return np.where(ok, key, -1)
-
-    def place(self, ids: np.ndarray, depth: int) -> np.ndarray:
-        return _find(self.keys[depth], self.context(ids, depth))
-
-    def log10(self, ids: np.ndarray) -> np.ndarray:
-        """log10 probability of each token, without the root's factor where the id is 0."""
-        out, open_ = np.zeros(len(ids)), np.ones(len(ids), dtype=bool)
-        above = np.full(len(ids), -1, dtype=np.int64)
-        for d in sorted(self.keys, reverse=True):
-            if not len(self.keys[d]):
-                continue
-            # -1: no longer context was a state, so this depth is looked up; -2: the suffix of one isn't a state, so the root follows
-            state = np.where(above >= 0, above, np.where(above == -1, self.place(ids, d), -1))
-            here = open_ & (state >= 0)
-            k = _find(self.at[d], np.where(here & (ids > 0), (state << BITS) | ids, -1))
-            hit = here & (k >= 0)
-            out[hit] += self.value[d][k[hit]]
-            open_ &= ~hit
-            down = here & ~hit
-            out[down] += self.left[d][state[down]]
-            suffix = self.parent[d][np.maximum(state, 0)]
-            above = np.where(state >= 0, np.where(suffix >= 0, suffix, -2), above)
-        return out + np.where(open_, self.root(ids), 0.0)
-
-
-def _find(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+def _groups(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where a new key begins."""
+    new = np.ones(len(sorted_keys), dtype=bool)
+    new[1:] = sorted_keys[1:] != sorted_keys[:-1]
+    return np.flatnonzero(new)
+
+
+def _place(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Place of each x among sorted keys, -1 where it isn't."""
     if not len(keys):
         return np.full(len(x), -1, dtype=np.int64)
     k = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
     return np.where(keys[k] == x, k, -1)
 
 
-def _summed(parts: Iterator[np.ndarray], limit: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct values and their numbers, flushed when many, so a task's memory is bounded and most of the sum is done in it."""
-    keys, counts, new, size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
-
-    def merged():
-        k, c = np.unique(np.concatenate(new), return_counts=True)
-        if not len(keys):
-            return k, c
-        both, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
-        total = np.zeros(len(both), np.int64)
-        np.add.at(total, at, np.concatenate([counts, c]))
-        return both, total
-
-    for p in parts:
-        new.append(p)
-        size += len(p)
-        if size > limit:
-            keys, counts = merged()
-            new, size = [], 0
-            if len(keys) > limit:
-                yield keys, counts
-                keys, counts = keys[:0], counts[:0]
-    if new:
-        keys, counts = merged()
-    if len(keys):
-        yield keys, counts
-
-
-def _counted(df: DataFrame, pick) -> DataFrame:
-    """(k, c): the sum over all rows of the values that ``pick`` gives for a run of texts."""
+# ---------------------------------------------------------------- packed tables
+def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
-    def run(batches):
-        for k, c in _summed(pick(w) for b in batches for w in words_of(b.column(0))):
-            yield pa.RecordBatch.from_pydict({"k": pa.array(k), "c": pa.array(c)})
 
-    return df.mapInArrow(run, "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
+def _cuts(sorted_keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """The buckets of sorted keys and where each lies."""
+    b = _bucket(sorted_keys, bits)
+    first = [*_groups(b).tolist(), len(b)]
+    for lo, hi in zip(first[:-1], first[1:], strict=True):
+        yield int(b[lo]), slice(lo, hi)
 
 
-def _arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    t = df.toArrow()
-    k, c = np.asarray(t.column("k").combine_chunks()), np.asarray(t.column("c").combine_chunks())
-    order = np.argsort(k)
-    return k[order], c[order]
+def _blob(x: np.ndarray) -> bytes:
+    """An array's bytes, first bytes first: of sorted keys and small numbers the high ones are alike and so shrink when compressed."""
+    x = np.ascontiguousarray(x)
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes() if x.itemsize > 1 else x.tobytes()
 
 
-def fit(docs: DataFrame, training: Column, scratch: Scratch, depth: int = 2) -> tuple[Tree, DataFrame]:
-    """The tree of the rows for which ``training`` holds, and the table (k, c) of all words' hashes and counts; under a million words."""
-    spark = docs.sparkSession
-    train = docs.where(training).select("text")
-    words = scratch.table(_counted(train, lambda w: signed(w.hash)))
-    texts = train.count()
-    kinds, tokens = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    total = int(tokens) + texts
-    known, counts = _arrays(words)
-    if len(known) >= ID:
-        raise ValueError("too many words for one process")
-    order = np.argsort(known.view(np.uint64))
-    tree = Tree(total, int(kinds) + (texts > 0), texts, known[order].view(np.uint64), counts[order])
-    often = np.concatenate([[0], tree.counts, [texts]])
-    candidates = np.flatnonzero(often >= LEAST).astype(np.int64)
-    sizes = often[candidates]
-    for d in range(1, depth + 1):
-        if not len(candidates):
-            break
-        shared = spark.sparkContext.broadcast((tree, candidates, often >= LEAST))
-
-        def pick(w: Words, shared=shared, d=d) -> np.ndarray:
-            t, keys, frequent = shared.value
-            ids, _, _ = t.ids(w)
-            state = _find(keys, t.context(ids, d))
-            ok = (state >= 0) & frequent[ids] & (ids > 0)
-            return (state[ok] << BITS) | ids[ok]
-
-        pairs, c = _arrays(_counted(train, pick).where(F.col("c") >= LEAST))
-        state, nxt = pairs >> BITS, pairs & ID
-        parent = _find(tree.keys[d - 1], candidates & ((np.int64(1) << (BITS * (d - 1))) - 1)) if d > 1 else np.full(len(candidates), -1)
-        below = _below(tree, d - 1, parent[state], nxt)
-        share = (c - DISCOUNT) / sizes[state]
-        left = np.maximum(1 - np.bincount(state, weights=share, minlength=len(candidates)), 1e-12)
-        p = share + left[state] * below
-        # Divergence from the suffix in bits over all occurrences, next tokens without an entry taken as one.
-        rest = np.maximum(sizes - np.bincount(state, weights=c, minlength=len(candidates)), 0)
-        q = np.maximum(1 - np.bincount(state, weights=below, minlength=len(candidates)), 1e-12)
-        pr = np.maximum(1 - np.bincount(state, weights=p, minlength=len(candidates)), 1e-12)
-        gain = np.bincount(state, weights=c * np.log2(p / below), minlength=len(candidates)) + rest * np.log2(pr / q)
-        cost = 0.5 * np.log2(max(2, total)) * (1 + np.bincount(state, minlength=len(candidates)))
-        keep = gain > cost
-        number = np.cumsum(keep) - 1
-        tree.keys[d], tree.parent[d], tree.left[d] = candidates[keep], parent[keep], np.log10(left[keep])
-        mine = keep[state]
-        tree.at[d] = (number[state[mine]] << BITS) | nxt[mine]
-        tree.value[d] = np.log10(p[mine])
-        # Contexts one token longer: this one and a word after it, if together they are frequent and this one was kept.
-        grow = mine & (c >= LEAST) & (nxt != tree.end)
-        candidates, sizes = (candidates[state[grow]] << BITS) | nxt[grow], c[grow]
-        order = np.argsort(candidates)
-        candidates, sizes = candidates[order], sizes[order]
-    return tree, words
-
-
-def _below(tree: Tree, depth: int, state: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Probability of the next tokens in the given states of a depth (-1 or depth 0: the root)."""
-    out, open_ = np.zeros(len(ids)), np.ones(len(ids), dtype=bool)
-    for d in range(depth, 0, -1):
-        here = open_ & (state >= 0)
-        k = _find(tree.at[d], np.where(here, (state << BITS) | ids, -1))
-        hit = here & (k >= 0)
-        out[hit] += tree.value[d][k[hit]]
-        open_ &= ~hit
-        down = here & ~hit
-        out[down] += tree.left[d][state[down]]
-        state = np.where(state >= 0, tree.parent[d][np.maximum(state, 0)], -1) if len(tree.parent[d]) else np.full(len(ids), -1)
-    return 10.0 ** (out + np.where(open_, tree.root(ids), 0.0))
+class Rows:
+    """Rows of a packed table on their way out, in a fixed order of columns; those not given are null."""
 
+    def __init__(self, schema: str) -> None:
+        kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+        self.schema = pa.schema([(n, kinds[k]) for n, k in (c.split() for c in schema.split(", "))])
+        self.rows: list[dict] = []
 
-def _runs(w: Words, most: int) -> tuple[dict[int, np.ndarray], np.ndarray, np.ndarray]:
-    """For each length up to ``most`` the key of the run that ends at each token of start, words, end of all texts; the text of each
-    token and its place there. A run of n tokens ends at place n - 1 or later; what lies before is another text's."""
-    size = w.hi - w.lo + 2
-    text = np.repeat(np.arange(len(w)), size)
-    front = np.cumsum(size) - size
-    token = np.full(len(text), END[0], dtype=np.uint64)
-    token[np.arange(len(w.hash)) + 2 * np.repeat(np.arange(len(w)), w.hi - w.lo) + 1] = w.hash
-    keys = {1: token}
-    for n in range(2, most + 1):
-        keys[n] = mix64(_before(keys[n - 1]) * np.uint64(BASE) + token)
-    return keys, text, np.arange(len(text)) - front[text]
+    def add(self, **row) -> None:
+        self.rows.append(row)
+
+    def batch(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in self.rows], f.type) for f in self.schema], schema=self.schema)
+            self.rows = []
+
+
+def _buckets(batches, by: str = "b") -> Iterator[tuple[int, list]]:
+    """Runs of rows with one value of ``by``; a row is (batch, place)."""
+    at, rows = None, []
+    for t in batches:
+        for i, b in enumerate(t.column(t.schema.get_field_index(by)).to_pylist()):
+            if b != at and rows:
+                yield at, rows
+                rows = []
+            at = b
+            rows.append((t, i))
+    if rows:
+        yield at, rows
 
 
-def _before(x: np.ndarray) -> np.ndarray:
-    return np.concatenate([x[:1], x[:-1]])
+def _get(row, name: str, kind) -> np.ndarray:
+    t, i = row
+    size = np.dtype(kind).itemsize
+    x = np.frombuffer(t.column(t.schema.get_field_index(name))[i].as_buffer(), dtype=np.uint8)
+    return np.ascontiguousarray(x.reshape(size, -1).T).view(kind).reshape(-1) if size > 1 else x.view(kind)
 
 
-def _places(keys: dict[int, np.ndarray], place: np.ndarray, n: int, contexts: Bloom, suffixes: Bloom) -> np.ndarray:
-    """Where a run of n tokens ends whose context and suffix may be in the filters."""
-    at = np.flatnonzero(place >= n - 1)
-    at = at[suffixes.has(keys[n - 1][at])]
-    return at[contexts.has(keys[n - 1][at - 1])]
+def _all(rows: list, name: str, kind) -> np.ndarray:
+    return np.concatenate([_get(r, name, kind) for r in rows]) if rows else np.zeros(0, dtype=kind)
+
+
+def _kind(row) -> int:
+    t, i = row
+    return t.column(t.schema.get_field_index("kind"))[i].as_py()
+
+
+def _met(spark, *tables: DataFrame, by: str = "b", order: tuple = ()) -> DataFrame:
+    """Rows of packed tables with the same bucket together, those of lower kinds first."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out.repartition(shuffle_partitions(spark), by).sortWithinPartitions(by, "kind", *order)
+
+
+@dataclass
+class Sieve:
+    """A filter of keys by bucket: a word of 64 bits a few keys, three bits a key. Up to 2**23 words (64 MB) in all; with more keys than
+    some forty million more of what isn't in it passes, which costs work but changes no result."""
 
+    bits: int
+    size: int
+    words: np.ndarray
 
-def _linked(train: DataFrame, n: int, shared) -> DataFrame:
-    """(k, ctx, suf) of the runs of n tokens that may be in the filter: keys of the run, of its context and of its suffix."""
+    @staticmethod
+    def _at(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        h = mix64(keys)
+        mask = np.zeros(len(h), dtype=np.uint64)
+        for s in (40, 46, 52):
+            mask |= np.uint64(1) << ((h >> np.uint64(s)) & np.uint64(63))
+        return h & np.uint64((1 << size) - 1), mask
 
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at, mask = self._at(keys, self.size)
+        return self.words[(keys >> np.uint64(64 - self.bits) << np.uint64(self.size)) | at] & mask == mask
+
+
+def _sieve(table: DataFrame, keys: int, bits: int, pick) -> Sieve:
+    """The filter of about ``keys`` keys, those that ``pick`` gives for a row of a packed table; each row makes its own part."""
+    size = max(4, min(23 - bits, int(np.ceil(np.log2(max(1, keys) / 4))) - bits))
+
+    def run(batches):
+        out = Rows("b int, words binary")
+        for b, rows in _buckets(batches):
+            words = np.zeros(1 << size, dtype=np.uint64)
+            for r in rows:
+                np.bitwise_or.at(words, *Sieve._at(pick(r), size))
+            out.add(b=b, words=words.tobytes())
+            yield from out.batch()
+
+    got = table.mapInArrow(run, "b int, words binary").toArrow()
+    words = np.zeros(1 << (bits + size), dtype=np.uint64)
+    for b, x in zip(got.column("b").to_pylist(), got.column("words"), strict=True):
+        words[b << size : (b + 1) << size] |= np.frombuffer(x.as_buffer(), np.uint64)
+    return Sieve(bits, size, words)
+
+
+# ---------------------------------------------------------------- counting
+WORDS = "kind int, b int, n long, total long, k binary, c binary"
+TABLE = "kind int, b int, n long, k binary, suf binary, c binary, v binary, below binary, mine binary"
+GATHERED = "kind int, b int, ctx binary, nxt binary, c binary"
+ASKED = "kind int, b int, origin int, ctx binary, nxt binary, c binary, size binary, suf binary"
+STATES = "kind int, b int, k binary, v binary"
+SOLVED = "kind int, b int, k binary, suf binary, c binary, v binary, below binary, mine binary, ctx binary, nxt binary, size binary"
+
+
+def _words(train: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
+    """WORDS rows: every token of the training texts and its occurrences."""
+
+    def gather(batches):
+        out, have, size = Rows(WORDS), [], 0
+
+        def flush():
+            k, c = np.unique(np.concatenate(have), return_counts=True)
+            for b, at in _cuts(k, bits):
+                out.add(kind=1, b=b, k=_blob(k[at]), c=_blob(c[at].astype(np.int64)))
+            have.clear()
+            yield from out.batch()
+
+        for t in batches:
+            for w in words_of(t.column(0)):
+                have.append(np.concatenate([w.hash, np.repeat(END, len(w))]))
+                size += len(have[-1])
+                if size > FLUSH:
+                    yield from flush()
+                    size = 0
+        if size:
+            yield from flush()
+
+    def merge(batches):
+        out = Rows(WORDS)
+        for b, rows in _buckets(batches):
+            k, at = np.unique(_all(rows, "k", np.uint64), return_inverse=True)
+            c = np.zeros(len(k), dtype=np.int64)
+            np.add.at(c, at, _all(rows, "c", np.int64))
+            out.add(kind=0, b=b, n=len(k), total=int(c.sum()), k=_blob(k), c=_blob(c))
+            yield from out.batch()
+
+    return scratch.table(_met(train.sparkSession, train.mapInArrow(gather, WORDS)).mapInArrow(merge, WORDS))
+
+
+def _unigrams(words: DataFrame, room: float) -> DataFrame:
+    """The words as a TABLE: all have a value, those seen ``LEAST`` times are contexts."""
+
+    def run(batches):
+        out = Rows(TABLE)
+        for b, rows in _buckets(batches):
+            for r in rows:
+                c = _get(r, "c", np.int64)
+                out.add(kind=0, b=b, n=int((c >= LEAST).sum()), k=_blob(_get(r, "k", np.uint64)), suf=bytes(8 * len(c)), c=_blob(c), v=_blob(np.log10(c + 1)), below=_blob((c + 1) / room), mine=_blob(c >= LEAST))
+                yield from out.batch()
+
+    return words.mapInArrow(run, TABLE)
+
+
+@dataclass
+class Hot:
+    """Contexts of very many occurrences: keys in order, sizes, and keys of their suffixes."""
+
+    keys: np.ndarray
+    size: np.ndarray
+    suf: np.ndarray
+
+
+def _hot(table: DataFrame, least: int) -> Hot:
     def run(batches):
-        known = shared.value
-        have, size = [], 0
-        for b in batches:
-            for w in words_of(b.column(0)):
-                keys, _, place = _runs(w, n)
+        for t in batches:
+            for i in range(t.num_rows):
+                r = (t, i)
+                c = _get(r, "c", np.int64)
+                at = np.flatnonzero((c >= least) & _get(r, "mine", np.bool_))
+                yield pa.RecordBatch.from_pydict({"k": pa.array(_get(r, "k", np.int64)[at]), "c": pa.array(c[at]), "suf": pa.array(_get(r, "suf", np.int64)[at])})
+
+    got = table.mapInArrow(run, "k long, c long, suf long").toArrow()
+    k, c, suf = (np.asarray(got.column(x).combine_chunks()) for x in ("k", "c", "suf"))
+    order = np.argsort(k.view(np.uint64))
+    return Hot(k.view(np.uint64)[order], c[order], suf.view(np.uint64)[order])
+
+
+def _gather(train: DataFrame, n: int, bits: int, shared) -> DataFrame:
+    """GATHERED rows of the runs of n tokens whose context and suffix pass the sieves, dealt by context (hot ones by run)."""
+
+    def run(batches):
+        contexts, suffixes, hot = shared.value
+        out, ctx, nxt, size = Rows(GATHERED), [], [], 0
+
+        def flush():
+            x, y = np.concatenate(ctx), np.concatenate(nxt)
+            ctx.clear(), nxt.clear()
+            k = x * B8 + y
+            order = np.argsort(k)
+            first = _groups(k[order])
+            c = np.diff(np.append(first, len(k))).astype(np.uint32)
+            at = order[first]
+            x, y, k = x[at], y[at], k[at]
+            deal = np.where(_place(hot.keys, x) >= 0, k, x)
+            order = np.argsort(deal, kind="stable")
+            deal, x, y, c = deal[order], x[order], y[order], c[order]
+            for b, at in _cuts(deal, bits):
+                out.add(kind=1, b=b, ctx=_blob(x[at]), nxt=_blob(y[at]), c=_blob(c[at]))
+            yield from out.batch()
+
+        for t in batches:
+            for w in words_of(t.column(0)):
+                keys, _, place = _runs(w, n - 1)
                 at = np.flatnonzero(place >= n - 1)
-                at = at[known.has(keys[n][at])]
-                have.append(_first(np.stack([keys[n][at], keys[n - 1][at - 1], keys[n - 1][at]])))
-                size += have[-1].shape[1]
-                if size > 1 << 21:
-                    have = [_first(np.concatenate(have, axis=1))]
-                    size = have[0].shape[1]
-                    if size > 1 << 20:
-                        yield _links(have.pop())
-                        size = 0
-        if have:
-            yield _links(_first(np.concatenate(have, axis=1)))
+                at = at[contexts.has(keys[n - 1][at - 1])]
+                at = at[suffixes.has(keys[n - 1][at])]
+                ctx.append(keys[n - 1][at - 1])
+                nxt.append(keys[1][at])
+                size += len(at)
+                if size > FLUSH:
+                    yield from flush()
+                    size = 0
+        if size:
+            yield from flush()
 
-    return train.mapInArrow(run, "k long, ctx long, suf long").groupBy("k").agg(F.min("ctx").alias("ctx"), F.min("suf").alias("suf"))
+    return train.mapInArrow(run, GATHERED)
 
 
-def _first(x: np.ndarray) -> np.ndarray:
-    return x[:, np.unique(x[0], return_index=True)[1]]
+def _asked(gathered: DataFrame, contexts: DataFrame, bits: int, shared) -> DataFrame:
+    """ASKED rows: of kind 1 the entries of a bucket (runs that occur ``LEAST`` times), of kind 2 the keys of their suffixes, dealt to
+    the suffixes' buckets."""
 
+    def run(batches):
+        _, _, hot = shared.value
+        out = Rows(ASKED)
+        for b, rows in _buckets(batches):
+            own = [r for r in rows if _kind(r) == 1]
+            x, y = _all(own, "ctx", np.uint64), _all(own, "nxt", np.uint64)
+            k = x * B8 + y
+            order = np.argsort(k)
+            first = _groups(k[order])
+            if not len(first):
+                continue
+            c = np.add.reduceat(_all(own, "c", np.uint32)[order].astype(np.int64), first)
+            at = order[first][c >= LEAST]
+            x, y, c = x[at], y[at], c[c >= LEAST]
+            table = [r for r in rows if _kind(r) == 0]
+            mine = _all(table, "mine", np.bool_)
+            keys, size, suf = (_all(table, name, kind)[mine] for name, kind in (("k", np.uint64), ("c", np.int64), ("suf", np.uint64)))
+            known, often = _place(keys, x), _place(hot.keys, x)
+            size = np.where(often >= 0, np.append(hot.size, 0)[often], np.append(size, 0)[known])
+            suf = np.where(often >= 0, np.append(hot.suf, np.uint64(0))[often], np.append(suf, np.uint64(0))[known])
+            at = np.flatnonzero((often >= 0) | (known >= 0))
+            at = at[np.argsort(x[at], kind="stable")]
+            x, y, c, size, suf = x[at], y[at], c[at], size[at], suf[at] * B8 + y[at]
+            if not len(x):
+                continue
+            out.add(kind=1, b=b, ctx=_blob(x), nxt=_blob(y), c=_blob(c), size=_blob(size), suf=_blob(suf))
+            to = _bucket(suf, bits)
+            order = np.argsort(to, kind="stable")
+            first = _groups(to[order])
+            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(to)], strict=True):
+                out.add(kind=2, b=int(to[order[lo]]), origin=b, suf=_blob(suf[order[lo:hi]]))
+            yield from out.batch()
 
-def _links(x: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(signed(np.ascontiguousarray(c))) for c in x], names=["k", "ctx", "suf"])
+    return _met(gathered.sparkSession, contexts.select("kind", "b", "k", "suf", "c", "mine"), gathered).mapInArrow(run, ASKED)
 
 
-def _bits(n: int) -> int:
-    return min(29, max(20, int(np.ceil(np.log2(12 * max(1, n))))))
+def _answers(asked: DataFrame, below: DataFrame) -> DataFrame:
+    """(kind, b, origin, below): what the suffixes give each asked key, nothing for one that isn't known; b is who asked."""
 
+    def run(batches):
+        out = Rows("kind int, b int, origin int, below binary")
+        for b, rows in _buckets(batches):
+            table = [r for r in rows if _kind(r) == 0]
+            keys, p = _all(table, "k", np.uint64), np.append(_all(table, "below", np.float64), np.nan)
+            for r in rows:
+                if _kind(r) == 2:
+                    t, i = r
+                    out.add(kind=3, b=t.column(t.schema.get_field_index("origin"))[i].as_py(), origin=b, below=_blob(p[_place(keys, _get(r, "suf", np.uint64))]))
+            yield from out.batch()
 
-def values(docs: DataFrame, training: Column, scratch: Scratch, depth: int = 2) -> tuple[DataFrame, int, float]:
-    """The model of the rows for which ``training`` holds: (k, c, v, b, known), its tokens, and log10 of a word never seen.
+    return _met(asked.sparkSession, below.select("kind", "b", "k", "below"), asked.where("kind = 2").select("kind", "b", "origin", "suf")).mapInArrow(run, "kind int, b int, origin int, below binary")
 
-    ``k`` is the key of a run that occurs ``c`` times, ``v`` what each occurrence adds to log10 of a text's probability, ``b`` what it
-    adds under the unigram model, ``known`` 1 for a word's own row. A key may have two rows, of the run as entry and as state.
-    """
+
+def _cost(entries, total: int):
+    """Bits that a state and its entries must earn."""
+    return 0.5 * np.log2(max(2, total)) * (1 + entries)
+
+
+def _emit(out: Rows, bits: int, last: bool, k, suf, c, v, below, mine) -> None:
+    """Entries by their keys; of the longest runs only those in kept states matter, and nothing is asked of them again."""
+    if last:
+        k, c, v, mine, suf, below = k[mine], c[mine], v[mine], mine[mine], suf[:0], below[:0]
+    order = np.argsort(k)
+    for b, at in _cuts(k[order], bits):
+        at = order[at]
+        if last:
+            out.add(kind=1, b=b, k=_blob(k[at]), suf=b"", c=_blob(c[at]), v=_blob(v[at]), below=b"", mine=_blob(mine[at]))
+            continue
+        out.add(kind=1, b=b, k=_blob(k[at]), suf=_blob(suf[at]), c=_blob(c[at]), v=_blob(v[at]), below=_blob(below[at]), mine=_blob(mine[at]))
+
+
+def _solved(asked: DataFrame, answers: DataFrame, bits: int, total: int, last: bool, shared) -> DataFrame:
+    """SOLVED rows: of kind 1 entries dealt by their keys, of kind 2 states, of kind 4 the entries of hot contexts, still open."""
+
+    def run(batches):
+        _, _, hot = shared.value
+        out = Rows(SOLVED)
+        for b, rows in _buckets(batches):
+            (own,) = [r for r in rows if _kind(r) == 1]
+            x, y, c, size, suf = (_get(own, n, t) for n, t in (("ctx", np.uint64), ("nxt", np.uint64), ("c", np.int64), ("size", np.int64), ("suf", np.uint64)))
+            below = np.empty(len(x))
+            below[np.argsort(_bucket(suf, bits), kind="stable")] = _all([r for r in rows if _kind(r) == 3], "below", np.float64)
+            known = ~np.isnan(below)
+            often = known & (_place(hot.keys, x) >= 0)
+            if often.any():
+                out.add(kind=4, b=b, ctx=_blob(x[often]), nxt=_blob(y[often]), c=_blob(c[often]), size=_blob(size[often]), suf=_blob(suf[often]), below=_blob(below[often]))
+            at = np.flatnonzero(known & ~often)
+            x, y, c, size, suf, below = (z[at] for z in (x, y, c, size, suf, below))
+            first = _groups(x)
+            if len(first):
+                of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(x))))
+                share = (c - DISCOUNT) / size
+                left = np.maximum(1 - np.add.reduceat(share, first), 1e-12)
+                p = share + left[of] * below
+                rest = np.maximum(size[first] - np.add.reduceat(c, first), 0)
+                gain = np.add.reduceat(c * np.log2(p / below), first) + rest * np.log2(left)
+                kept = gain > _cost(np.bincount(of), total)
+                out.add(kind=2, b=b, k=_blob(x[first][kept]), v=_blob(np.log10(left[kept])))
+                mine = kept[of]
+                _emit(out, bits, last, x * B8 + y, suf, c, np.log10(p / left[of] / below), np.where(mine, p, below), mine)
+            yield from out.batch()
+
+    return _met(asked.sparkSession, asked.where("kind = 1").drop("origin"), answers, order=("origin",)).mapInArrow(run, SOLVED)
+
+
+def _hot_states(solved: DataFrame, hot: Hot, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each hot context log10 of what it leaves to its suffix, and whether it is kept: sums over its entries, wherever they lie."""
+
+    def added(value) -> np.ndarray:
+        def run(batches):
+            for t in batches:
+                for i in range(t.num_rows):
+                    r = (t, i)
+                    c, size, below = _get(r, "c", np.int64), _get(r, "size", np.int64), _get(r, "below", np.float64)
+                    at = _place(hot.keys, _get(r, "ctx", np.uint64))
+                    sums = [np.bincount(at, weights=z, minlength=len(hot.keys)) for z in value(at, c, size, below)]
+                    here = np.flatnonzero(np.bincount(at, minlength=len(hot.keys)))
+                    yield pa.RecordBatch.from_pydict({"h": pa.array(here), "s": pa.array([[s[j] for s in sums] for j in here], pa.list_(pa.float64()))})
+
+        rows = solved.where("kind = 4").select("ctx", "c", "size", "below").mapInArrow(run, "h long, s array<double>")
+        got = rows.select("h", F.posexplode("s").alias("i", "x")).groupBy("h", "i").agg(F.sum("x").alias("x")).collect()
+        out = np.zeros((3, len(hot.keys)))
+        for r in got:
+            out[r.i, r.h] = r.x
+        return out
+
+    n, own, share = added(lambda at, c, size, below: (np.ones(len(c)), c, (c - DISCOUNT) / size))
+    left = np.maximum(1 - share, 1e-12)
+    gain = added(lambda at, c, size, below: (c * np.log2(((c - DISCOUNT) / size + left[at] * below) / below),))[0]
+    gain += np.maximum(hot.size - own, 0) * np.log2(left)
+    return np.log10(left), (n > 0) & (gain > _cost(n, total))
+
+
+def _hot_entries(solved: DataFrame, hot: Hot, left: np.ndarray, kept: np.ndarray, bits: int, last: bool) -> DataFrame:
+    """SOLVED rows of kind 1 of the entries of hot contexts."""
+
+    def run(batches):
+        out = Rows(SOLVED)
+        for t in batches:
+            for i in range(t.num_rows):
+                r = (t, i)
+                x, y, suf, c, size, below = (_get(r, n, k) for n, k in (("ctx", np.uint64), ("nxt", np.uint64), ("suf", np.uint64), ("c", np.int64), ("size", np.int64), ("below", np.float64)))
+                at = _place(hot.keys, x)
+                rest, mine = 10.0 ** left[at], kept[at]
+                p = (c - DISCOUNT) / size + rest * below
+                _emit(out, bits, last, x * B8 + y, suf, c, np.log10(p / rest / below), np.where(mine, p, below), mine)
+                yield from out.batch()
+
+    return solved.where("kind = 4").select("ctx", "nxt", "suf", "c", "size", "below").mapInArrow(run, SOLVED)
+
+
+def _entries(rows: DataFrame, last: bool) -> DataFrame:
+    """SOLVED rows of kind 1 put together as a TABLE."""
+    need = [("c", np.int64), ("v", np.float64), ("mine", np.bool_)] + ([] if last else [("suf", np.uint64), ("below", np.float64)])
+
+    def run(batches):
+        out = Rows(TABLE)
+        for b, own in _buckets(batches):
+            k = _all(own, "k", np.uint64)
+            order = np.argsort(k)
+            cols = {n: _blob(_all(own, n, t)[order]) for n, t in need}
+            out.add(kind=0, b=b, n=len(k), k=_blob(k[order]), **cols)
+            yield from out.batch()
+
+    return _met(rows.sparkSession, rows.select("kind", "b", "k", "suf", "c", "v", "below", "mine")).mapInArrow(run, TABLE)
+
+
+# ---------------------------------------------------------------- the model
+@dataclass
+class Model:
+    """Packed rows (b, k, c, v, base) of all runs with a value: ``v`` is what each occurrence adds to log10 of a text's probability,
+    ``base`` what it adds under the unigram model (above 0 exactly for words). ``unseen`` is log10 of a word never seen."""
+
+    table: DataFrame
+    bits: int
+    total: int
+    unseen: float
+
+
+VALUES = "kind int, b int, n long, k binary, c binary, v binary, base binary"
+
+
+def learn(docs: DataFrame, training: Column, scratch: Scratch, depth: int = 2) -> Model:
+    """The model of the rows for which ``training`` holds, with contexts of up to ``depth`` tokens."""
     spark = docs.sparkSession
     train = docs.where(training).select("text")
-    words = scratch.table(_counted(train, lambda w: signed(w.hash)))
-    texts = train.count()
-    kinds, tokens = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    total = int(tokens) + texts
-    room = float(total + int(kinds) + (texts > 0) + 1)
-    words = words.unionByName(spark.createDataFrame([(int(signed(END)[0]), texts)] if texts else [], "k long, c long"))
-    seen = F.log10(F.col("c") + 1)
-    out = words.select("k", "c", seen.alias("v"), seen.alias("b"), F.lit(1).alias("known"))
-    contexts = words.where(F.col("c") >= LEAST).select(F.col("k").alias("ctx"), F.col("c").alias("size"))
-    below = words.where(F.col("c") >= LEAST).select(F.col("k").alias("suf"), ((F.col("c") + 1) / room).alias("below"))
-    row = lambda t, k, c, v: t.select(F.col(k).alias("k"), F.col(c).alias("c"), v.alias("v"), F.lit(0.0).alias("b"), F.lit(0).alias("known"))
+    size = train.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = max(1, int(np.ceil(np.log2(max(1, size / 8 / BUCKET)))))
+    words = _words(train, bits, scratch)
+    kinds, total = (int(x) for x in words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first())
+    room = float(total + kinds + 1)
+    table, made = _unigrams(words, room), [words]
+    parts = [_values(table.select("b", "k", "c", "v", "mine"), every=True)]
     for n in range(2, depth + 2):
-        filters = spark.sparkContext.broadcast(tuple(bloom_of(t, _bits(t.count())) for t in (contexts.select("ctx"), below.select("suf"))))
-
-        def pick(w: Words, n=n, filters=filters) -> np.ndarray:
-            keys, _, place = _runs(w, n)
-            return signed(keys[n][_places(keys, place, n, *filters.value)])
-
-        counted = scratch.table(_counted(train, pick).where(F.col("c") >= LEAST))
+        keys = int(table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+        often = lambda r: _get(r, "k", np.uint64)[_get(r, "c", np.int64) >= LEAST]
+        mine = lambda r: _get(r, "k", np.uint64)[_get(r, "mine", np.bool_)]
+        hot = _hot(table, max(HOT_CONTEXT, total // 1024))
+        suffixes = _sieve(table, keys, bits, often)
+        contexts = _sieve(table, keys, bits, mine) if n > 2 else suffixes
+        shared = spark.sparkContext.broadcast((contexts, suffixes, hot))
+        last = n == depth + 1
+        asked = scratch.table(_asked(_gather(train, n, bits, shared), table, bits, shared), "zstd")
         _collect(spark)
-        many = counted.count()
-        known = spark.sparkContext.broadcast(bloom_of(counted.select("k"), _bits(many)))
-        share = (F.col("c") - DISCOUNT) / F.col("size")
-        e = counted.join(_linked(train, n, known), "k").join(contexts, "ctx").join(below, "suf").select("k", "ctx", "c", "size", "below", share.alias("share"))
-        e = scratch.table(e)
+        solved = scratch.table(_solved(asked, _answers(asked, table), bits, total, last, shared), "zstd")
         _collect(spark)
-        states = e.groupBy("ctx").agg(F.min("size").alias("size"), F.count("*").alias("n"), F.sum("c").alias("own"), F.sum("share").alias("own_share"), F.sum("below").alias("own_below"))
-        states = scratch.table(states.withColumn("left", F.greatest(1 - F.col("own_share"), F.lit(1e-12))))
-        p = F.col("share") + F.col("left") * F.col("below")
-        gain = e.join(states.select("ctx", "left"), "ctx").groupBy("ctx").agg(F.sum(F.col("c") * F.log2(p / F.col("below"))).alias("gain"))
-        # Divergence from the suffix in bits over all occurrences, next tokens without an entry taken as one.
-        rest = F.greatest(F.col("size") - F.col("own"), F.lit(0))
-        q = F.greatest(1 - F.col("own_below"), F.lit(1e-12))
-        pr = F.greatest(1 - F.col("own_share") - F.col("left") * F.col("own_below"), F.lit(1e-12))
-        kept = states.join(gain, "ctx").where(F.col("gain") + rest * F.log2(pr / q) > 0.5 * np.log2(max(2, total)) * (1 + F.col("n")))
-        kept = scratch.table(kept.select("ctx", "size", "left"))
-        e = scratch.table(e.drop("size").join(kept, "ctx", "left").select("k", "c", "below", "left", p.alias("p")))
+        scratch.drop(asked)
+        rows, states = solved.where("kind = 1"), solved.where("kind = 2").select("b", "k", "v")
+        if len(hot.keys):
+            left, kept = _hot_states(solved, hot, total)
+            rows = rows.unionByName(_hot_entries(solved, hot, left, kept, bits, last))
+            own = [(b, bytearray(_blob(hot.keys[kept][at])), bytearray(_blob(left[kept][at]))) for b, at in _cuts(hot.keys[kept], bits)]
+            if own:
+                states = states.unionByName(spark.createDataFrame(own, "b int, k binary, v binary"))
+        table = scratch.table(_entries(rows, last), "zstd")
+        states = scratch.table(states, "zstd")
+        scratch.drop(solved)
         _collect(spark)
-        mine = e.where("left is not null")
-        out = out.unionByName(row(kept, "ctx", "size", F.log10("left"))).unionByName(row(mine, "k", "c", F.log10(F.col("p") / F.col("left") / F.col("below"))))
-        contexts = mine.select(F.col("k").alias("ctx"), F.col("c").alias("size"))
-        below = e.select(F.col("k").alias("suf"), F.coalesce("p", "below").alias("below"))
-    return out, total, -float(np.log10(room))
+        made += [table, states]
+        parts += [_values(table.select("b", "k", "c", "v", "mine"), every=False), _values(states, every=True)]
+    model = Model(scratch.table(_merged(spark, parts), "zstd"), bits, total, -float(np.log10(room)))
+    scratch.drop(*made)
+    _collect(spark)
+    return model
+
+
+def _values(rows: DataFrame, every: bool) -> DataFrame:
+    """VALUES rows of a table's words (all of them), of its entries in kept states, or of states."""
+    words = every and "c" in rows.columns
+
+    def run(batches):
+        out = Rows(VALUES)
+        for t in batches:
+            for i in range(t.num_rows):
+                r = (t, i)
+                k, v = _get(r, "k", np.uint64), _get(r, "v", np.float64)
+                c = _get(r, "c", np.int64) if "c" in t.schema.names else np.zeros(len(k), np.int64)
+                at = np.arange(len(k)) if every else np.flatnonzero(_get(r, "mine", np.bool_))
+                out.add(kind=1, b=t.column(t.schema.get_field_index("b"))[i].as_py(), k=_blob(k[at]), c=_blob(c[at]), v=_blob(v[at]), base=_blob(v[at] if words else np.zeros(len(at))))
+            yield from out.batch()
+
+    return rows.mapInArrow(run, VALUES)
+
+
+def _merged(spark, parts: list[DataFrame]) -> DataFrame:
+    """VALUES rows, one a bucket; a run that is both an entry and a state has the sum of both values."""
+
+    def run(batches):
+        out = Rows(VALUES)
+        for b, rows in _buckets(batches):
+            k, at = np.unique(_all(rows, "k", np.uint64), return_inverse=True)
+            c = np.zeros(len(k), np.int64)
+            np.maximum.at(c, at, _all(rows, "c", np.int64))
+            v, base = (np.bincount(at, weights=_all(rows, n, np.float64), minlength=len(k)) for n in ("v", "base"))
+            out.add(kind=0, b=b, n=len(k), k=_blob(k), c=_blob(c), v=_blob(v), base=_blob(base))
+            yield from out.batch()
+
+    return _met(spark, *parts).mapInArrow(run, VALUES)
 
 
 def _collect(spark) -> None:
@@ -353,11 +576,41 @@ def _collect(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _hot(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted keys with the sums of v, b and known."""
-    t = rows.select("k", "v", "b", "known").toArrow()
-    keys, at = np.unique(np.asarray(t.column("k").combine_chunks()).astype(np.int64).view(np.uint64), return_inverse=True)
-    return keys, *(np.bincount(at, weights=np.asarray(t.column(x).combine_chunks()), minlength=len(keys)) for x in ("v", "b", "known"))
+def _frequent(model: Model) -> int:
+    """The least power of two such that at most HOT_RUNS runs occur as often."""
+
+    def run(batches):
+        for t in batches:
+            for i in range(t.num_rows):
+                e, n = np.unique(np.frexp(_get((t, i), "c", np.int64).astype(np.float64))[1], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"e": pa.array(e.astype(np.int32)), "n": pa.array(n.astype(np.int64))})
+
+    number, cut = 0, 64
+    for r in sorted(model.table.select("c").mapInArrow(run, "e int, n long").groupBy("e").agg(F.sum("n").alias("n")).collect(), key=lambda r: -r.e):
+        number += r.n
+        if number > HOT_RUNS:
+            break
+        cut = r.e
+    return 1 << (max(cut, 1) - 1) if cut < 64 else 1 << 62
+
+
+def _hot_values(model: Model, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def run(batches):
+        for t in batches:
+            for i in range(t.num_rows):
+                r = (t, i)
+                at = np.flatnonzero(_get(r, "c", np.int64) >= least)
+                yield pa.RecordBatch.from_pydict({"k": pa.array(_get(r, "k", np.int64)[at]), "v": pa.array(_get(r, "v", np.float64)[at]), "base": pa.array(_get(r, "base", np.float64)[at])})
+
+    got = model.table.mapInArrow(run, "k long, v double, base double").toArrow()
+    k, v, base = (np.asarray(got.column(x).combine_chunks()) for x in ("k", "v", "base"))
+    order = np.argsort(k.view(np.uint64))
+    return k.view(np.uint64)[order], v[order], base[order]
+
+
+ROWS = "kind int, b int, batch long, k binary, idx binary, ids binary, valid binary, held binary, n binary, sums binary"
+ANSWERS = "kind int, batch long, idx binary, ids binary, valid binary, held binary, n binary, sums binary"
+RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def score(docs: DataFrame, held_out: Column, depth: int = 2) -> DataFrame:
@@ -365,62 +618,102 @@ def score(docs: DataFrame, held_out: Column, depth: int = 2) -> DataFrame:
 
     Takes (doc_id, text) and returns (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row for each input
     row. Tokens are words (runs of characters other than space and \\t..\\r, A-Z in lower case) and an end, so a null or empty text
-    is the end alone. Without training rows every probability is 1. Null and repeated ids pass through, other columns are ignored.
-    Words are known by 64-bit hashes. The model's frequent runs are broadcast, all others looked up by a join on their key.
+    is the end alone. Without training rows every probability is 1. Null and repeated ids pass through, other columns are ignored;
+    an empty table gives no rows. Words are known by 64-bit hashes. The model's most frequent runs are broadcast, at most half a
+    million; all others are looked up in their buckets.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffixtree")
     flag = F.coalesce(held_out, F.lit(False))
-    model, total, unseen = values(docs, ~flag, scratch, depth)
-    least = max(LEAST, int(np.ceil(HOT_RATE * total)))
-    cold = model.where(F.col("c") < least)
-    shared = spark.sparkContext.broadcast((_hot(model.where(F.col("c") >= least)), bloom_of(cold.select("k"), _bits(cold.count()))))
-    rows = docs.select("doc_id", "text", flag.alias("held_out"), F.monotonically_increasing_id().alias("row"))
+    model = learn(docs, ~flag, scratch, depth)
+    least, bits = _frequent(model), model.bits
+    keys = int(model.table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    rare = _sieve(model.table, keys, bits, lambda r: _get(r, "k", np.uint64)[_get(r, "c", np.int64) < least])
+    shared = spark.sparkContext.broadcast((_hot_values(model, least), rare))
 
     def run(batches):
-        (hot, *worth), rare = shared.value
-        for b in batches:
-            for w in words_of(b.column(1)):
-                part = b.slice(w.row0, len(w))
-                keys, text, place = _runs(w, depth + 1)
-                sums, cold_keys, cold_of = np.zeros((3, len(w))), [], []
-                for n, k in keys.items():
-                    at = np.flatnonzero(place >= max(1, n - 1))
-                    k, of = k[at], text[at]
-                    found = _find(hot, k)
-                    hit = found >= 0
-                    for s, x in zip(sums, worth[: 3 if n == 1 else 1], strict=False):
-                        s += np.bincount(of[hit], weights=x[found[hit]], minlength=len(w))
-                    k, of = k[~hit], of[~hit]
-                    hit = rare.has(k)
-                    cold_keys.append(k[hit])
-                    cold_of.append(of[hit])
-                ids = part.column(3)
-                # A text's own row has a key of its own as well, so that it is dealt to any task; it has no ``times``.
-                own = signed(mix64(np.asarray(ids).astype(np.int64).view(np.uint64)))
-                none = pa.nulls(len(w), pa.int32())
-                yield pa.RecordBatch.from_arrays([ids, part.column(0), part.column(2), pa.array(w.hi - w.lo + 1), *(pa.array(s) for s in sums), pa.array(own), none], names=names)
-                k, of = np.concatenate(cold_keys), np.concatenate(cold_of)
-                order = np.lexsort((k, of))
-                k, of = k[order], of[order]
-                new = np.ones(len(of), dtype=bool)
-                new[1:] = (of[1:] != of[:-1]) | (k[1:] != k[:-1])
-                first = np.flatnonzero(new)
-                times = np.diff(np.append(first, len(of))).astype(np.int32)
-                m = len(first)
-                if m:
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(of[first])), *(pa.nulls(m, t) for t in (pa.int64(), pa.bool_(), pa.int64(), *[pa.float64()] * 3)), pa.array(signed(k[first])), pa.array(times)], names=names)
-
-    names = ["row", "doc_id", "held_out", "n_tokens", "own", "base", "n_known", "k", "times"]
-    both = rows.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, own double, base double, n_known double, k long, times int")
-    met = both.join(cold.select("k", "v", "b", "known"), "k", "left")
-    add = lambda own, x: F.sum(F.when(F.col("times").isNull(), F.col(own)).otherwise(F.col("times") * F.coalesce(x, F.lit(0.0))))
-    out = met.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), add("n_known", "known").alias("n_known"), add("base", "b").alias("base"), add("own", "v").alias("own"))
-    first = F.lit(unseen) * F.col("n_tokens")
-    return out.select(
-        "doc_id", "held_out", "n_tokens", F.round("n_known").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (first + F.col("base")).alias("base_score"), (first + F.col("own")).alias("score"),
-    )
+        (hot, worth, base), rare = shared.value
+        worth, base = np.append(worth, 0.0), np.append(base, 0.0)
+        out, number, have, wanted, size, texts = Rows(ROWS), 0, [], [], 0, 0
+
+        def flush():
+            nonlocal number
+            batch = (TaskContext.get().partitionId() << 32) | number
+            number += 1
+            ids, held, n, sums = ([x[i] for x in have] for i in range(4))
+            ids = pa.concat_arrays(ids)
+            out.add(kind=1, b=batch % (1 << bits), batch=batch, ids=_blob(np.asarray(ids.fill_null(0))), valid=_blob(np.asarray(ids.is_valid())), held=_blob(np.concatenate(held)), n=_blob(np.concatenate(n)), sums=_blob(np.concatenate(sums, axis=1)))
+            k, of = np.concatenate([x for x, _ in wanted]), np.concatenate([x for _, x in wanted])
+            order = np.argsort(k)
+            k, of = k[order], of[order].astype(np.uint16)
+            for b, at in _cuts(k, bits):
+                out.add(kind=2, b=b, batch=batch, k=_blob(k[at]), idx=_blob(of[at]))
+            have.clear(), wanted.clear()
+            yield from out.batch()
+
+        for t in batches:
+            for w in words_of(t.column(1)):
+                for lo in range(0, len(w), DOCS):  # words_of gives whole texts, which may be short and many
+                    hi = min(lo + DOCS, len(w))
+                    if texts + hi - lo > DOCS or size > FLUSH // 2:
+                        yield from flush()
+                        size = texts = 0
+                    part = t.slice(w.row0 + lo, hi - lo)
+                    keys, text, place = _runs(w, depth + 1)
+                    sums = np.zeros((3, hi - lo))
+                    for n, k in keys.items():
+                        at = np.flatnonzero((place >= max(1, n - 1)) & (text >= lo) & (text < hi))
+                        k, back = np.unique(k[at], return_inverse=True)
+                        of, found = text[at] - lo, _place(hot, k)
+                        sums[0] += np.bincount(of, weights=worth[found][back], minlength=hi - lo)
+                        if n == 1:
+                            sums[1] += np.bincount(of, weights=base[found][back], minlength=hi - lo)
+                            sums[2] += np.bincount(of, weights=(base[found] > 0)[back], minlength=hi - lo)
+                        cold = (found < 0) & rare.has(k)
+                        hit = cold[back]
+                        wanted.append((k[back[hit]], of[hit] + texts))
+                        size += int(hit.sum())
+                    have.append((part.column(0), np.asarray(part.column(2)), (w.hi - w.lo + 1)[lo:hi].astype(np.int64), sums))
+                    texts += hi - lo
+        if have:
+            yield from flush()
+
+    def answer(batches):
+        out, own = Rows(ANSWERS), ("ids", "valid", "held", "n", "sums")
+        for _, rows in _buckets(batches):
+            table = [r for r in rows if _kind(r) == 0]
+            keys, v, base = (_all(table, n, t) for n, t in (("k", np.uint64), ("v", np.float64), ("base", np.float64)))
+            v, base = np.append(v, 0.0), np.append(base, 0.0)
+            for r in rows:
+                t, i = r
+                batch = t.column(t.schema.get_field_index("batch"))[i].as_py()
+                if _kind(r) == 1:
+                    out.add(kind=1, batch=batch, **{n: _get(r, n, np.uint8).tobytes() for n in own})
+                elif _kind(r) == 2:
+                    at = _place(keys, _get(r, "k", np.uint64))
+                    idx, of = np.unique(_get(r, "idx", np.uint16), return_inverse=True)
+                    sums = np.stack([np.bincount(of, weights=x[at], minlength=len(idx)) for x in (v, base, base > 0)])
+                    out.add(kind=2, batch=batch, idx=_blob(idx), sums=_blob(sums))
+            yield from out.batch()
+
+    def whole(batches):
+        for _, rows in _buckets(batches, "batch"):
+            own = rows[0]
+            n, sums = _get(own, "n", np.int64), _get(own, "sums", np.float64).reshape(3, -1).copy()
+            for r in rows[1:]:
+                sums[:, _get(r, "idx", np.uint16)] += _get(r, "sums", np.float64).reshape(3, -1)
+            first = model_unseen * n
+            ids = pa.array(_get(own, "ids", np.int64), mask=~_get(own, "valid", np.bool_))
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(_get(own, "held", np.bool_)), pa.array(n), pa.array(np.rint(sums[2]).astype(np.int64)), pa.array(np.full(len(n), model_total)), pa.array(first + sums[1]), pa.array(first + sums[0])],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
+
+    model_unseen, model_total = model.unseen, np.int64(model.total)
+    asked = docs.select("doc_id", "text", flag.alias("held_out")).mapInArrow(run, ROWS)
+    answers = scratch.table(_met(spark, model.table.select("kind", "b", "k", "v", "base"), asked).mapInArrow(answer, ANSWERS))
+    scratch.drop(model.table)
+    return _met(spark, answers, by="batch").mapInArrow(whole, RESULT)
 
 
 def held_out(remainder: int = 2, folds: int = 7) -> Column:

@@ -199,7 +199,7 @@ def test_suffix_array_is_exact(spark, monkeypatch, crowd):
 def test_units(docs, none, texts):
     removed = units.repeated_units(docs, units.LINE, 5)
     seen, want = {}, set()
-    keyed = sorted(((r.doc_id if r.doc_id is not None else -1, units._text_hash(r.text), r.text) for r in docs.collect() if r.text))
+    keyed = sorted(((r.doc_id if r.doc_id is not None else -1, r.h, r.text) for r in docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect() if r.text))
     for i, h, t in keyed:
         for u, line in enumerate(t.split("\n")):
             w = tuple(line.encode().lower().split())
@@ -208,8 +208,9 @@ def test_units(docs, none, texts):
                 if first != (i, h, u):
                     want.add((i, u, first[0], first[2]))
     assert {(-1 if r.doc_id is None else r.doc_id, r.unit, -1 if r.first_doc_id is None else r.first_doc_id, r.first_unit) for r in removed.collect()} == want
-    cut = units.without_units(docs, removed, units.LINE)
-    assert cut.columns == [*docs.columns, "kept_at"] and cut.count() == docs.count()
+    clash = docs.withColumns({"kept_at": F.lit("clash"), "__cuts": F.lit(1), "__hash": F.lit(2)})
+    cut = units.without_units(clash, removed, units.LINE)
+    assert cut.columns == [*docs.columns, "__cuts", "__hash", "kept_at"] and cut.count() == docs.count()
     lines = Counter(tuple(line.encode().lower().split()) for r in cut.select("doc_id", "text").distinct().collect() if r.text for line in r.text.split("\n"))
     assert all(n == 1 for w, n in lines.items() if len(w) >= 5)
     for r in cut.collect():
@@ -219,6 +220,68 @@ def test_units(docs, none, texts):
     assert units.repeated_units(none).count() == 0 and units.without_units(none, units.repeated_units(none)).count() == 0
 
 
+def test_repeated_passages(docs, none):
+    rows = sorted({(r.doc_id if r.doc_id is not None else -1, r.h, r.text) for r in docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect() if r.text})
+    lines = [(i, h, [(u, tuple(x.encode().lower().split())) for u, x in enumerate(t.split("\n"))]) for i, h, t in rows]
+    count, first = Counter(), {}
+    for r in docs.collect():
+        count.update(w for x in (r.text or "").split("\n") if (w := tuple(x.encode().lower().split())))
+    for i, h, ls in lines:
+        for u, w in ls:
+            first.setdefault(w, (i, h, u))
+    want = Counter()
+    for i, h, ls in lines:
+        run = []
+        for u, w in [*((u, w) for u, w in ls if w), (None, ())]:
+            if w and count[w] > 1:
+                run.append((u, w))
+                continue
+            n = sum(len(x) for _, x in run)
+            want.update((i, v, len(x), n, first[x][0], first[x][2], first[x] != (i, h, v)) for v, x in run if n >= 20)
+            run = []
+    got = units.repeated_passages(docs, units.LINE, 20).collect()
+    one = lambda x: -1 if x is None else x
+    assert Counter((one(r.doc_id), r.unit, r.words, r.run_words, one(r.first_doc_id), r.first_unit, r.removed) for r in got) == want and len(want) > 10
+    assert units.repeated_passages(none).count() == 0
+
+
+def test_unit_sql(spark):
+    import duckdb
+
+    from paratope.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    got = queries.QUERIES["op5_unit_hash"](spark, sf)
+    want = con.execute(queries.ORACLES["op5_unit_hash"])
+    names = [c[0] for c in want.description]
+    assert sorted(got.columns) == sorted(names)
+    assert Counter(tuple(r[n] for n in names) for r in got.collect()) == Counter(want.fetchall())
+
+
+def test_streams_of_keys():
+    """Groups are told and neighbours compared alike however the rows are cut into batches."""
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        rows = sorted((int(a), int(b), 1) for a, b in rng.integers(0, [6, 4], size=(rng.integers(0, 30), 2)))
+        cuts = sorted(rng.integers(0, len(rows) + 1, 4).tolist())
+        parts = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True)]
+        frames = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in p], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["sig", "cls", "n"]) for p in parts]
+        got = [tuple(r.values()) for t in njoin.shared_keys(frames) for r in t.to_pylist()]
+        by = defaultdict(set)
+        for s, c, _ in rows:
+            by[s].add(c)
+        assert sorted(got) == sorted((s, c, 1, min(v)) for s, v in by.items() if len(v) > 1 for c in v)
+        pairs = set()
+        for (sig, cls, _), begin in njoin.neighbours(frames, 3):
+            for shift in (1, 2, 3):
+                for i in range(max(0, begin - shift), len(sig) - shift):
+                    if sig[i] == sig[i + shift]:
+                        pairs.add((int(sig[i]), int(cls[i]), int(cls[i + shift])))
+        assert pairs == {(rows[i][0], rows[i][1], rows[j][1]) for j in range(len(rows)) for i in range(max(0, j - 3), j) if rows[i][0] == rows[j][0]}
+
+
 def test_language(spark, none):
     rng = random.Random(5)
     mine = {"aa": vocabulary(11, 200), "bb": [w.translate(str.maketrans("abcdefghijklmnop", "qrstuvwxyzàéüßñç")) for w in vocabulary(12, 200)]}
@@ -426,38 +489,73 @@ def test_suffix_tree(docs, none, spark):
     assert all_held.train_tokens == 0 and all_held.score == 0 and all_held.n_known == 0
 
 
-def test_suffix_tree_states_are_distributions(spark):
-    frame = spark.createDataFrame([(i, "a b c " * 30 + "b a d") for i in range(20)], "doc_id long, text string")
-    tree, words = suffixtree.fit(frame, F.lit(True), Scratch(spark, "t"), depth=3)
-    assert len(tree.keys[1]) and words.count() == 4
-    ids = np.arange(1, tree.end + 1)
-    for before in ([], [1], [2], [1, 2], [2, 1], [3, 1], [1, 1], [4, 2, 1]):
-        p = sum(10 ** tree.log10(np.array([*before, i]))[-1] for i in ids) + 1 / (tree.total + tree.kinds + 1) * _left(tree, before)
-        assert p == pytest.approx(1, abs=1e-9)
-
-
-def _left(tree, before):
-    return 10 ** tree.log10(np.array([*before, 0]))[-1]
-
-
-@pytest.mark.parametrize("hot", [1e-6, 0.02])
-def test_suffix_tree_keeps_rare_contexts(spark, monkeypatch, hot):
-    """All contexts and next tokens seen twice or more count, however large the corpus, broadcast or joined alike."""
-    monkeypatch.setattr(suffixtree, "HOT_RATE", hot)
-    rng, words = random.Random(9), vocabulary(5, 3000)
-    texts = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(300)]
-    pairs = [f"{a} {b} {c}" for a, b, c in zip(words[::3], words[1::3], words[2::3], strict=True)]
-    texts += [" ".join(rng.choice(pairs) for _ in range(40)) for _ in range(200)] + ["qqqq zzzz"] * 3
-    texts += [pairs[7], "", "not seen", "qqqq zzzz"]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    flag = F.col("doc_id") >= 503
-    tree, _ = suffixtree.fit(frame, ~flag, Scratch(spark, "t"))
-    assert len(tree.keys[1]) > 500 and len(tree.keys[2]) > 200
-    found = {r.doc_id: r for r in suffixtree.score(frame, flag).collect()}
-    got = {i: r.score for i, r in found.items()}
-    assert found[506].score > found[506].base_score + 4  # three occurrences among more than 60,000 tokens make a state
-    for i, text in enumerate(texts):
-        (w,) = suffixtree.words_of(pa.array([text]))
-        ids, _, known = tree.ids(w)
-        want = tree.log10(ids).sum() - (known == 0).sum() * math.log10(tree.total + tree.kinds + 1)
-        assert got[i] == pytest.approx(want, abs=1e-6)
+class SlowTree:
+    """The same model in dictionaries of tuples."""
+
+    def __init__(self, texts, depth):
+        self.depth, self.c, runs, number = depth, Counter(), Counter(), 0
+        for t in texts:
+            w = [0, *(t or "").encode().lower().split(), 0]
+            self.c.update(w[1:])
+            runs.update(tuple(w[i : i + n]) for n in range(2, depth + 2) for i in range(len(w) - n + 1))
+        number = sum(self.c.values())
+        self.room = number + len(self.c) + 1
+        contexts = {(w,): n for w, n in self.c.items() if n > 1}
+        below, self.states = {(w,): (n + 1) / self.room for w, n in self.c.items() if n > 1}, {}
+        for n in range(2, depth + 2):
+            entries, next_contexts, next_below = defaultdict(dict), {}, {}
+            for r, c in runs.items():
+                if len(r) == n and c > 1 and r[:-1] in contexts and r[1:] in below:
+                    entries[r[:-1]][r[-1]] = c
+            for x, e in entries.items():
+                share = {w: (c - 0.5) / contexts[x] for w, c in e.items()}
+                left = max(1 - sum(share.values()), 1e-12)
+                p = {w: s + left * below[*x[1:], w] for w, s in share.items()}
+                gain = sum(c * math.log2(p[w] / below[*x[1:], w]) for w, c in e.items()) + max(contexts[x] - sum(e.values()), 0) * math.log2(left)
+                kept = gain > 0.5 * math.log2(max(2, number)) * (1 + len(e))
+                for w, c in e.items():
+                    next_below[*x, w] = p[w] if kept else below[*x[1:], w]
+                    if kept:
+                        next_contexts[*x, w] = c
+                if kept:
+                    self.states[x] = left, p
+            contexts, below = next_contexts, next_below
+
+    def p(self, before, w):
+        for d in range(min(self.depth, len(before)), 0, -1):
+            x = tuple(before[-d:])
+            if x in self.states:
+                left, p = self.states[x]
+                return p[w] if w in p else left * self.p(x[1:], w)
+        return (self.c[w] + 1) / self.room
+
+    def score(self, text):
+        w = [0, *(text or "").encode().lower().split(), 0]
+        return sum(math.log10(self.p(w[:i], w[i])) for i in range(1, len(w)))
+
+
+def test_slow_tree_states_are_distributions():
+    tree = SlowTree(["a b c " * 30 + "b a d"] * 20, 3)
+    assert {1, 2} <= {len(x) for x in tree.states}
+    for before in ([], [b"a"], [b"b"], [b"a", b"b"], [b"b", b"a"], [b"c", b"a"], [0, b"a", b"b"], [b"z"]):
+        assert sum(tree.p(before, w) for w in tree.c) + tree.p(before, b"unseen") == pytest.approx(1, abs=1e-9)
+
+
+@pytest.mark.parametrize("depth, limits", [(2, {}), (3, {"HOT_CONTEXT": 30, "HOT_RUNS": 50, "BUCKET": 200, "FLUSH": 500, "DOCS": 7})])
+def test_suffix_tree_is_exact(spark, none, monkeypatch, depth, limits):
+    """Scores are those of the model in dictionaries, hot contexts and runs or not; the limits only part the work."""
+    for name, value in limits.items():
+        monkeypatch.setattr(suffixtree, name, value)
+    rng, words = random.Random(9), vocabulary(5, 1500)
+    texts = [" ".join(rng.choice(words) for _ in range(100)) for _ in range(150)]
+    pairs = [f"the {a} {b} {c}" for a, b, c in zip(words[:300:3], words[1:300:3], words[2:300:3], strict=True)]
+    texts += [" ".join(rng.choice(pairs) for _ in range(40)) for _ in range(100)] + ["qqqq zzzz"] * 3 + [texts[0]]
+    train = len(texts)
+    texts += [pairs[7], "", None, "not seen", "qqqq zzzz", texts[3], "again " * 300]
+    frame = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(texts)], "doc_id long, text string, score double").repartition(3)
+    tree = SlowTree(texts[:train], depth)
+    assert len(tree.states) > 200
+    found = {r.doc_id: r for r in suffixtree.score(frame, F.col("doc_id") >= train, depth).collect()}
+    assert len(found) == len(texts) and found[train + 4].score > found[train + 4].base_score + 4
+    for i, t in enumerate(texts):
+        assert found[i].score == pytest.approx(tree.score(t), abs=1e-6)
