@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from paratope.functions import sequences as S
 from paratope.functions import stats
-from paratope.operators import abundance, cluster, diversity, filters, hts, motifs, primer, productivity, refine, restriction, upstream
+from paratope.operators import abundance, cluster, diversity, filters, hts, motifs, primer, productivity, refine, restriction, search, upstream
 from paratope.plans.derived import oracle
 from paratope.plans.derived import table as derived
 
@@ -77,6 +77,12 @@ def _(spark, d):
     return derived(spark, d, "clone_seqs").groupBy(S.gene(F.col("germline")).alias("gene")).agg(F.count("*").alias("cnt"), F.sum(F.length("fr1")).alias("bases"))
 
 
+@query("a3_sequence_lists", f"SELECT {GENE.format('germline')} AS gene, fr1, count(*) AS copies FROM clone_seqs GROUP BY 1, 2")
+def _(spark, d):
+    """The lists as (gene, sequence, copies), so that no gene's list must fit in a task."""
+    return derived(spark, d, "clone_seqs").groupBy(S.gene(F.col("germline")).alias("gene"), "fr1").agg(F.count("*").alias("copies"))
+
+
 @query("a4_vj_association", f"SELECT {V_FAMILY} AS v, {GENE.format('jgene')} AS j, count(*) AS value FROM clone_annot WHERE {ACCEPT} AND length(vgene) >= 5 AND length(jgene) >= 5 GROUP BY 1, 2")
 def _(spark, d):
     return abundance.vj_association(filters.accepted(annot(spark, d)))
@@ -151,6 +157,20 @@ def _(spark, d):
     return productivity.distributions(annot(spark, d), ["vgaps", "vmismatches", "jgene"])
 
 
+GENE_COLUMNS = [f"{g}{x}" for g in "vdj" for x in ("gaps", "mismatches")]
+REGION_COLUMNS = [f"{r}_{x}" for r in ("cdr1", "cdr2", "cdr3g", "fr1", "fr2", "fr3g") for x in ("gaps", "mismatches")]
+
+
+@query("a11_gene_counters", _distribution_sql(GENE_COLUMNS))
+def _(spark, d):
+    return productivity.distributions(annot(spark, d), GENE_COLUMNS)
+
+
+@query("a11_region_counters", _distribution_sql(REGION_COLUMNS))
+def _(spark, d):
+    return productivity.distributions(annot(spark, d), REGION_COLUMNS)
+
+
 @query("a12_frames", _distribution_sql(["v_j_frame"]))
 def _(spark, d):
     return productivity.distributions(annot(spark, d), ["v_j_frame"])
@@ -176,6 +196,15 @@ def _(spark, d):
     return productivity.stops_by_region(derived(spark, d, "clone_seqs"))
 
 
+FRAME_STOPS = "SELECT '{f}' AS frame, '{r}' AS region, count(*) FILTER (contains({r}, '*')) AS cnt FROM clone_seqs WHERE queryid IN (SELECT CAST(split_part(queryid, '-', 1) AS BIGINT) FROM clone_annot WHERE v_j_frame = '{f}')"
+
+
+@query("a14_stops_by_frame", " UNION ALL ".join(FRAME_STOPS.format(f=f, r=r) for f in ("In-frame", "Out-of-frame") for r in REGIONS))
+def _(spark, d):
+    rows = annot(spark, d).select(F.split("queryid", "-")[0].cast("long").alias("queryid"), "v_j_frame")
+    return productivity.stops_by_frame(rows, derived(spark, d, "clone_seqs"))
+
+
 @query("a15_region_diversity", f"SELECT cdr3, count(*) AS cnt, {', '.join(f'count(DISTINCT {r}) AS n_{r}' for r in REGIONS if r != 'cdr3')} FROM clone_seqs WHERE length(cdr3) > 0 GROUP BY 1")
 def _(spark, d):
     return diversity.region_diversity(derived(spark, d, "clone_seqs"))
@@ -210,39 +239,22 @@ def _(spark, d):
     return abundance.heatmap(annot(spark, d), "alignlen", "identity")
 
 
-SHORT = "SELECT substring(cdr3, 1, 3) AS aa, count(*) AS cnt FROM clone_seqs WHERE length(cdr3) > 0 GROUP BY 1"
+CDR3 = "SELECT cdr3 AS aa, count(*) AS cnt FROM clone_seqs WHERE length(cdr3) > 0 AND cdr3 <> 'None' GROUP BY 1"
 
 
-def _short(spark, d):
-    return derived(spark, d, "clone_seqs").where(F.length("cdr3") > 0).groupBy(F.substring("cdr3", 1, 3).alias("aa")).agg(F.count("*").alias("cnt"))
+def _cdr3(spark, d):
+    """Clonotypes by their whole CDR3."""
+    return diversity.clonotypes(derived(spark, d, "clone_seqs").select(*REGIONS)).where("region = 'cdr3'").select("aa", "cnt")
 
 
-WHOLE = "SELECT cdr3 AS aa, count(*) AS cnt FROM clone_seqs WHERE length(cdr3) > 0 AND cdr3 <> 'None' GROUP BY 1"
-
-
-def _whole(spark, d):
-    """Clonotypes by their whole CDR3; the queries without ``_cdr3`` in their names count its first three letters, as their SQL does."""
-    return diversity.clonotypes(derived(spark, d, "clone_seqs")).where("region = 'cdr3'").select("aa", "cnt")
-
-
-DUPLICATION = """WITH s AS ({0}), f AS (SELECT cnt AS f, count(*) AS k FROM s GROUP BY 1), t AS (SELECT sum(f * k) AS total FROM f),
+DUPLICATION = """WITH s AS ({0}), f AS (SELECT region, cnt AS f, count(*) AS k FROM s GROUP BY 1, 2), t AS (SELECT region, sum(f * k) AS total FROM f GROUP BY 1),
     x AS (SELECT 10 + i * (10000 - 10) / 99.0::DOUBLE AS times FROM range(100) r(i))
-    SELECT 'cdr3' AS region, round(times, 6) AS times, round(n / total, 9) AS share FROM (SELECT f::DOUBLE AS times, k::DOUBLE AS n FROM f WHERE f < 10 UNION ALL SELECT times, sum(CASE WHEN f >= times THEN f * k ELSE 0 END)::DOUBLE FROM f, x GROUP BY 1) y, t"""
+    SELECT region, round(times, 6) AS times, round(n / total, 9) AS share FROM (SELECT region, f::DOUBLE AS times, k::DOUBLE AS n FROM f WHERE f < 10 UNION ALL SELECT region, times, sum(CASE WHEN f >= times THEN f * k ELSE 0 END)::DOUBLE FROM f, x GROUP BY 1, 2) y JOIN t USING (region)"""
 
 
-@query("a20_duplication_cdr3", DUPLICATION.format(WHOLE))
-def _(spark, d):
-    return diversity.duplication(_whole(spark, d).withColumn("region", F.lit("cdr3")))
-
-
-@query(
-    "a20_duplication",
-    f"""WITH s AS ({SHORT}), f AS (SELECT cnt AS f, count(*) AS k FROM s GROUP BY 1), t AS (SELECT sum(f * k) AS total FROM f),
-    x AS (SELECT 10 + i * (10000 - 10) / 99.0::DOUBLE AS times FROM range(100) r(i))
-    SELECT 'cdr3' AS region, round(times, 6) AS times, round(n / total, 9) AS share FROM (SELECT f::DOUBLE AS times, k::DOUBLE AS n FROM f WHERE f < 10 UNION ALL SELECT times, sum(CASE WHEN f >= times THEN f * k ELSE 0 END)::DOUBLE FROM f, x GROUP BY 1) y, t""",
-)
+@query("a20_duplication", DUPLICATION.format(f"SELECT 'cdr3' AS region, * FROM ({CDR3}) c"))
 def _(spark, d):
-    return diversity.duplication(_short(spark, d).withColumn("region", F.lit("cdr3")))
+    return diversity.duplication(_cdr3(spark, d).withColumn("region", F.lit("cdr3")))
 
 
 COMPOSITION = "SELECT CAST(i AS INT) AS position, substring(cdr3, i::INT + 1, 1) AS aa, count(*) AS weight FROM clone_seqs, range(30) r(i) WHERE i < length(cdr3) GROUP BY 1, 2"
@@ -325,26 +337,49 @@ def _upstream(spark, d):
     return upstream.extract(_reads_with_annotation(spark, d), 1, 20)
 
 
+@query("c10_upstream", UPSTREAM)
+def _(spark, d):
+    return _upstream(spark, d).select("vgene", "id", "upstream")
+
+
 @query("c10_upstream_lengths", f"WITH u AS ({UPSTREAM}) SELECT length(upstream) AS length, count(*) AS cnt FROM u GROUP BY 1")
 def _(spark, d):
     return upstream.length_distribution(_upstream(spark, d))
 
 
-@query("a29_upstream_classes")
+PLAIN_FAMILY = "split_part(split_part(split_part(vgene, '*', 1), '-', 1), '/', 1)"
+CLASSES = f"""WITH u AS ({UPSTREAM}), k AS (SELECT vgene, CASE WHEN length(upstream) NOT BETWEEN 10 AND 20 THEN 'ignored'
+    WHEN contains(upper(upstream), 'N') OR regexp_matches(substring(upper(upstream), 4), '^(...)*(TAA|TAG|TGA)') THEN 'faulty' WHEN NOT starts_with(upper(upstream), 'ATG') THEN 'no-atg' ELSE 'valid' END AS class FROM u)
+    SELECT 'gene' AS level, {V_GENE} AS name, class, count(*) AS cnt FROM k GROUP BY 2, 3 UNION ALL SELECT 'family', {PLAIN_FAMILY}, class, count(*) FROM k GROUP BY 2, 3"""
+
+
+@query("a29_upstream_classes", CLASSES)
 def _(spark, d):
     return upstream.counts(upstream.classify(_upstream(spark, d), "secsig", (10, 20)))
 
 
+def _with_primers(spark, d, side):
+    return primer.add_primers(_reads_with_annotation(spark, d), PRIMERS, side)
+
+
 @query("a26_primer_integrity")
 def _(spark, d):
-    reads = derived(spark, d, "reads").withColumn("strand", F.lit("forward"))
-    return primer.integrity(primer.add_primers(reads, PRIMERS, "5"), "5")
+    return primer.integrity(_with_primers(spark, d, "5"), "5")
+
+
+@query("a26_primer_integrity_3")
+def _(spark, d):
+    return primer.integrity(_with_primers(spark, d, "3"), "3")
 
 
 @query("a27_indelled_primers")
 def _(spark, d):
-    reads = derived(spark, d, "reads").withColumns({"strand": F.lit("forward"), "v_j_frame": F.lit("In-frame"), "stopcodon": F.lit("No")})
-    return primer.indelled(primer.add_primers(reads, PRIMERS, "5"), "5")
+    return primer.indelled(_with_primers(spark, d, "5"), "5")
+
+
+@query("a27_indel_positions")
+def _(spark, d):
+    return primer.indel_positions(_with_primers(spark, d, "5"), "5")
 
 
 @query("u7_refinement_flags")
@@ -375,9 +410,17 @@ def _(spark, d):
     return rows.select("queryid", S.slice_read(F.col("seq"), F.col("vqstart"), F.col("vstart"), F.col("fr4_end")).alias("slice"))
 
 
-@query("f7_iupac_match", "SELECT read_id, regexp_full_match(upper(substring(seq, 1, 6)), '[AG].C[ACG][ACT]T') AS fits FROM reads WHERE length(seq) >= 6")
+@query("f7_iupac_match", "SELECT read_id, TRUE AS own, translate(reverse(seq), 'ACGT', 'RYRY') = translate(seq, 'ACGT', 'RYRY') AS mirrored FROM reads")
+def _(spark, d):
+    """Whole sequences against their own purines and pyrimidines, and against those of the sequence read backwards."""
+    codes = lambda c: F.translate(c, "ACGT", "RYRY")
+    seq = F.col("seq")
+    return derived(spark, d, "reads").select("read_id", S.matches_codes(seq, codes(seq), S.IUPAC).alias("own"), S.matches_codes(seq, codes(F.reverse(seq)), S.IUPAC).alias("mirrored"))
+
+
+@query("f14_plain_sequences", "SELECT read_id, seq FROM reads WHERE NOT regexp_matches(upper(seq), '[NRYKMSWBDHV]')")
 def _(spark, d):
-    return derived(spark, d, "reads").where(F.length("seq") >= 6).select("read_id", S.matches_codes(F.substring("seq", 1, 6), F.lit("RNCVHT"), S.IUPAC).alias("fits"))
+    return S.plain_sequences(derived(spark, d, "reads")).select("read_id", "seq")
 
 
 @query("f14_strip_n", "SELECT read_id, regexp_replace(concat('NN', seq, 'N'), '^N+|N+$', '', 'g') AS seq FROM reads")
@@ -385,6 +428,18 @@ def _(spark, d):
     return derived(spark, d, "reads").select("read_id", S.strip_n(F.concat(F.lit("NN"), F.col("seq"), F.lit("N"))).alias("seq"))
 
 
+@query("e1_union", "SELECT doc_id FROM labels WHERE quality = 1 UNION SELECT doc_id FROM labels WHERE toxic = 1")
+def _(spark, d):
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    return filters.either(labels.where("quality = 1").select("doc_id"), labels.where("toxic = 1").select("doc_id"))
+
+
+@query("e1_intersection", "SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def _(spark, d):
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    return filters.restrict(labels.where("quality = 1").select("doc_id"), labels.where("toxic = 1"), "doc_id")
+
+
 @query("e1_xor", "WITH a AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1), b AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) (SELECT doc_id FROM a EXCEPT SELECT doc_id FROM b) UNION (SELECT doc_id FROM b EXCEPT SELECT doc_id FROM a)")
 def _(spark, d):
     labels = spark.read.parquet(f"{d}/labels.parquet")
@@ -403,34 +458,19 @@ def _(spark, d):
     return a.agg(F.count("*").alias("first")).crossJoin(b.agg(F.count("*").alias("second")))
 
 
-@query("o1_top_clonotypes", f"WITH s AS ({SHORT}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt DESC, aa LIMIT 50")
-def _(spark, d):
-    return abundance.top(_short(spark, d), 50, "aa")
-
-
-@query("o1_rare_clonotypes", f"WITH s AS ({SHORT}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt, aa LIMIT 50")
-def _(spark, d):
-    return abundance.top(_short(spark, d), 50, "aa", rare=True)
-
-
-@query("o1_top_clonotypes_cdr3", f"WITH s AS ({WHOLE}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt DESC, aa LIMIT 50")
+@query("o1_top_clonotypes", f"WITH s AS ({CDR3}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt DESC, aa LIMIT 50")
 def _(spark, d):
-    return abundance.top(_whole(spark, d), 50, "aa")
+    return abundance.top(_cdr3(spark, d), 50, "aa")
 
 
-@query("o1_rare_clonotypes_cdr3", f"WITH s AS ({WHOLE}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt, aa LIMIT 50")
+@query("o1_rare_clonotypes", f"WITH s AS ({CDR3}) SELECT aa, cnt, round(1e2 * cnt / (SELECT sum(cnt) FROM s), 6) AS pct FROM s ORDER BY cnt, aa LIMIT 50")
 def _(spark, d):
-    return abundance.top(_whole(spark, d), 50, "aa", rare=True)
+    return abundance.top(_cdr3(spark, d), 50, "aa", rare=True)
 
 
-@query("w3_cumulative_cdr3", f"WITH s AS ({WHOLE}) SELECT aa, cnt, CAST(sum(cnt) OVER (ORDER BY aa ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM s")
+@query("w3_cumulative", f"WITH s AS ({CDR3}) SELECT aa, cnt, CAST(sum(cnt) OVER (ORDER BY aa ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM s")
 def _(spark, d):
-    return diversity.cumulative(_whole(spark, d), "aa")
-
-
-@query("w3_cumulative", f"WITH s AS ({SHORT}) SELECT aa, cnt, CAST(sum(cnt) OVER (ORDER BY aa ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM s")
-def _(spark, d):
-    return diversity.cumulative(_short(spark, d), "aa")
+    return diversity.cumulative(_cdr3(spark, d), "aa")
 
 
 @query("w5_average_ranks", "SELECT experiment, probe, value, rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2.0::DOUBLE AS rank FROM hts")
@@ -452,68 +492,81 @@ def _(spark, d):
     return derived(spark, d, "reads").select("read_id", S.translate_dna(F.col("seq")).alias("protein"))
 
 
-@query("c4_protein_fragment", "SELECT queryid, substring('ACDEFGHIKLMNPQRSTVWYACDEFGHIKLMNPQRSTVWY', CAST(greatest(floor((fr1_start - vstart - 1) / 3), 0) AS INT) + 1, greatest(CAST(floor((fr1_end - vstart) / 3) AS INT) - CAST(greatest(floor((fr1_start - vstart - 1) / 3), 0) AS INT), 0)) AS frag FROM clone_annot")
+@query("c4_protein_fragment", f"SELECT a.queryid, substring({' || '.join('s.' + r for r in REGIONS)}, CAST(greatest(floor((fr1_start - vstart - 1) / 3), 0) AS INT) + 1, greatest(CAST(floor((fr1_end - vstart) / 3) AS INT) - CAST(greatest(floor((fr1_start - vstart - 1) / 3), 0) AS INT), 0)) AS frag FROM clone_annot a JOIN clone_seqs s ON s.queryid = CAST(split_part(a.queryid, '-', 1) AS BIGINT)")
 def _(spark, d):
-    protein = F.lit("ACDEFGHIKLMNPQRSTVWYACDEFGHIKLMNPQRSTVWY")
-    return annot(spark, d).select("queryid", S.protein_fragment(protein, F.col("fr1_start"), F.col("fr1_end"), F.col("vstart")).alias("frag"))
+    protein = derived(spark, d, "clone_seqs").select(F.col("queryid").alias("id"), F.concat(*REGIONS).alias("protein"))
+    rows = annot(spark, d).withColumn("id", F.split("queryid", "-")[0].cast("long")).join(protein, "id")
+    return rows.select("queryid", S.protein_fragment(F.col("protein"), F.col("fr1_start"), F.col("fr1_end"), F.col("vstart")).alias("frag"))
 
 
-@query("c7_hit_positions")
+@query("c7_hit_positions", """WITH p AS (SELECT read_id, string_split_regex(upper(seq), 'G[AG]TC') AS parts FROM reads), i AS (SELECT read_id, parts, unnest(range(0, len(parts) - 1)) AS i FROM p)
+    SELECT read_id, CAST(i * 4 + list_sum(list_transform(parts[1:i + 1], lambda x: length(x))) AS INT) AS place FROM i""")
 def _(spark, d):
-    return derived(spark, d, "reads").select("read_id", restriction.hit_positions(F.col("seq"), S.iupac_regex("GRTC")).alias("at"))
+    return derived(spark, d, "reads").select("read_id", F.explode(restriction.hit_positions(F.col("seq"), S.iupac_regex("GRTC"))).alias("place"))
 
 
-@query("c14_identical_places", "SELECT read_id, CAST(list_sum(list_transform(range(1, 9), lambda i: CASE WHEN substring(seq, i, 1) = substring('ACGTACGT', i, 1) THEN 1 ELSE 0 END)) AS INT) AS same FROM reads WHERE length(seq) >= 8")
+@query("c14_identical_places", "SELECT read_id, CAST(coalesce(list_sum(list_transform(list_zip(string_split(seq, ''), list_reverse(string_split(seq, ''))), lambda x: CASE WHEN x[1] = x[2] THEN 1 ELSE 0 END)), 0) AS INT) AS same FROM reads WHERE seq <> ''")
 def _(spark, d):
-    return derived(spark, d, "reads").where(F.length("seq") >= 8).select("read_id", S.identical_places(F.substring("seq", 1, 8), F.lit("ACGTACGT")).alias("same"))
+    return derived(spark, d, "reads").where("seq <> ''").select("read_id", S.identical_places(F.col("seq"), F.reverse("seq")).alias("same"))
 
 
-@query("c16_fixed_width", "SELECT read_id, length(seq) + CAST(greatest(ceil(length(seq) / 70.0) - 1, 0) AS INT) AS size FROM reads")
+@query("c16_fixed_width", "SELECT read_id, rtrim(regexp_replace(seq, '(.{70})', '\\1' || chr(10), 'g'), chr(10)) AS text FROM reads")
 def _(spark, d):
-    return derived(spark, d, "reads").select("read_id", F.length(S.fixed_width(F.col("seq"))).alias("size"))
+    return derived(spark, d, "reads").select("read_id", S.fixed_width(F.col("seq")).alias("text"))
 
 
 # ---------------------------------------------------------------- diversity estimators
-RARE_SIZES = [10, 15, 22, 33, 49, 73, 109, 163, 244, 366]
+RAREFACTION = """WITH s AS ({0}), f AS (SELECT region, cnt AS f, count(*) AS k FROM s GROUP BY 1, 2), t AS (SELECT region, CAST(sum(cnt) AS BIGINT) AS n FROM s GROUP BY 1),
+    x AS (SELECT region, m FROM (SELECT unnest({1}) AS m) y, t WHERE m < n UNION SELECT region, n FROM t),
+    l AS (SELECT region, m, k, CASE WHEN m > n - f THEN 0 ELSE exp(lgamma(n - f + 1) - lgamma(n - f - m + 1) - lgamma(n + 1) + lgamma(n - m + 1)) END AS missed FROM f JOIN t USING (region) JOIN x USING (region))
+    SELECT region, CAST(m AS BIGINT) AS n, round(sum(k * (1 - missed)), 6) AS expected FROM l GROUP BY 1, 2"""
 
 
-@query(
-    "d1_rarefaction",
-    f"""WITH s AS ({SHORT}), f AS (SELECT cnt AS f, count(*) AS k FROM s GROUP BY 1), t AS (SELECT CAST(sum(cnt) AS BIGINT) AS n FROM s), x AS (SELECT unnest({RARE_SIZES}) AS m),
-    l AS (SELECT m, k, CASE WHEN m > n - f THEN 0 ELSE exp(lgamma(n - f + 1) - lgamma(n - f - m + 1) - lgamma(n + 1) + lgamma(n - m + 1)) END AS missed FROM f, t, x WHERE m <= n)
-    SELECT CAST(m AS BIGINT) AS n, round(sum(k * (1 - missed)), 6) AS expected FROM l GROUP BY 1""",
-)
+@query("d1_rarefaction", f"SELECT n, expected FROM ({RAREFACTION.format(f"SELECT 'cdr3' AS region, * FROM ({CDR3}) c", diversity.ticks(10**15))}) r")
 def _(spark, d):
-    return diversity.rarefaction(_short(spark, d), RARE_SIZES)
+    counts = _cdr3(spark, d)
+    return diversity.rarefaction(counts, diversity.ticks(counts.agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]))
 
 
-@query("d2_recapture", f"WITH s AS ({SHORT}), u AS (SELECT count(*)::DOUBLE AS u FROM s) SELECT CAST(m AS BIGINT) AS n, round(100 * (1 - power(1 - 1 / u, m)), 6) AS pct FROM u, (SELECT unnest([100, 500, 1000, 5000]) AS m) x")
+RECAPTURE_SIZES = [100 + (35000 - 100) * i // 49 for i in range(50)]
+RECAPTURE = "SELECT region, CAST(m AS BIGINT) AS n, round(100 * (1 - power(1 - 1 / u, m)), 6) AS pct FROM (SELECT region, count(*)::DOUBLE AS u FROM ({0}) c GROUP BY 1) u, (SELECT unnest({1}) AS m) x"
+
+
+@query("d2_recapture", f"SELECT n, pct FROM ({RECAPTURE.format(f"SELECT 'cdr3' AS region, * FROM ({CDR3}) c", RECAPTURE_SIZES)}) r")
 def _(spark, d):
-    return diversity.recapture(_short(spark, d), [100, 500, 1000, 5000])
+    return diversity.recapture(_cdr3(spark, d), RECAPTURE_SIZES)
 
 
 @query("d1_sampled_richness")
 def _(spark, d):
-    return diversity.sampled_richness(_whole(spark, d), "aa", 100, [1, 2, 3])
+    return diversity.sampled_richness(_cdr3(spark, d), "aa", 100, [1, 2, 3])
 
 
-@query(
-    "d1_rarefaction_cdr3",
-    f"""WITH s AS ({WHOLE}), f AS (SELECT cnt AS f, count(*) AS k FROM s GROUP BY 1), t AS (SELECT CAST(sum(cnt) AS BIGINT) AS n FROM s), x AS (SELECT m FROM (SELECT unnest({diversity.ticks(10**15)}) AS m) y, t WHERE m < n UNION SELECT n FROM t),
-    l AS (SELECT m, k, CASE WHEN m > n - f THEN 0 ELSE exp(lgamma(n - f + 1) - lgamma(n - f - m + 1) - lgamma(n + 1) + lgamma(n - m + 1)) END AS missed FROM f, t, x)
-    SELECT CAST(m AS BIGINT) AS n, round(sum(k * (1 - missed)), 6) AS expected FROM l GROUP BY 1""",
-)
+@query("d3_weighted_recapture", f"WITH s AS ({CDR3}), t AS (SELECT CAST(sum(cnt) AS DOUBLE) AS total FROM s), x AS (SELECT unnest({RECAPTURE_SIZES}) AS m), q AS (SELECT m, 1 - power(1 - cnt / total, m) AS q FROM s, t, x) SELECT CAST(m AS BIGINT) AS n, round(100 * sum(q * q) / sum(q), 6) AS pct FROM q GROUP BY 1")
 def _(spark, d):
-    counts = _whole(spark, d)
-    return diversity.rarefaction(counts, diversity.ticks(counts.agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0]))
+    return diversity.weighted_recapture(_cdr3(spark, d), RECAPTURE_SIZES)
 
 
-RECAPTURE_SIZES = [100 + (35000 - 100) * i // 49 for i in range(50)]
+GROUPED = "WITH g AS (SELECT * FROM (VALUES " + ", ".join(f"('{g}', '{r}')" for g, rs in diversity.GROUPS.items() for r in rs) + ") v(grp, region)), t0 AS ({0}) SELECT g.grp, t0.* FROM t0 JOIN g USING (region)"
+
+
+def _by_region(spark, d):
+    return diversity.clonotypes(derived(spark, d, "clone_seqs"))
+
+
+@query("d5_group_duplication", GROUPED.format(DUPLICATION.format(CLONES)))
+def _(spark, d):
+    return diversity.in_groups(diversity.duplication(_by_region(spark, d)))
 
 
-@query("d2_recapture_cdr3", f"WITH s AS ({WHOLE}), u AS (SELECT count(*)::DOUBLE AS u FROM s) SELECT CAST(m AS BIGINT) AS n, round(100 * (1 - power(1 - 1 / u, m)), 6) AS pct FROM u, (SELECT unnest({RECAPTURE_SIZES}) AS m) x")
+@query("d5_group_recapture", GROUPED.format(RECAPTURE.format(CLONES, RECAPTURE_SIZES)))
 def _(spark, d):
-    return diversity.recapture(_whole(spark, d), RECAPTURE_SIZES)
+    return diversity.in_groups(diversity.region_recapture(_by_region(spark, d), RECAPTURE_SIZES))
+
+
+@query("d5_group_rarefaction", GROUPED.format(RAREFACTION.format(CLONES, diversity.ticks(10**15))))
+def _(spark, d):
+    return diversity.in_groups(diversity.region_rarefaction(_by_region(spark, d)))
 
 
 # ---------------------------------------------------------------- matrices and annotation
@@ -522,6 +575,44 @@ def _(spark, d):
     return hts.at_most(derived(spark, d, "hts"), "click", 20)
 
 
+@query("f9_overexpressed", "SELECT probe FROM hts WHERE experiment = 'click' AND value >= 60")
+def _(spark, d):
+    return hts.at_least(derived(spark, d, "hts"), "click", 60)
+
+
+@query("f9_bound_by", "SELECT DISTINCT experiment FROM hts WHERE value <= 5")
+def _(spark, d):
+    rows = derived(spark, d, "hts")
+    return hts.bound_by(rows.withColumn("probe", F.lit("any")), "any", 5).distinct()
+
+
+@query("f12_values", "SELECT probe, value FROM hts WHERE translate(experiment, '_', ' ') = 'click'")
+def _(spark, d):
+    return hts.values(derived(spark, d, "hts"), "click")
+
+
+@query("j12_lookup", "WITH g AS (SELECT DISTINCT gene FROM annotation WHERE size <= 10), p AS (SELECT DISTINCT probe FROM hts) SELECT probe, CASE WHEN g.gene IS NULL THEN probe ELSE concat('gene ', g.gene) END AS mapped FROM p LEFT JOIN g ON g.gene = p.probe")
+def _(spark, d):
+    genes = derived(spark, d, "annotation").where("size <= 10").select(F.col("gene").alias("probe")).distinct()
+    return hts.lookup(derived(spark, d, "hts").select("probe").distinct(), genes.withColumn("mapped", F.concat(F.lit("gene "), "probe")), "probe")
+
+
+@query("a34_categories", "SELECT category, count(*) AS genes, string_agg(gene, ',' ORDER BY gene) AS members FROM (SELECT DISTINCT gene, category FROM annotation) a GROUP BY 1")
+def _(spark, d):
+    return hts.categories(derived(spark, d, "annotation"))
+
+
+@query("a35_location", "SELECT experiment, round(quantile_cont(value, 0.5), 6) AS median, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd FROM hts GROUP BY 1")
+def _(spark, d):
+    return hts.location(derived(spark, d, "hts"), "value", "experiment").select("experiment", *(F.round(c, 6).alias(c) for c in ("median", "mean", "sd")))
+
+
+@query("m42_nearest", "WITH p AS (SELECT probe AS id, experiment AS chrom, CAST(round(value * 100) AS BIGINT) AS pos FROM hts), m AS (SELECT DISTINCT chrom, pos AS mark FROM p WHERE pos % 97 = 0) SELECT id, chrom, pos, min(abs(pos - mark)) AS distance FROM p JOIN m USING (chrom) GROUP BY 1, 2, 3")
+def _(spark, d):
+    rows = derived(spark, d, "hts").select(F.col("probe").alias("id"), F.col("experiment").alias("chrom"), F.round(F.col("value") * 100).cast("long").alias("pos"))
+    return hts.nearest(rows, rows.where("pos % 97 = 0").select("chrom", F.col("pos").alias("mark")).distinct())
+
+
 @query("f10_bound_in_all", "SELECT probe FROM (SELECT probe FROM hts WHERE regexp_matches(experiment, '^c') GROUP BY probe HAVING bool_and(value <= 60)) a WHERE probe IN (SELECT probe FROM hts WHERE regexp_matches(experiment, 'view') GROUP BY probe HAVING bool_and(value >= 1))")
 def _(spark, d):
     return _bound(spark, d)
@@ -542,6 +633,11 @@ def _(spark, d):
     return hts.extremes(derived(spark, d, "hts"), "click", 20, threshold=10)
 
 
+@query("o3_lowest", "SELECT probe, value FROM (SELECT probe, value FROM hts WHERE experiment = 'click' ORDER BY value, probe LIMIT 20) x WHERE value <= 10")
+def _(spark, d):
+    return hts.extremes(derived(spark, d, "hts"), "click", 20, lowest=True, threshold=10)
+
+
 @query("n6_rank_pvalue", "SELECT round(greatest(count(*) FILTER (value > 30), 1)::DOUBLE / nullif(count(*), 0), 9) AS p FROM hts WHERE experiment = 'click'")
 def _(spark, d):
     return hts.rank_pvalue(derived(spark, d, "hts"), "click", 30)
@@ -592,7 +688,26 @@ def _(spark, d):
     return motifs.markov(derived(spark, d, "reads"), 2)
 
 
-@query("m2_pfm", f"WITH x AS (SELECT {GENE.format('germline')} AS gene, fr1 AS seq FROM clone_seqs), w AS (SELECT gene, max(length(seq)) AS m FROM x GROUP BY 1) SELECT gene, CAST(i AS INT) AS pos, substring(rpad(seq, m::INT, '-'), i::INT + 1, 1) AS letter, count(*) AS cnt FROM x JOIN w USING (gene), range(25) r(i) WHERE i < m GROUP BY 1, 2, 3")
+PFM = f"WITH x AS (SELECT {GENE.format('germline')} AS gene, fr1 AS seq FROM clone_seqs), w AS (SELECT gene, max(length(seq)) AS m FROM x GROUP BY 1) SELECT gene, CAST(i AS INT) AS pos, substring(rpad(seq, m::INT, '-'), i::INT + 1, 1) AS letter, count(*) AS cnt FROM x JOIN w USING (gene), range(25) r(i) WHERE i < m GROUP BY 1, 2, 3"
+
+
+@query("a31_frequent_kmers", f"WITH k AS ({KMERS.format(k=6)}), c AS (SELECT {CANON} AS kmer, count(*) AS cnt FROM k GROUP BY 1) SELECT kmer, cnt FROM c WHERE cnt > (SELECT greatest(2, 0.1 * count(*)) FROM reads) AND length(replace(kmer, 'N', '')) >= 5")
+def _(spark, d):
+    return search.frequent_kmers(derived(spark, d, "reads"), 6)
+
+
+@query("m3_consensus", f"SELECT gene, pos, letter, cnt FROM (SELECT *, row_number() OVER (PARTITION BY gene, pos ORDER BY cnt DESC, letter) AS rn FROM ({PFM}) p) q WHERE rn = 1")
+def _(spark, d):
+    return motifs.consensus(motifs.pfm(derived(spark, d, "clone_seqs").select(S.gene(F.col("germline")).alias("gene"), F.col("fr1").alias("seq")), "gene"), "gene")
+
+
+@query("m3_degenerate_consensus")
+def _(spark, d):
+    rows = _upstream(spark, d).select(S.gene(F.col("vgene")).alias("gene"), F.col("upstream").alias("seq"))
+    return motifs.degenerate_consensus(motifs.pfm(rows, "gene"), "gene")
+
+
+@query("m2_pfm", PFM)
 def _(spark, d):
     return motifs.pfm(derived(spark, d, "clone_seqs").select(S.gene(F.col("germline")).alias("gene"), F.col("fr1").alias("seq")), "gene")
 
@@ -610,9 +725,29 @@ def _(spark, d):
     return motifs.enrichment(motifs.pattern_match(_probes(spark, d), "TGASTCA"), _subset(spark, d)).drop("p")
 
 
-@query("m17_enrichment_p")
+HITS = f"SELECT regexp_matches(upper(seq), 'TGA[CGS]TCA') OR regexp_matches({RC.format('upper(seq)')}, 'TGA[CGS]TCA') AS hit, read_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS own FROM reads"
+TAIL = "list_sum(list_transform(range(found, least(draws, marked) + 1), lambda k: CASE WHEN draws - k > total - marked THEN 0 ELSE exp(lgamma(marked + 1) - lgamma(k + 1) - lgamma(marked - k + 1) + lgamma(total - marked + 1) - lgamma(draws - k + 1) - lgamma(total - marked - draws + k + 1) - lgamma(total + 1) + lgamma(draws + 1) + lgamma(total - draws + 1)) END))"
+
+
+@query("m17_enrichment_p", f"WITH h AS ({HITS}), t AS (SELECT count(*) FILTER (hit AND own) AS found, count(*) FILTER (own) AS draws, count(*) FILTER (hit) AS marked, count(*) AS total FROM h) SELECT found, draws, marked, total, round(least(1, {TAIL}), 8) AS p FROM t")
+def _(spark, d):
+    return motifs.enrichment(motifs.pattern_match(_probes(spark, d), "TGASTCA"), _subset(spark, d)).withColumn("p", F.round("p", 8))
+
+
+@query("f13_matching_probes", "SELECT read_id AS probe_id FROM reads WHERE regexp_matches(upper(seq), 'TGA[CG]TCA')")
+def _(spark, d):
+    return hts.matching_probes(_probes(spark, d), "TGA[CG]TCA")
+
+
+@query("m18_best_threshold")
+def _(spark, d):
+    best = search.best_threshold(search.score_ratios(_probes(spark, d), _subset(spark, d), motifs.Motif.from_text("TGASTCA")))
+    return spark.createDataFrame([best], "factor double, p double")
+
+
+@query("m20_metrics")
 def _(spark, d):
-    return motifs.enrichment(motifs.pattern_match(_probes(spark, d), "TGASTCA"), _subset(spark, d))
+    return search.evaluate(_probes(spark, d), _subset(spark, d), {t: motifs.Motif.from_text(t) for t in ("TGASTCA", "ACGTRA")})
 
 
 @query("m12_scan")
@@ -626,10 +761,10 @@ def _(spark, d):
     return motifs.group_specificity(scored, _subset(spark, d))
 
 
-@query("m22_rank_sum", "WITH s AS (SELECT n_chars AS v, lang = 'en' AS g FROM documents), r AS (SELECT g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0::DOUBLE AS r FROM s), a AS (SELECT count(*) FILTER (g) AS n1, count(*) FILTER (NOT g) AS n2, sum(CASE WHEN g THEN r ELSE 0 END) AS w FROM r) SELECT n1, n2, round((w - n1 * (n1 + 1) / 2) / (n1::DOUBLE * n2), 9) AS auc FROM a")
+@query("m22_rank_sum", "WITH s AS (SELECT n_chars AS v, lang = 'en' AS g FROM documents), r AS (SELECT g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0::DOUBLE AS r FROM s), a AS (SELECT count(*) FILTER (g) AS n1, count(*) FILTER (NOT g) AS n2, sum(CASE WHEN g THEN r ELSE 0 END) AS w FROM r) SELECT n1, n2, w, w - n1 * (n1 + 1) / 2.0::DOUBLE AS u, round((w - n1 * (n1 + 1) / 2.0::DOUBLE - n1 * n2 / 2.0::DOUBLE) / sqrt(n1 * n2 * (n1 + n2 + 1) / 12.0::DOUBLE), 6) AS z, round((w - n1 * (n1 + 1) / 2.0::DOUBLE) / (n1::DOUBLE * n2), 9) AS auc FROM a")
 def _(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet").select(F.col("n_chars").alias("v"), (F.col("lang") == "en").alias("g"))
-    return stats.rank_sum(docs, "v", "g").select("n1", "n2", F.round("auc", 9).alias("auc"))
+    return stats.rank_sum(docs, "v", "g").select("n1", "n2", "w", "u", F.round("z", 6).alias("z"), F.round("auc", 9).alias("auc"))
 
 
 @query("m30_em")

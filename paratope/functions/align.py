@@ -129,6 +129,18 @@ def aligned_to(query: str, dna: bool):
     return run
 
 
+def aligned_pairs(dna: bool):
+    """A pandas UDF that aligns each query to the sequence beside it."""
+
+    @F.pandas_udf(ALIGNED)
+    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for s, q in parts:
+            found = [best_alignment(x, y, dna) if x and y else None for x, y in zip(s, q, strict=True)]
+            yield pd.DataFrame([f or (None, None, None) for f in found], columns=["start", "end", "gapped"])
+
+    return run
+
+
 PRIMER = "struct<id:string,mismatch:int,indel:int,start:int,end:int>"
 
 
@@ -143,7 +155,8 @@ def match_pattern(seq: str, patterns: list[tuple[str, str]], extend5: bool) -> t
             return "nan", 0, 0, 0, 0
         pairs = [(i, j) for i, j in path if i >= 0 and j >= 0]
         table = scores("iupac")
-        missed = [j + 1 for i, j in pairs if table[ord(seq[i].upper()), ord(pattern[j].upper())] < 0]
+        code = lambda c: ord(c.upper()) if c.isascii() else ord("?")
+        missed = [j + 1 for i, j in pairs if table[code(seq[i]), code(pattern[j])] < 0]
         gaps = [max((y for x, y in path[:k] if y >= 0), default=-1) + 1 if j < 0 else j + 1 for k, (i, j) in enumerate(path) if i < 0 or j < 0]
         front = pairs[0][1]
         lead = range(1, front + 1) if extend5 else ()
@@ -165,7 +178,8 @@ def primer_matcher(patterns: list[tuple[str, str]], extend5: bool = True):
     @F.pandas_udf(PRIMER)
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in parts:
-            yield pd.DataFrame([match_pattern(x, patterns, extend5) if x else ("nan", 0, 0, 0, 0) for x in s], columns=["id", "mismatch", "indel", "start", "end"])
+            known = {x: match_pattern(x, patterns, extend5) if x else ("nan", 0, 0, 0, 0) for x in s.unique()}
+            yield pd.DataFrame([known[x] for x in s], columns=["id", "mismatch", "indel", "start", "end"])
 
     return run
 

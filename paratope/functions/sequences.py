@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # IUPAC nucleotide codes and the bases they stand for.
@@ -26,19 +26,17 @@ def reverse_complement(seq: Column, table: tuple[str, str] = COMPLEMENT) -> Colu
 
 
 def translate_dna(seq: Column) -> Column:
-    """Protein of the first frame; trailing bases are dropped, stops are ``*`` and codons with other letters ``X``."""
+    """Protein of the first frame; trailing bases are dropped, stops are ``*`` and codons with other letters ``X``. The text is cut
+    into codons in one pass."""
     listed = F.lit("|".join(CODONS))
-    n = F.floor(F.length(seq) / 3).cast("int")
 
     def residue(at: Column) -> Column:
         return F.when(at % 4 == 1, F.substring(F.lit(AMINO), F.floor(at / 4).cast("int") + 1, F.lit(1))).otherwise("X")
 
-    def letter(i: Column) -> Column:
-        place = F.call_function("locate", F.upper(F.substring(seq, 3 * i - 2, F.lit(3))), listed)
-        return F.transform(F.array(place), residue)[0]
+    def letter(codon: Column) -> Column:
+        return F.transform(F.array(F.call_function("locate", codon, listed)), residue)[0]
 
-    letters = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), letter)
-    return F.when(n > 0, F.array_join(letters, "")).when(seq.isNotNull(), F.lit(""))
+    return F.array_join(F.transform(F.regexp_extract_all(F.upper(seq), F.lit("(?s)(...)"), 1), letter), "")
 
 
 def iupac_regex(text: str) -> str:
@@ -100,10 +98,12 @@ def protein_fragment(protein: Column, start: Column, end: Column, offset: Column
     return F.when(missing, F.lit("")).otherwise(piece)
 
 
-def kmers(seq: Column, k: int) -> Column:
-    """All runs of k letters of a text, in order."""
-    n = F.length(seq) - k + 1
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+def kmers(seq: Column, k: int, block: int = 128) -> Column:
+    """All runs of k letters of a text, in order. The text is first cut, in one pass, into blocks that overlap by k - 1 letters, so
+    that no run is looked for from the text's front."""
+    blocks = F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{1,{block + k - 1}}})).{{1,{block}}}"), 1)
+    inner = lambda b: F.when(F.length(b) >= k, F.transform(F.sequence(F.lit(1), F.greatest(F.length(b) - k + 1, F.lit(1))), lambda i: F.substring(b, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    return F.flatten(F.transform(blocks, inner))
 
 
 def canonical(kmer: Column) -> Column:
@@ -127,6 +127,11 @@ def strip_n(seq: Column) -> Column:
     return F.regexp_replace(seq, "^N+|N+$", "")
 
 
+def plain_sequences(df: DataFrame, seq: str = "seq") -> DataFrame:
+    """Rows without N's at the ends of their sequences; those that hold other ambiguity codes, or an N further in, are dropped."""
+    return df.withColumn(seq, strip_n(F.col(seq))).where(~F.upper(seq).rlike("[NRYKMSWBDHV]"))
+
+
 def residue_letter(name: Column) -> Column:
     code = F.create_map(*(F.lit(x) for pair in RESIDUES.items() for x in pair))
     return F.try_element_at(code, F.upper(name))

@@ -49,6 +49,37 @@ def poisson_tail(k: int, mean: float) -> float:
     return max(0.0, 1.0 - math.fsum(poisson(i, mean) for i in range(k)))
 
 
+def best_poisson(values: list[int], steps: int = 100) -> tuple[float, float]:
+    """The mean of the Poisson distribution nearest to the values' shares by least squares, and the sum of squares; means are tried
+    in equal steps from 0.9 times the lesser to 1.1 times the greater of the values' mean and sample variance."""
+    n = len(values)
+    mean = sum(values) / n
+    var = sum((v - mean) ** 2 for v in values) / (n - 1) if n > 1 else 0.0
+    lo, hi = 0.9 * min(mean, var), 1.1 * max(mean, var)
+    share = [values.count(k) / n for k in range(max(values) + 2)]
+    tried = [lo + (hi - lo) / steps * i for i in range(steps)]
+    return min(((m, math.fsum((y - poisson(k, m)) ** 2 for k, y in enumerate(share))) for m in tried), key=lambda x: (x[1], x[0]))
+
+
+def log2_sum(values: list[float]) -> float:
+    """log2 of the sum of 2 to the values."""
+    top = max(values)
+    return top if math.isinf(top) else top + math.log2(math.fsum(2.0 ** (v - top) for v in values))
+
+
+def neg_log10_of(p: float, floor: float = 1e-299) -> float:
+    return abs(math.log10(max(p, floor)))
+
+
+def ks_tail(d: float, n: int, m: int) -> float:
+    """Tail of the two-sample Kolmogorov-Smirnov distance by its limit distribution."""
+    x = d * math.sqrt(n * m / (n + m))
+    x = (x + 0.12 * d + 0.11 / math.sqrt(n * m / (n + m)) * d) if d else 0.0
+    if x < 0.2:
+        return 1.0
+    return min(1.0, max(0.0, 2 * math.fsum((-1) ** (j - 1) * math.exp(-2 * j * j * x * x) for j in range(1, 101))))
+
+
 def normal_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
@@ -146,9 +177,14 @@ def exact_rank_sum_tail(w: float, n1: int, n2: int) -> float:
 
 
 def shapiro_wilk(x: list[float]) -> tuple[float, float]:
-    """W and its p-value by Royston's approximation (1995) for 4 to 5000 values."""
+    """W and its p-value by Royston's approximation (1995) for 4 to 5000 values, in closed form for three."""
     x = np.sort(np.asarray(x, dtype=float))
     n = len(x)
+    if n < 3:
+        raise ValueError("at least three values are needed")
+    if n == 3:
+        w = float((x[2] - x[0]) ** 2 / 2 / ((x - x.mean()) ** 2).sum())
+        return w, max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
     m = np.array([_normal_quantile((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
     u, ss = 1 / math.sqrt(n), float(m @ m)
     # Royston's polynomials.

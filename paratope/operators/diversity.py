@@ -89,6 +89,74 @@ def recapture(counts: DataFrame, sizes: list[int]) -> DataFrame:
     return unique.select(F.explode(F.array(*(F.lit(int(s)).cast("long") for s in sizes))).alias("n"), "u").select("n", F.round(100 * (1 - F.pow(1 - 1 / F.col("u"), F.col("n"))), 6).alias("pct"))
 
 
+def weighted_recapture(counts: DataFrame, sizes: list[int]) -> DataFrame:
+    """(n, pct): expected percentage of the clonotypes in n reads, drawn with replacement, that n other reads hold as well."""
+    freq = counts.groupBy(F.col("cnt").cast("long").alias("f")).agg(F.count("*").alias("k"))
+    total = counts.agg(F.sum("cnt").cast("double").alias("total"))
+    rows = freq.crossJoin(F.broadcast(total)).select("f", "k", "total", F.explode(F.array(*(F.lit(int(s)).cast("long") for s in sizes))).alias("n"))
+    q = 1 - F.pow(1 - F.col("f") / F.col("total"), F.col("n"))
+    return rows.groupBy("n").agg(F.round(100 * F.sum(F.col("k") * q * q) / F.sum(F.col("k") * q), 6).alias("pct"))
+
+
+def weighted_sample(counts: DataFrame, n: int, weight: str = "cnt", seed: int = 0) -> DataFrame:
+    """n rows drawn without replacement with chances in proportion to a weight (Efraimidis and Spirakis), the same on every run."""
+    key = [c for c in counts.columns if c != weight]
+    u = (F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    return counts.withColumn("__k", -F.log(u) / F.col(weight)).orderBy("__k", *key).limit(n).drop("__k")
+
+
+# Regions reported together.
+GROUPS = {"cdr": ["cdr1", "cdr2", "cdr3"], "fr": ["fr1", "fr2", "fr3", "fr4"], "cdr_v": ["cdr1", "cdr2", "cdr3", "v"]}
+
+
+def in_groups(by_region: DataFrame) -> DataFrame:
+    """Rows of a table by region, once for each group that its region is in, with a column ``grp``."""
+    names = F.array_compact(F.array(*(F.when(F.col("region").isin(r), g) for g, r in GROUPS.items())))
+    return by_region.select(F.explode(names).alias("grp"), *by_region.columns)
+
+
+def region_recapture(counts: DataFrame, sizes: list[int]) -> DataFrame:
+    """``recapture`` of each region: (region, n, pct)."""
+    unique = counts.groupBy("region").agg(F.count("*").cast("double").alias("u"))
+    rows = unique.select("region", "u", F.explode(F.array(*(F.lit(int(s)).cast("long") for s in sizes))).alias("n"))
+    return rows.select("region", "n", F.round(100 * (1 - F.pow(1 - 1 / F.col("u"), F.col("n"))), 6).alias("pct"))
+
+
+def region_rarefaction(counts: DataFrame) -> DataFrame:
+    """``rarefaction`` of each region up to its total: (region, n, expected)."""
+    freq = counts.groupBy("region", F.col("cnt").cast("long").alias("f")).agg(F.count("*").alias("k"))
+    total = freq.groupBy("region").agg(F.sum(F.col("f") * F.col("k")).alias("total"))
+    every = F.array(*(F.lit(t).cast("long") for t in ticks(10**15)))
+    sized = total.select("region", "total", F.explode(F.array_union(F.filter(every, lambda x: x < F.col("total")), F.array("total"))).alias("n"))
+    rows = freq.join(F.broadcast(sized), "region")
+    missed = F.exp(log_choose(F.col("total") - F.col("f"), F.col("n")) - log_choose(F.col("total"), F.col("n")))
+    return rows.groupBy("region", "n").agg(F.round(F.sum(F.col("k") * (1 - missed)), 6).alias("expected"))
+
+
+def random_sequences(spark, n: int, length: int, background: dict[str, float], seed: int = 0) -> DataFrame:
+    """(read_id, seq): n sequences of bases drawn by a background, the same on every run, made where they are needed."""
+    cuts, total = [], 0.0
+    for b in "ACGT":
+        total += background[b]
+        cuts.append((b, total))
+
+    def letter(i):
+        u = F.pmod(F.xxhash64(F.lit(seed), "id", i), F.lit(1 << 30)) / float(1 << 30)
+        out = F.lit(cuts[-1][0])
+        for b, top in reversed(cuts[:-1]):
+            out = F.when(u < top / total, b).otherwise(out)
+        return out
+
+    return spark.range(n).select(F.col("id").alias("read_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(length)), letter), "").alias("seq"))
+
+
+def planted(seqs: DataFrame, word: str, share: float = 1.0, seed: int = 0) -> DataFrame:
+    """``seqs`` with a word put at a random place of a share of them."""
+    u = F.pmod(F.xxhash64(F.lit(seed), "read_id"), F.lit(1 << 30)) / float(1 << 30)
+    at = F.pmod(F.xxhash64(F.lit(seed + 1), "read_id"), F.greatest(F.length("seq") - len(word) + 1, F.lit(1))).cast("int")
+    return seqs.withColumn("seq", F.when((u < share) & (F.length("seq") >= len(word)), F.overlay("seq", F.lit(word), at + 1)).otherwise(F.col("seq")))
+
+
 def sampled_richness(counts: DataFrame, key: str, n: int, seeds: list[int]) -> DataFrame:
     """(seed, richness) of n reads drawn without replacement, by the n least seeded hashes of (clonotype, copy)."""
     reads = counts.select(key, F.explode(F.sequence(F.lit(1), F.col("cnt").cast("int"))).alias("copy"))

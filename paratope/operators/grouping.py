@@ -1,0 +1,25 @@
+"""Connected groups of a small graph by repeated minima."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def groups(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(probe_id, grp): the least id that can be reached over links (probe_id, other), itself included. A round hands minima to all
+    neighbours; every fourth is checkpointed to the folder that spark.checkpoint.dir names."""
+    both = links.select("probe_id", "other").union(links.select("other", "probe_id")).toDF("probe_id", "other").distinct()
+    state = nodes.select("probe_id", F.col("probe_id").alias("grp"))
+    can = nodes.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
+    last, rounds = None, 0
+    while True:
+        near = both.join(state.select(F.col("probe_id").alias("other"), F.col("grp").alias("g")), "other").groupBy("probe_id").agg(F.min("g").alias("g"))
+        state = state.join(near, "probe_id", "left").select("probe_id", F.least("grp", F.coalesce("g", "grp")).alias("grp"))
+        rounds += 1
+        if can and rounds % 4 == 0:
+            state = state.checkpoint()
+        now = state.agg(F.count("*"), F.sum(F.xxhash64("probe_id", "grp").cast("decimal(38,0)"))).first()
+        if last == tuple(now):
+            return state
+        last = tuple(now)

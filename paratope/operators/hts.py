@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paratope.functions.stats import hypergeometric_tail_udf
@@ -71,5 +71,58 @@ def category_sizes(annotation: DataFrame) -> DataFrame:
 
 
 def nearest(positions: DataFrame, marks: DataFrame) -> DataFrame:
-    """Distance from each (id, chrom, pos) to the nearest mark (chrom, mark) of its chromosome."""
-    return positions.join(marks, "chrom").groupBy("id", "chrom", "pos").agg(F.min(F.abs(F.col("pos") - F.col("mark"))).alias("distance"))
+    """Distance from each (id, chrom, pos) to the nearest mark (chrom, mark) of its chromosome: in order of place, the nearest is the
+    last mark before or the first one after. Chromosomes without a mark are left out."""
+    both = positions.select("id", "chrom", "pos", F.col("pos").alias("at"), F.lit(None).cast("long").alias("mark")).unionByName(
+        marks.select(F.lit(None).alias("id"), "chrom", F.lit(None).alias("pos"), F.col("mark").alias("at"), F.col("mark").cast("long").alias("mark"))
+    )
+    by = Window.partitionBy("chrom").orderBy("at")
+    before = F.last("mark", ignorenulls=True).over(by.rangeBetween(Window.unboundedPreceding, 0))
+    after = F.first("mark", ignorenulls=True).over(by.rangeBetween(0, Window.unboundedFollowing))
+    found = both.withColumns({"__b": before, "__a": after}).where("pos IS NOT NULL")
+    return found.select("id", "chrom", "pos", F.least(F.abs(F.col("pos") - F.col("__b")), F.abs(F.col("__a") - F.col("pos"))).alias("distance")).where("distance IS NOT NULL")
+
+
+def span_distance(a_start, a_end, b_start, b_end):
+    """The least distance of the ends of two spans, as a column."""
+    return F.least(*(F.abs(F.col(x) - F.col(y)) for x in (a_start, a_end) for y in (b_start, b_end)))
+
+
+def end_distance(spans: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(id, chrom, start, end) with the distance to the nearer end of the chromosome (chrom, length)."""
+    return spans.join(F.broadcast(lengths), "chrom").withColumn("distance", F.least("start", F.col("length") - F.col("end"))).drop("length")
+
+
+def values(hts: DataFrame, experiment: str, probes: DataFrame | None = None) -> DataFrame:
+    """(probe, value) of an experiment; an underscore in its name stands for a space as well. With several data sets (column
+    ``dataset``, a number) the first one that holds the experiment counts."""
+    rows = hts.where(F.translate("experiment", "_", " ") == experiment.replace("_", " "))
+    if "dataset" in hts.columns:
+        first = rows.agg(F.min("dataset").alias("dataset"))
+        rows = rows.join(F.broadcast(first), "dataset")
+    return (rows if probes is None else rows.join(probes.select("probe"), "probe", "left_semi")).select("probe", "value")
+
+
+def bound_by(hts: DataFrame, probe: str, threshold: float) -> DataFrame:
+    """Experiments in which a probe is bound."""
+    return hts.where((F.col("probe") == probe) & (F.col("value") <= threshold)).select("experiment")
+
+
+def matching_probes(probes: DataFrame, regex: str) -> DataFrame:
+    """(probe_id) of the probes whose forward strand matches a raw regular expression."""
+    return probes.where(F.upper("seq").rlike(regex)).select("probe_id")
+
+
+def stringent(probes: DataFrame, most: int = 2) -> DataFrame:
+    """Probes without a failed PCR (column ``bad``) and with at most so many positions on the array."""
+    return probes.where(~F.coalesce("bad", F.lit(False)) & (F.coalesce("positions", F.lit(0)) <= most))
+
+
+def categories(annotation: DataFrame) -> DataFrame:
+    """(category, genes, members): genes of each category, their names in order as one text."""
+    return annotation.select("gene", "category").distinct().groupBy("category").agg(F.count("*").alias("genes"), F.array_join(F.sort_array(F.collect_list("gene")), ",").alias("members"))
+
+
+def location(df: DataFrame, value: str, *by: str) -> DataFrame:
+    """(by, median, mean, sd): exact median and sample standard deviation."""
+    return df.groupBy(*by).agg(F.expr(f"percentile({value}, 0.5)").alias("median"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"))

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paratope.functions.sequences import IUPAC, ambiguous_regex, canonical, kmers, reverse_complement
-from paratope.functions.stats import hypergeometric_tail_udf
+from paratope.functions.stats import hypergeometric_tail_udf, log2_sum
 
 BASES = "ACGT"
 UNIFORM = {b: 0.25 for b in BASES}
+FLIP = str.maketrans("ACGT", "TGCA")
 
 
 @dataclass
@@ -47,9 +48,54 @@ class Motif:
         counts = np.array([[sum(s[i] == b for s in seqs) for b in BASES] for i in range(len(seqs[0]))], dtype=float)
         return cls((counts + bg) / (counts.sum(1, keepdims=True) + 1), bg)
 
+    @classmethod
+    def from_ratios(cls, ratios: np.ndarray, background: dict[str, float] = UNIFORM) -> Motif:
+        """From log2 likelihood ratios; a place's fractions are scaled to sum to one."""
+        bg = np.array([background[b] for b in BASES])
+        f = bg * 2.0 ** np.asarray(ratios, dtype=float)
+        return cls(f / f.sum(1, keepdims=True), bg)
+
+    @classmethod
+    def random(cls, width: int, rng: np.random.Generator, background: dict[str, float] = UNIFORM) -> Motif:
+        return cls(rng.dirichlet(np.ones(4), width), np.array([background[b] for b in BASES]))
+
     def __len__(self) -> int:
         return len(self.fractions)
 
+    # ------------------------------------------------ changed copies
+    def with_background(self, background: dict[str, float]) -> Motif:
+        return Motif(self.fractions, np.array([background[b] for b in BASES]), self.floor)
+
+    def with_pseudocounts(self, beta: float) -> Motif:
+        """A share ``beta`` of background, for one of the motif, is mixed into each place."""
+        return Motif((self.fractions + beta * self.background) / (1 + beta), self.background, self.floor)
+
+    def denoised(self, least: float = 0.5) -> Motif:
+        """Places of under ``least`` bits become background."""
+        return Motif(np.where((self.bits < least)[:, None], self.background, self.fractions), self.background, self.floor)
+
+    def merged(self, other: Motif, shift: int) -> Motif:
+        """Both motifs, the other one moved by ``shift`` places: means where both lie, one of them elsewhere, background between."""
+        lo, hi = min(0, shift), max(len(self), shift + len(other))
+        rows = []
+        for i in range(lo, hi):
+            own = [m.fractions[j] for m, j in ((self, i), (other, i - shift)) if 0 <= j < len(m)]
+            rows.append(np.mean(own, axis=0) if own else self.background)
+        return Motif(np.array(rows), self.background, self.floor)
+
+    def shuffled_places(self, rng: np.random.Generator) -> Motif:
+        return Motif(self.fractions[rng.permutation(len(self))], self.background, self.floor)
+
+    def shuffled_bases(self, rng: np.random.Generator) -> Motif:
+        """The fractions of each place dealt to other bases."""
+        return Motif(np.array([rng.permutation(f) for f in self.fractions]), self.background, self.floor)
+
+    @property
+    def code_ratios(self) -> dict[str, np.ndarray]:
+        """The ratios of each ambiguity code at each place: the best of its bases; 0 for codes of three bases and more."""
+        r = self.ratios
+        return {c: r[:, [BASES.index(b) for b in s]].max(1) if len(s) <= 2 else np.zeros(len(self)) for c, s in IUPAC.items() if c != "U"}
+
     @property
     def ratios(self) -> np.ndarray:
         with np.errstate(divide="ignore"):
@@ -89,18 +135,105 @@ class Motif:
         keep = np.flatnonzero(self.bits > least)
         return self.part(int(keep[0]), int(keep[-1]) + 1) if len(keep) else self
 
+    def _tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of each character code at each place, forward and for the reverse complement; made once."""
+        found = self.__dict__.get("_made")
+        if found is None:
+            fwd, rev, at = np.zeros((len(self), 128)), np.zeros((len(self), 128)), [ord(b) for b in BASES]
+            fwd[:, at], rev[:, at] = self.ratios, self.ratios[::-1, ::-1]
+            found = self.__dict__["_made"] = fwd, rev
+        return found
+
     def scores(self, seq: str) -> tuple[np.ndarray, np.ndarray]:
         """Scores at every start on either strand; letters that aren't bases score nothing."""
-        table = np.zeros((len(self), 128))
-        table[:, [ord(b) for b in BASES]] = self.ratios
         codes = np.frombuffer(seq.upper().encode("ascii", "replace"), np.uint8)
-        if len(codes) < len(self):
+        n = len(codes) - len(self) + 1
+        if n < 1:
             return np.zeros(0), np.zeros(0)
-        windows = np.lib.stride_tricks.sliding_window_view(codes, len(self))
-        place = np.arange(len(self))
-        back = np.zeros((len(self), 128))
-        back[:, [ord(b) for b in BASES]] = self.ratios[::-1, ::-1]
-        return table[place, windows].sum(1), back[place, windows].sum(1)
+        fwd, rev = self._tables()
+        out = np.zeros((2, n))
+        for i in range(len(self)):
+            here = codes[i : i + n]
+            out[0] += fwd[i][here]
+            out[1] += rev[i][here]
+        return out[0], out[1]
+
+    def score(self, word: str) -> float:
+        return float(self.scores(word[: len(self)])[0][0])
+
+    def scores_above(self, seq: str, cut: float) -> float:
+        """Sum of the scores above ``cut`` of either strand; what a hit covers isn't looked at again."""
+        fwd, rev = self.scores(seq)
+        best, at, total = np.maximum(fwd, rev), 0, 0.0
+        while at < len(best):
+            if best[at] > cut:
+                total += float(best[at])
+                at += len(self)
+            else:
+                at += 1
+        return total
+
+    def total(self, seq: str) -> float:
+        """log2 of the summed odds of all places of both strands."""
+        fwd, rev = self.scores(seq)
+        return log2_sum([*fwd.tolist(), *rev.tolist()]) if len(fwd) else -math.inf
+
+    def starts(self, seq: str, cut: float) -> list[int]:
+        """Places that score at least ``cut`` on either strand."""
+        fwd, rev = self.scores(seq)
+        return np.flatnonzero(np.maximum(fwd, rev) >= cut).tolist()
+
+    def separate_starts(self, seq: str, cut: float) -> list[int]:
+        """Of the ``starts`` those that don't begin inside one taken before."""
+        out: list[int] = []
+        for s in self.starts(seq, cut):
+            if not out or s >= out[-1] + len(self):
+                out.append(s)
+        return out
+
+    def masked(self, seq: str, cut: float) -> str:
+        """The sequence with N in place of all hits."""
+        out = list(seq)
+        for s in self.starts(seq, cut):
+            out[s : s + len(self)] = "N" * len(self)
+        return "".join(out)
+
+    def neighbourhoods(self, seq: str, cut: float, flank: int, mask: bool = False) -> list[str]:
+        """The stretches within ``flank`` letters of a hit, those that touch as one; hits are N's if they are to be masked."""
+        text, out = self.masked(seq, cut) if mask else seq, []
+        for s in self.starts(seq, cut):
+            lo, hi = max(0, s - flank), min(len(seq), s + len(self) + flank)
+            if out and lo <= out[-1][1]:
+                out[-1] = (out[-1][0], hi)
+            else:
+                out.append((lo, hi))
+        return [text[a:b] for a, b in out]
+
+    def scan_short(self, seq: str, factor: float = 0.8) -> list[tuple[int, float, str]]:
+        """(place in the motif, score, strand) of a sequence shorter than the motif, laid along it, where it scores above ``factor``
+        of what those places can score at best."""
+        out, n = [], len(seq)
+        for strand, m in (("+", self), ("-", self.reverse())):
+            for i in range(len(m) - n + 1):
+                part = m.part(i, i + n)
+                score = part.score(seq)
+                if score > factor * part.best:
+                    out.append((i if strand == "+" else len(m) - n - i, score, strand))
+        return sorted(out)
+
+    def best_match(self, seq: str) -> tuple[float, int, str, str] | None:
+        """Score, start, strand and word, as on its strand, of the best place."""
+        fwd, rev = self.scores(seq)
+        if not len(fwd):
+            return None
+        i = int(np.maximum(fwd, rev).argmax())
+        word = seq[i : i + len(self)].upper()
+        return (float(fwd[i]), i, "+", word) if fwd[i] >= rev[i] else (float(rev[i]), i, "-", word.translate(FLIP)[::-1])
+
+    def threshold(self, seqs: list[str], z: float = 1.0) -> float:
+        """Mean of the best scores of some sequences less z sample standard deviations."""
+        x = np.array([self.best_score(q) for q in seqs])
+        return float(x.mean() - z * (x.std(ddof=1) if len(x) > 1 else 0.0))
 
     def scan(self, seq: str, threshold: float | None = None, factor: float = 0.7) -> list[tuple[int, int, float, str]]:
         """(start, end, score, strand) of places that score above the threshold, by default ``factor`` of the best score; the
@@ -149,6 +282,23 @@ def consensus(counts: DataFrame, group: str) -> DataFrame:
     return counts.withColumn("rn", best).where("rn = 1").select(group, "pos", "letter", "cnt")
 
 
+def degenerate_consensus(counts: DataFrame, *group: str) -> DataFrame:
+    """(group, pos, letter): the base of over half and twice the next, else the code of two with over three quarters, else that of
+    three if the fourth never occurs, else N (Cavener 1987). Letters other than bases don't count."""
+    rows = counts.where(F.col("letter").isin(*BASES)).groupBy(*group, "pos").agg(*(F.coalesce(F.sum(F.when(F.col("letter") == b, F.col("cnt"))), F.lit(0)).alias(b) for b in BASES))
+    ranked = F.sort_array(F.array(*(F.struct(F.col(b).alias("c"), F.lit(b).alias("b")) for b in BASES)), asc=False)
+    codes = {"".join(sorted(x)): c for c, x in IUPAC.items() if c != "U"}
+    code = F.create_map(*(F.lit(x) for p in codes.items() for x in p))
+
+    def letter(r):
+        name = lambda k: code[F.array_join(F.sort_array(F.transform(F.slice(r, 1, k), lambda x: x["b"])), "")]
+        total = r[0]["c"] + r[1]["c"] + r[2]["c"] + r[3]["c"]
+        sure = (2 * r[0]["c"] > total) & (r[0]["c"] > 2 * r[1]["c"])
+        return F.when(sure, r[0]["b"]).when(4 * (r[0]["c"] + r[1]["c"]) > 3 * total, name(2)).when(r[3]["c"] == 0, name(3)).otherwise("N")
+
+    return rows.select(*group, "pos", F.transform(F.array(ranked), letter)[0].alias("letter"))
+
+
 HITS = "array<struct<start:int,end:int,score:double,strand:string>>"
 
 
@@ -181,10 +331,15 @@ def sitemap(probes: DataFrame, motifs: dict[str, Motif], factor: float = 0.7) ->
     return out
 
 
+def kmer_counts(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
+    """(w, cnt) of all runs of k letters as they stand; each task adds up its own before anything is shuffled."""
+    return seqs.select(F.explode(kmers(F.upper(seq), k)).alias("w")).groupBy("w").agg(F.count("*").alias("cnt"))
+
+
 def top_kmers(seqs: DataFrame, k: int, n: int | None = None, seq: str = "seq") -> DataFrame:
     """(kmer, cnt) of canonical k-mers, most frequent first, ties by k-mer; those with N are left out."""
-    words = seqs.select(F.explode(kmers(F.upper(seq), k)).alias("w")).where(~F.contains("w", F.lit("N")))
-    counts = words.groupBy(canonical(F.col("w")).alias("kmer")).agg(F.count("*").alias("cnt"))
+    words = kmer_counts(seqs, k, seq).where(~F.contains("w", F.lit("N")))
+    counts = words.groupBy(canonical(F.col("w")).alias("kmer")).agg(F.sum("cnt").alias("cnt"))
     return counts if n is None else counts.orderBy(F.desc("cnt"), "kmer").limit(n)
 
 
@@ -217,8 +372,8 @@ def site_histogram(probes: DataFrame, regex: str) -> DataFrame:
 def markov(seqs: DataFrame, order: int, seq: str = "seq") -> DataFrame:
     """(kmer, cnt, p) of all (order + 1)-mers on both strands: p is the last letter's probability after the others, one count added
     to each letter."""
-    both = seqs.select(F.explode(F.array(F.upper(seq), reverse_complement(F.upper(seq)))).alias("s"))
-    counts = both.select(F.explode(kmers(F.col("s"), order + 1)).alias("kmer")).where("kmer RLIKE '^[ACGT]+$'").groupBy("kmer").agg(F.count("*").alias("cnt"))
+    one = kmer_counts(seqs, order + 1, seq).where("w RLIKE '^[ACGT]+$'")
+    counts = one.select(F.explode(F.array("w", reverse_complement(F.col("w")))).alias("kmer"), "cnt").groupBy("kmer").agg(F.sum("cnt").alias("cnt"))
     prefix = F.sum("cnt").over(Window.partitionBy(F.expr(f"substring(kmer, 1, {order})")))
     return counts.withColumn("p", F.round((F.col("cnt") + 1) / (prefix + 4), 9))
 
@@ -226,20 +381,3 @@ def markov(seqs: DataFrame, order: int, seq: str = "seq") -> DataFrame:
 def log_background(model: dict[str, float], seq: str, order: int) -> float:
     """log2 probability of a sequence's letters after the first ``order``."""
     return math.fsum(math.log2(model.get(seq[i - order : i + 1], 0.25)) for i in range(order, len(seq)))
-
-
-def words(length: int, alphabet: str = BASES) -> list[str]:
-    out = [""]
-    for _ in range(length):
-        out = [w + c for w in out for c in alphabet]
-    return out
-
-
-def unique_words(length: int) -> list[str]:
-    """One of each word and its reverse complement."""
-    flip = str.maketrans("ACGT", "TGCA")
-    return sorted({min(w, w.translate(flip)[::-1]) for w in words(length)})
-
-
-def gapped_words(half: int, gaps: range) -> list[str]:
-    return [a + "N" * g + b for g in gaps for a in words(half) for b in words(half)]

@@ -42,10 +42,9 @@ def consensus(lengths: DataFrame) -> DataFrame:
 def mark_filtered(annot: DataFrame) -> DataFrame:
     """``annot`` with filtered = 'No' where a read is in frame and all its framework lengths are the consensus, else 'Yes'."""
     agreed = consensus(framework_lengths(annot))
-    out = annot
-    for r, g in (("fr1", "vgene"), ("fr2", "vgene"), ("fr3", "vgene"), ("fr4", "jgene")):
-        one = agreed.where(F.col("region") == r).select(F.col("gene").alias("__gene"), F.col("len").alias(f"__{r}"))
-        out = out.join(one, gene(F.col(g)) == F.col("__gene"), "left").drop("__gene")
+    # One row a gene, so that a read meets its V and its J gene once each.
+    wide = lambda names, key: agreed.where(F.col("region").isin(names)).groupBy(F.col("gene").alias(key)).agg(*(F.max(F.when(F.col("region") == r, F.col("len"))).alias(f"__{r}") for r in names))
+    out = annot.join(wide(["fr1", "fr2", "fr3"], "__v"), gene(F.col("vgene")) == F.col("__v"), "left").join(wide(["fr4"], "__j"), gene(F.col("jgene")) == F.col("__j"), "left").drop("__v", "__j")
     fits = [F.coalesce((F.col(f"{r}_end") - F.col(f"{r}_start") + 1) == F.col(f"__{r}"), F.col(f"{r}_end").isNull() | F.col(f"{r}_start").isNull()) for r in ("fr1", "fr2", "fr3", "fr4")]
     ok = (F.col("v_j_frame") == "In-frame") & fits[0] & fits[1] & fits[2] & fits[3]
     return out.withColumn("filtered", F.when(ok, "No").otherwise("Yes")).drop("__fr1", "__fr2", "__fr3", "__fr4")
@@ -54,6 +53,13 @@ def mark_filtered(annot: DataFrame) -> DataFrame:
 REGIONS = ["fr1", "cdr1", "fr2", "cdr2", "fr3", "cdr3", "fr4"]
 
 
+def stops_by_frame(annot: DataFrame, seqs: DataFrame, key: str = "queryid") -> DataFrame:
+    """(frame, region, cnt): reads in and out of frame with a stop codon in the region."""
+    rows = annot.where("v_j_frame IN ('In-frame', 'Out-of-frame')").select(key, F.col("v_j_frame").alias("frame")).distinct().join(seqs, key)
+    sums = rows.groupBy("frame").agg(*(F.count_if(F.contains(F.col(r), F.lit("*"))).alias(r) for r in REGIONS))
+    return sums.unpivot(["frame"], REGIONS, "region", "cnt")
+
+
 def stops_by_region(seqs: DataFrame, regions: list[str] = REGIONS) -> DataFrame:
     """(region, cnt): reads with a stop codon in the region."""
     sums = seqs.agg(*(F.count_if(F.contains(F.col(r), F.lit("*"))).alias(r) for r in regions))

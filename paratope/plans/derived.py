@@ -11,7 +11,9 @@ SELECT queryid, vgene, dgene, jgene, chain, strand, stopcodon, v_j_frame, bitsco
        fr1_start+f1+99 AS fr3_start, fr1_start+f1+212 AS fr3_end, fr1_start+f1+213 AS cdr3_start,
        fr1_start+f1+212+c3 AS cdr3_end,
        CASE WHEN no4 THEN NULL ELSE fr1_start+f1+213+c3 END AS fr4_start,
-       CASE WHEN no4 THEN NULL ELSE fr1_start+f1+212+c3+33 END AS fr4_end
+       CASE WHEN no4 THEN NULL ELSE fr1_start+f1+212+c3+33 END AS fr4_end,
+       dmismatches, dgaps, jmismatches, jgaps, jqend, fr1_gaps, fr1_mismatches, cdr1_gaps, cdr1_mismatches, fr2_gaps, fr2_mismatches,
+       cdr2_gaps, cdr2_mismatches, fr3g_gaps, fr3g_mismatches, cdr3g_gaps, cdr3g_mismatches
 FROM (
   SELECT concat(l_orderkey,'-',l_linenumber,'-',l_partkey,'-',l_suppkey) AS queryid,
          concat('IGHV',1+l_partkey%7,'-',1+l_suppkey%10,
@@ -32,6 +34,23 @@ FROM (
          CAST(greatest((1+l_partkey%40)-(1+l_linenumber%5),0)+1 AS INT) AS fr1_start,
          CAST(CASE WHEN l_suppkey%8=0 THEN 72 ELSE 75 END AS INT) AS f1,
          CAST(24+3*(l_orderkey%12) AS INT) AS c3,
+         CAST(CASE WHEN l_orderkey%17=0 THEN NULL ELSE l_suppkey%5 END AS INT) AS dmismatches,
+         CAST(CASE WHEN l_orderkey%17=0 THEN NULL ELSE l_partkey%3 END AS INT) AS dgaps,
+         CAST(CASE WHEN l_orderkey%23=0 THEN NULL ELSE l_partkey%6 END AS INT) AS jmismatches,
+         CAST(CASE WHEN l_orderkey%23=0 THEN NULL ELSE l_suppkey%2 END AS INT) AS jgaps,
+         CAST(CASE WHEN l_orderkey%23=0 THEN NULL ELSE 330+l_partkey%40 END AS INT) AS jqend,
+         CAST(CASE WHEN l_orderkey%31=0 THEN NULL WHEN l_orderkey%9=0 THEN 3 ELSE 0 END AS INT) AS fr1_gaps,
+         CAST(l_linenumber%4 AS INT) AS fr1_mismatches,
+         CAST(CASE WHEN l_partkey%14=0 THEN 1 ELSE 0 END AS INT) AS cdr1_gaps,
+         CAST(l_partkey%7 AS INT) AS cdr1_mismatches,
+         CAST(CASE WHEN l_suppkey%15=0 THEN 3 ELSE 0 END AS INT) AS fr2_gaps,
+         CAST(l_suppkey%3 AS INT) AS fr2_mismatches,
+         CAST(CASE WHEN l_suppkey%16=0 THEN 2 ELSE 0 END AS INT) AS cdr2_gaps,
+         CAST(l_orderkey%5 AS INT) AS cdr2_mismatches,
+         CAST(CASE WHEN l_orderkey%18=0 THEN 6 ELSE 0 END AS INT) AS fr3g_gaps,
+         CAST(l_orderkey%4 AS INT) AS fr3g_mismatches,
+         CAST(CASE WHEN l_orderkey%2=0 THEN NULL ELSE l_orderkey%3 END AS INT) AS cdr3g_gaps,
+         CAST(CASE WHEN l_orderkey%2=0 THEN NULL ELSE l_orderkey%8 END AS INT) AS cdr3g_mismatches,
          l_partkey%19=0 AS no4
   FROM {lineitem}) d
 """

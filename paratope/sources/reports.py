@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paratope.functions.sequences import iupac_regex, residue_letter
+from paratope.functions.sequences import IUPAC, iupac_regex, residue_letter
 
 STRINGS = ["queryid", "vgene", "dgene", "jgene", "chain", "strand", "stopcodon", "v_j_frame"]
 DOUBLES = ["identity", "bitscore"]
@@ -99,7 +100,7 @@ def read_annotations(spark: SparkSession, path: str, mark: str = "# IGBLASTN") -
 def read_sites(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """(enzyme, site) of a file of a few lines, ``#`` for comments; of enzymes named twice the last counts."""
     out: dict[str, str] = {}
-    for r in spark.read.text(path).limit(100_000).collect():
+    for r in _few(spark.read.text(path), 100_000):
         parts = r.value.split("#")[0].split()
         if len(parts) == 2:
             out[parts[0]] = parts[1].upper()
@@ -110,9 +111,25 @@ def site_regexes(sites: list[tuple[str, str]]) -> dict[str, str]:
     return {e: iupac_regex(s) for e, s in sites}
 
 
-def read_primers(reads: DataFrame) -> list[tuple[str, str]]:
-    """(id, sequence) of a primer file, in upper case, from its records."""
-    return [(r.read_id, r.seq.upper()) for r in reads.limit(10_000).collect()]
+def _few(df: DataFrame, most: int) -> list:
+    """All rows of a small file; more than ``most`` are an error, none is left out."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows")
+    return rows
+
+
+def read_primers(reads: DataFrame) -> list[tuple[str, str, int]]:
+    """(id, sequence, best score) of a primer file, in upper case, from its records; a match of a valid code scores 5."""
+    found = [(r.read_id, r.seq.upper()) for r in _few(reads, 10_000)]
+    if len({len(s) for _, s in found}) > 1:
+        warnings.warn("the primers differ in length", stacklevel=2)
+    return [(n, s, 5 * sum(c in IUPAC for c in s)) for n, s in found]
+
+
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """(id) of a plain list, one a line, without ``#`` comments."""
+    return spark.read.text(path).select(F.trim(F.split("value", "#")[0]).alias("id")).where("id <> ''")
 
 
 def read_matrix(spark: SparkSession, path: str, missing: float = 0.9999) -> DataFrame:

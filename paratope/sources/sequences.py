@@ -77,6 +77,9 @@ def merge_pairs(first: DataFrame, second: DataFrame, overlap: int = 15, mismatch
     def merge(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []
         for x, y in zip(a, b, strict=True):
+            if x is None or y is None:
+                out.append(None)
+                continue
             z, best = y.upper().translate(flip)[::-1], None
             p, q = np.frombuffer(x.upper().encode(), np.uint8), np.frombuffer(z.encode(), np.uint8)
             for n in range(min(len(p), len(q)), overlap - 1, -1):

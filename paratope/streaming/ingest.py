@@ -26,3 +26,15 @@ def write_deduplicated(stream: DataFrame, path: str, checkpoint: str, trigger_on
 def length_counts(stream: DataFrame) -> DataFrame:
     """Running histogram of read lengths; its state is one row a length."""
     return stream.groupBy(F.length("seq").alias("length")).agg(F.count("*").alias("cnt"))
+
+
+def deduplicated(stream: DataFrame, within: str = "1 hour") -> DataFrame:
+    """A stream with a column ``arrived``: one row an id among rows that arrive within the given time of each other, across batches;
+    the state of older ids is dropped by the watermark."""
+    return stream.withWatermark("arrived", within).dropDuplicatesWithinWatermark(["read_id"])
+
+
+def windowed_counts(events: DataFrame, time: str, key: str, width: str = "10 minutes", late: str = "1 hour") -> DataFrame:
+    """(start, key, cnt) of tumbling windows; rows later than ``late`` no longer count."""
+    counts = events.withWatermark(time, late).groupBy(F.window(time, width), key).agg(F.count("*").alias("cnt"))
+    return counts.select(F.col("window.start").alias("start"), key, "cnt")

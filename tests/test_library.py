@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from paratope import catalog
-from paratope.functions import align, stats
+from paratope.functions import align, stats, words
 from paratope.functions import sequences as S
-from paratope.operators import cluster, filters, motifs, refine, restriction, upstream
+from paratope.operators import cluster, diversity, filters, hts, motifs, refine, restriction, search, upstream
 from paratope.plans import sinks
 from paratope.sources import reports
 from paratope.sources import sequences as files
@@ -80,6 +80,7 @@ def test_alignment():
     assert align.match_pattern("TTGGTACGTTACGATT", [("P", "GGTACGTTACGA"), ("Q", "CCCC")], True) == ("P", 0, 0, 3, 14)
     name, mismatch, indel, *_ = align.match_pattern("GGTACCTTACGA", [("P", "GGTACGTTACGA")], True)
     assert (name, mismatch, indel) == ("P", 6, 0)
+    assert align.match_pattern("GGTACé", [("P", "GGTACG")], True)[0] == "P"
     assert align.best_identity("ACGT", "TTACGTTT") == 4 and align.best_identity("GGGG", "TTCCCCTT") == 4
     assert align.centre_star(["ACGT", "ACT", "ACGT"])[1].replace("-", "") == "ACT"
 
@@ -99,7 +100,7 @@ def test_motifs():
     hits = m.scan("AATGACTCATT")
     assert [(h[0], h[1]) for h in hits] == [(2, 9)] and m.scan("AC") == []
     assert m.best_words(m.best - 0.01)[0][0] in ("TGACTCA", "TGAGTCA")
-    assert motifs.unique_words(2) == ["AA", "AC", "AG", "AT", "CA", "CC", "CG", "GA", "GC", "TA"]
+    assert words.unique_words(2) == ["AA", "AC", "AG", "AT", "CA", "CC", "CG", "GA", "GC", "TA"]
     assert cluster.sliding(m, m.part(1, 9))[0] < 0.2
     merges = cluster.upgma([m, motifs.Motif.from_text("TGACTCA"), motifs.Motif.from_text("GGGCCC")])
     assert {merges[0][1], merges[0][2]} == {0, 1} and cluster.newick(merges, ["a", "b", "c"]).count("(") == 2
@@ -130,9 +131,9 @@ def test_em_meets_its_tolerance(spark, monkeypatch):
 def test_clonotypes_are_whole(spark):
     """Queries of clonotypes tell apart CDR3 that share their first letters; rarefaction goes on to the total."""
     whole = {r.cdr3: r.cnt for r in catalog.derived(spark, SF, "clone_seqs").where("length(cdr3) > 0").groupBy("cdr3").agg(F.count("*").alias("cnt")).collect()}
-    last = max(catalog.QUERIES["w3_cumulative_cdr3"](spark, SF).collect(), key=lambda r: r.upto)
+    last = max(catalog.QUERIES["w3_cumulative"](spark, SF).collect(), key=lambda r: r.upto)
     assert last.upto == sum(whole.values()) and last.aa == max(whole)
-    curve = {r.n: r.expected for r in catalog.QUERIES["d1_rarefaction_cdr3"](spark, SF).collect()}
+    curve = {r.n: r.expected for r in catalog.QUERIES["d1_rarefaction"](spark, SF).collect()}
     assert curve[sum(whole.values())] == len(whole) > len({k[:3] for k in whole})
     counts = spark.createDataFrame(list(whole.items()), "aa string, cnt long")
     want = {tuple(r) for r in catalog.diversity.sampled_richness(counts, "aa", 100, [1, 2, 3]).collect()}
@@ -145,15 +146,91 @@ def test_upstream(spark):
     assert [(r.id, r.upstream) for r in got] == [("q1|IGHV1-1*01", "CCGGGT")]
 
 
+FR = "CAGGTGCAGCTGGTGGAGTCTGGGGGAGGC"
+END = "TGGGGCCAGGGCACCCTGGTCACCGTCTCCTCA"
+SPANS = {f"{r}_{x}": v for r, ends in {"fr1": (1, 75), "cdr1": (76, 99), "fr2": (100, 150), "cdr2": (151, 174), "fr3": (175, 219)}.items() for x, v in zip(("start", "end"), ends, strict=True)}
+GAPS = {f"{r}_{x}": 0 for r in ("fr1", "cdr1", "fr2", "cdr2", "fr3g", "cdr3g") for x in ("gaps", "mismatches")}
+READ = {"queryid": "q", "vgene": "IGHV1-1*01", "chain": "VH", "strand": "forward", "seq": FR * 7 + "TGTGCGAGA" + "GATTACTACGGT" + END, "vqstart": 1, "vstart": 1, "jqend": 250, "v_j_frame": "In-frame", "stopcodon": "No", "vmismatches": 0, "vgaps": 0, **SPANS, **GAPS}
+
+
 def test_refinement(spark):
-    fr = "CAGGTGCAGCTGGTGGAGTCTGGGGGAGGC"
-    seq = fr * 7 + "TGTGCGAGA" + "GATTACTACGGT" + "TGGGGCCAGGGCACCCTGGTCACCGTCTCCTCA"
-    cols = {f"{r}_{x}": v for r, (a, b) in {"fr1": (1, 75), "cdr1": (76, 99), "fr2": (100, 150), "cdr2": (151, 174), "fr3": (175, 219)}.items() for x, v in (("start", a), ("end", b))}
-    base = {"queryid": "q", "vgene": "IGHV1-1*01", "strand": "forward", "seq": seq, "vqstart": 1, "vstart": 1, "v_j_frame": "In-frame", "stopcodon": "No", "vmismatches": 0, "vgaps": 0, **cols}
-    r = refine.refine(spark.createDataFrame([base])).first()
-    assert (r.fr4_start, r.fr4_end, r.cdr3_start, r.cdr3_end) == (232, 264, 220, 231) and r.fr4 == "WGQGTLVTVSS" and r.cdr3 == "DYYG" and r.v_j_frame == "In-frame"
-    short = refine.refine(spark.createDataFrame([base | {"seq": fr * 7 + "TGTGCGAGA"}])).first()
-    assert short.fr4_start is None and "noFR4" in short.flags and short.v_j_frame == "Out-of-frame"
+    """One read for each flag and outcome; the first one has none."""
+    late = END.replace("TGGGGCCAGGGC", "CTCCTCAACGCA")  # neither consensus is met without a gap
+    cases = {
+        "plain": {}, "reversed": {"seq": S_reverse(READ["seq"]), "strand": "reversed"}, "na": {"v_j_frame": "N/A"}, "out": {"v_j_frame": "Out-of-frame", "fr1_gaps": 1},
+        "conc": {"vstart": 9}, "indel": {"cdr1_gaps": 1}, "whole_indel": {"cdr1_gaps": 3}, "no_count": {"fr2_gaps": None}, "no_cdr3_count": {"cdr3g_gaps": None},
+        "stop": {"seq": READ["seq"].replace("TGTGCGAGA", "TGTTAAAGA")}, "no_fr4": {"seq": FR * 7 + "TGTGCGAGA"}, "apart": {"cdr1_end": 105},
+        "front": {"vqstart": 4, "vstart": 4, "fr1_start": 4}, "gapped_front": {"vqstart": 1, "vstart": 4}, "start": {"fr1_start": 2}, "light": {"chain": "VK", "vgene": "IGKV1-1*01"},
+        "dna": {"seq": FR * 7 + "TGTGCGAGA" + "C" * 9}, "late": {"seq": READ["seq"].replace(END, late)},
+    }
+    schema = spark.createDataFrame([READ]).schema
+    frame = spark.createDataFrame([READ | {"queryid": n} | c for n, c in cases.items()], schema)
+    got = {r.queryid: r for r in refine.refine(frame).collect()}
+    flags = {n: set(r.flags) for n, r in got.items()}
+    r = got["plain"]
+    assert (r.fr4_start, r.fr4_end, r.cdr3_start, r.cdr3_end) == (232, 264, 220, 231) and r.fr4 == "WGQGTLVTVSS" and r.cdr3 == "DYYG" and r.v_j_frame == "In-frame" and not r.flags
+    assert not flags["reversed"] and got["reversed"].cdr3 == "DYYG" and not flags["whole_indel"] and not flags["no_cdr3_count"]
+    assert flags["na"] == {"updatedInFrameNA", "updatedInFrame"} and not flags["out"] and got["out"].v_j_frame == "Out-of-frame"
+    assert {"updatedInFrameConc", "updatedInFrame"} <= flags["conc"] and flags["indel"] == flags["no_count"] == {"updatedInFrameIndel", "updatedInFrame"}
+    assert flags["stop"] == {"endsWithStopCodon", "updatedStopCodon"} and got["stop"].stopcodon == "Yes"
+    assert flags["no_fr4"] == {"FR4PredictedError", "updatedInFrameNo3or4", "updatedInFrame"} and got["no_fr4"].fr1 is None and got["no_fr4"].cdr3_end == 250
+    assert "partitioning" in flags["apart"] and got["apart"].fr4 is None
+    r = got["front"]
+    assert (r.vstart, r.vqstart, r.vmismatches, r.fr1_mismatches, r.vgaps) == (1, 1, 3, 3, 0) and "fr1NotAtBegin" not in r.flags
+    r = got["gapped_front"]
+    assert (r.vgaps, r.fr1_gaps, r.vmismatches, r.vstart, r.vqstart) == (3, 3, 0, 4, 1) and "updatedInFrameConc" in r.flags
+    assert flags["start"] == {"fr1NotAtBegin"} and got["light"].chain == "VK" and flags["light"]
+    assert {"CDR3dna", "updatedInFrame"} <= flags["dna"] and got["dna"].fr4_start > 219  # nothing in the protein is like FR4
+    assert flags["late"] and set().union(*flags.values()) <= set(refine.FLAGS) and len(refine.FLAGS) == 17
+    counts = {r.flag: r.cnt for r in refine.flag_counts(refine.refine(frame)).collect()}
+    assert counts == {f: sum(f in x for x in flags.values()) for f in set().union(*flags.values())}
+    assert {r.flag for r in refine.flag_examples(refine.refine(frame)).collect()} == set(counts)
+
+
+def S_reverse(seq):
+    return seq.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+
+
+def test_refinement_of_read_ends(spark):
+    tail = "GCCTCCACCAAGGGCCCATCG"
+    frame = spark.createDataFrame([READ | {"queryid": "a", "seq": READ["seq"] + tail}, READ | {"queryid": "b", "chain": "*"}])
+    whole = {r.queryid: r for r in refine.refine(frame, cut=False, trim3=3).collect()}
+    assert whole["a"].fr4_end == 264 + len(tail) - 3 and whole["b"].chain == "VH" and whole["b"].fr4_end == 261
+    ended = {r.queryid: r for r in refine.refine(frame, cut=False, trim3=[tail[:15]]).collect()}
+    assert ended["a"].fr4_end == 231 + len(END) + 1 and "FR4cutEarly" not in ended["a"].flags
+    early = {r.queryid: r for r in refine.refine(frame.withColumn("jqend", F.lit(400)), cut=False, trim3=[tail[:15]]).collect()}
+    assert "FR4cutEarly" in early["a"].flags and early["a"].fr4_end == 264
+    given = refine.refine(frame.where("queryid = 'a'"), qstart=1).first()
+    assert given.offset == 1 and {"updatedInFrameConc", "updatedInFrame"} <= set(given.flags)
+    twice = refine.mark_lengths(refine.refine(spark.createDataFrame([READ | {"queryid": str(i), "jgene": "IGHJ1*01"} for i in range(3)] + [READ | {"queryid": "x", "jgene": "IGHJ1*01", "fr2_end": 147, "cdr2_start": 148}])))
+    assert {r.queryid for r in twice.collect() if "filterFRLength" in r.flags} == {"x"}
+
+
+def test_texts_of_any_length(spark):
+    """Codons and k-mers of a text that spans several blocks, and of none."""
+    rng = np.random.default_rng(1)
+    text = "".join(rng.choice(list("ACGTN"), 1000))
+    d = spark.createDataFrame([(text,), ("",), ("AC",), (None,)], "s string")
+    got = d.select(S.kmers(F.col("s"), 5).alias("k"), S.translate_dna(F.col("s")).alias("p")).collect()
+    assert got[0].k == [text[i : i + 5] for i in range(996)] and got[1].k == got[2].k == [] and got[3].k is None
+    assert got[0].p == "".join(S.CODONS.get(text[i : i + 3], "X") for i in range(0, 999, 3)) and got[1].p == got[2].p == "" and got[3].p is None
+    assert [r.s for r in S.plain_sequences(d, "s").collect()] == ["", "AC"]
+
+
+def test_samples_and_marks(spark):
+    seqs = diversity.random_sequences(spark, 200, 50, {"A": 0.7, "C": 0.1, "G": 0.1, "T": 0.1}, 3)
+    made = [r.seq for r in seqs.collect()]
+    assert len(set(made)) == 200 and {len(x) for x in made} == {50} and 0.6 < sum(x.count("A") for x in made) / 10000 < 0.8
+    assert all("TTTTTTT" in r.seq for r in diversity.planted(seqs, "TTTTTTT").collect())
+    counts = spark.createDataFrame([(f"c{i}", 1000 if i < 3 else 1) for i in range(300)], "aa string, cnt long")
+    assert {"c0", "c1", "c2"} <= {r.aa for r in diversity.weighted_sample(counts, 30).collect()}
+    at = hts.nearest(spark.createDataFrame([("p", "1", 5), ("q", "1", 99), ("r", "2", 1)], "id string, chrom string, pos long"), spark.createDataFrame([("1", 3), ("1", 50)], "chrom string, mark long"))
+    assert {(r.id, r.distance) for r in at.collect()} == {("p", 2), ("q", 49)}
+    probes = spark.createDataFrame([("a", 10), ("b", 20), ("c", 5)], "probe_id string, length int")
+    near = spark.createDataFrame([("a", "b", 20), ("b", "a", 10), ("a", "gone", 99)], "probe_id string, other string, length int")
+    assert {r.probe_id for r in search.similar_probes(probes, near).collect()} == {"b", "c"}
+    pfm = spark.createDataFrame([("g", 0, "A", 9), ("g", 0, "C", 1), ("g", 1, "A", 5), ("g", 1, "G", 5), ("g", 2, "A", 4), ("g", 2, "C", 3), ("g", 2, "T", 3), ("g", 3, "A", 3), ("g", 3, "C", 3), ("g", 3, "G", 2), ("g", 3, "T", 2)], "gene string, pos int, letter string, cnt long")
+    assert [r.letter for r in motifs.degenerate_consensus(pfm, "gene").orderBy("pos").collect()] == ["A", "R", "H", "N"]
 
 
 RECORD = "\n".join([
@@ -200,8 +277,8 @@ def test_streaming(spark, tmp_path):
 def test_matrix_and_motif_files(spark, tmp_path):
     (tmp_path / "m.csv").write_text("probe,e1,e2\np,0.5,NaN\nq,,2\n")
     assert {(r.experiment, r.probe, r.value) for r in reports.read_matrix(spark, str(tmp_path / "m.csv")).collect()} == {("e1", "p", 0.5), ("e2", "p", 0.9999), ("e1", "q", 0.9999), ("e2", "q", 2.0)}
-    (tmp_path / "m.tamo").write_text(sinks.motif_text(motifs.Motif.from_text("ACGT"), 3))
-    r = reports.read_motifs(spark, str(tmp_path / "m.tamo")).first()
+    (tmp_path / "m.motifs").write_text(sinks.motif_text(motifs.Motif.from_text("ACGT"), 3))
+    r = reports.read_motifs(spark, str(tmp_path / "m.motifs")).first()
     assert r.width == 4 and len(r.ratios) == 4 and r.metrics["Width"] == 4
     (tmp_path / "x.pdb").write_text("ATOM      1  CA  ALA A   1      11.104   6.134  -6.504\nATOM      2  CA  GLY A   3      11.104   6.134  -6.504\n")
     assert reports.chain_sequence(reports.read_atoms(spark, str(tmp_path / "x.pdb"))).first().seq == "A.G"
