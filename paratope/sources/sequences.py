@@ -55,6 +55,16 @@ def read_sequences(spark: SparkSession, path: str, sample: str | None = None) ->
     return read_fastq(spark, path, name) if detect_format(path) == "fastq" else read_fasta(spark, path, sample=name)
 
 
+def to_fasta(reads: DataFrame) -> DataFrame:
+    """Records without their qualities."""
+    return reads.select("read_id", "seq")
+
+
+def last_of_each(records: DataFrame) -> DataFrame:
+    """(read_id, seq): of records that share an id the last one, in the order of the files."""
+    return records.withColumn("__n", F.monotonically_increasing_id()).groupBy("read_id").agg(F.max_by("seq", "__n").alias("seq"))
+
+
 def germline_groups(records: DataFrame) -> DataFrame:
     """(gene, seqs): germline sequences by the second field of their header."""
     return records.groupBy(F.split("header", r"\|")[1].alias("gene")).agg(F.sort_array(F.collect_list("seq")).alias("seqs"))

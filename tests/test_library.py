@@ -13,8 +13,8 @@ from paratope import catalog
 from paratope.functions import align, stats, words
 from paratope.functions import sequences as S
 from paratope.operators import cluster, diversity, filters, hts, motifs, refine, restriction, search, upstream
-from paratope.plans import sinks
-from paratope.sources import reports
+from paratope.plans import session, sinks
+from paratope.sources import reports, tables
 from paratope.sources import sequences as files
 from paratope.streaming import ingest
 
@@ -284,3 +284,35 @@ def test_matrix_and_motif_files(spark, tmp_path):
     assert reports.chain_sequence(reports.read_atoms(spark, str(tmp_path / "x.pdb"))).first().seq == "A.G"
     with pytest.raises(ValueError):
         reports.extract_ranges("5-2")
+
+
+def test_dimension_tables(spark, tmp_path):
+    row = ["", "ORF|Verified", "", "YAL001C", "TFC3", "FUN24|TSV115", "", "", "1", "151006", "147594", "", "", "", "", "a factor"]
+    (tmp_path / "features").write_text("\t".join(row) + "\n" + "\t".join(["", "CEN", "", "CEN1", "", "", "", "", "1", "151465", "151582"]) + "\n")
+    features = tables.read_features(spark, str(tmp_path / "features"))
+    assert [tuple(r) for r in tables.gene_names(features).collect()] == [("TFC3", "YAL001C")] and features.where("orf = 'YAL001C'").first().aliases == ["FUN24", "TSV115"]
+    (tmp_path / "lengths").write_text("1\tx\t230208\n")
+    ends = hts.end_distance(features.select(F.col("orf").alias("id"), "chrom", "start", "end"), tables.read_chromosomes(spark, str(tmp_path / "lengths")))
+    assert {(r.id, r.distance) for r in ends.collect()} == {("YAL001C", 82614), ("CEN1", 78626)}
+    (tmp_path / "go").write_text("g1\ta\tb\tP\tcell cycle\ng1\ta\tb\tF\tbinding\ng2\ta\tb\tP\tNOT growth\ng3\ta\tb\tP\tunknown\n")
+    assert [tuple(r) for r in tables.read_categories(spark, str(tmp_path / "go"), omit=("unknown",)).collect()] == [("g1", "cell cycle")]
+    (tmp_path / "probes").write_text("p1 single A|YAL1 B|YAL2\np2 none\n")
+    assert {tuple(r) for r in tables.read_probe_orfs(spark, str(tmp_path / "probes")).collect()} == {("p1", "single", "YAL1"), ("p1", "single", "YAL2")}
+    (tmp_path / "levels").write_text("YAL1\t2.5\nYAL2\t#\n")
+    assert {(r.orf, r.level) for r in tables.read_expression(spark, str(tmp_path / "levels")).collect()} == {("YAL1", 2.5), ("YAL2", None)}
+    chromosomes = spark.createDataFrame([("chr4", "ACGTACGT")], "chrom string, seq string")
+    assert tables.chromosome_range(chromosomes, "chr4:2-4").first().seq == "CGT" and tables.chromosome_range(chromosomes, "X:1-2").count() == 0
+    with pytest.raises(ValueError):
+        tables.chromosome_range(chromosomes, "chr4")
+
+
+def test_session(spark, tmp_path):
+    assert "reads" in session.register_views(spark, SF) and spark.sql("SELECT count(*) AS n FROM reads").first().n == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert "align_dna" in session.register_functions(spark) and spark.sql("SELECT align_dna('TTACGT', 'ACGT').start AS s, best_identity('ACG', 'TTACG') AS i").first() == (3, 3)
+    records = spark.createDataFrame([("a", "AC"), ("b", "G"), ("a", "TT")], "read_id string, seq string").coalesce(1)
+    assert {tuple(r) for r in files.last_of_each(records).collect()} == {("a", "TT"), ("b", "G")} and files.to_fasta(records).columns == ["read_id", "seq"]
+    sinks.write_flags(spark.createDataFrame([("q", ["noFR4", "CDR3dna"])], "queryid string, flags array<string>"), str(tmp_path / "flags"))
+    assert {r.flag for r in spark.read.text(str(tmp_path / "flags")).collect()} == {"noFR4", "CDR3dna"}
+    (tmp_path / "ids").write_text("# list\nx1\n\nx2 # last\n")
+    assert [r.id for r in reports.read_ids(spark, str(tmp_path / "ids")).collect()] == ["x1", "x2"]
+    assert reports.read_primers(records.where("read_id = 'b'")) == [("b", "G", 5)]

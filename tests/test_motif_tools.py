@@ -9,6 +9,8 @@ import pytest
 from paratope.functions import stats, words
 from paratope.operators import candidates, distances, medoids, search
 from paratope.operators.motifs import UNIFORM, Motif
+from paratope.plans import sinks
+from paratope.sources import config, programs
 
 A, B = Motif.from_text("TGASTCA"), Motif.from_text("TGACTCA")
 
@@ -123,4 +125,62 @@ def test_site_metrics():
     assert search.by_probe(empty) == 1 and search.roc_auc(empty) == 0.5 and search.mncp(empty) == 1
 
 
+ALIGNACE = """AlignACE 3.0
+Motif 1
+TGACTCA\t0\t5\t1
+TGAGTCA\t1\t9\t0
+*******
+MAP Score: 12.5
+Motif 2
+AAAA\t0\t1\t1
+****
+MAP Score: 5000
+"""
+MDSCAN = "header\nMtf 1\nFinal Motif 1: Wid 7; Score 3.25; Sites 2\n>a Len 1 Site 1 f TGACTCA\n>b Len 1 Site 1 f TGAGTCA\n"
+MEME = """Background letter frequencies (from dataset):
+A 0.300 C 0.200 G 0.200 T 0.300
+MOTIF  1   width =    3   sites =   2   llr = 9   E-value = 1.2e-004
+Motif 1 in BLOCKS format
+-----
+BL   MOTIF 1 width=3 seqs=2
+s1  (  5) ACX  1
+s2  (  7) ACG  1
+//
+Motif 1 position-specific probability matrix
+-----
+letter-probability matrix: alength= 4 w= 3
+ 0.9 0.1 0.0 0.0
+ 0.0 1.0 0.0 0.0
+ 0.0 0.0 1.0 0.0
+-----
+"""
+
+
+def test_program_outputs():
+    a, b = programs.parse_alignace(ALIGNACE)
+    assert a.motif.consensus.upper() == "TGASTCA" and a.metrics == {"MAP": 12.5} and a.seqs == ["TGACTCA", "TGAGTCA"] and b.metrics["MAP"] == 0
+    (m,) = programs.parse_mdscan(MDSCAN)
+    assert m.motif.consensus.upper() == "TGASTCA" and len(m.seqs) == 2
+    (e,) = programs.parse_meme(MEME)
+    assert e.motif.consensus.upper() == "ACG" and e.metrics["evalue"] == 1.2e-4 and e.seqs == ["ACN", "ACG"] and e.motif.background[0] == 0.3
+    assert [f.metrics["MAP"] for f in programs.convert(ALIGNACE, "alignace", least={"church": 1.0})] == [12.5, 0] and programs.parse_meme("") == []
+    read = lambda name: [A, B]
+    assert [n for n, _ in programs.motifs_of("TGASTCA,ACGT", read)] == ["TGASTCA", "ACGT"] and programs.motifs_of("x.txt:1", read)[0][1] is B and len(programs.motifs_of("x.txt", read)) == 2
+    text = sinks.motif_text(B, 1, {"p": 0.01}, words=3)
+    assert "p: 0.01" in text and text.count("TGACTCA") >= 3
+
+
+def test_configuration():
+    got = config.runs([{"file1": "a", "name": "x", "threads": 2}, None, {"defaults": {"threads": 8, "nofr4cut": None}}, {"file1": "b"}])
+    assert got == [{"threads": 2, "nofr4cut": None, "file1": "a", "name": "x"}, {"threads": 8, "nofr4cut": None, "file1": "b"}]
+    assert config.arguments(got[1]) == ["--threads", "8", "--nofr4cut", "--file1", "b"]
+    for bad in ([{"yaml": "z"}], [{"defaults": {}, "more": 1}]):
+        with pytest.raises(ValueError):
+            config.runs(bad)
+    assert config.requires("math")(lambda: 1)() == 1 and config.requires("no_such_package", otherwise=lambda: 2)(lambda: 1)() == 2
+    with pytest.raises(ImportError):
+        config.requires("no_such_package")(lambda: 1)()
+    assert config.disabled_on("linux", "darwin", "win")(lambda: 1)() is None
+
+
 assert UNIFORM["A"] == 0.25
