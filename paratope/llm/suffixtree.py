@@ -87,6 +87,27 @@ def _blob(x: np.ndarray) -> bytes:
     return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes() if x.itemsize > 1 else x.tobytes()
 
 
+def _pack(x: np.ndarray) -> bytes:
+    """Keys that recur: the distinct ones in order, as steps, and which one stands at each place, compressed. Keys in order need but a
+    flag a place that says where the next one begins."""
+    rising = bool((x[1:] >= x[:-1]).all())
+    if rising:
+        first = _groups(x) if len(x) else np.zeros(0, np.int64)
+        known, place = x[first], np.zeros(len(x), dtype=np.uint8)
+        place[first[1:]] = 1
+    else:
+        known, place = np.unique(x, return_inverse=True)
+        place = place.astype(np.min_scalar_type(len(known)))
+    raw = _blob(np.diff(known, prepend=np.uint64(0))) + _blob(place)
+    return np.array([len(known), place.itemsize, rising, len(raw)], dtype=np.int64).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _planes(raw: np.ndarray, kind) -> np.ndarray:
+    """The array whose bytes ``_blob`` gave."""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).reshape(-1) if size > 1 else raw.view(kind)
+
+
 class Rows:
     """Rows of a packed table on their way out, in a fixed order of columns; those not given are null."""
 
@@ -120,9 +141,21 @@ def _buckets(batches, by: str = "b") -> Iterator[tuple[int, list]]:
 
 def _get(row, name: str, kind) -> np.ndarray:
     t, i = row
-    size = np.dtype(kind).itemsize
-    x = np.frombuffer(t.column(t.schema.get_field_index(name))[i].as_buffer(), dtype=np.uint8)
-    return np.ascontiguousarray(x.reshape(size, -1).T).view(kind).reshape(-1) if size > 1 else x.view(kind)
+    return _planes(np.frombuffer(t.column(t.schema.get_field_index(name))[i].as_buffer(), dtype=np.uint8), kind)
+
+
+def _unpack(row, name: str) -> np.ndarray:
+    """The keys that ``_pack`` gave."""
+    t, i = row
+    buf = t.column(t.schema.get_field_index(name))[i].as_buffer()
+    n, size, rising, length = np.frombuffer(buf[:32], dtype=np.int64).tolist()
+    raw = np.frombuffer(pa.decompress(buf[32:], length, codec="zstd"), dtype=np.uint8)
+    known, place = np.cumsum(_planes(raw[: 8 * n], np.uint64), dtype=np.uint64), _planes(raw[8 * n :], np.dtype(f"u{size}"))
+    return known[np.cumsum(place, dtype=np.int64) if rising else place]
+
+
+def _unpacked(rows: list, name: str) -> np.ndarray:
+    return np.concatenate([_unpack(r, name) for r in rows]) if rows else np.zeros(0, dtype=np.uint64)
 
 
 def _all(rows: list, name: str, kind) -> np.ndarray:
@@ -283,10 +316,10 @@ def _gather(train: DataFrame, n: int, bits: int, shared) -> DataFrame:
             at = order[first]
             x, y, k = x[at], y[at], k[at]
             deal = np.where(_place(hot.keys, x) >= 0, k, x)
-            order = np.argsort(deal, kind="stable")
+            order = np.lexsort((x, _bucket(deal, bits)))
             deal, x, y, c = deal[order], x[order], y[order], c[order]
             for b, at in _cuts(deal, bits):
-                out.add(kind=1, b=b, ctx=_blob(x[at]), nxt=_blob(y[at]), c=_blob(c[at]))
+                out.add(kind=1, b=b, ctx=_pack(x[at]), nxt=_pack(y[at]), c=_blob(c[at]))
             yield from out.batch()
 
         for t in batches:
@@ -308,15 +341,15 @@ def _gather(train: DataFrame, n: int, bits: int, shared) -> DataFrame:
 
 
 def _asked(gathered: DataFrame, contexts: DataFrame, bits: int, shared) -> DataFrame:
-    """ASKED rows: of kind 1 the entries of a bucket (runs that occur ``LEAST`` times), of kind 2 the keys of their suffixes, dealt to
-    the suffixes' buckets."""
+    """ASKED rows: of kind 1 the entries of a bucket (runs that occur ``LEAST`` times), of kind 2 the keys of their suffixes, each
+    once, dealt to the suffixes' buckets."""
 
     def run(batches):
         _, _, hot = shared.value
         out = Rows(ASKED)
         for b, rows in _buckets(batches):
             own = [r for r in rows if _kind(r) == 1]
-            x, y = _all(own, "ctx", np.uint64), _all(own, "nxt", np.uint64)
+            x, y = _unpacked(own, "ctx"), _unpacked(own, "nxt")
             k = x * B8 + y
             order = np.argsort(k)
             first = _groups(k[order])
@@ -337,11 +370,9 @@ def _asked(gathered: DataFrame, contexts: DataFrame, bits: int, shared) -> DataF
             if not len(x):
                 continue
             out.add(kind=1, b=b, ctx=_blob(x), nxt=_blob(y), c=_blob(c), size=_blob(size), suf=_blob(suf))
-            to = _bucket(suf, bits)
-            order = np.argsort(to, kind="stable")
-            first = _groups(to[order])
-            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(to)], strict=True):
-                out.add(kind=2, b=int(to[order[lo]]), origin=b, suf=_blob(suf[order[lo:hi]]))
+            suf = np.unique(suf)
+            for to, at in _cuts(suf, bits):
+                out.add(kind=2, b=to, origin=b, suf=_blob(suf[at]))
             yield from out.batch()
 
     return _met(gathered.sparkSession, contexts.select("kind", "b", "k", "suf", "c", "mine"), gathered).mapInArrow(run, ASKED)
@@ -391,8 +422,7 @@ def _solved(asked: DataFrame, answers: DataFrame, bits: int, total: int, last: b
         for b, rows in _buckets(batches):
             (own,) = [r for r in rows if _kind(r) == 1]
             x, y, c, size, suf = (_get(own, n, t) for n, t in (("ctx", np.uint64), ("nxt", np.uint64), ("c", np.int64), ("size", np.int64), ("suf", np.uint64)))
-            below = np.empty(len(x))
-            below[np.argsort(_bucket(suf, bits), kind="stable")] = _all([r for r in rows if _kind(r) == 3], "below", np.float64)
+            below = _all([r for r in rows if _kind(r) == 3], "below", np.float64)[np.unique(suf, return_inverse=True)[1]]
             known = ~np.isnan(below)
             often = known & (_place(hot.keys, x) >= 0)
             if often.any():
@@ -647,7 +677,7 @@ def score(docs: DataFrame, held_out: Column, depth: int = 2) -> DataFrame:
             order = np.argsort(k)
             k, of = k[order], of[order].astype(np.uint16)
             for b, at in _cuts(k, bits):
-                out.add(kind=2, b=b, batch=batch, k=_blob(k[at]), idx=_blob(of[at]))
+                out.add(kind=2, b=b, batch=batch, k=_pack(k[at]), idx=_blob(of[at]))
             have.clear(), wanted.clear()
             yield from out.batch()
 
@@ -690,7 +720,7 @@ def score(docs: DataFrame, held_out: Column, depth: int = 2) -> DataFrame:
                 if _kind(r) == 1:
                     out.add(kind=1, batch=batch, **{n: _get(r, n, np.uint8).tobytes() for n in own})
                 elif _kind(r) == 2:
-                    at = _place(keys, _get(r, "k", np.uint64))
+                    at = _place(keys, _unpack(r, "k"))
                     idx, of = np.unique(_get(r, "idx", np.uint16), return_inverse=True)
                     sums = np.stack([np.bincount(of, weights=x[at], minlength=len(idx)) for x in (v, base, base > 0)])
                     out.add(kind=2, batch=batch, idx=_blob(idx), sums=_blob(sums))
