@@ -559,3 +559,11 @@ def test_suffix_tree_is_exact(spark, none, monkeypatch, depth, limits):
     assert len(found) == len(texts) and found[train + 4].score > found[train + 4].base_score + 4
     for i, t in enumerate(texts):
         assert found[i].score == pytest.approx(tree.score(t), abs=1e-6)
+
+
+@pytest.mark.parametrize("keys", [[], [7], [5, 5, 5], [0, 1, 1, 2**64 - 1], [9, 3, 9, 2**63, 3]])
+def test_packed_keys_round_trip(keys):
+    x = np.array(keys, dtype=np.uint64)
+    row = (pa.record_batch({"k": pa.array([suffixtree._pack(x)], pa.binary())}), 0)
+    back = suffixtree._unpack(row, "k")
+    assert back.dtype == np.uint64 and back.tolist() == keys
