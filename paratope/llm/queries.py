@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paratope.llm import binary, bpe, langid, lattice, njoin, packing, simhash, suffixes, suffixtree, units
+from paratope.llm import binary, bpe, langid, lattice, merge, njoin, packing, simhash, suffixes, suffixtree, units
 from paratope.llm.common import Scratch
 
 
@@ -57,6 +57,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.read_tokens(spark, folder)
 
 
+def op13_branch_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.merged_branches(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_suffix_array": op2_suffix_array,
@@ -68,6 +72,7 @@ QUERIES = {
     "op8_suffix_tree": op8_suffix_tree,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
+    "op13_branch_merge": op13_branch_merge,
 }
 
-ORACLES: dict[str, str] = {"op5_unit_hash": units.ORACLE}
+ORACLES: dict[str, str] = {"op5_unit_hash": units.ORACLE, "op13_branch_merge": merge.oracle()}
