@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from paratope.llm import binary, bpe, kdshards, langid, lattice, merge, njoin, packing, simhash, suffixes, suffixtree, units
+from paratope.llm import binary, bpe, kdshards, langid, lattice, merge, negatives, njoin, packing, simhash, suffixes, suffixtree, units
 from paratope.llm.common import Scratch
 
 
@@ -57,6 +57,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.read_tokens(spark, folder)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
 def op12_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdshards.balanced_shards(table(spark, sf_dir, "documents"), shards=16)
 
@@ -76,8 +80,9 @@ QUERIES = {
     "op8_suffix_tree": op8_suffix_tree,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_kd_shards": op12_kd_shards,
     "op13_branch_merge": op13_branch_merge,
 }
 
-ORACLES: dict[str, str] = {"op5_unit_hash": units.ORACLE, "op13_branch_merge": merge.oracle()}
+ORACLES: dict[str, str] = {"op5_unit_hash": units.ORACLE, "op11_hard_negatives": negatives.ORACLE, "op13_branch_merge": merge.oracle()}
