@@ -196,7 +196,7 @@ class Index:
             some = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) <= int((1 << 30) * min(1.0, SAMPLE / total))
             fitted = _matrix(vectors.where((F.size("v") == dim) & some).select("v").limit(2 * SAMPLE).toArrow().column("v"))
             depth = depth if len(fitted) else 0
-        tree = Vantage(augmented(fitted.reshape(-1, dim), most), depth, np.random.default_rng(seed))
+        tree = Vantage(augmented(fitted if len(fitted) else np.zeros((0, dim)), most), depth, np.random.default_rng(seed))
         tree.groups = None
 
         def deal(batches):

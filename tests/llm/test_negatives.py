@@ -68,8 +68,8 @@ def test_repeated_ids_and_empty_tables(spark, rows):
 
 def test_leaves_that_cannot_hold_better_rows_are_not_visited():
     rng = np.random.default_rng(1)
-    centres = rng.normal(size=(16, 8)) * 400
-    x = np.rint(centres[rng.integers(16, size=4000)] + rng.normal(size=(4000, 8)) * 10)
+    x = rng.normal(size=(4000, 3))
+    x = np.rint(x / np.sqrt((x**2).sum(1, keepdims=True)) * 1000)
     block = negatives.Block(np.arange(4000), np.zeros(4000, np.int64), x, float((x**2).sum(1).max()))
     seen = []
     block.leaves = Watched(block.leaves, seen)
