@@ -5,14 +5,15 @@ Queries run over whole tables, derived from the driver's as ``plans.derived`` sa
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paratope.functions import sequences as S
-from paratope.functions import stats
-from paratope.operators import abundance, cluster, diversity, filters, hts, motifs, primer, productivity, refine, restriction, search, upstream
+from paratope.functions import stats, words
+from paratope.operators import abundance, cluster, diversity, filters, hts, motif_table, motifs, primer, productivity, refine, restriction, search, upstream
 from paratope.plans.derived import oracle
 from paratope.plans.derived import table as derived
 
@@ -750,6 +751,67 @@ def _(spark, d):
     return search.evaluate(_probes(spark, d), _subset(spark, d), {t: motifs.Motif.from_text(t) for t in ("TGASTCA", "ACGTRA")})
 
 
+# Words of seven bases on either strand, their sites in each probe (those that begin inside one counted before left out), and tails.
+SEVEN = f"""p AS (SELECT read_id, upper(seq) AS s, read_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS own FROM reads),
+    k AS (SELECT read_id, own, s, unnest(range(1, greatest(length(s) - 5, 1))) AS pos FROM p),
+    c AS (SELECT read_id, own, pos, {CANON} AS motif FROM (SELECT *, substring(s, pos, 7) AS w FROM k) x WHERE regexp_full_match(w, '[ACGT]+')),
+    g AS (SELECT motif, read_id, any_value(own) AS own, list(pos ORDER BY pos) AS ps FROM c GROUP BY 1, 2),
+    n AS (SELECT motif, own, len(ps) AS starts, list_reduce(list_transform(list_prepend(-99, ps), lambda x: {{'p': x, 'n': 0}}), lambda a, x: CASE WHEN x.p >= a.p + 7 THEN {{'p': x.p, 'n': a.n + 1}} ELSE a END).n AS sites FROM g),
+    t AS (SELECT count(*) FILTER (own) AS draws, count(*) AS total, sum(CASE WHEN own THEN length(s) ELSE 0 END)::DOUBLE / sum(length(s)) AS part FROM p),
+    a AS (SELECT motif, count(*) FILTER (own) AS found, count(*) AS marked, count(*) FILTER (own AND starts >= 2) AS f2, count(*) FILTER (starts >= 2) AS m2, coalesce(sum(least(sites, 2)) FILTER (own), 0) AS fr, sum(least(sites, 2)) AS mr, coalesce(sum(least(sites, 4)) FILTER (own), 0) AS fo, sum(least(sites, 4)) AS mo FROM n GROUP BY 1),
+    l AS (SELECT motif, sites, count(*) FILTER (own) AS a, count(*) FILTER (NOT own) AS b FROM n GROUP BY 1, 2),
+    u AS (SELECT *, sum(a) OVER w AS ua, sum(b) OVER w AS ub FROM l WINDOW w AS (PARTITION BY motif ORDER BY sites DESC)),
+    r AS (SELECT motif, sum(a * (ua::DOUBLE / draws) / ((ua + ub)::DOUBLE / total)) AS cond, sum(a * (total - draws - ub + b / 2.0::DOUBLE)) AS wins, max(ua) AS ua, max(ub) AS ub FROM u, t GROUP BY 1)"""
+
+
+def _tail_sql(found: str, draws: str, marked: str, total: str) -> str:
+    terms = TAIL
+    for name, value in (("found", found), ("draws", draws), ("marked", marked), ("total", total)):
+        terms = re.sub(rf"\b{name}\b", f"@{name}@", terms)
+    for name, value in (("found", found), ("draws", draws), ("marked", marked), ("total", total)):
+        terms = terms.replace(f"@{name}@", f"({value})")
+    return f"CASE WHEN {found} > 0 THEN least(1, {terms}) ELSE 1 END"
+
+
+def _score_sql(p: str) -> str:
+    return f"round(abs(log10(greatest({p}, 1e-299))), 4)"
+
+
+OVER = "CASE WHEN fo > 0 THEN least(1, list_sum(list_transform(range(fo::BIGINT, mo::BIGINT + 1), lambda k: exp(lgamma(mo + 1) - lgamma(k + 1) - lgamma(mo - k + 1) + k * ln(part) + (mo - k) * ln(1 - part))))) ELSE 1 END"
+METRIC_COLUMNS = ("probe", "site", "repeated", "over_represented")
+
+
+@query(
+    "m41_words",
+    f"""WITH {SEVEN} SELECT motif, found, marked, draws, total, {_score_sql(_tail_sql("found", "draws", "marked", "total"))} AS probe, {_score_sql(_tail_sql("f2", "draws", "m2", "total"))} AS site, {_score_sql(_tail_sql("fr::BIGINT", "2 * draws", "mr::BIGINT", "2 * total"))} AS repeated, {_score_sql(OVER)} AS over_represented,
+    round(found::DOUBLE / draws, 9) AS share, round((cond + draws - ua) / draws, 9) AS mncp, round((wins + (draws - ua) * (total - draws - ub) / 2.0::DOUBLE) / (draws * (total - draws)), 9) AS roc_auc FROM a JOIN r USING (motif), t""",
+)
+def _(spark, d):
+    """Every word of seven bases that occurs, by all metrics, in one pass over the probes."""
+    rows = motif_table.evaluate_all(_probes(spark, d), _subset(spark, d), motif_table.all_words(7))
+    return rows.select("motif", "found", "marked", "draws", "total", *(motif_table.scores(F.col(c)).alias(c) for c in METRIC_COLUMNS), *(F.round(c, 9).alias(c) for c in ("share", "mncp", "roc_auc")))
+
+
+@query("m41_gapped_words")
+def _(spark, d):
+    """Words of three letters, with an ambiguity code at most, beside themselves or their reverse complements, 0 to 11 letters apart."""
+    return motif_table.evaluate_all(_probes(spark, d), _subset(spark, d), motif_table.texts(words.dimer_words(3)))
+
+
+@query("m41_frequent_words")
+def _(spark, d):
+    """The hundred most frequent words of the subset for each width from 7 to 11, against all probes."""
+    probes, subset = _probes(spark, d), _subset(spark, d)
+    own = probes.join(subset, "probe_id", "left_semi")
+    return motif_table.evaluate_all(probes, subset, motif_table.frequent_words(own, range(7, 12), 100))
+
+
+@query("m41_best_thresholds")
+def _(spark, d):
+    named = {t: motifs.Motif.from_text(t) for t in ("TGASTCA", "ACGTRA", "GGCWTA", "TTACGG")}
+    return motif_table.best_thresholds(_probes(spark, d), _subset(spark, d), named)
+
+
 @query("m12_scan")
 def _(spark, d):
     return motifs.sitemap(_probes(spark, d), {"tgastca": motifs.Motif.from_text("TGASTCA"), "acgtr": motifs.Motif.from_text("ACGTRA")}, 0.8)

@@ -41,6 +41,59 @@ def binomial_tail(k: int, n: int, p: float, precision: float = 1e-12) -> float:
     return min(1.0, total)
 
 
+_lgamma = np.vectorize(math.lgamma, otypes=[float])
+
+
+def _log_chooses(n: np.ndarray, k: np.ndarray) -> np.ndarray:
+    return _lgamma(n + 1.0) - _lgamma(k + 1.0) - _lgamma(n - k + 1.0)
+
+
+def _summed(first: np.ndarray, steps: np.ndarray, ratio) -> np.ndarray:
+    """Sums of terms that begin with ``first`` and go on ``steps`` times, each ``ratio(j, which)`` times the one before; a sum ends
+    where its terms fall and no longer matter."""
+    total, term = first.copy(), first.copy()
+    live, j = np.flatnonzero((steps > 0) & (first > 0)), 0
+    while len(live):
+        r = ratio(j, live)
+        term[live] *= r
+        total[live] += term[live]
+        j += 1
+        live = live[(steps[live] > j) & ((r > 1) | (term[live] > 1e-17 * total[live]))]
+    return total
+
+
+def hypergeometric_tails(found, draws, marked, total) -> np.ndarray:
+    """``hypergeometric_tail`` of arrays. Above the mean terms are summed upwards, below it downwards from one."""
+    k, d, m, t = (np.asarray(x, dtype=np.float64) for x in (found, draws, marked, total))
+    least, most = np.maximum(0.0, d + m - t), np.minimum(d, m)
+    out = np.where(k <= least, 1.0, 0.0)
+    open_ = np.flatnonzero((k > least) & (k <= most))
+    k, d, m, t, least, most = (x[open_] for x in (k, d, m, t, least, most))
+    up = k * t >= d * m
+    at = np.where(up, k, k - 1)
+    first = np.exp(_log_chooses(m, at) + _log_chooses(t - m, d - at) - _log_chooses(t, d)) if len(at) else at
+    ahead = lambda j, i: (m[i] - at[i] - j) * (d[i] - at[i] - j) / ((at[i] + j + 1) * (t[i] - m[i] - d[i] + at[i] + j + 1))
+    back = lambda j, i: (at[i] - j) * (t[i] - m[i] - d[i] + at[i] - j) / ((m[i] - at[i] + j + 1) * (d[i] - at[i] + j + 1))
+    both = _summed(first, np.where(up, most - at, at - least), lambda j, i: np.where(up[i], ahead(j, i), back(j, i)))
+    out[open_] = np.clip(np.where(up, both, 1 - both), 0.0, 1.0)
+    return out
+
+
+def binomial_tails(k, n, p) -> np.ndarray:
+    """``binomial_tail`` of arrays."""
+    k, n, p = (np.asarray(x, dtype=np.float64) for x in (k, n, p))
+    out = np.where((k <= 0) | ((p >= 1) & (k <= n)), 1.0, 0.0)
+    open_ = np.flatnonzero((k > 0) & (k <= n) & (p > 0) & (p < 1))
+    k, n, p = k[open_], n[open_], p[open_]
+    up = k >= n * p
+    at = np.where(up, k, k - 1)
+    first = np.exp(_log_chooses(n, at) + at * np.log(p) + (n - at) * np.log1p(-p)) if len(at) else at
+    odds = p / (1 - p)
+    both = _summed(first, np.where(up, n - at, at), lambda j, i: np.where(up[i], (n[i] - at[i] - j) / (at[i] + j + 1) * odds[i], (at[i] - j) / (n[i] - at[i] + j + 1) / odds[i]))
+    out[open_] = np.clip(np.where(up, both, 1 - both), 0.0, 1.0)
+    return out
+
+
 def poisson(k: int, mean: float) -> float:
     return float(k == 0) if mean <= 0 else math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
 

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paratope.functions.sequences import canonical, kmers
-from paratope.functions.stats import binomial_tail, chi2_tail, hypergeometric_tail, ks_tail
+from paratope.functions.stats import binomial_tail, hypergeometric_tail, ks_tail
+from paratope.operators.motif_table import chi2_classes
 from paratope.operators.motifs import Motif
 
 BINS = (0, 1, 2, 3, 4, 5)  # lower bounds of the classes of site counts
@@ -92,17 +93,10 @@ def share_with_site(h: pd.DataFrame) -> float:
 
 
 def chi2(h: pd.DataFrame, bins: tuple[int, ...] = BINS) -> float:
-    """Chi-square tail of the subset's classes of site counts against those of all probes; from the last class on, those with fewer
-    than five probes, seen or expected, join the class before."""
-    place = h["n"].map(lambda n: max(i for i, b in enumerate(bins) if n >= b))
-    seen = [float(h.loc[h["own"] & (place == i), "probes"].sum()) for i in range(len(bins))]
-    every = [float(h.loc[place == i, "probes"].sum()) for i in range(len(bins))]
-    want = [x / sum(every) * sum(seen) for x in every]
-    for i in range(len(bins) - 1, 1, -1):
-        if want[i] < 5 or seen[i] < 5:
-            seen[i - 1] += seen.pop(i)
-            want[i - 1] += want.pop(i)
-    return chi2_tail(sum((s - w) ** 2 / w for s, w in zip(seen, want, strict=True) if w > 0), len(seen) - 1)
+    """Chi-square tail of the subset's classes of site counts against those of all probes (``chi2_classes``)."""
+    place = h["n"].map(lambda n: sum(n >= b for b in bins) - 1)
+    seen, every = ([float(x.loc[place == i, "probes"].sum()) for i in range(len(bins))] for x in (h[h["own"]], h))
+    return chi2_classes(seen, every)
 
 
 def mncp(h: pd.DataFrame) -> float:
