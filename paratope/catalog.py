@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paratope.functions import sequences as S
 from paratope.functions import stats, words
-from paratope.operators import abundance, cluster, diversity, filters, hts, motif_table, motifs, primer, productivity, refine, restriction, search, upstream
+from paratope.operators import abundance, cluster, diversity, em, filters, hts, motif_table, motifs, primer, productivity, refine, restriction, search, upstream
 from paratope.plans.derived import oracle
 from paratope.plans.derived import table as derived
 
@@ -831,7 +831,14 @@ def _(spark, d):
 
 @query("m30_em")
 def _(spark, d):
-    return cluster.em_table(derived(spark, d, "reads"), ["TGACTCA", "ACGTAC"], motifs.UNIFORM)
+    """Two seeds over all reads, to the end."""
+    return em.em_table(derived(spark, d, "reads"), ["TGACTCA", "ACGTAC"])
+
+
+@query("m38_discover")
+def _(spark, d):
+    """Motifs of the probes of the subset from its five most enriched words and a given seed, each scored among all probes."""
+    return em.discover(_probes(spark, d), _subset(spark, d), 6, seeds=["TGACTCA"], enriched=5)
 
 
 @query(

@@ -7,10 +7,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paratope.operators.running import running_sums
+
 
 def log_choose(n: float, k: float) -> float:
     return -math.inf if k < 0 or k > n else math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
@@ -199,11 +201,10 @@ def weighted_moments(df: DataFrame, value: str, weight: str) -> DataFrame:
 def average_ranks(df: DataFrame, value: str) -> DataFrame:
     """``df`` with a column rank, ties sharing the mean of their places.
 
-    Only distinct values are put in order, with their numbers, so the ordered part follows the number of different values.
+    Only distinct values are put in order, with their numbers, as running sums by ranges of values.
     """
-    counts = df.groupBy(value).agg(F.count("*").alias("__n"))
-    upto = F.sum("__n").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    ranks = counts.select(F.col(value).alias("__v"), (upto - (F.col("__n") - 1) / 2).alias("rank"))
+    counts = running_sums(df.groupBy(F.col(value).alias("__v")).agg(F.count("*").alias("__n")), ["__v"], "__n", "__upto")
+    ranks = counts.select("__v", (F.col("__upto") - (F.col("__n") - 1) / 2).alias("rank"))
     return df.join(ranks, F.col(value).eqNullSafe(F.col("__v"))).drop("__v")
 
 

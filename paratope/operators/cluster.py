@@ -1,4 +1,4 @@
-"""Distances between motifs, UPGMA trees, k-medoids, redundancy filters and EM motif discovery.
+"""Distances between motifs, UPGMA trees, k-medoids and redundancy filters.
 
 Distances are computed by the cluster, a pair of motifs a row; trees and medoids work on one group's small matrix at a time.
 """
@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paratope.operators.motifs import BASES, Motif
+from paratope.operators.motifs import Motif
 
 
 def euclid(a: Motif, b: Motif) -> float:
@@ -132,66 +132,3 @@ def distinct_motifs(motifs: list[tuple[Motif, float]], most: float = 0.5) -> lis
         if all(sliding(motifs[k][0], motifs[i][0])[0] > most for k in kept):
             kept.append(i)
     return sorted(kept)
-
-
-def _windows(seq: str, width: int) -> np.ndarray:
-    """Every window of a sequence without other letters than bases, as codes, and then their reverse complements."""
-    code = np.full(128, -1)
-    code[[ord(b) for b in BASES]] = range(4)
-    x = code[np.frombuffer(seq.upper().encode("ascii", "replace"), np.uint8)]
-    if len(x) < width:
-        return np.zeros((0, width), dtype=int)
-    w = np.lib.stride_tricks.sliding_window_view(x, width)
-    w = w[(w >= 0).all(1)]
-    return np.concatenate([w, 3 - w[:, ::-1]])
-
-
-def _expect(seqs, ratios: np.ndarray, gamma: float) -> np.ndarray:
-    """The E step over some sequences: expected base counts by place, then log-likelihood gain, occurrences and sequences."""
-    width = len(ratios)
-    counts, total, hold, used = np.zeros((width, 4)), 0.0, 0.0, 0
-    for s in seqs:
-        w = _windows(s, width)
-        if len(w):
-            odds = 2.0 ** ratios[np.arange(width), w].sum(1) * gamma / len(w)
-            z = odds / (odds.sum() + 1 - gamma)
-            total += np.log2(odds.sum() + 1 - gamma)
-            hold += z.sum()
-            used += 1
-            for i in range(width):
-                counts[i] += np.bincount(w[:, i], weights=z, minlength=4)
-    return np.concatenate([counts.ravel(), [total, hold, used]])
-
-
-def _maximise(seed: Motif, background: dict[str, float], gamma: float, tolerance: float, rounds: int, expect) -> tuple[Motif, float, float]:
-    bg = np.array([background[b] for b in BASES])
-    motif, last, total = seed, -np.inf, 0.0
-    for _ in range(rounds):
-        sums = expect(motif.ratios, gamma)
-        counts, (total, hold, used) = sums[:-3].reshape(-1, 4), sums[-3:]
-        motif = Motif((counts + 0.01 * bg) / (counts.sum(1, keepdims=True) + 0.01), bg)
-        gamma = min(0.999, max(1e-3, hold / max(1, used)))
-        if abs(total - last) < tolerance:
-            break
-        last = total
-    return motif, gamma, float(total)
-
-
-def em(seqs: list[str], seed: Motif, background: dict[str, float], gamma: float = 0.5, tolerance: float = 1e-4, rounds: int = 500) -> tuple[Motif, float, float]:
-    """Zero or one occurrence a sequence: the motif, the share of sequences that hold it and the log-likelihood gain in bits."""
-    return _maximise(seed, background, gamma, tolerance, rounds, lambda r, g: _expect(seqs, r, g))
-
-
-def em_table(seqs: DataFrame, seeds: list[str], background: dict[str, float], gamma: float = 0.5, tolerance: float = 1e-3, rounds: int = 500) -> DataFrame:
-    """(seed, consensus, share, gain) over all rows of ``seq``: each round's E step runs where the sequences are, and a task sends
-    back one row of sums."""
-
-    def expect(ratios: np.ndarray, share: float) -> np.ndarray:
-        def run(frames):
-            total = sum((_expect(f["seq"].dropna(), ratios, share) for f in frames), np.zeros(4 * len(ratios) + 3))
-            yield pd.DataFrame({"sums": [total.tolist()]})
-
-        return np.sum([r.sums for r in seqs.select("seq").mapInPandas(run, "sums array<double>").toLocalIterator()], axis=0)
-
-    found = [(s, *_maximise(Motif.from_text(s, background), background, gamma, tolerance, rounds, expect)) for s in seeds]
-    return seqs.sparkSession.createDataFrame([(s, m.consensus, float(share), gain) for s, m, share, gain in found], "seed string, consensus string, share double, gain double")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from paratope.functions.sequences import gene
 from paratope.operators.productivity import REGIONS
+from paratope.operators.running import running_sums
 
 
 def spectratypes(annot: DataFrame) -> DataFrame:
@@ -182,10 +183,6 @@ def logo_fractions(comp: DataFrame, least: float = 0.01, keep_all: bool = False)
     return w.select("position", "aa", F.round(F.col("weight") / F.col("total"), 9).alias("fraction"))
 
 
-def cumulative(counts: DataFrame, key: str, letters: int = 3) -> DataFrame:
-    """Running weights of values in key order: within keys of equal first ``letters``, plus the sum of all before these."""
-    counts = counts.withColumn("__head", F.substring(key, 1, letters))
-    heads = counts.groupBy("__head").agg(F.sum("cnt").alias("__sum"))
-    heads = heads.select("__head", F.coalesce(F.sum("__sum").over(Window.orderBy("__head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
-    own = F.sum("cnt").over(Window.partitionBy("__head").orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
-    return counts.withColumn("upto", own).join(heads, "__head").withColumn("upto", F.col("upto") + F.col("__base")).drop("__head", "__base")
+def cumulative(counts: DataFrame, key: str) -> DataFrame:
+    """Running weights (cnt) of values in key order."""
+    return running_sums(counts, [key], "cnt", "upto")

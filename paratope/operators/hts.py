@@ -70,17 +70,27 @@ def category_sizes(annotation: DataFrame) -> DataFrame:
     return annotation.groupBy("category").agg(F.count_distinct("gene").alias("size")).groupBy("size").agg(F.count("*").alias("categories"))
 
 
-def nearest(positions: DataFrame, marks: DataFrame) -> DataFrame:
-    """Distance from each (id, chrom, pos) to the nearest mark (chrom, mark) of its chromosome: in order of place, the nearest is the
-    last mark before or the first one after. Chromosomes without a mark are left out."""
-    both = positions.select("id", "chrom", "pos", F.col("pos").alias("at"), F.lit(None).cast("long").alias("mark")).unionByName(
-        marks.select(F.lit(None).alias("id"), "chrom", F.lit(None).alias("pos"), F.col("mark").alias("at"), F.col("mark").cast("long").alias("mark"))
-    )
-    by = Window.partitionBy("chrom").orderBy("at")
-    before = F.last("mark", ignorenulls=True).over(by.rangeBetween(Window.unboundedPreceding, 0))
-    after = F.first("mark", ignorenulls=True).over(by.rangeBetween(0, Window.unboundedFollowing))
-    found = both.withColumns({"__b": before, "__a": after}).where("pos IS NOT NULL")
-    return found.select("id", "chrom", "pos", F.least(F.abs(F.col("pos") - F.col("__b")), F.abs(F.col("__a") - F.col("pos"))).alias("distance")).where("distance IS NOT NULL")
+def nearest(positions: DataFrame, marks: DataFrame, width: int = 1 << 17) -> DataFrame:
+    """Distance from each (id, chrom, pos) to the nearest mark (chrom, mark) of its chromosome, chromosomes without one left out.
+
+    A chromosome is cut into bins of ``width`` places. Within a bin the nearest is the last mark before or the first one after; where
+    a bin has none there, it is the last of the bins before or the first of those after. Each place is looked at once, however many
+    rows lie there, so a task's group has ``width`` places at most.
+    """
+    bin_ = F.floor(F.col("at") / width).alias("bin")
+    places = positions.select("chrom", F.col("pos").cast("long").alias("at")).where("at IS NOT NULL").distinct()
+    known = marks.select("chrom", F.col("mark").cast("long").alias("at")).where("at IS NOT NULL").distinct()
+    both = places.withColumn("mark", F.lit(None).cast("long")).unionByName(known.withColumn("mark", F.col("at"))).select("*", bin_)
+    bins = both.groupBy("chrom", "bin").agg(F.min("mark").alias("low"), F.max("mark").alias("high"))
+    along = Window.partitionBy("chrom").orderBy("bin")
+    bins = bins.select("chrom", "bin", F.max("high").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("past"), F.min("low").over(along.rowsBetween(1, Window.unboundedFollowing)).alias("next"))
+    by = Window.partitionBy("chrom", "bin").orderBy("at")
+    before = F.max("mark").over(by.rangeBetween(Window.unboundedPreceding, 0))
+    after = F.min("mark").over(by.rangeBetween(0, Window.unboundedFollowing))
+    found = both.withColumns({"before": before, "after": after}).where("mark IS NULL").join(bins, ["chrom", "bin"])
+    gap = F.least(F.col("at") - F.coalesce("before", "past"), F.coalesce("after", "next") - F.col("at"))
+    found = found.select(F.col("chrom").alias("__c"), F.col("at").alias("__p"), gap.alias("distance")).where("distance IS NOT NULL")
+    return positions.join(found, (F.col("chrom") == F.col("__c")) & (F.col("pos") == F.col("__p"))).select("id", "chrom", "pos", "distance")
 
 
 def span_distance(a_start, a_end, b_start, b_end):
