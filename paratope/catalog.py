@@ -321,12 +321,6 @@ def _reads_with_annotation(spark, d):
     return rows.crossJoin(F.broadcast(n)).withColumn("read_id", F.col("__k") % F.col("n")).join(reads, "read_id").drop("__k", "n", "sample")
 
 
-@query("c9_region_hits")
-def _(spark, d):
-    rows = _reads_with_annotation(spark, d).withColumn("read_id", F.col("queryid"))
-    return restriction.region_hits(rows, SITES[:3])
-
-
 # ---------------------------------------------------------------- upstream, primers, refinement
 ONE_EACH = "SELECT DISTINCT ON (queryid) * FROM clone_annot"
 WITH_READS = f"SELECT a.*, r.seq FROM ({ONE_EACH}) a JOIN reads r ON r.read_id = CAST(split_part(a.queryid, '-', 1) AS BIGINT) % (SELECT count(*) FROM reads)"
@@ -348,6 +342,24 @@ def _(spark, d):
     return upstream.length_distribution(_upstream(spark, d))
 
 
+def _positions_sql(text: str, site: str) -> str:
+    parts = f"string_split_regex({text}, '{S.iupac_regex(site)}')"
+    return f"list_transform(range(0, len({parts}) - 1), lambda i: i * {len(site)} + list_sum(list_transform({parts}[1:i + 1], lambda x: length(x))))"
+
+
+def _region_hits_sql() -> str:
+    one = lambda e, s: f"SELECT read_id, '{e}' AS enzyme, unnest(CASE WHEN len(f) > 0 THEN f ELSE list_transform(b, lambda p: n - p - {len(s)}) END) AS p FROM (SELECT read_id, length(s) AS n, {_positions_sql('s', s)} AS f, {_positions_sql(RC.format('s'), s)} AS b FROM u) x"
+    region = "CASE " + " ".join(f"WHEN p + 1 BETWEEN {r}_start AND {r}_end THEN '{r}'" for r in REGIONS) + " END"
+    return f"""WITH u AS (SELECT read_id, upper(seq) AS s FROM reads), h AS ({" UNION ALL ".join(one(e, s) for e, s in SITES[:3])}), a AS (SELECT *, CAST(split_part(queryid, '-', 1) AS BIGINT) % (SELECT count(*) FROM reads) AS k FROM ({ONE_EACH}) o)
+    SELECT enzyme, region, count(*) AS reads FROM (SELECT DISTINCT queryid, enzyme, {region} AS region FROM a JOIN h ON h.read_id = a.k) j WHERE region IS NOT NULL GROUP BY 1, 2"""
+
+
+@query("c9_region_hits", _region_hits_sql())
+def _(spark, d):
+    rows = _reads_with_annotation(spark, d).withColumn("read_id", F.col("queryid"))
+    return restriction.region_hits(rows, SITES[:3])
+
+
 PLAIN_FAMILY = "split_part(split_part(split_part(vgene, '*', 1), '-', 1), '/', 1)"
 CLASSES = f"""WITH u AS ({UPSTREAM}), k AS (SELECT vgene, CASE WHEN length(upstream) NOT BETWEEN 10 AND 20 THEN 'ignored'
     WHEN contains(upper(upstream), 'N') OR regexp_matches(substring(upper(upstream), 4), '^(...)*(TAA|TAG|TGA)') THEN 'faulty' WHEN NOT starts_with(upper(upstream), 'ATG') THEN 'no-atg' ELSE 'valid' END AS class FROM u)

@@ -114,6 +114,48 @@ def best_alignment(seq: str, query: str, dna: bool) -> tuple[int, int, bool] | N
     return start + 1, end, len(pairs) < len(path)
 
 
+def best_ungapped(seqs: list[str], query: str) -> list[tuple[int, int, bool] | None]:
+    """``best_alignment`` of proteins where no gap can pay, for many sequences at once: scores run along diagonals only."""
+    table, query = scores("protein"), query.upper().replace("*", "X")
+    out: list[tuple[int, int, bool] | None] = [None] * len(seqs)
+    order = sorted(range(len(seqs)), key=lambda i: len(seqs[i]))
+    lo = 0
+    while lo < len(order):
+        hi = lo + 1
+        while hi < len(order) and (hi + 1 - lo) * (len(seqs[order[hi]]) + 1) <= 1 << 17:
+            hi += 1
+        own, lo = order[lo:hi], hi
+        width = len(seqs[own[-1]])
+        if not width:
+            continue
+        sizes = np.array([len(seqs[i]) for i in own])
+        codes = np.full((len(own), width), 127, dtype=np.uint8)  # no residue: -4 to all
+        codes[np.arange(width)[None, :] < sizes[:, None]] = np.frombuffer("".join(seqs[i] for i in own).upper().replace("*", "X").encode("ascii", "replace"), np.uint8)
+        h = np.zeros((len(query) + 1, len(own), width + 1), dtype=np.int16)
+        for j, c in enumerate(query):
+            h[j + 1, :, 1:] = np.maximum(h[j, :, :-1] + table[:, ord(c)].astype(np.int16)[codes], 0)
+        each = h.max(0)
+        best = each.max(1)
+        row = np.arange(len(own))
+        i = (each == best[:, None]).argmax(1)
+        j = (h[:, row, i] == best[None, :]).argmax(0)
+        back = np.zeros(len(own), dtype=np.int64)
+        live = best > 0
+        while live.any():
+            live &= (i - back > 0) & (j - back > 0) & (h[np.maximum(j - back - 1, 0), row, np.maximum(i - back - 1, 0)] > 0)
+            back += live
+        start = np.maximum(0, i - 1 - (j - 1))
+        end = np.minimum(sizes, i + len(query) - j)
+        for k in np.flatnonzero(best > 0).tolist():
+            out[own[k]] = (int(start[k]) + 1, int(end[k]), False)
+    return out
+
+
+@lru_cache
+def _no_gap_pays(query: str) -> bool:
+    return bool(query) and query.isascii() and sum(int(scores("protein")[:, ord(c)].max()) for c in query.upper()) <= 100
+
+
 ALIGNED = "struct<start:int,end:int,gapped:boolean>"
 
 
@@ -135,13 +177,23 @@ def aligned_pairs(dna: bool):
     @F.pandas_udf(ALIGNED)
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for s, q in parts:
-            found = [best_alignment(x, y, dna) if x and y else None for x, y in zip(s, q, strict=True)]
+            found: list = [None] * len(s)
+            by: dict[str, list[int]] = {}
+            for i, (x, y) in enumerate(zip(s, q, strict=True)):
+                if x and y:
+                    by.setdefault(y, []).append(i)
+            for y, own in by.items():
+                texts = [s.iloc[i] for i in own]
+                got = best_ungapped(texts, y) if not dna and _no_gap_pays(y) else [best_alignment(x, y, dna) for x in texts]
+                for i, g in zip(own, got, strict=True):
+                    found[i] = g
             yield pd.DataFrame([f or (None, None, None) for f in found], columns=["start", "end", "gapped"])
 
     return run
 
 
 PRIMER = "struct<id:string,mismatch:int,indel:int,start:int,end:int>"
+REMEMBERED = 200_000
 
 
 def match_pattern(seq: str, patterns: list[tuple[str, str]], extend5: bool) -> tuple[str, int, int, int, int]:
@@ -177,8 +229,13 @@ def primer_matcher(patterns: list[tuple[str, str]], extend5: bool = True):
 
     @F.pandas_udf(PRIMER)
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known: dict = {}  # a window is matched once a task, not once a row
         for s in parts:
-            known = {x: match_pattern(x, patterns, extend5) if x else ("nan", 0, 0, 0, 0) for x in s.unique()}
+            if len(known) > REMEMBERED:
+                known.clear()
+            for x in s.unique():
+                if x not in known:
+                    known[x] = match_pattern(x, patterns, extend5) if x else ("nan", 0, 0, 0, 0)
             yield pd.DataFrame([known[x] for x in s], columns=["id", "mismatch", "indel", "start", "end"])
 
     return run

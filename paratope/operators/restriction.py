@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paratope.functions.sequences import iupac_regex, reverse_complement
+from paratope.functions.sequences import IUPAC, iupac_regex, reverse_complement
 from paratope.operators.productivity import REGIONS
 
 
@@ -85,12 +87,54 @@ def region_of(position: Column) -> Column:
 def region_hits(rows: DataFrame, sites: list[tuple[str, str]]) -> DataFrame:
     """(enzyme, region, reads): reads with a hit that begins in the region, each once. Positions are those of the strand that was
     searched; hits on the reverse complement are mapped back."""
-    out = []
-    for e, s in dict(sites).items():
-        regex = iupac_regex(s)
-        forward, back = hit_positions(F.col("seq"), regex), hit_positions(reverse_complement(F.col("seq")), regex)
-        mapped = F.transform(back, lambda p: F.length("seq") - p - len(s))  # noqa: B023
-        out.append(F.struct(F.lit(e).alias("enzyme"), F.when(F.size(forward) > 0, forward).otherwise(mapped).alias("at")))
-    long = rows.select("read_id", *(f"{r}_{x}" for r in REGIONS for x in ("start", "end")), F.inline(F.array(*out)))
-    at = long.select("read_id", "enzyme", F.explode("at").alias("p"), *(f"{r}_{x}" for r in REGIONS for x in ("start", "end")))
-    return at.select("read_id", "enzyme", region_of(F.col("p") + 1).alias("region")).where("region IS NOT NULL").distinct().groupBy("enzyme", "region").agg(F.count("*").alias("reads"))
+    found = site_starts(list(dict(sites).items()))(F.upper("seq"), reverse_complement(F.upper("seq")))
+    bounds = [f"{r}_{x}" for r in REGIONS for x in ("start", "end")]
+    long = rows.select("read_id", *bounds, F.inline(found))
+    each = long.select("read_id", "enzyme", F.explode(F.array_distinct(F.transform("at", lambda p: region_of(p + 1)))).alias("region"))
+    return each.where("region IS NOT NULL").distinct().groupBy("enzyme", "region").agg(F.count("*").alias("reads"))
+
+
+def site_starts(sites: list[tuple[str, str]]):
+    """An Arrow UDF of a text and its reverse complement: for each enzyme its name and the 0-based starts of its hits, without those
+    that begin inside an earlier one; hits on the reverse complement, in places of the text, only where the text itself has none.
+    A batch is searched at once: a letter's places are compared with the bases that each place of the site allows."""
+    kind = pa.list_(pa.struct([("enzyme", pa.string()), ("at", pa.list_(pa.int32()))]))
+
+    @F.arrow_udf("array<struct<enzyme:string,at:array<int>>>")
+    def run(text: pa.Array, other: pa.Array) -> pa.Array:
+        texts = [[x.encode("ascii", "replace") if x else b"" for x in c.to_pylist()] for c in (text, other)]
+        rows: list[list[dict]] = [[] for _ in texts[0]]
+        for name, site in sites:
+            forward, back = (_starts(t, site) for t in texts)
+            for row, size, f, b in zip(rows, map(len, texts[0]), forward, back, strict=True):
+                row.append({"enzyme": name, "at": f if f else [size - p - len(site) for p in b]})
+        return pa.array(rows, kind)
+
+    return run
+
+
+def _starts(texts: list[bytes], site: str) -> list[list[int]]:
+    whole = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    n = len(whole) - len(site) + 1
+    fits = np.ones(max(0, n), dtype=bool)
+    for j, c in enumerate(site.upper()):
+        allowed = np.zeros(256, dtype=bool)
+        allowed[list((c if c == "U" else IUPAC.get(c, c)).encode())] = True
+        if c == "N":
+            allowed[:] = True
+            allowed[10] = False  # the line feed between texts
+        fits &= allowed[whole[j : j + n]]
+    at = np.flatnonzero(fits)
+    taken = np.ones(len(at), dtype=bool)
+    taken[1:] = np.diff(at) >= len(site)
+    front = np.flatnonzero(taken)
+    free = taken.copy()
+    while len(front):  # within stretches of overlapping hits, from each to the first one past its end
+        front = np.searchsorted(at, at[front] + len(site))
+        front = front[front < len(at)]
+        front = front[~free[front]]
+        taken[front] = True
+    at = at[taken]
+    cut = np.searchsorted(at, first)
+    return [(at[a:b] - f).tolist() for a, b, f in zip(cut[:-1], cut[1:], first[:-1], strict=True)]
