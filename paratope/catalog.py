@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paratope.functions import sequences as S
 from paratope.functions import stats, words
-from paratope.operators import abundance, cluster, diversity, em, filters, hts, motif_table, motifs, primer, productivity, refine, restriction, search, upstream
+from paratope.operators import abundance, classify, cluster, distances, diversity, em, filters, hts, motif_table, motifs, primer, productivity, refine, restriction, search, trees, upstream
 from paratope.plans.derived import oracle
 from paratope.plans.derived import table as derived
 
@@ -720,6 +720,36 @@ def _(spark, d):
     return motifs.degenerate_consensus(motifs.pfm(rows, "gene"), "gene")
 
 
+def _gene_motifs(spark, d):
+    """(id, fractions) of the upstream sequences of each V gene."""
+    rows = _upstream(spark, d).select(S.gene(F.col("vgene")).alias("id"), F.col("upstream").alias("seq"))
+    return trees.fractions_of(motifs.pfm(rows, "id"), "id")
+
+
+def _gene_pairs(spark, d):
+    """Distances between the V genes' motifs, within each family and among all."""
+    grouped = trees.in_families(_gene_motifs(spark, d), S.family(F.col("id"), False))
+    return grouped, distances.pair_distances(grouped)
+
+
+@query("j9_motif_distances")
+def _(spark, d):
+    return _gene_pairs(spark, d)[1]
+
+
+@query("m6_gene_trees")
+def _(spark, d):
+    """A tree of V genes for each family and one of all, as Newick texts."""
+    grouped, pairs = _gene_pairs(spark, d)
+    return trees.average_link(grouped.select("grp", F.col("id").alias("leaf")), pairs)[1]
+
+
+@query("m6_gene_merges")
+def _(spark, d):
+    grouped, pairs = _gene_pairs(spark, d)
+    return trees.average_link(grouped.select("grp", F.col("id").alias("leaf")), pairs)[0]
+
+
 @query("m2_pfm", PFM)
 def _(spark, d):
     return motifs.pfm(derived(spark, d, "clone_seqs").select(S.gene(F.col("germline")).alias("gene"), F.col("fr1").alias("seq")), "gene")
@@ -872,4 +902,12 @@ def _label_distances(spark, d):
 
 @query("m35_k_medoids")
 def _(spark, d):
-    return cluster.k_medoids_runs(_label_distances(spark, d), [2, 3, 4], [1, 2, 3])
+    """Runs over the motifs of all V genes."""
+    return cluster.k_medoids_runs(_gene_pairs(spark, d)[1].where("grp = 'all'"), [2, 3, 4], [1, 2, 3])
+
+
+@query("m37_fold_losses")
+def _(spark, d):
+    """Three hypotheses, refined with three pseudocounts or as they are, three folds and all costs."""
+    named = {t: motifs.Motif.from_text(t, beta=0.1) for t in ("TGASTCA", "ACGTRA", "GGCWTA")}
+    return classify.fold_losses(_probes(spark, d), _subset(spark, d), named, folds=3, betas=(0.05 / 0.95, 0.5, 2.0, None))

@@ -103,26 +103,57 @@ def k_medoids(d: np.ndarray, k: int, seed: int = 0, rounds: int = 100) -> tuple[
     return medoids, own, float(d[np.arange(len(d)), own].sum())
 
 
-def k_medoids_runs(pairs: DataFrame, ks: list[int], seeds: list[int], most: int = 10_000) -> DataFrame:
-    """(k, seed, total, medoids): one task a run over a broadcast matrix, from (i, j, d) with i < j, of at most ``most`` points."""
+def k_medoids_runs(pairs: DataFrame, ks: list[int], seeds: list[int], most: int = 2000) -> DataFrame:
+    """(k, seed, total, widest, nearest, medoids) of a run for each k and seed over the points of (i, j, d), each pair once.
+
+    total: summed distance to the own medoid; widest: the largest one; nearest: the least distance between two medoids (null for
+    one). Runs are dealt to tasks over a matrix that is sent to all; there are at most ``most`` points (32 MB), else ValueError.
+    No pair gives no run.
+    """
+    spark = pairs.sparkSession
+    way = pairs.schema["i"].dataType.simpleString()
+    kinds = f"k int, seed int, total double, widest double, nearest double, medoids array<{way}>"
     points = sorted(r.p for r in pairs.select(F.explode(F.array("i", "j")).alias("p")).distinct().limit(most + 1).collect())
     if len(points) > most:
         raise ValueError(f"more than {most} points")
+    if not points or not ks or not seeds:
+        return spark.createDataFrame([], kinds)
+    f = pairs.select("i", "j", "d").toPandas()
     place, m = {p: n for n, p in enumerate(points)}, np.zeros((len(points), len(points)))
-    for r in pairs.toLocalIterator():
-        m[place[r.i], place[r.j]] = m[place[r.j], place[r.i]] = r.d
-    spark = pairs.sparkSession
+    at, to = f["i"].map(place).to_numpy(), f["j"].map(place).to_numpy()
+    m[at, to] = m[to, at] = f["d"].to_numpy()
     shared = spark.sparkContext.broadcast((m, points))
 
     def run(frames):
         m, points = shared.value
         for f in frames:
             for k, s in zip(f["k"], f["seed"], strict=True):
-                medoids, _, total = k_medoids(m, min(int(k), len(m)), int(s))
-                yield f.iloc[:1].assign(k=k, seed=s, total=total, medoids=[[points[x] for x in medoids]])
-
-    grid = spark.createDataFrame([(k, s) for k in ks for s in seeds], "k int, seed int").repartition(len(ks) * len(seeds))
-    return grid.mapInPandas(run, "k int, seed int, total double, medoids array<int>")
+                medoids, own, total = k_medoids(m, min(int(k), len(m)), int(s))
+                apart = m[np.ix_(medoids, medoids)][np.triu_indices(len(medoids), 1)]
+                yield pd.DataFrame([(k, s, total, float(m[np.arange(len(m)), own].max()), float(apart.min()) if len(apart) else None, [points[x] for x in medoids])], columns=["k", "seed", "total", "widest", "nearest", "medoids"])
+
+    grid = spark.createDataFrame([(k, s) for k in ks for s in seeds], "k int, seed int").repartition(min(len(ks) * len(seeds), 4 * spark.sparkContext.defaultParallelism))
+    return grid.mapInPandas(run, kinds)
+
+
+def best_run(runs: DataFrame, rule: str, bound: float = 0.15) -> DataFrame:
+    """One of ``k_medoids_runs``, by an order over them: ``total`` or ``widest`` (the least of it), ``tight`` (the least k whose
+    widest is within ``bound``), ``apart`` (the greatest k whose medoids are ``bound`` apart) or ``drop`` (the k at which the least
+    total falls most against k - 1). Ties go to the least total, k and seed."""
+    last = [F.asc("total"), F.asc("k"), F.asc("seed")]
+    if rule in ("total", "widest"):
+        rows, order = runs, [F.asc(rule)]
+    elif rule == "tight":
+        rows, order = runs.where(F.col("widest") <= bound), [F.asc("k")]
+    elif rule == "apart":
+        rows, order = runs.where(F.coalesce(F.col("nearest") >= bound, F.lit(True))), [F.desc("k")]
+    elif rule == "drop":
+        least = runs.groupBy("k").agg(F.min("total").alias("least"))
+        before = least.select((F.col("k") + 1).alias("k"), F.col("least").alias("before"))
+        rows, order = runs.join(least.join(before, "k"), "k"), [F.desc(F.col("before") - F.col("least"))]
+    else:
+        raise ValueError(f"no rule {rule!r}")
+    return rows.orderBy(*order, *last).limit(1).select(*runs.columns)
 
 
 def distinct_motifs(motifs: list[tuple[Motif, float]], most: float = 0.5) -> list[int]:

@@ -9,6 +9,7 @@ import math
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,25 +147,32 @@ def overlap_distance(a: Motif, b: Motif, overlap: int = 5, distance: Callable[[M
     return best
 
 
+def _diagonal_means(a: Motif, b: Motif) -> np.ndarray:
+    """``range_mean`` at every shift of b from 1 - len(b) to len(a) - 1: means along the diagonals of the places' distances."""
+    each = np.sqrt(((a.fractions[:, None, :] - b.fractions[None, :, :]) ** 2).sum(2) / 2)
+    at = (np.arange(len(a))[:, None] - np.arange(len(b))[None, :] + len(b) - 1).ravel()
+    return np.bincount(at, weights=each.ravel()) / np.bincount(at)
+
+
 def overhang_distance(a: Motif, b: Motif, overlap: int = 6, metric: Callable = range_mean) -> tuple[float, int, bool]:
-    """The least range metric with the narrower motif laid over the wider one or its reverse complement, hanging over either end
-    by all but ``overlap`` places; with the shift of b against a and whether one of them is reversed."""
-    wide, narrow = (a, b) if len(a) >= len(b) else (b, a)
-    w, n = len(wide), len(narrow)
-    found = []
-    for flipped in (False, True):
-        m = wide.reverse() if flipped else wide
-        spots = [(-s, np.arange(n - s), np.arange(s, n)) for s in range(max(0, n - overlap))]
-        spots += [(s, np.arange(s, s + n), np.arange(n)) for s in range(w - n + 1)]
-        spots += [(w - k, np.arange(w - k, w), np.arange(k)) for k in range(n - 1, overlap, -1)]
-        found += [(metric(m, narrow, i, j), at, flipped) for at, i, j in spots]
-    d, at, flipped = min(found, key=lambda x: (x[0], x[1], x[2]))
-    if wide is a:
-        return d, (w - n - at if flipped else at), flipped
-    return d, -at, flipped
-
-
-# ---------------------------------------------------------------- overlap probabilities
+    """The least range metric over all shifts of b, or of its reverse complement, against a that leave more than ``overlap`` places in
+    common or lay the narrower one wholly on the other; with that shift and whether b is reversed. Of equal ones the forward
+    strand's is taken, and the least shift."""
+    shift = np.arange(1 - len(b), len(a))
+    common = np.minimum(len(a), shift + len(b)) - np.maximum(0, shift)
+    shift = shift[(common > overlap) | (common == min(len(a), len(b)))]
+
+    def at(c: Motif) -> np.ndarray:
+        if metric is range_mean:
+            return _diagonal_means(a, c)[shift + len(c) - 1]
+        places = (np.arange(max(0, s), min(len(a), s + len(c))) for s in shift.tolist())
+        return np.array([metric(a, c, i, i - s) for s, i in zip(shift.tolist(), places, strict=True)])
+
+    both = np.concatenate([at(b), at(b.reverse())])
+    k = int((both <= both.min() + 1e-12).argmax())
+    return float(both[k]), int(shift[k % len(shift)]), k >= len(shift)
+
+
 def _both_strands(words: list[str]) -> set[str]:
     return {*words, *(w.translate(FLIP)[::-1] for w in words)}
 
@@ -199,17 +207,30 @@ def overlap_score(a: Motif, b: Motif, factor: float = 0.7, binomial: bool = Fals
 
 
 # ---------------------------------------------------------------- as a table
-def pair_distances(motifs: DataFrame, metric: str = "mean", overlap: int = 6) -> DataFrame:
-    """(i, j, d, shift, flipped) of all pairs i < j of a table (id, fractions array<array<double>>) under uniform background; the
-    motifs are few, their pairs are dealt to all tasks."""
+BLOCK = 128  # motifs of a group that a task holds of either side
 
-    def run(frames):
-        for f in frames:
-            make = lambda x: Motif(np.array([list(r) for r in x]), np.full(4, 0.25))
-            got = [overhang_distance(make(p), make(q), overlap, RANGES[metric]) for p, q in zip(f["p"], f["q"], strict=True)]
-            yield f[["i", "j"]].assign(d=[x[0] for x in got], shift=[x[1] for x in got], flipped=[x[2] for x in got])
-
-    a, b = (motifs.select(F.col("id").alias(i), F.col("fractions").alias(p)) for i, p in (("i", "p"), ("j", "q")))
-    met = a.join(F.broadcast(b), F.col("i") < F.col("j")).repartition(motifs.sparkSession.sparkContext.defaultParallelism)
-    return met.mapInPandas(run, "i long, j long, d double, shift int, flipped boolean")
 
+def pair_distances(motifs: DataFrame, metric: str = "mean", overlap: int = 6) -> DataFrame:
+    """(grp, i, j, d, shift, flipped) of all pairs i < j within each group of a table (grp, id, fractions array<array<double>>) under
+    uniform background.
+
+    A group's motifs are dealt to blocks of about BLOCK and each two blocks meet in a task, so no task holds a whole group. Ids are
+    unique within a group; null ones and null fractions are left out.
+    """
+    rows = motifs.where("id IS NOT NULL AND fractions IS NOT NULL").select("grp", "id", "fractions")
+    blocks = rows.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).withColumnRenamed("grp", "__g")
+    dealt = rows.join(blocks, F.col("grp").eqNullSafe(F.col("__g"))).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = dealt.select("grp", "id", "fractions", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    kind, way = motifs.schema["grp"].dataType.simpleString(), motifs.schema["id"].dataType.simpleString()
+
+    def run(f):
+        f = f.sort_values("id")
+        made = [Motif(np.array([list(r) for r in x]), np.full(4, 0.25)) for x in f["fractions"]]
+        ids, own, p, q = f["id"].tolist(), f["own"].tolist(), int(f["p"].iloc[0]), int(f["q"].iloc[0])
+        out = [(ids[x], ids[y], *overhang_distance(made[x], made[y], overlap, RANGES[metric])) for x in range(len(f)) for y in range(x + 1, len(f)) if p == q or own[x] != own[y]]
+        got = pd.DataFrame(out, columns=["i", "j", "d", "shift", "flipped"])
+        got.insert(0, "grp", f["grp"].iloc[0])
+        return got
+
+    return met.groupBy("grp", "p", "q").applyInPandas(run, f"grp {kind}, i {way}, j {way}, d double, shift int, flipped boolean")

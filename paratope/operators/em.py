@@ -82,30 +82,33 @@ class Background:
         return upto[np.minimum(n, at + width + k)] - upto[at] - alone[at + width]
 
 
-_PACKED = pa.schema([("width", pa.int32()), ("words", pa.binary()), ("word", pa.binary()), ("odds", pa.binary()), ("first", pa.binary()), ("size", pa.binary())])
+_PACKED = pa.schema([("part", pa.int32()), ("width", pa.int32()), ("words", pa.binary()), ("word", pa.binary()), ("odds", pa.binary()), ("first", pa.binary()), ("size", pa.binary())])
 
 
 def packed(seqs: DataFrame, widths: Sequence[int], background: Background) -> DataFrame:
-    """A written table of packed rows for each width: the different words (codes), and for each window its word's number and the
+    """A written table of packed rows for each part and width: the different words (codes), and for each window its word's number and the
     inverse of its background's odds; where each sequence's windows begin, and its length. Windows with other letters and
     sequences without a window are left out. Long sequences stay whole, one a row."""
 
     def run(batches):
         for b in batches:
-            seqs = [_CODE[np.frombuffer(s.encode("ascii", "replace"), np.uint8)] for s in b.column(0).to_pylist()]
-            for width in widths:
-                held, size = [], 0
-                for i, codes in enumerate([*seqs, None]):
-                    if codes is not None and len(codes) >= width:
-                        held.append(codes)
-                        size += len(codes)
-                    if held and (codes is None or size >= ROW):
-                        row = _pack(held, width, background)
-                        if row:
-                            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((width, *row), _PACKED.types, strict=True)], schema=_PACKED)
-                        held, size = [], 0
-
-    rows = seqs.select(F.col("seq")).where("seq <> ''").mapInArrow(run, "width int, words binary, word binary, odds binary, first binary, size binary")
+            parts = np.asarray(b.column(1).fill_null(-1))
+            for part in np.unique(parts).tolist():
+                seqs = [_CODE[np.frombuffer(s.encode("ascii", "replace"), np.uint8)] for s in b.column(0).filter(pa.array(parts == part)).to_pylist()]
+                for width in widths:
+                    held, size = [], 0
+                    for codes in [*seqs, None]:
+                        if codes is not None and len(codes) >= width:
+                            held.append(codes)
+                            size += len(codes)
+                        if held and (codes is None or size >= ROW):
+                            row = _pack(held, width, background)
+                            if row:
+                                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, width, *row), _PACKED.types, strict=True)], schema=_PACKED)
+                            held, size = [], 0
+
+    own = F.col("part").cast("int") if "part" in seqs.columns else F.lit(-1)
+    rows = seqs.select("seq", own.alias("part")).where("seq <> ''").mapInArrow(run, "part int, width int, words binary, word binary, odds binary, first binary, size binary")
     return written(rows.repartition(max(1, int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "windows")
 
 
@@ -157,44 +160,48 @@ class _Search:
     seed: str
     matrix: np.ndarray  # log2 probabilities
     gamma: float
+    beta: float
+    without: int | None  # the part of the sequences that this seed doesn't see
     counts: np.ndarray | None = None
     gain: float = 0.0
     rounds: int = 0
     done: bool = False
 
-    def step(self, counts: np.ndarray, occurrences: float, gain: float, n: int, prior: float, bases: np.ndarray, beta: float, stop: float, rounds: int) -> None:
+    def step(self, counts: np.ndarray, occurrences: float, gain: float, n: int, prior: float, bases: np.ndarray, stop: float, rounds: int) -> None:
         """The M step: counts with pseudocounts, a share of occurrences drawn towards the prior, and an end once the matrix stands
         still. Fixed values: four fifths prior to one fifth found."""
         self.counts, self.gain, self.rounds = counts, gain, self.rounds + 1
         column = counts.sum(1, keepdims=True)
         with np.errstate(divide="ignore"):
-            new = np.log2((counts + beta * bases * column) / (column + beta))
+            new = np.log2((counts + self.beta * bases * column) / (column + self.beta))
         moved = float(np.sqrt(((2.0**self.matrix - 2.0**new) ** 2).sum()))
         self.matrix, self.gamma = new, 0.8 * prior + 0.2 * occurrences / max(1, n)
         self.done = moved <= stop or self.rounds >= rounds or not column.any()
 
 
-def em(seqs: DataFrame, seeds: dict[str, Motif], background: Background, gamma: float = 0.2, beta: float = 0.001, stop: float = 1e-3, rounds: int = 499) -> dict[str, tuple[Motif, float, float, int]]:
+def em(seqs: DataFrame, seeds: dict[str, Motif], background: Background, gamma: float = 0.2, beta: float | dict[str, float] = 0.001, stop: float = 1e-3, rounds: int = 499, without: dict[str, int] | None = None) -> dict[str, tuple[Motif, float, float, int]]:
     """{seed: (motif, share, gain, rounds)} of all seeds over the column ``seq``: the share of sequences with an occurrence, mixed with
     the prior ``gamma``, the log2-likelihood of the last round over the background's, and the rounds it took.
 
     A round is one job for all seeds that haven't ended. A seed ends when its matrix moves by ``stop`` at most. Null and empty
     sequences, those shorter than a seed and those without a window of bases take no part; if none is left a seed ends as it was.
+    ``beta`` may differ between seeds. With a column ``part`` (a number), a seed in ``without`` doesn't see the sequences of that
+    part, so that all folds of a cross-validation are searched together.
     """
     bases = np.array([background.bases[b] for b in BASES])
     with np.errstate(divide="ignore"):
-        states = [_Search(name, np.log2(m.fractions), gamma) for name, m in seeds.items()]
+        states = [_Search(name, np.log2(m.fractions), gamma, beta[name] if isinstance(beta, dict) else beta, (without or {}).get(name)) for name, m in seeds.items()]
     table = packed(seqs, sorted({len(s.matrix) for s in states}), background)
     while open_ := [i for i, s in enumerate(states) if not s.done]:
-        now = [(i, states[i].matrix, states[i].gamma) for i in open_]
+        now = [(i, states[i].matrix, states[i].gamma, states[i].without) for i in open_]
 
         def expect(batches, now=now):
             sums: dict[int, list] = {}
             for b in batches:
                 for r in range(b.num_rows):
-                    width, *row = (b.column(c)[r].as_py() for c in range(6))
-                    for i, matrix, share in now:
-                        if len(matrix) == width:
+                    part, width, *row = (b.column(c)[r].as_py() for c in range(7))
+                    for i, matrix, share, other in now:
+                        if len(matrix) == width and part != other:
                             found = _expected(tuple(row), matrix, share)
                             sums[i] = [x + y for x, y in zip(sums[i], found, strict=True)] if i in sums else list(found)
             for i, (counts, *rest) in sums.items():
@@ -209,7 +216,7 @@ def em(seqs: DataFrame, seeds: dict[str, Motif], background: Background, gamma:
                 states[i].done = True
                 continue
             flat = np.array([x[j] for j in range(len(x))])
-            states[i].step(flat[:-3].reshape(-1, 4), flat[-3], float(flat[-2]), int(flat[-1]), gamma, bases, beta, stop, rounds)
+            states[i].step(flat[:-3].reshape(-1, 4), flat[-3], float(flat[-2]), int(flat[-1]), gamma, bases, stop, rounds)
     dropped(table)
     final = lambda s: seeds[s.seed] if s.counts is None or not s.counts.any() else Motif.from_counts(s.counts, background.bases, 0.001)
     return {s.seed: (final(s), s.gamma, s.gain, s.rounds) for s in states}

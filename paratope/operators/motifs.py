@@ -271,8 +271,8 @@ class Motif:
 
 def pfm(seqs: DataFrame, group: str, seq: str = "seq") -> DataFrame:
     """(group, pos, letter, cnt) over all sequences of a group, short ones padded with ``-`` to its longest."""
-    width = Window.partitionBy(group)
-    rows = seqs.withColumn("__w", F.max(F.length(seq)).over(width)).select(F.col(group), F.posexplode(F.split(F.expr(f"rpad({seq}, __w, '-')"), "")).alias("pos", "letter"))
+    width = seqs.groupBy(F.col(group).alias("__g")).agg(F.max(F.length(seq)).alias("__w"))
+    rows = seqs.join(width, F.col(group).eqNullSafe(F.col("__g"))).select(F.col(group), F.posexplode(F.split(F.expr(f"rpad({seq}, __w, '-')"), "")).alias("pos", "letter"))
     return rows.where("letter <> ''").groupBy(group, "pos", "letter").agg(F.count("*").alias("cnt"))
 
 

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from paratope.functions import stats, words
-from paratope.operators import candidates, distances, medoids, search
+from paratope.operators import candidates, cluster, distances, search
 from paratope.operators.motifs import UNIFORM, Motif
 from paratope.plans import sinks
 from paratope.sources import config, programs
@@ -100,17 +100,21 @@ def test_candidates():
     assert sum(again.words.values()) == 2
 
 
-def test_medoid_selectors():
+def test_medoid_runs_and_rules(spark):
     x = np.array([0, 1, 2, 50, 51, 52, 100, 101, 102], dtype=float)
-    d = np.abs(x[:, None] - x)
-    seeds = range(20)
-    for choose in (medoids.least_largest_spread, medoids.least_summed_spread, medoids.least_within):
-        assert choose(d, 3, seeds).medoids == [1, 4, 7]
-    assert medoids.most_clusters_apart(d, 6, 10, seeds).medoids == [1, 4, 7] and medoids.most_clusters_clear(d, 6, 10, seeds).medoids == [1, 4, 7]
-    assert medoids.until_medoids_near(d, 6, 10, seeds).medoids == [1, 4, 7] and medoids.until_tight(d, 1, 2, seeds).medoids == [1, 4, 7]
-    assert len(medoids.largest_drop(d, 6, seeds).medoids) in (2, 3)
-    run = medoids.least_within(d, 3, seeds)
-    assert run.within(d) == 12 and run.apart(d) == 50 and run.reach(d) == 50
+    pairs = spark.createDataFrame([(f"p{i}", f"p{j}", abs(float(x[i] - x[j]))) for i in range(9) for j in range(i)], "i string, j string, d double")
+    runs = cluster.k_medoids_runs(pairs, list(range(1, 7)), list(range(12))).cache()
+    for rule, bound in (("tight", 2), ("apart", 10), ("drop", 0)):
+        r = cluster.best_run(runs, rule, bound).first()
+        assert r.medoids == ["p1", "p4", "p7"] or rule == "drop" and r.k in (2, 3)
+    three = cluster.best_run(runs.where("k = 3"), "total").first()
+    assert (three.total, three.widest, three.nearest, three.medoids) == (6.0, 1.0, 50.0, ["p1", "p4", "p7"])
+    assert cluster.best_run(runs, "widest").first().k == 6 and runs.where("k = 1 AND nearest IS NULL").count() == 12
+    assert cluster.k_medoids_runs(pairs.where("d < 0"), [2], [1]).collect() == []
+    with pytest.raises(ValueError):
+        cluster.k_medoids_runs(pairs, [2], [1], most=5)
+    with pytest.raises(ValueError):
+        cluster.best_run(runs, "any")
 
 
 def test_site_metrics():
