@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paratope.functions import sequences as S
 from paratope.functions import stats, words
-from paratope.operators import abundance, classify, cluster, distances, diversity, em, filters, hts, motif_table, motifs, primer, productivity, refine, restriction, search, trees, upstream
+from paratope.operators import abundance, classify, cluster, distances, diversity, em, filters, hts, motif_table, motifs, primer, productivity, refine, restriction, search, similar, trees, upstream
 from paratope.plans.derived import oracle
 from paratope.plans.derived import table as derived
 
@@ -911,3 +911,9 @@ def _(spark, d):
     """Three hypotheses, refined with three pseudocounts or as they are, three folds and all costs."""
     named = {t: motifs.Motif.from_text(t, beta=0.1) for t in ("TGASTCA", "ACGTRA", "GGCWTA")}
     return classify.fold_losses(_probes(spark, d), _subset(spark, d), named, folds=3, betas=(0.05 / 0.95, 0.5, 2.0, None))
+
+
+@query("f15_without_similar")
+def _(spark, d):
+    """Probes that stay when near duplicates of probes at least as long go."""
+    return similar.without_similar(_probes(spark, d)).select("probe_id", F.length("seq").alias("length"))
