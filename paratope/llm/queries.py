@@ -32,9 +32,15 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_unit_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of repeated passages of 20 words and more."""
     return units.repeated_passages(table(spark, sf_dir, "documents"), units.LINE, run_words=20)
 
 
+def op5_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that occurs twice or more, whatever stands around it."""
+    return units.repeated_passages(table(spark, sf_dir, "documents"), units.LINE, run_words=1)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -75,6 +81,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_language": op4_language,
     "op5_unit_hash": op5_unit_hash,
+    "op5_repeated_lines": op5_repeated_lines,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
     "op8_suffix_tree": op8_suffix_tree,
@@ -85,4 +92,4 @@ QUERIES = {
     "op13_branch_merge": op13_branch_merge,
 }
 
-ORACLES: dict[str, str] = {"op5_unit_hash": units.ORACLE, "op11_hard_negatives": negatives.ORACLE, "op13_branch_merge": merge.oracle()}
+ORACLES: dict[str, str] = {"op5_unit_hash": units.ORACLE, "op5_repeated_lines": units.ORACLE.replace("run_words >= 20", "run_words >= 1"), "op11_hard_negatives": negatives.ORACLE, "op13_branch_merge": merge.oracle()}

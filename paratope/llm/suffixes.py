@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from paratope.llm.common import BASE, Scratch, bloom_bits, bloom_of, join_hot, mix64, shuffle_partitions, signed, words_of
 
 CROWD = 20_000  # a seed of more suffixes (about 4 MB) is not grouped in one task
-SUFFIX = "seed long, right binary, left binary, doc_id long, pos int"
-MATCH = "doc_id long, start int, end int, other_doc_id long, later boolean"
+SUFFIX = "seed long, right binary, left binary, doc_id long, text_hash long, pos int"
+MATCH = "doc_id long, text_hash long, start int, end int, other_doc_id long, later boolean"
 NONE = np.iinfo(np.int64).min  # stands for a null id
 
 
@@ -58,7 +58,6 @@ def _suffixes(docs: DataFrame, seed: int, window: int, known) -> DataFrame:
     def suffixes(batches):
         filt, crowded = known.value
         for b in batches:
-            ids = b.column(0)
             for w in words_of(b.column(1)):
                 rows, pos, keys, right, left = [], [], [], [], []
                 for i in range(len(w)):
@@ -77,13 +76,13 @@ def _suffixes(docs: DataFrame, seed: int, window: int, known) -> DataFrame:
                     left.append(small[(at + reach - 1)[:, None] - np.arange(reach)[None, :]])
                 if rows:
                     cut = lambda x: pa.array([r.tobytes() for r in np.concatenate(x)], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), cut(right), cut(left), ids.take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(pos).astype(np.int32))], names=["seed", "right", "left", "doc_id", "pos"])
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), cut(right), cut(left), *(b.column(c).take(pa.array(np.concatenate(rows))) for c in (0, 2)), pa.array(np.concatenate(pos).astype(np.int32))], names=["seed", "right", "left", "doc_id", "text_hash", "pos"])
 
     return docs.mapInArrow(seeds, "seed long") if known is None else docs.mapInArrow(suffixes, SUFFIX)
 
 
 def _passages(docs: DataFrame, seed: int, window: int, known) -> DataFrame:
-    """(k, doc_id, start) of the passages of seed + window - 1 words that hold a selected position of a crowded seed."""
+    """(k, doc_id, text_hash, start) of the passages of seed + window - 1 words that hold a selected position of a crowded seed."""
     size = seed + window - 1
 
     def run(batches):
@@ -105,24 +104,24 @@ def _passages(docs: DataFrame, seed: int, window: int, known) -> DataFrame:
                     starts.append(start)
                     keys.append(run_hashes(h, size)[start])
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), b.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(starts).astype(np.int32))], names=["k", "doc_id", "start"])
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), *(b.column(c).take(pa.array(np.concatenate(rows))) for c in (0, 2)), pa.array(np.concatenate(starts).astype(np.int32))], names=["k", "doc_id", "text_hash", "start"])
 
-    return docs.mapInArrow(run, "k long, doc_id long, start int")
+    return docs.mapInArrow(run, "k long, doc_id long, text_hash long, start int")
 
 
 def _crowded_matches(passages: DataFrame, size: int) -> DataFrame:
     """MATCH rows of passages that occur twice or more: all but the first meet the first, the first meets the second."""
-    place = F.struct("doc_id", "start")
+    place = F.struct("doc_id", "text_hash", "start")
     first = passages.groupBy("k").agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1")
     total = passages.count()
-    same = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("start") == F.col("f.start"))
+    same = F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_hash") == F.col("f.text_hash")) & (F.col("start") == F.col("f.start"))
     met = join_hot(passages, first.select("k", "f"), "k", first.select("k", "n"), total, "inner")
-    # Rows that repeat an id may repeat its place as well; then the place is also later than itself.
+    # Rows that repeat id and text repeat its place as well; then the place is also later than itself.
     twice = met.groupBy("k").agg(F.min(F.when(~same, place)).alias("s"), F.sum(same.cast("int")).alias("m")).withColumn("s", F.when(F.col("m") > 1, F.lit(None)).otherwise(F.col("s")))
     both = first.join(twice, "k")
     other = F.when(same & F.col("s").isNotNull(), F.col("s.doc_id")).otherwise(F.col("f.doc_id"))
     met = join_hot(passages, both.select("k", "f", "s", "m"), "k", first.select("k", "n"), total, "inner")
-    return met.select("doc_id", "start", (F.col("start") + size).alias("end"), other.alias("other_doc_id"), (~same | (F.col("m") > 1)).alias("later"))
+    return met.select("doc_id", "text_hash", "start", (F.col("start") + size).alias("end"), other.alias("other_doc_id"), (~same | (F.col("m") > 1)).alias("later"))
 
 
 def _among(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -134,7 +133,7 @@ def _among(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
 def _table(t: pa.Table):
     ids = t.column("doc_id")
     grab = lambda c: np.frombuffer(b"".join(t.column(c).to_pylist()), dtype=np.uint32).reshape(t.num_rows, -1)
-    return np.asarray(t.column("seed")), grab("right"), grab("left"), np.asarray(ids.fill_null(NONE)), np.asarray(t.column("pos"))
+    return np.asarray(t.column("seed")), grab("right"), grab("left"), np.asarray(ids.fill_null(NONE)), np.asarray(t.column("text_hash")), np.asarray(t.column("pos"))
 
 
 def _prefixes(start: np.ndarray, words: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -148,8 +147,8 @@ def _prefixes(start: np.ndarray, words: np.ndarray) -> tuple[list[np.ndarray], n
 
 def _matches(t, seed: int, least: int) -> pa.RecordBatch | None:
     """The extent of each row's repeats among all rows of its seed."""
-    order = np.lexsort((t[4], t[3]))
-    key, right, left, doc, pos = (x[order] for x in t)
+    order = np.lexsort((t[5], t[4], t[3]))
+    key, right, left, doc, text, pos = (x[order] for x in t)
     n, reach = len(key), least - seed
     before, n_before = _prefixes(mix64(key.view(np.uint64)), left)
     after, n_after = _prefixes(np.zeros(n, np.uint64), right)
@@ -175,7 +174,7 @@ def _matches(t, seed: int, least: int) -> pa.RecordBatch | None:
     hit = np.flatnonzero(lo >= 0)
     if not len(hit):
         return None
-    return pa.RecordBatch.from_arrays([pa.array(doc[hit], mask=doc[hit] == NONE), pa.array((pos[hit] - lo[hit]).astype(np.int32)), pa.array((pos[hit] + seed + hi[hit]).astype(np.int32)), pa.array(other[hit], mask=other[hit] == NONE), pa.array(later[hit])], names=["doc_id", "start", "end", "other_doc_id", "later"])
+    return pa.RecordBatch.from_arrays([pa.array(doc[hit], mask=doc[hit] == NONE), pa.array(text[hit]), pa.array((pos[hit] - lo[hit]).astype(np.int32)), pa.array((pos[hit] + seed + hi[hit]).astype(np.int32)), pa.array(other[hit], mask=other[hit] == NONE), pa.array(later[hit])], names=["doc_id", "text_hash", "start", "end", "other_doc_id", "later"])
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> DataFrame:
@@ -185,13 +184,13 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> D
     merged; start and end count words (runs of characters other than space and \\t..\\r, A-Z in lower case), end exclusive;
     other_doc_id is the smallest document that holds a copy of any ``min_words`` words of it; is_first says that no copy of any
     comes before it in (doc_id, position). Every run of min_words words or more that recurs is found, in its full extent.
-    Null, empty and shorter texts have no span. Null ids count as one document that ranks first; rows that repeat an id count as
-    one document too. Other columns are ignored; an empty table gives no rows. Words are known by hashes.
+    Null, empty and shorter texts have no span. A null id is an id that ranks first. Rows that share an id but not the text have
+    spans of their own; rows that repeat both have theirs once, and each is another place where the passage occurs. Other columns are ignored; an empty table gives no rows. Words are known by hashes.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffixes")
     window = min_words - seed + 1
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     repeated = scratch.table(_suffixes(docs, seed, window, None).groupBy("seed").count().where("count > 1"))
     crowded = np.sort(np.asarray(repeated.where(F.col("count") > CROWD).select("seed").toArrow().column(0).combine_chunks()).astype(np.int64).view(np.uint64))
     known = spark.sparkContext.broadcast((bloom_of(repeated.select("seed"), bloom_bits(repeated.count())), crowded))
@@ -215,9 +214,9 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> D
     matches = rows.mapInArrow(compare, MATCH)
     if len(crowded):
         matches = matches.unionByName(_crowded_matches(scratch.table(_passages(docs, seed, window, known)), min_words))
-    span = matches.groupBy("doc_id", "start", "end").agg(F.min("other_doc_id").alias("other_doc_id"), F.max("later").alias("later"))
-    by = Window.partitionBy("doc_id").orderBy("start", "end")
+    span = matches.groupBy("doc_id", "text_hash", "start", "end").agg(F.min("other_doc_id").alias("other_doc_id"), F.max("later").alias("later"))
+    by = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end")
     islands = span.withColumn("new", (F.col("start") > F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))).cast("int"))
     islands = islands.withColumn("island", F.sum(F.coalesce("new", F.lit(0))).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = islands.groupBy("doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("other_doc_id").alias("other_doc_id"), (~F.max("later")).alias("is_first"))
+    merged = islands.groupBy("doc_id", "text_hash", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("other_doc_id").alias("other_doc_id"), (~F.max("later")).alias("is_first"))
     return merged.select("doc_id", "start", "end", (F.col("end") - F.col("start")).alias("n_words"), "other_doc_id", "is_first")

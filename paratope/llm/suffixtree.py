@@ -32,7 +32,9 @@ DISCOUNT = 0.5
 END = mix64(np.array([0x656E64], dtype=np.uint64))  # stands for the end in runs
 BUCKET = 1 << 19  # runs of a bucket, about
 FLUSH = 1 << 21  # runs that a task gathers before it deals them out
-HOT_CONTEXT = 1 << 16  # a context of more occurrences, and of a 1024th of all tokens, has its entries spread over all buckets
+HOT_CONTEXT = 1 << 16  # a context of more occurrences has its entries spread over all buckets
+SIEVE = 23  # log2 of the words of a filter
+HOT_SHARE = 20  # log2 of the most such contexts: with more than 2**36 tokens they have a share of 2**-20 of them
 HOT_RUNS = 1 << 19  # the most frequent runs, at most so many, are broadcast with their values; all others are looked up in buckets
 DOCS = 60_000  # texts of a scoring batch, at most
 B8 = np.uint64(BASE)
@@ -177,8 +179,9 @@ def _met(spark, *tables: DataFrame, by: str = "b", order: tuple = ()) -> DataFra
 
 @dataclass
 class Sieve:
-    """A filter of keys by bucket: a word of 64 bits a few keys, three bits a key. Up to 2**23 words (64 MB) in all; with more keys than
-    some forty million more of what isn't in it passes, which costs work but changes no result."""
+    """A filter of keys by bucket: a word of 64 bits a few keys, three bits a key. Up to 2**23 words (64 MB) in all, however much text
+    there is: with more keys than some forty million more of what isn't in it passes, and with more than 2**19 buckets (two
+    terabytes of text) there is no filter. That costs work but changes no result."""
 
     bits: int
     size: int
@@ -193,13 +196,17 @@ class Sieve:
         return h & np.uint64((1 << size) - 1), mask
 
     def has(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.ones(len(keys), dtype=bool)
         at, mask = self._at(keys, self.size)
         return self.words[(keys >> np.uint64(64 - self.bits) << np.uint64(self.size)) | at] & mask == mask
 
 
 def _sieve(table: DataFrame, keys: int, bits: int, pick) -> Sieve:
     """The filter of about ``keys`` keys, those that ``pick`` gives for a row of a packed table; each row makes its own part."""
-    size = max(4, min(23 - bits, int(np.ceil(np.log2(max(1, keys) / 4))) - bits))
+    if bits > SIEVE - 4:
+        return Sieve(bits, 0, np.zeros(0, dtype=np.uint64))
+    size = max(4, min(SIEVE - bits, int(np.ceil(np.log2(max(1, keys) / 4))) - bits))
 
     def run(batches):
         out = Rows("b int, words binary")
@@ -538,7 +545,7 @@ def learn(docs: DataFrame, training: Column, scratch: Scratch, depth: int = 2) -
         keys = int(table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
         often = lambda r: _get(r, "k", np.uint64)[_get(r, "c", np.int64) >= LEAST]
         mine = lambda r: _get(r, "k", np.uint64)[_get(r, "mine", np.bool_)]
-        hot = _hot(table, max(HOT_CONTEXT, total // 1024))
+        hot = _hot(table, max(HOT_CONTEXT, total >> HOT_SHARE))
         suffixes = _sieve(table, keys, bits, often)
         contexts = _sieve(table, keys, bits, mine) if n > 2 else suffixes
         shared = spark.sparkContext.broadcast((contexts, suffixes, hot))

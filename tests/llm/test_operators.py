@@ -476,6 +476,21 @@ def test_radius_search(spark):
     assert set(got) == want and len(got) == len(want) > 40
 
 
+@pytest.mark.parametrize("crowd", [20_000, 1])
+def test_suffix_array_keeps_rows_of_one_id_apart(spark, monkeypatch, crowd):
+    """Spans of rows that share an id are not joined; null ids and rows that repeat id and text are defined."""
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    rng, words = random.Random(9), vocabulary(5, 3000)
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    a, b, c, d = (prose(60) for _ in range(4))
+    rows = [(1, f"{prose(40)} {a}"), (1, f"{prose(50)} {b}"), (2, f"{a} {prose(9)}"), (3, f"{b} {prose(9)}"), (None, f"{c} {prose(5)}"), (None, f"{prose(7)} {c}"), (4, d), (4, d)]
+    got = sorted((r.doc_id or -1, r.start, r.end, r.n_words, r.other_doc_id or -1, r.is_first) for r in suffixes.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    spans = sorted((i, s, e) for i, s, e, *_ in got)
+    assert spans == [(-1, 0, 60), (-1, 7, 67), (1, 40, 100), (1, 50, 110), (2, 0, 60), (3, 0, 60), (4, 0, 60)]
+    assert all(n == 60 for _, _, _, n, _, _ in got)
+    assert {(i, o) for i, _, _, _, o, _ in got} == {(-1, -1), (1, 2), (1, 3), (2, 1), (3, 1), (4, 4)}
+
+
 def test_suffix_tree(docs, none, spark):
     got = suffixtree.score(docs, suffixtree.held_out()).collect()
     rows = docs.collect()
@@ -534,6 +549,15 @@ class SlowTree:
         return sum(math.log10(self.p(w[:i], w[i])) for i in range(1, len(w)))
 
 
+def test_a_filter_of_fixed_size_passes_all_beyond_its_buckets(spark, docs, none, monkeypatch):
+    """With no room for the buckets there is no filter, and scores are the same; contexts of any size may be spread."""
+    want = {r.doc_id: r.score for r in suffixtree.score(docs.where("doc_id is not null"), suffixtree.held_out()).collect()}
+    monkeypatch.setattr(suffixtree, "SIEVE", 4)
+    monkeypatch.setattr(suffixtree, "HOT_CONTEXT", 1)
+    got = {r.doc_id: r.score for r in suffixtree.score(docs.where("doc_id is not null"), suffixtree.held_out()).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-9, abs_tol=1e-9) for i in want)
+
+
 def test_slow_tree_states_are_distributions():
     tree = SlowTree(["a b c " * 30 + "b a d"] * 20, 3)
     assert {1, 2} <= {len(x) for x in tree.states}
