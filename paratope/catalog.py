@@ -423,17 +423,27 @@ def _(spark, d):
     return rows.select("queryid", S.slice_read(F.col("seq"), F.col("vqstart"), F.col("vstart"), F.col("fr4_end")).alias("slice"))
 
 
-@query("f7_iupac_match", "SELECT read_id, TRUE AS own, translate(reverse(seq), 'ACGT', 'RYRY') = translate(seq, 'ACGT', 'RYRY') AS mirrored FROM reads")
+@query("f7_iupac_match", "SELECT read_id, translate(reverse(seq), 'ACGT', 'RYRY') = translate(seq, 'ACGT', 'RYRY') AS mirrored, NOT contains(seq, 'T') AS without_t FROM reads")
 def _(spark, d):
-    """Whole sequences against their own purines and pyrimidines, and against those of the sequence read backwards."""
-    codes = lambda c: F.translate(c, "ACGT", "RYRY")
+    """Whole sequences against the purines and pyrimidines of the sequence read backwards, and against codes that all lack T."""
     seq = F.col("seq")
-    return derived(spark, d, "reads").select("read_id", S.matches_codes(seq, codes(seq), S.IUPAC).alias("own"), S.matches_codes(seq, codes(F.reverse(seq)), S.IUPAC).alias("mirrored"))
+    mirrored, no_t = F.translate(F.reverse(seq), "ACGT", "RYRY"), F.regexp_replace(seq, ".", "V")
+    return derived(spark, d, "reads").select("read_id", S.matches_codes(seq, mirrored, S.IUPAC).alias("mirrored"), S.matches_codes(seq, no_t, S.IUPAC).alias("without_t"))
 
 
-@query("f14_plain_sequences", "SELECT read_id, seq FROM reads WHERE NOT regexp_matches(upper(seq), '[NRYKMSWBDHV]')")
+@query("f8_amino_match", "SELECT queryid, translate(fr1, 'DNEQIL', 'BBZZJJ') = translate(reverse(fr1), 'DNEQIL', 'BBZZJJ') AS mirrored, NOT contains(cdr1, '*') AS residues FROM clone_seqs WHERE fr1 <> '' AND cdr1 <> ''")
 def _(spark, d):
-    return S.plain_sequences(derived(spark, d, "reads")).select("read_id", "seq")
+    """FR1 against the ambiguous codes of itself read backwards, and CDR1 against X, which stands for any residue."""
+    rows = derived(spark, d, "clone_seqs").where("fr1 <> '' AND cdr1 <> ''")
+    codes = F.translate(F.reverse("fr1"), "DNEQIL", "BBZZJJ")
+    return rows.select("queryid", S.matches_codes(F.col("fr1"), codes, S.AMINO_CODES).alias("mirrored"), S.matches_codes(F.col("cdr1"), F.regexp_replace("cdr1", ".", "X"), S.AMINO_CODES).alias("residues"))
+
+
+@query("f14_plain_sequences", "WITH r AS (SELECT read_id, replace(seq, 'GGTACC', 'GGNACC') AS seq FROM reads) SELECT read_id, seq FROM r WHERE NOT regexp_matches(upper(seq), '[NRYKMSWBDHV]')")
+def _(spark, d):
+    """Of the reads with an N in place of a letter of each GGTACC, those that stay plain."""
+    rows = derived(spark, d, "reads").select("read_id", F.replace("seq", F.lit("GGTACC"), F.lit("GGNACC")).alias("seq"))
+    return S.plain_sequences(rows).select("read_id", "seq")
 
 
 @query("f14_strip_n", "SELECT read_id, regexp_replace(concat('NN', seq, 'N'), '^N+|N+$', '', 'g') AS seq FROM reads")
@@ -588,15 +598,14 @@ def _(spark, d):
     return hts.at_most(derived(spark, d, "hts"), "click", 20)
 
 
-@query("f9_overexpressed", "SELECT probe FROM hts WHERE experiment = 'click' AND value >= 60")
+@query("f9_overexpressed", "SELECT probe FROM hts WHERE experiment = 'click' AND value >= 5")
 def _(spark, d):
-    return hts.at_least(derived(spark, d, "hts"), "click", 60)
+    return hts.at_least(derived(spark, d, "hts"), "click", 5)
 
 
-@query("f9_bound_by", "SELECT DISTINCT experiment FROM hts WHERE value <= 5")
+@query("f9_bound_by", "SELECT experiment FROM hts WHERE probe = '1' AND value <= 3")
 def _(spark, d):
-    rows = derived(spark, d, "hts")
-    return hts.bound_by(rows.withColumn("probe", F.lit("any")), "any", 5).distinct()
+    return hts.bound_by(derived(spark, d, "hts"), "1", 3)
 
 
 @query("f12_values", "SELECT probe, value FROM hts WHERE translate(experiment, '_', ' ') = 'click'")
@@ -714,7 +723,13 @@ def _(spark, d):
     return motifs.consensus(motifs.pfm(derived(spark, d, "clone_seqs").select(S.gene(F.col("germline")).alias("gene"), F.col("fr1").alias("seq")), "gene"), "gene")
 
 
-@query("m3_degenerate_consensus")
+UP_PFM = f"""u AS ({UPSTREAM}), x AS (SELECT {V_GENE} AS gene, upstream AS seq FROM u), l AS (SELECT gene, CAST(i - 1 AS INT) AS pos, substring(seq, i::INT, 1) AS letter FROM x, range(1, 21) r(i) WHERE i <= length(seq)),
+    c AS (SELECT gene, pos, list_reverse_sort([{{'c': count(*) FILTER (letter = 'A'), 'b': 'A'}}, {{'c': count(*) FILTER (letter = 'C'), 'b': 'C'}}, {{'c': count(*) FILTER (letter = 'G'), 'b': 'G'}}, {{'c': count(*) FILTER (letter = 'T'), 'b': 'T'}}]) AS r FROM l WHERE letter IN ('A', 'C', 'G', 'T') GROUP BY 1, 2)"""
+CODE_OF = "MAP {" + ", ".join(f"'{''.join(sorted(x))}': '{c}'" for c, x in S.IUPAC.items() if c != "U") + "}"
+FIRST_BASES = "element_at({0}, list_aggregate(list_sort(list_transform(r[1:{1}], lambda x: x.b)), 'string_agg', ''))[1]"
+
+
+@query("m3_degenerate_consensus", f"WITH {UP_PFM} SELECT gene, pos, CASE WHEN 2 * r[1].c > r[1].c + r[2].c + r[3].c + r[4].c AND r[1].c > 2 * r[2].c THEN r[1].b WHEN 4 * (r[1].c + r[2].c) > 3 * (r[1].c + r[2].c + r[3].c + r[4].c) THEN {FIRST_BASES.format(CODE_OF, 2)} WHEN r[4].c = 0 THEN {FIRST_BASES.format(CODE_OF, 3)} ELSE 'N' END AS letter FROM c")
 def _(spark, d):
     rows = _upstream(spark, d).select(S.gene(F.col("vgene")).alias("gene"), F.col("upstream").alias("seq"))
     return motifs.degenerate_consensus(motifs.pfm(rows, "gene"), "gene")
@@ -854,15 +869,38 @@ def _(spark, d):
     return motif_table.best_thresholds(_probes(spark, d), _subset(spark, d), named)
 
 
-@query("m12_scan")
+def _score_at(motif, text: str) -> tuple[str, str]:
+    """Scores of a window on either strand, place by place, as the matrix has them."""
+    at = lambda m: " + ".join(f"CASE substring({text}, {i + 1}, 1) " + " ".join(f"WHEN '{b}' THEN {x!r}::DOUBLE" for b, x in zip(motifs.BASES, row.tolist(), strict=True)) + " ELSE 0 END" for i, row in enumerate(m.ratios))
+    return at(motif), at(motif.reverse())
+
+
+def _scan_sql(named: dict[str, motifs.Motif], factor: float) -> str:
+    one = lambda name, m: f"""SELECT read_id AS probe_id, '{name}' AS motif, CAST(p AS INT) AS start, CAST(p + {len(m)} AS INT) AS "end", greatest(f, b) AS score, CASE WHEN f >= b THEN '+' ELSE '-' END AS strand
+    FROM (SELECT read_id, p, {_score_at(m, "w")[0]} AS f, {_score_at(m, "w")[1]} AS b FROM (SELECT read_id, p, substring(s, p::INT + 1, {len(m)}) AS w FROM (SELECT read_id, upper(seq) AS s, unnest(range(0, greatest(length(seq) - {len(m)} + 1, 0))) AS p FROM reads) x) y) z WHERE greatest(f, b) > {factor * m.best!r}::DOUBLE"""
+    return " UNION ALL ".join(one(n, m) for n, m in named.items())
+
+
+def _specificity_sql(motif: motifs.Motif, top: int = 100) -> str:
+    forward, back = _score_at(motif, "substring(s, p::INT + 1, 7)")
+    return f"""WITH x AS (SELECT read_id, upper(seq) AS s, unnest(range(0, greatest(length(seq) - {len(motif)} + 1, 0))) AS p FROM reads), y AS (SELECT read_id, max(greatest({forward}, {back})) AS score FROM x GROUP BY 1),
+    z AS (SELECT r.read_id, coalesce(score, '-inf'::DOUBLE) AS score, r.read_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS own FROM reads r LEFT JOIN y USING (read_id)),
+    h AS (SELECT own, score >= (SELECT min(score) FROM (SELECT score FROM z ORDER BY score DESC LIMIT {top + 1}) c) AS hit FROM z), t AS (SELECT count(*) FILTER (hit AND own) AS found, count(*) FILTER (own) AS draws, count(*) FILTER (hit) AS marked, count(*) AS total FROM h)
+    SELECT found, draws, marked, total, round(least(1, {TAIL}), 8) AS p FROM t"""
+
+
+SCANNED = {"tgastca": motifs.Motif.from_text("TGASTCA"), "acgtr": motifs.Motif.from_text("ACGTRA")}
+
+
+@query("m12_scan", _scan_sql(SCANNED, 0.8))
 def _(spark, d):
-    return motifs.sitemap(_probes(spark, d), {"tgastca": motifs.Motif.from_text("TGASTCA"), "acgtr": motifs.Motif.from_text("ACGTRA")}, 0.8)
+    return motifs.sitemap(_probes(spark, d), SCANNED, 0.8)
 
 
-@query("m19_group_specificity")
+@query("m19_group_specificity", _specificity_sql(motifs.Motif.from_text("TGASTCA")))
 def _(spark, d):
     scored = _probes(spark, d).select("probe_id", motifs.best_scorer(motifs.Motif.from_text("TGASTCA"))("seq").alias("score"))
-    return motifs.group_specificity(scored, _subset(spark, d))
+    return motifs.group_specificity(scored, _subset(spark, d)).withColumn("p", F.round("p", 8))
 
 
 @query("m22_rank_sum", "WITH s AS (SELECT n_chars AS v, lang = 'en' AS g FROM documents), r AS (SELECT g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0::DOUBLE AS r FROM s), a AS (SELECT count(*) FILTER (g) AS n1, count(*) FILTER (NOT g) AS n2, sum(CASE WHEN g THEN r ELSE 0 END) AS w FROM r) SELECT n1, n2, w, w - n1 * (n1 + 1) / 2.0::DOUBLE AS u, round((w - n1 * (n1 + 1) / 2.0::DOUBLE - n1 * n2 / 2.0::DOUBLE) / sqrt(n1 * n2 * (n1 + n2 + 1) / 12.0::DOUBLE), 6) AS z, round((w - n1 * (n1 + 1) / 2.0::DOUBLE) / (n1::DOUBLE * n2), 9) AS auc FROM a")
@@ -917,3 +955,27 @@ def _(spark, d):
 def _(spark, d):
     """Probes that stay when near duplicates of probes at least as long go."""
     return similar.without_similar(_probes(spark, d)).select("probe_id", F.length("seq").alias("length"))
+
+
+@query("o2_by_value", "SELECT value, cnt, row_number() OVER (ORDER BY value) AS place FROM (SELECT alignlen AS value, count(*) AS cnt FROM clone_annot GROUP BY 1) x")
+def _(spark, d):
+    """A distribution in the order of its values."""
+    return abundance.placed(annot(spark, d).groupBy(F.col("alignlen").alias("value")).agg(F.count("*").alias("cnt")), "value")
+
+
+@query("o2_by_count", "SELECT value, cnt, row_number() OVER (ORDER BY cnt DESC, value) AS place FROM (SELECT alignlen AS value, count(*) AS cnt FROM clone_annot GROUP BY 1) x")
+def _(spark, d):
+    """A distribution from its most frequent value to its least, ties by value."""
+    return abundance.placed(annot(spark, d).groupBy(F.col("alignlen").alias("value")).agg(F.count("*").alias("cnt")), "value", by_count=True)
+
+
+@query("o4_sorted_motifs", f"WITH k AS ({KMERS.format(k=6)}), c AS (SELECT {CANON} AS kmer, count(*) AS cnt FROM k WHERE NOT contains(w, 'N') GROUP BY 1) SELECT kmer, cnt, row_number() OVER (ORDER BY cnt, kmer DESC) AS place FROM c")
+def _(spark, d):
+    """Words by a property, here their number, in ascending order."""
+    return abundance.placed(motifs.top_kmers(derived(spark, d, "reads"), 6), "kmer", order=[("cnt", True), ("kmer", False)])
+
+
+@query("o5_enzymes_by_molecules", f"WITH h AS ({_hits_sql()}) SELECT enzyme, count(*) AS molecules, row_number() OVER (ORDER BY count(*), enzyme) AS place FROM h GROUP BY 1")
+def _(spark, d):
+    rows = restriction.hits(derived(spark, d, "reads"), SITES).groupBy("enzyme").agg(F.count("*").alias("molecules"))
+    return abundance.placed(rows, "enzyme", order=[("molecules", True), ("enzyme", True)])

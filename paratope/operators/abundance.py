@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paratope.functions.sequences import family, gene
+from paratope.operators.running import running_sums
 
 
 def shares(df: DataFrame, *keys: str | Column, within: list[str] | None = None) -> DataFrame:
@@ -66,3 +67,11 @@ def heatmap(df: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
 def top(counts: DataFrame, n: int, name: str, rare: bool = False) -> DataFrame:
     """The n most (or least) frequent names, with shares of the whole; ties by name."""
     return with_share(counts).orderBy(F.col("cnt") if rare else F.desc("cnt"), name).limit(n)
+
+
+def placed(rows: DataFrame, value: str, by_count: bool = False, order: list[tuple[str, bool]] | None = None) -> DataFrame:
+    """``rows`` with their place from 1 in an order: of ``value``, of ``cnt`` from the highest on (ties by value), or of columns, each
+    ascending or not. The order must tell rows apart. Places are running sums by ranges, so no task sees all rows."""
+    order = order or ([("cnt", False), (value, True)] if by_count else [(value, True)])
+    keys = [F.asc(c) if up else F.desc(c) for c, up in order]
+    return running_sums(rows.withColumn("__one", F.lit(1)), keys, "__one", "place").drop("__one")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paratope.plans.shared import written
 
 
-def running_sums(rows: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """``rows`` with the sum of ``value`` (a whole number; null counts as 0) up to and with each row, in ascending order of ``keys``.
+def running_sums(rows: DataFrame, keys: list[str | Column], value: str, out: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` (a whole number; null counts as 0) up to and with each row, in the order of ``keys`` (ascending
+    columns, or sort expressions).
 
     ``keys`` should tell rows apart; equal ones come in any order. Rows are dealt to ranges of the keys, as many as the session
     has shuffle partitions, and written; the ranges' totals, a number each, are added up on the driver, and each range is summed by
