@@ -979,3 +979,46 @@ def _(spark, d):
 def _(spark, d):
     rows = restriction.hits(derived(spark, d, "reads"), SITES).groupBy("enzyme").agg(F.count("*").alias("molecules"))
     return abundance.placed(rows, "enzyme", order=[("molecules", True), ("enzyme", True)])
+
+
+MOTIF_SETS = f"""WITH u AS ({UPSTREAM}), k AS (SELECT vgene, upper(upstream) AS s, CASE WHEN length(upstream) NOT BETWEEN 20 AND 20 THEN 'ignored'
+    WHEN contains(upper(upstream), 'N') OR regexp_matches(substring(upper(upstream), 4), '^(...)*(TAA|TAG|TGA)') THEN 'faulty' WHEN NOT starts_with(upper(upstream), 'ATG') THEN 'untranslated' ELSE 'dna' END AS kind FROM u),
+    x AS (SELECT vgene, kind, s FROM k WHERE kind <> 'ignored' UNION ALL SELECT vgene, 'protein', list_aggregate(list_transform(range(1, length(s) - 1, 3), lambda i: coalesce(element_at({CODE_SQL}, substring(s, i, 3))[1], 'X')), 'string_agg', '') FROM k WHERE kind = 'dna'),
+    l AS (SELECT vgene, kind, CAST(i - 1 AS INT) AS pos, substring(s, i::INT, 1) AS letter FROM x, range(1, 21) r(i) WHERE i <= length(s))
+    SELECT 'variant' AS level, vgene AS name, kind, pos, letter, count(*) AS cnt FROM l GROUP BY ALL UNION ALL SELECT 'gene', {V_GENE}, kind, pos, letter, count(*) FROM l GROUP BY ALL UNION ALL SELECT 'family', {PLAIN_FAMILY}, kind, pos, letter, count(*) FROM l GROUP BY ALL"""
+
+
+@query("m5_upstream_motifs", MOTIF_SETS)
+def _(spark, d):
+    """Motifs of secretion signals of exactly 20 bases by variant, gene and family: valid, translated, faulty and without a start."""
+    return upstream.motif_counts(upstream.classify(_upstream(spark, d), "secsig", (20, 20)))
+
+
+BAD_PROBES = "SELECT DISTINCT probe FROM hts WHERE experiment = 'error' AND value <= 1"
+SELECTED = """WITH s AS ({0}), b AS ({1}), g AS (SELECT experiment FROM s WHERE probe IN (SELECT probe FROM b) GROUP BY 1 HAVING count(*) > 2)
+    SELECT experiment, probe, value, CAST(row_number() OVER (PARTITION BY experiment ORDER BY value, probe) AS INT) AS place FROM s WHERE probe NOT IN (SELECT probe FROM b) OR experiment NOT IN (SELECT experiment FROM g)"""
+
+
+def _bad(spark, d):
+    return derived(spark, d, "hts").where("experiment = 'error' AND value <= 1").select("probe")
+
+
+@query("o6_top_probes", SELECTED.format("SELECT experiment, probe, value FROM (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY value, probe) AS k FROM hts) x WHERE k <= 12", BAD_PROBES))
+def _(spark, d):
+    return hts.selected(derived(spark, d, "hts"), _bad(spark, d), top=12)
+
+
+@query("o6_bound_probes", SELECTED.format("SELECT experiment, probe, value FROM hts WHERE value <= 0.5", BAD_PROBES))
+def _(spark, d):
+    return hts.selected(derived(spark, d, "hts"), _bad(spark, d), most=0.5)
+
+
+@query("o6_ratio_probes", SELECTED.format("SELECT experiment, probe, value FROM hts WHERE value >= 8", BAD_PROBES))
+def _(spark, d):
+    return hts.selected(derived(spark, d, "hts"), _bad(spark, d), ratio=8)
+
+
+@query("a27_indelled_genes")
+def _(spark, d):
+    """V genes and families of the reads whose 5' primer has an indel."""
+    return primer.indelled_genes(_with_primers(spark, d, "5"), "5")

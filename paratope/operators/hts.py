@@ -41,6 +41,27 @@ def extremes(hts: DataFrame, experiment: str, n: int, lowest: bool = False, thre
     return rows.select("probe", "value")
 
 
+def selected(hts: DataFrame, bad: DataFrame | None = None, top: int | None = None, ratio: float | None = None, most: float | None = None, spared: int = 2) -> DataFrame:
+    """(experiment, probe, value, place) of each experiment's probes: the ``top`` of least value (ties by probe), those of at least
+    ``ratio``, or those of at most ``most``; from the least value on. ``bad`` probes (probe) go where more than ``spared`` would.
+
+    The top of an experiment is kept by each task before it is shuffled, so no task sorts a whole experiment for it.
+    """
+    order = Window.partitionBy("experiment").orderBy("value", "probe")
+    rows = hts.select("experiment", "probe", "value").where("value IS NOT NULL")
+    if top is not None:
+        rows = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).drop("place")
+    elif ratio is not None:
+        rows = rows.where(F.col("value") >= ratio)
+    elif most is not None:
+        rows = rows.where(F.col("value") <= most)
+    if bad is not None:
+        marked = rows.join(bad.select("probe").distinct().withColumn("bad", F.lit(True)), "probe", "left")
+        many = marked.groupBy("experiment").agg(F.count("bad").alias("gone")).where(F.col("gone") > spared).select("experiment", F.lit(True).alias("strict"))
+        rows = marked.join(many, "experiment", "left").where("bad IS NULL OR strict IS NULL").select("experiment", "probe", "value")
+    return rows.withColumn("place", F.row_number().over(order))
+
+
 def rank_pvalue(hts: DataFrame, experiment: str, observed: float) -> DataFrame:
     """Share of values above the observed one, taking at least one to be so."""
     one = hts.where(F.col("experiment") == experiment).agg(F.count_if(F.col("value") > observed).alias("k"), F.count("*").alias("n"))

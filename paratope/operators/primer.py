@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paratope.functions.align import primer_matcher
-from paratope.functions.sequences import reverse_complement
+from paratope.functions.sequences import family, gene, reverse_complement
 from paratope.operators.abundance import shares
 from paratope.operators.refine import settled
 
@@ -39,3 +39,13 @@ def indelled(rows: DataFrame, side: str) -> DataFrame:
 def indel_positions(rows: DataFrame, side: str) -> DataFrame:
     """(primer, position, cnt) of first indels."""
     return rows.where((F.col(f"primer{side}") != "nan") & (F.col(f"indel{side}") > 0)).groupBy(F.col(f"primer{side}").alias("primer"), F.col(f"indel{side}").alias("position")).agg(F.count("*").alias("cnt"))
+
+
+def indelled_genes(rows: DataFrame, side: str) -> DataFrame:
+    """(primer, level, name, cnt) of the V genes and families of the reads whose primer has an indel, and of all of those (level
+    ``all``), in one pass."""
+    hit = rows.where((F.col(f"primer{side}") != "nan") & (F.col(f"indel{side}") > 0) & F.col("vgene").isNotNull())
+    named = hit.select(F.col(f"primer{side}").alias("primer"), gene(F.col("vgene")).alias("gene"), family(F.col("vgene")).alias("family"))
+    sets = named.groupingSets([["primer", "gene"], ["primer", "family"], ["primer"]], "primer", "gene", "family").agg(F.count("*").alias("cnt"))
+    level = F.when(F.col("gene").isNotNull(), "gene").when(F.col("family").isNotNull(), "family").otherwise("all")
+    return sets.select("primer", level.alias("level"), F.coalesce("gene", "family", F.lit("all")).alias("name"), "cnt")

@@ -42,3 +42,24 @@ def counts(classified: DataFrame) -> DataFrame:
 
 def length_distribution(upstream: DataFrame) -> DataFrame:
     return upstream.groupBy(F.length("upstream").alias("length")).agg(F.count("*").alias("cnt"))
+
+
+def motif_counts(classified: DataFrame) -> DataFrame:
+    """(level, name, kind, pos, letter, cnt): letters at each place of the sequences of each variant, gene and family, in one pass.
+
+    Kinds are dna (valid ones), protein (the same translated), faulty and untranslated (no start codon); those of unexpected length
+    are left out. Sequences aren't padded, so a place counts those that reach it.
+    """
+    s = F.upper("upstream")
+    texts = F.array(
+        F.struct(F.when(F.col("class") == "valid", "dna").when(F.col("class") == "faulty", "faulty").when(F.col("class") == "no-atg", "untranslated").alias("kind"), s.alias("text")),
+        F.struct(F.when(F.col("class") == "valid", "protein").alias("kind"), F.when(F.col("class") == "valid", F.col("protein")).alias("text")),
+    )
+    rows = classified.withColumn("protein", translate_dna(F.when(F.col("class") == "valid", s))).select("vgene", "gene", "family", F.inline(texts)).where("kind IS NOT NULL AND text <> ''")
+    letters = rows.select("vgene", "gene", "family", "kind", F.posexplode(F.split("text", "")).alias("pos", "letter")).where("letter <> ''")
+    # Variants are counted first; genes and families add them up.
+    own = letters.groupBy("vgene", "gene", "family", "kind", "pos", "letter").agg(F.count("*").alias("n"))
+    rest = ["kind", "pos", "letter"]
+    sets = own.groupingSets([["vgene", *rest], ["gene", *rest], ["family", *rest]], "vgene", "gene", "family", *rest).agg(F.sum("n").alias("cnt"))
+    level = F.when(F.col("vgene").isNotNull(), "variant").when(F.col("gene").isNotNull(), "gene").otherwise("family")
+    return sets.select(level.alias("level"), F.coalesce("vgene", "gene", "family").alias("name"), *rest, "cnt")
