@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -36,18 +37,54 @@ def read_fasta(spark: SparkSession, path: str, key: Column | None = None, sample
 def read_fastq(spark: SparkSession, path: str, sample: str = "") -> DataFrame:
     """Records of FASTQ files: an ``@`` line, a sequence line, a ``+`` line and a quality line of the sequence's length.
 
-    Files are cut at ``\\n@``; a quality line may begin with ``@``, so a cut piece without its four lines belongs to the record
-    before it. Each file is read as a whole by one task, as compressed files are anyway; split large plain files beforehand.
+    Spark cuts files at ``\\n@``, large plain ones in several splits, compressed ones as a whole. A quality line may begin with
+    ``@`` as well: then the record comes in two pieces, a head of three lines and a tail of one. They meet in the task that reads
+    both; where a split ends between them, the head is joined to the first piece of the file's next split. Those ends are found by
+    a second look at the files, which gives two rows a split at most. Records with fewer than four lines are left out.
     """
+    pieces = spark.read.text(path, lineSep="\n@").select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    whole = pieces.mapInPandas(lambda frames: _records(frames, False), PIECES).select("text")
+    ends = pieces.mapInPandas(lambda frames: _records(frames, True), PIECES)
+    along = Window.partitionBy("file").orderBy("block", "head")  # a split begins with a tail and ends with a head
+    cut = ends.withColumns({"before": F.lag("text").over(along), "was_head": F.lag("head").over(along)}).where("NOT head AND was_head").select(F.concat("before", F.lit("\n@"), "text").alias("text"))
+    lines = F.split("text", "\r?\n")
+    rows = whole.unionByName(cut).select(lines.alias("l"))
+    header = F.trim(F.col("l")[0])
+    return rows.select(F.split(header, r"\s+")[0].alias("read_id"), F.col("l")[1].alias("seq"), F.regexp_replace(F.col("l")[3], "\r$", "").alias("qual"), F.lit(sample).alias("sample"), header.alias("header"))
 
-    def records(frames):
-        for f in frames:
-            for text in f["value"]:
-                lines = text.replace("\r\n", "\n").split("\n")
-                rows = [(lines[i][1:].split()[0] if len(lines[i]) > 1 else "", lines[i + 1], lines[i + 3], sample, lines[i][1:]) for i in range(0, len(lines) - 3, 4) if lines[i].startswith("@")]
-                yield type(f)(rows, columns=["read_id", "seq", "qual", "sample", "header"])
 
-    return spark.read.text(path, wholetext=True).mapInPandas(records, "read_id string, seq string, qual string, sample string, header string")
+PIECES = "file string, block long, head boolean, text string"
+
+
+def _records(frames: Iterator[pd.DataFrame], ends: bool) -> Iterator[pd.DataFrame]:
+    """Whole records of the pieces of some splits or, with ``ends``, heads without a tail and tails without a head."""
+    at, head = None, None
+    for f in frames:
+        out = []
+        for text, file, block in zip(f["value"], f["file"], f["block"], strict=True):
+            if (file, block) != at:
+                if head is not None and ends:
+                    out.append((*at, True, head))
+                at, head, first = (file, block), None, True
+            else:
+                first = False
+            text = text.removeprefix("@") if block == 0 and first else text
+            lines = text.rstrip("\r\n").count("\n") + 1 if text.strip() else 0
+            if head is not None and lines <= 1:
+                if not ends:
+                    out.append((file, block, False, f"{head}\n@{text}"))
+                head = None
+            elif text.count("\n") >= 3:
+                head = None
+                if not ends:
+                    out.append((file, block, False, text))
+            elif lines == 3:
+                head = text
+            elif lines == 1 and first and block > 0 and ends:
+                out.append((file, block, False, text))
+        yield pd.DataFrame(out, columns=["file", "block", "head", "text"])
+    if head is not None and ends:
+        yield pd.DataFrame([(*at, True, head)], columns=["file", "block", "head", "text"])
 
 
 def read_sequences(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
