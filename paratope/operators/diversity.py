@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,12 +159,60 @@ def planted(seqs: DataFrame, word: str, share: float = 1.0, seed: int = 0) -> Da
     return seqs.withColumn("seq", F.when((u < share) & (F.length("seq") >= len(word)), F.overlay("seq", F.lit(word), at + 1)).otherwise(F.col("seq")))
 
 
+def thinned(counts: DataFrame, key: str, share: float, seed: int) -> DataFrame:
+    """(key, x): how many of a clonotype's cnt reads are chosen when each is by itself with a chance ``share``; seeded by the key."""
+
+    @F.pandas_udf(T.LongType())
+    def draw(h: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([int(np.random.default_rng(s & 0xFFFFFFFFFFFFFFFF).binomial(c, share)) for s, c in zip(h, n, strict=True)], dtype="int64")
+
+    return counts.select(key, draw(F.xxhash64(F.lit(seed), key), F.col("cnt").cast("long")).alias("x")).where("x > 0")
+
+
+def sampled(counts: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """(key, x): n reads drawn without replacement from clonotypes (key, cnt), as numbers by clonotype; all of them if n is more.
+
+    No read is a row of its own. Each read is first chosen with a chance a little over n of all, which makes every set of the size
+    that results as likely as another. Then as many of the chosen as are too many, a few times the square root of n, are drawn by
+    their rank among the chosen in key order, and taken off where running sums say they lie. Too few chosen: once more with
+    another seed. The driver holds the ranks that are taken off.
+    """
+    total = int(counts.agg(F.coalesce(F.sum("cnt"), F.lit(0))).first()[0])
+    if n >= total:
+        return counts.where("cnt > 0").select(key, F.col("cnt").cast("long").alias("x"))
+    again = 0
+    while True:
+        share = min(1.0, (n + 5 * math.sqrt(n) + 5) / total)
+        got = running_sums(thinned(counts, key, share, seed + 1_000_003 * again), [key], "x", "upto")
+        many = int(got.agg(F.coalesce(F.sum("x"), F.lit(0))).first()[0])
+        if many >= n:
+            break
+        again += 1
+    off = _ranks(many, many - n, np.random.default_rng(seed))
+    shared = counts.sparkSession.sparkContext.broadcast(off)
+
+    @F.pandas_udf(T.LongType())
+    def taken(x: pd.Series, upto: pd.Series) -> pd.Series:
+        at = shared.value
+        return pd.Series(np.searchsorted(at, upto.to_numpy()) - np.searchsorted(at, (upto - x).to_numpy()), dtype="int64")
+
+    return got.select(key, (F.col("x") - taken("x", "upto")).alias("x")).where("x > 0")
+
+
+def _ranks(total: int, n: int, rng: np.random.Generator) -> np.ndarray:
+    """n different numbers below ``total``, in order, every set as likely as another (Floyd 1987)."""
+    out: set[int] = set()
+    for top in range(total - n, total):
+        x = int(rng.integers(top + 1))
+        out.add(top if x in out else x)
+    return np.sort(np.array(list(out), dtype=np.int64))
+
+
 def sampled_richness(counts: DataFrame, key: str, n: int, seeds: list[int]) -> DataFrame:
-    """(seed, richness) of n reads drawn without replacement, by the n least seeded hashes of (clonotype, copy)."""
-    reads = counts.select(key, F.explode(F.sequence(F.lit(1), F.col("cnt").cast("int"))).alias("copy"))
+    """(seed, richness): different clonotypes among n reads drawn without replacement, for each seed; the same on every run."""
     out = None
     for s in seeds:
-        one = reads.orderBy(F.xxhash64(F.lit(s), key, "copy")).limit(n).agg(F.count_distinct(key).alias("richness")).select(F.lit(s).alias("seed"), "richness")
+        one = sampled(counts, key, n, s).agg(F.count("*").alias("richness")).select(F.lit(s).alias("seed"), "richness")
         out = one if out is None else out.unionByName(one)
     return out
 

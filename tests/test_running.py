@@ -59,3 +59,36 @@ def test_no_window_in_one_task(spark, name):
     plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     for before, line in zip(plan.splitlines(), plan.splitlines()[1:]):
         assert not ("Exchange SinglePartition" in line and ("Window" in before or "Sort" in before))
+
+
+def test_sampling_without_exploding_reads(spark):
+    """Every seed draws exactly n reads; numbers drawn and richness meet the closed form on average."""
+    counts = [(f"c{i:02}", n) for i, n in enumerate([1] * 20 + [2] * 10 + [5] * 6 + [40, 90])]
+    df = spark.createDataFrame([*counts, ("none", 0)], "aa string, cnt long").repartition(3)
+    total, n, seeds = sum(c for _, c in counts), 60, range(24)
+    drawn, rich = dict.fromkeys(dict(counts), 0), []
+    for s in seeds:
+        rows = {r.aa: r.x for r in diversity.sampled(df, "aa", n, s).collect()}
+        assert sum(rows.values()) == n and all(0 < x <= dict(counts)[k] for k, x in rows.items())
+        rich.append(len(rows))
+        for k, x in rows.items():
+            drawn[k] += x
+    want = diversity.rarefaction(df, [n]).first().expected
+    assert abs(sum(rich) / len(rich) - want) < 1.5
+    assert abs(drawn["c37"] / len(seeds) - 90 * n / total) < 2.5 and abs(drawn["c36"] / len(seeds) - 40 * n / total) < 2
+    assert {r.aa: r.x for r in diversity.sampled(df, "aa", total, 1).collect()} == dict(counts)
+    got = diversity.sampled_richness(df, "aa", n, [3, 5]).collect()
+    assert [(r.seed, r.richness) for r in got] == [(3, rich[3]), (5, rich[5])]
+    assert diversity.sampled_richness(df.where("cnt > 999"), "aa", 5, [1]).first().richness == 0
+
+
+def test_ranks_are_even():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    seen = np.zeros(10)
+    for _ in range(2000):
+        r = diversity._ranks(10, 3, rng)
+        assert len(set(r.tolist())) == 3
+        seen[r] += 1
+    assert abs(seen / 2000 - 0.3).max() < 0.05
