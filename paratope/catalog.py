@@ -1022,3 +1022,10 @@ def _(spark, d):
 def _(spark, d):
     """V genes and families of the reads whose 5' primer has an indel."""
     return primer.indelled_genes(_with_primers(spark, d, "5"), "5")
+
+
+@query("m2_aligned_pfm")
+def _(spark, d):
+    """Letters and gaps at each place of an alignment of up to 20 different upstream sequences of each V gene."""
+    rows = _upstream(spark, d).select(S.gene(F.col("vgene")).alias("gene"), F.col("upstream").alias("seq"))
+    return motifs.pfm(motifs.aligned(rows, "gene").select("gene", F.col("aligned").alias("seq")), "gene")

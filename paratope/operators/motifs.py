@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paratope.functions.align import centre_star
 from paratope.functions.sequences import IUPAC, ambiguous_regex, canonical, kmers, reverse_complement
 from paratope.functions.stats import hypergeometric_tail_udf, log2_sum
 
@@ -276,6 +277,26 @@ def pfm(seqs: DataFrame, group: str, seq: str = "seq") -> DataFrame:
     return rows.where("letter <> ''").groupBy(group, "pos", "letter").agg(F.count("*").alias("cnt"))
 
 
+def stable_sample(rows: DataFrame, group: str, seq: str = "seq", most: int = 20, seed: int = 1986) -> DataFrame:
+    """(group, seq): up to ``most`` different sequences of each group, those of least seeded hash, the same on every run. Each task
+    keeps its own least ones before anything is shuffled."""
+    order = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), seq), seq)
+    some = rows.where(f"{seq} <> ''").select(group, seq).distinct().withColumn("__k", F.row_number().over(order))
+    return some.where(F.col("__k") <= most).drop("__k")
+
+
+def aligned(rows: DataFrame, group: str, seq: str = "seq", most: int = 20, gap: int = -2) -> DataFrame:
+    """(group, seq, aligned): a multiple alignment of the ``stable_sample`` of each group, by the centre star: all others are aligned to
+    the one nearest to them all. Aligned texts of a group are of one length; a group has ``most`` rows, so a task's state is small."""
+    kind = rows.schema[group].dataType.simpleString()
+
+    def star(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(seq)
+        return f.assign(aligned=centre_star(f[seq].tolist(), gap))[[group, seq, "aligned"]]
+
+    return stable_sample(rows, group, seq, most).groupBy(group).applyInPandas(star, f"{group} {kind}, {seq} string, aligned string")
+
+
 def consensus(counts: DataFrame, group: str) -> DataFrame:
     """The commonest letter of each place, the first in the alphabet on a tie."""
     best = F.row_number().over(Window.partitionBy(group, "pos").orderBy(F.desc("cnt"), "letter"))

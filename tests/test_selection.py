@@ -70,3 +70,31 @@ def test_genes_of_indelled_primers(spark):
     rows = [("P1", 3, "IGHV1-2*01"), ("P1", 3, "IGHV1-2D*02"), ("P1", 0, "IGHV9-9*01"), ("nan", 2, "IGHV1-2*01"), ("P2", 1, "IGHV3-1*01"), ("P2", 1, None)]
     got = Counter({(r.primer, r.level, r.name): r.cnt for r in primer.indelled_genes(spark.createDataFrame(rows, "primer5 string, indel5 int, vgene string"), "5").collect()})
     assert got == {("P1", "gene", "IGHV1-2"): 1, ("P1", "gene", "IGHV1-2D"): 1, ("P1", "family", "IGHV1"): 2, ("P1", "all", "all"): 2, ("P2", "gene", "IGHV3-1"): 1, ("P2", "family", "IGHV3"): 1, ("P2", "all", "all"): 1}
+
+
+def test_aligned_groups(spark):
+    from paratope.functions.align import centre_star
+    from paratope.operators import motifs
+
+    rng = random.Random(4)
+    rows = []
+    for g in ("g1", "g2", None):
+        base = "".join(rng.choice("ACGT") for _ in range(16))
+        for _ in range(9):
+            s = list(base)
+            del s[rng.randrange(len(s))]
+            s.insert(rng.randrange(len(s)), rng.choice("ACGT"))
+            rows.append((g, "".join(s)))
+    rows += [("one", "ACGT"), ("one", "ACGT"), ("one", ""), ("one", None)]
+    df = spark.createDataFrame(rows, "gene string, seq string").repartition(3)
+    got = {}
+    for r in motifs.aligned(df, "gene", most=50).collect():
+        got.setdefault(r.gene, {})[r.seq] = r.aligned
+    for g in {g for g, _ in rows}:
+        own = sorted({s for h, s in rows if h == g and s})
+        assert [got[g][s] for s in own] == centre_star(own)
+        assert len({len(a) for a in got[g].values()}) == 1 and all(a.replace("-", "") == s for s, a in got[g].items())
+    few = motifs.stable_sample(df, "gene", most=4)
+    assert {(r.gene, r["count"]) for r in few.groupBy("gene").count().collect()} == {("g1", 4), ("g2", 4), (None, 4), ("one", 1)}
+    assert sorted(map(tuple, few.collect()), key=str) == sorted(map(tuple, motifs.stable_sample(df.repartition(1), "gene", most=4).collect()), key=str)
+    assert motifs.aligned(df.where("seq = 'x'"), "gene").collect() == []
