@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paratope.functions import sequences as S
 from paratope.functions import stats, words
-from paratope.operators import abundance, classify, cluster, distances, diversity, em, filters, hts, motif_table, motifs, primer, productivity, refine, restriction, search, similar, trees, upstream
+from paratope.operators import abundance, classify, cluster, distances, diversity, em, filters, hts, intervals, motif_table, motifs, primer, productivity, refine, restriction, search, similar, trees, upstream
 from paratope.plans.derived import oracle
 from paratope.plans.derived import table as derived
 
@@ -1029,3 +1029,43 @@ def _(spark, d):
     """Letters and gaps at each place of an alignment of up to 20 different upstream sequences of each V gene."""
     rows = _upstream(spark, d).select(S.gene(F.col("vgene")).alias("gene"), F.col("upstream").alias("seq"))
     return motifs.pfm(motifs.aligned(rows, "gene").select("gene", F.col("aligned").alias("seq")), "gene")
+
+
+def _spans(spark, d):
+    """Annotations as spans on a chromosome a family, by their part's number."""
+    start = F.split("queryid", "-")[2].cast("long") * 250
+    return annot(spark, d).select(F.col("queryid").alias("id"), F.split("vgene", "-")[0].alias("chrom"), start.alias("start"), (start + F.col("alignlen")).alias("end"))
+
+
+@query(
+    "m42_merged_spans",
+    """WITH s AS (SELECT split_part(vgene, '-', 1) AS chrom, CAST(split_part(queryid, '-', 3) AS BIGINT) * 250 AS a, CAST(split_part(queryid, '-', 3) AS BIGINT) * 250 + alignlen AS b FROM clone_annot),
+    o AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY chrom ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS begins FROM s),
+    u AS (SELECT *, sum(begins) OVER (PARTITION BY chrom ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM o)
+    SELECT chrom, min(a) AS start, max(b) AS "end", count(*) AS spans FROM u GROUP BY chrom, k""",
+)
+def _(spark, d):
+    return intervals.merged(_spans(spark, d))
+
+
+@query(
+    "j5_overlapping_spans",
+    """WITH s AS (SELECT queryid AS id, split_part(vgene, '-', 1) AS chrom, vgene, CAST(split_part(queryid, '-', 3) AS BIGINT) * 250 AS a, CAST(split_part(queryid, '-', 3) AS BIGINT) * 250 + alignlen AS b, strand FROM clone_annot)
+    SELECT x.chrom, count(*) AS pairs, CAST(sum(least(x.b, y.b) - greatest(x.a, y.a)) AS BIGINT) AS shared FROM s x JOIN s y ON x.chrom = y.chrom AND x.a < y.b AND y.a < x.b AND x.strand = 'reversed' AND y.strand = 'forward' AND x.vgene = y.vgene GROUP BY 1""",
+)
+def _(spark, d):
+    """Spans on the reverse strand with those on the forward strand that they overlap, of one gene variant."""
+    rows = annot(spark, d)
+    start = F.split("queryid", "-")[2].cast("long") * 250
+    spans = rows.select("strand", F.col("vgene").alias("chrom"), start.alias("start"), (start + F.col("alignlen")).alias("end"))
+    met = intervals.overlapping(spans.where("strand = 'reversed'"), spans.where("strand = 'forward'"))
+    shared = F.least("end", "b_end") - F.greatest("start", "b_start")
+    return met.groupBy(F.split("chrom", "-")[0].alias("chrom")).agg(F.count("*").alias("pairs"), F.sum(shared).alias("shared"))
+
+
+@query("m16_neighbourhoods")
+def _(spark, d):
+    """The stretches within ten letters of a site of a motif."""
+    probes = _probes(spark, d)
+    sites = motifs.sitemap(probes, {"acgtr": motifs.Motif.from_text("ACGTRA")}, 0.8).select("probe_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    return intervals.neighbourhoods(sites, probes, 10)
