@@ -16,6 +16,7 @@ from paratope.functions.sequences import canonical, kmers
 from paratope.functions.stats import binomial_tail, hypergeometric_tail, ks_tail
 from paratope.operators.motif_table import chi2_classes
 from paratope.operators.motifs import Motif
+from paratope.operators.similar import removed
 
 BINS = (0, 1, 2, 3, 4, 5)  # lower bounds of the classes of site counts
 STEPS = 1000  # classes of score ratios in ``ks``
@@ -183,22 +184,9 @@ def frequent_kmers(seqs: DataFrame, k: int, share: float = 0.1, letters: int = 5
 
 
 def similar_probes(probes: DataFrame, matches: DataFrame) -> DataFrame:
-    """``probes`` (probe_id, length) without those that a longer one of the list, or one as long, is similar to.
-
-    ``matches`` is (probe_id, other, length): who is similar to whom, and the other's length. Probes are taken in order of their
-    ids, and one that went already no longer rules out another; so the groups of similar probes, one task each, are independent.
-    """
-    from paratope.operators.grouping import groups
-
-    here = matches.join(probes.select("probe_id"), "probe_id", "left_semi").join(probes.select(F.col("probe_id").alias("other")), "other", "left_semi").where("probe_id <> other")
-    rows = probes.join(groups(probes.select("probe_id"), here), "probe_id").join(here.groupBy("probe_id").agg(F.collect_list(F.struct("other", F.col("length").alias("size"))).alias("near")), "probe_id", "left")
-
-    def purge(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("probe_id")
-        left = set(f["probe_id"])
-        for p, own, near in zip(f["probe_id"], f["length"], f["near"], strict=True):
-            if near is not None and any(x["other"] in left and x["size"] >= own for x in near):
-                left.discard(p)
-        return f.loc[f["probe_id"].isin(left), ["probe_id", "length"]]
-
-    return rows.select("probe_id", "length", "near", "grp").groupBy("grp").applyInPandas(purge, "probe_id string, length int")
+    """``probes`` (probe_id, length) without those that a longer one of the list, or one as long, is similar to, as
+    ``similar.without_similar`` decides it. ``matches`` is (probe_id, other, length): who is similar to whom, and the other's length."""
+    own = probes.select(F.col("probe_id").alias("p"), F.col("length").alias("size"))
+    here = matches.select(F.col("probe_id").alias("p"), F.col("other").alias("q"), "length").join(own, "p").join(probes.select(F.col("probe_id").alias("q")), "q", "left_semi")
+    links = here.where("p <> q AND length >= size").select("p", "q").distinct()
+    return probes.join(removed(links).withColumnRenamed("p", "probe_id"), "probe_id", "left_anti")

@@ -68,7 +68,7 @@ def test_scans():
     starts = B.starts(seq, 0.9 * B.best)
     assert starts == [2, 11, 18, 25] and B.separate_starts("TGACTCATGACTCA", 0.9 * B.best) == [0, 7]
     wide = Motif.from_text("ATAT")
-    assert wide.starts("ATATATAT", wide.best - 0.01) == [0, 1, 2, 3, 4][::2] or wide.starts("ATATATAT", wide.best - 0.01)
+    assert wide.starts("ATATATAT", wide.best - 0.01) == [0, 2, 4]
     assert wide.separate_starts("ATATATAT", wide.best - 0.01) == [0, 4]
     assert B.masked("CCTGACTCACC", 0.9 * B.best) == "CCNNNNNNNCC"
     assert B.neighbourhoods("A" * 20 + "TGACTCA" + "A" * 20, 0.9 * B.best, 3) == ["AAATGACTCAAAA"] and B.neighbourhoods(seq, 0.9 * B.best, 5) == [seq]
