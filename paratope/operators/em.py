@@ -21,6 +21,7 @@ from paratope.operators.motifs import BASES, Motif, best_scorer, group_specifici
 from paratope.plans.shared import dropped, written
 
 ROW = 1 << 18  # letters of a packed row, about
+FEW = 1024  # matrices of a round that come to the driver one by one; more are added up before
 _CODE = np.full(256, 4, dtype=np.int64)
 for _i, _b in enumerate(BASES):
     _CODE[[ord(_b), ord(_b.lower())]] = _i
@@ -192,6 +193,7 @@ def em(seqs: DataFrame, seeds: dict[str, Motif], background: Background, gamma:
     with np.errstate(divide="ignore"):
         states = [_Search(name, np.log2(m.fractions), gamma, beta[name] if isinstance(beta, dict) else beta, (without or {}).get(name)) for name, m in seeds.items()]
     table = packed(seqs, sorted({len(s.matrix) for s in states}), background)
+    tasks = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while open_ := [i for i, s in enumerate(states) if not s.done]:
         now = [(i, states[i].matrix, states[i].gamma, states[i].without) for i in open_]
 
@@ -209,8 +211,11 @@ def em(seqs: DataFrame, seeds: dict[str, Motif], background: Background, gamma:
                 yield pa.RecordBatch.from_pydict({"seed": pa.array(np.full(len(flat), i, np.int32)), "at": pa.array(np.arange(len(flat), dtype=np.int32)), "x": pa.array(flat)})
 
         found: dict[int, dict[int, float]] = {i: {} for i in open_}
-        for r in table.mapInArrow(expect, "seed int, at int, x double").groupBy("seed", "at").agg(F.sum("x").alias("x")).collect():
-            found[r.seed][r["at"]] = r.x
+        sums = table.mapInArrow(expect, "seed int, at int, x double")
+        if tasks * len(open_) > FEW:
+            sums = sums.groupBy("seed", "at").agg(F.sum("x").alias("x"))
+        for r in sums.collect():
+            found[r.seed][r["at"]] = found[r.seed].get(r["at"], 0.0) + r.x
         for i, x in found.items():
             if not x:
                 states[i].done = True
