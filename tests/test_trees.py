@@ -36,7 +36,9 @@ def tables(spark):
     return leaves, pairs, spark.createDataFrame(leaves + leaves[:3], "grp string, leaf string"), spark.createDataFrame(rows, "grp string, i string, j string, d double").repartition(3)
 
 
-def test_trees_equal_the_direct_merge(tables):
+@pytest.mark.parametrize("small", [400, 6, 0])
+def test_trees_equal_the_direct_merge(tables, monkeypatch, small):
+    monkeypatch.setattr(trees, "SMALL", small)
     leaves, pairs, frame, links = tables
     merges, roots = trees.average_link(frame, links)
     rows = merges.collect()
