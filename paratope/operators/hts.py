@@ -134,9 +134,10 @@ def values(hts: DataFrame, experiment: str, probes: DataFrame | None = None) ->
     return (rows if probes is None else rows.join(probes.select("probe"), "probe", "left_semi")).select("probe", "value")
 
 
-def bound_by(hts: DataFrame, probe: str, threshold: float) -> DataFrame:
-    """Experiments in which a probe is bound."""
-    return hts.where((F.col("probe") == probe) & (F.col("value") <= threshold)).select("experiment")
+def bound_by(hts: DataFrame, probe: str | None, threshold: float) -> DataFrame:
+    """Experiments in which a probe is bound; without a probe, a row for each probe that is bound."""
+    own = F.lit(True) if probe is None else F.col("probe") == probe
+    return hts.where(own & (F.col("value") <= threshold)).select("experiment")
 
 
 def matching_probes(probes: DataFrame, regex: str) -> DataFrame:
