@@ -20,26 +20,36 @@ def overlapping(a: DataFrame, b: DataFrame, within: int = 0, width: int = WIDTH)
     """Pairs of a span of ``a`` and one of ``b`` on a chromosome that share a place, or lie ``within`` places of each other: chrom, and the
     other columns of both, those of ``b`` behind ``b_``.
 
-    A span lives at the level whose bins are as wide as it is, in two of them at most, and also visits the bins of all coarser
-    levels. Two spans meet at the coarser one's level and count in the bin where the later one begins, so once. A span has some
-    fifty rows at most however long it is.
+    A span lives at the level whose bins are as wide as it is, in two of them at most, and also visits the bins of those coarser
+    levels where spans of the other table live. Two spans meet once, at the coarser one's level in the bin where the later one
+    begins: those of ``a`` at home with visitors of ``b`` as wide or less wide, and those of ``b`` at home with less wide ones of ``a``.
     """
     reach = _plain(a).withColumns({"__s": F.col("start") - within, "__e": F.col("end") + within})
     other = _plain(b).select("chrom", *(F.col(c).alias(f"b_{c}") for c in b.columns if c != "chrom"), F.col("start").alias("__t"), F.col("end").alias("__f"))
 
-    def placed(df: DataFrame, start: str, end: str, name: str) -> DataFrame:
+    def home(df: DataFrame, start: str, end: str) -> DataFrame:
         size = F.col(end) - F.col(start)
         own = F.least(F.greatest(F.ceil(F.log2(size / F.lit(float(width)))), F.lit(0)), F.lit(LEVELS - 1)).cast("int")
-        rows = df.withColumn("__own", own).withColumn("__level", F.explode(F.sequence(F.col("__own"), F.lit(LEVELS - 1))))
+        return df.withColumn("__level", own)
+
+    def binned(df: DataFrame, start: str, end: str) -> DataFrame:
         step = F.lit(width) * F.expr("shiftleft(1L, __level)")
-        rows = rows.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(start) / step).cast("long"), F.floor((F.col(end) - 1) / step).cast("long"))))
-        return rows.withColumn(name, F.col("__own") == F.col("__level")).drop("__own")
+        return df.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(start) / step).cast("long"), F.floor((F.col(end) - 1) / step).cast("long"))))
+
+    def visiting(df: DataFrame, hosts: DataFrame, coarser: bool) -> DataFrame:
+        """Each row at each level of the hosts' that is its own or a coarser one, or only the latter. There are few levels."""
+        levels = F.broadcast(hosts.select(F.col("__level").alias("__at")).distinct())
+        met = df.join(levels, F.col("__at") > F.col("__level") if coarser else F.col("__at") >= F.col("__level"))
+        return met.drop("__level").withColumnRenamed("__at", "__level")
 
-    met = placed(reach, "__s", "__e", "__home").join(placed(other, "__t", "__f", "__host"), ["chrom", "__level", "__bin"])
+    ours, theirs = home(reach, "__s", "__e"), home(other, "__t", "__f")
+    sides = [(ours, visiting(theirs, ours, coarser=False)), (visiting(ours, theirs, coarser=True), theirs)]
     step = F.lit(width) * F.expr("shiftleft(1L, __level)")
     first = F.floor(F.greatest("__s", "__t") / step) == F.col("__bin")
-    found = met.where((F.col("__home") | F.col("__host")) & (F.col("__s") < F.col("__f")) & (F.col("__t") < F.col("__e")) & first)
-    return found.select(*a.columns, *(c for c in other.columns if c.startswith("b_")))
+    near = (F.col("__s") < F.col("__f")) & (F.col("__t") < F.col("__e")) & first
+    out = [*a.columns, *(c for c in other.columns if c.startswith("b_"))]
+    x, y = (binned(p, "__s", "__e").join(binned(q, "__t", "__f"), ["chrom", "__level", "__bin"]).where(near).select(*out) for p, q in sides)
+    return x.unionByName(y)
 
 
 def _distance(lo: Column, hi: Column, other_lo: Column, other_hi: Column) -> Column:
