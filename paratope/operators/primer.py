@@ -11,12 +11,16 @@ from paratope.operators.abundance import shares
 from paratope.operators.refine import settled
 
 
+def width(primers: list[tuple[str, str]]) -> int:
+    return max(len(p) for _, p in primers)
+
+
 def add_primers(rows: DataFrame, primers: list[tuple[str, str]], side: str, offset: int = 0) -> DataFrame:
     """Adds primer5/mismatch5/indel5 (or ...3): the best match in the read's first or last letters, as wide as the longest primer.
     Needs strand and seq. The id is ``nan`` where nothing matches."""
     seq = F.when(F.col("strand") == "reversed", reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
-    width = max(len(p) for _, p in primers)
-    window = F.substring(seq, offset + 1, width) if side == "5" else F.when(F.length(seq) > width, F.substring(seq, -width, width)).otherwise(seq)
+    n = width(primers)
+    window = F.substring(seq, offset + 1, n) if side == "5" else F.when(F.length(seq) > n, F.substring(seq, -n, n)).otherwise(seq)
     match = primer_matcher([(n, p.upper()) for n, p in primers], extend5=side == "5")
     out = settled(rows.withColumn("__m", match(window)))
     return out.withColumns({f"primer{side}": F.col("__m.id"), f"mismatch{side}": F.col("__m.mismatch"), f"indel{side}": F.col("__m.indel")}).drop("__m")

@@ -88,10 +88,26 @@ def region_hits(rows: DataFrame, sites: list[tuple[str, str]]) -> DataFrame:
     """(enzyme, region, reads): reads with a hit that begins in the region, each once. Positions are those of the strand that was
     searched; hits on the reverse complement are mapped back."""
     found = site_starts(list(dict(sites).items()))(F.upper("seq"), reverse_complement(F.upper("seq")))
-    bounds = [f"{r}_{x}" for r in REGIONS for x in ("start", "end")]
-    long = rows.select("read_id", *bounds, F.inline(found))
-    each = long.select("read_id", "enzyme", F.explode(F.array_distinct(F.transform("at", lambda p: region_of(p + 1)))).alias("region"))
-    return each.where("region IS NOT NULL").distinct().groupBy("enzyme", "region").agg(F.count("*").alias("reads"))
+    return hit_regions(rows.withColumn("found", found)).distinct().groupBy("enzyme", "region").agg(F.count("*").alias("reads"))
+
+
+def last_place(rows: DataFrame) -> DataFrame:
+    """(last): one row with the last place of any region of these rows."""
+    return rows.agg(F.greatest(F.lit(0), *(F.max(f"{r}_end") for r in REGIONS)).alias("last"))
+
+
+def site_places(reads: DataFrame, sites: list[tuple[str, str]], last: DataFrame) -> DataFrame:
+    """(read_id, found): for each enzyme its hits in a read, as ``site_starts`` has them, that begin at the place of ``last`` or before."""
+    found = site_starts(list(dict(sites).items()))(F.upper("seq"), reverse_complement(F.upper("seq")))
+    near = F.transform("found", lambda x: F.struct(x["enzyme"].alias("enzyme"), F.filter(x["at"], lambda p: p < F.col("last")).alias("at")))
+    return reads.select("read_id", found.alias("found")).crossJoin(F.broadcast(last)).select("read_id", near.alias("found"))
+
+
+def hit_regions(rows: DataFrame) -> DataFrame:
+    """(read_id, enzyme, region): the regions of a row where a hit of ``found`` begins, each once a row."""
+    long = rows.select("read_id", *(f"{r}_{x}" for r in REGIONS for x in ("start", "end")), F.inline("found"))
+    each = long.where(F.size("at") > 0).select("read_id", "enzyme", F.explode(F.array_distinct(F.transform("at", lambda p: region_of(p + 1)))).alias("region"))
+    return each.where("region IS NOT NULL")
 
 
 def site_starts(sites: list[tuple[str, str]]):
