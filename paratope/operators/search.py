@@ -12,10 +12,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paratope.functions.sequences import canonical, kmers
+from paratope.functions.sequences import canonical
 from paratope.functions.stats import binomial_tail, hypergeometric_tail, ks_tail
 from paratope.operators.motif_table import chi2_classes
-from paratope.operators.motifs import Motif
+from paratope.operators.motifs import Motif, kmer_counts
 from paratope.operators.similar import removed
 
 BINS = (0, 1, 2, 3, 4, 5)  # lower bounds of the classes of site counts
@@ -179,7 +179,7 @@ def frequent_kmers(seqs: DataFrame, k: int, share: float = 0.1, letters: int = 5
     """(kmer, cnt) of canonical k-mers with at least ``letters`` bases that occur more than twice and more often than there are
     sequences times ``share``."""
     total = seqs.agg(F.greatest(F.lit(2.0), F.count("*") * share).alias("__least"))
-    counts = seqs.select(F.explode(kmers(F.upper(seq), k)).alias("w")).groupBy("w").agg(F.count("*").alias("cnt")).groupBy(canonical(F.col("w")).alias("kmer")).agg(F.sum("cnt").alias("cnt"))
+    counts = kmer_counts(seqs, k, seq).groupBy(canonical(F.col("w")).alias("kmer")).agg(F.sum("cnt").alias("cnt"))
     return counts.crossJoin(F.broadcast(total)).where((F.col("cnt") > F.col("__least")) & (F.length(F.replace("kmer", F.lit("N"), F.lit(""))) >= letters)).select("kmer", "cnt")
 
 
