@@ -1,15 +1,15 @@
 """Motif discovery by expectation maximisation: zero or one occurrence a sequence, many seeds in one job a round.
 
-Windows are numbered once: a table of packed rows holds, for each window of a width, the number of its word among the row's
-different words and its odds under a Markov background. A round's E step looks up the score of each different word and adds up
-windows by word, so its work is a few operations a letter and seed, and a task sends back one small matrix for each seed.
+A written table holds the sequences' letters, many sequences a row. A round's E step numbers each window's word, looks up its odds
+under a Markov background and the word's score, and adds up windows by word, so its work is a few operations a letter and seed, and
+a task sends back one small matrix for each seed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paratope.operators import motif_table
-from paratope.operators.motifs import BASES, Motif, best_scorer, group_specificity, markov
+from paratope.operators.motifs import BASES, Motif, best_scores, group_specificity, markov
 from paratope.plans.shared import dropped, written
 
-ROW = 1 << 18  # letters of a packed row, about
+ROW = 1 << 15  # letters of a packed row, about; a round's arrays then fit a core's cache
 FEW = 1024  # matrices of a round that come to the driver one by one; more are added up before
 _CODE = np.full(256, 4, dtype=np.int64)
 for _i, _b in enumerate(BASES):
@@ -82,76 +82,146 @@ class Background:
         at = np.arange(n - width + 1)
         return upto[np.minimum(n, at + width + k)] - upto[at] - alone[at + width]
 
+    def odds(self, text: np.ndarray, width: int) -> np.ndarray:
+        """The inverse of what ``windows`` gives, as an odd, for sequences with a mark (4) behind each: a letter and the ``order`` before
+        it are one number in base 5, whose factors are looked up."""
+        k = self.order
+        if k > 6:
+            return 2.0 ** -self.windows(text.astype(np.int64), width)
+        own, after = _factors(tuple(t.tobytes() for t in self.tables))
+        whole = np.concatenate([np.full(k, 4, np.uint8), text, np.full(k, 4, np.uint8)]).astype(np.int64)
+        key = _sliding(whole, k + 1, lambda a, b, size: a * 5**size + b)
+        n = len(text) - width + 1
+        out = _sliding(own[key[: len(text)]], width, lambda a, b, size: a * b)
+        for j in range(k):
+            out = out * after[j][key[width + j : width + j + n]]
+        return out
+
+
+@lru_cache
+def _factors(tables: tuple[bytes, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """By a letter and those before it in base 5 (4: no base): the inverse of its probability, and for each number of letters before it
+    this over the inverse given those alone."""
+    logs, k = [np.frombuffer(t) for t in tables], len(tables) - 1
+    number = np.arange(5 ** (k + 1))
+    key, known, upto = np.zeros(len(number), dtype=np.int64), np.ones(len(number), dtype=bool), []
+    for j in range(k + 1):
+        digit = number // 5**j % 5
+        known = known & (digit < 4)
+        key += (digit & 3) * 4**j
+        upto.append(np.where(known, logs[j][key], upto[-1] if j else -2.0))
+    return 2.0 ** -upto[k], [2.0 ** (upto[j] - upto[k]) for j in range(k)]
 
-_PACKED = pa.schema([("part", pa.int32()), ("width", pa.int32()), ("words", pa.binary()), ("word", pa.binary()), ("odds", pa.binary()), ("first", pa.binary()), ("size", pa.binary())])
 
+_PACKED = pa.schema([("part", pa.int32()), ("text", pa.binary()), ("size", pa.binary())])
 
-def packed(seqs: DataFrame, widths: Sequence[int], background: Background) -> DataFrame:
-    """A written table of packed rows for each part and width: the different words (codes), and for each window its word's number and the
-    inverse of its background's odds; where each sequence's windows begin, and its length. Windows with other letters and
-    sequences without a window are left out. Long sequences stay whole, one a row."""
+
+def packed(seqs: DataFrame, background: Background) -> DataFrame:
+    """A written table of packed rows for each part: the letters' codes with a mark behind each sequence, and the sequences' lengths,
+    about ROW letters a row. Windows and their odds follow from these in each round, so a letter costs a byte before compression.
+    Long sequences stay whole, one a row."""
 
     def run(batches):
         for b in batches:
             parts = np.asarray(b.column(1).fill_null(-1))
             for part in np.unique(parts).tolist():
-                seqs = [_CODE[np.frombuffer(s.encode("ascii", "replace"), np.uint8)] for s in b.column(0).filter(pa.array(parts == part)).to_pylist()]
-                for width in widths:
-                    held, size = [], 0
-                    for codes in [*seqs, None]:
-                        if codes is not None and len(codes) >= width:
-                            held.append(codes)
-                            size += len(codes)
-                        if held and (codes is None or size >= ROW):
-                            row = _pack(held, width, background)
-                            if row:
-                                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((part, width, *row), _PACKED.types, strict=True)], schema=_PACKED)
-                            held, size = [], 0
+                held, size = [], 0
+                for s in [*b.column(0).filter(pa.array(parts == part)).to_pylist(), None]:
+                    if s is not None:
+                        held.append(_CODE[np.frombuffer(s.encode("ascii", "replace"), np.uint8)].astype(np.uint8))
+                        size += len(s)
+                    if held and (s is None or size >= ROW):
+                        text = np.concatenate([x for codes in held for x in (codes, _MARK)])
+                        row = part, text.tobytes(), np.array([len(x) for x in held], np.int64).tobytes()
+                        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _PACKED.types, strict=True)], schema=_PACKED)
+                        held, size = [], 0
 
     own = F.col("part").cast("int") if "part" in seqs.columns else F.lit(-1)
-    rows = seqs.select("seq", own.alias("part")).where("seq <> ''").mapInArrow(run, "part int, width int, words binary, word binary, odds binary, first binary, size binary")
-    return written(rows.repartition(max(1, int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "windows")
-
-
-def _pack(held: list[np.ndarray], width: int, background: Background):
-    keys, odds, first, sizes, total = [], [], [], [], 0
-    for codes in held:
-        view = np.lib.stride_tricks.sliding_window_view(codes, width)
-        plain = (view < 4).all(1)
-        if not plain.any():
-            continue
-        keys.append(view[plain].astype(np.uint8))
-        odds.append(2.0 ** -background.windows(codes, width)[plain])
-        first.append(total)
-        sizes.append(len(codes))
-        total += int(plain.sum())
-    if not keys:
+    rows = seqs.select("seq", own.alias("part")).where("seq <> ''").mapInArrow(run, "part int, text binary, size binary")
+    return written(rows.repartition(max(1, int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "letters", compression="zstd")
+
+
+_MARK = np.array([4], dtype=np.uint8)
+
+
+def _sliding(x: np.ndarray, width: int, join) -> np.ndarray:
+    """What ``join`` makes of each ``width`` neighbours, by doubling; it takes two runs and the length of the later one."""
+    n, out, at, size, left = len(x) - width + 1, None, 0, 1, width
+    while True:
+        if left & 1:
+            part = x[at : at + n]
+            out = part if out is None else join(out, part, size)
+            at += size
+        left >>= 1
+        if not left:
+            return out
+        x = join(x[:-size], x[size:], size)
+        size *= 2
+
+
+def _keys(text: np.ndarray, width: int) -> np.ndarray:
+    """The number, in base 4, of the letters of each window."""
+    return _sliding((text & 3).astype(np.int64), width, lambda a, b, size: (a << 2 * size) | b)
+
+
+@lru_cache
+def _letters(width: int) -> np.ndarray:
+    """All words of a width as codes, by their numbers."""
+    return ((np.arange(4**width)[:, None] >> 2 * np.arange(width)[::-1]) & 3).astype(np.uint8)
+
+
+def _windows(text: np.ndarray, sizes: np.ndarray, width: int, background: Background):
+    """The windows of bases of a packed row: their different words (codes; all of them if they are few), each window's word, the inverse
+    of its background's odds, and where the windows of each sequence that has some begin, with its length."""
+    n = len(text) - width + 1
+    if n < 1:
+        return None
+    bad = np.concatenate([[0], np.cumsum(text > 3, dtype=np.int32)])
+    plain = bad[width:] == bad[:-width]
+    start = np.cumsum(sizes + 1) - sizes - 1
+    many = np.diff(np.append(0, np.cumsum(plain))[np.minimum(n, np.append(start, len(text)))])
+    if not many.any():
         return None
-    every = np.concatenate(keys)
-    named = np.ascontiguousarray(every).view(np.dtype((np.void, width))).ravel()
-    different, word = np.unique(named, return_inverse=True)
-    return different.tobytes(), word.astype(np.int32).tobytes(), np.concatenate(odds).tobytes(), np.array(first, np.int64).tobytes(), np.array(sizes, np.int64).tobytes()
-
-
-def _expected(row: tuple, matrix: np.ndarray, gamma: float) -> tuple[np.ndarray, float, float, int]:
-    """Expected counts by place and base, expected occurrences, log2-likelihood over the background, and sequences of a packed row."""
-    width = len(matrix)
-    words = np.frombuffer(row[0], np.uint8).reshape(-1, width)
-    word, odds = np.frombuffer(row[1], np.int32), np.frombuffer(row[2], np.float64)
-    first, sizes = np.frombuffer(row[3], np.int64), np.frombuffer(row[4], np.int64)
-    at = np.arange(width)
-    forward, back = 2.0 ** matrix[at, words].sum(1), 2.0 ** matrix[::-1][at, 3 - words].sum(1)
-    each = (forward + back)[word] * odds
+    odds = background.odds(text, width)[plain]
+    if width <= 8:
+        words, word = _letters(width), _keys(text, width)[plain]
+    elif width <= 31:
+        key, word = np.unique(_keys(text, width)[plain], return_inverse=True)
+        words = ((key[:, None] >> 2 * np.arange(width)[::-1]) & 3).astype(np.uint8)
+    else:
+        rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, width)[plain])
+        different, word = np.unique(rows.view(np.dtype((np.void, width))).ravel(), return_inverse=True)
+        words = np.frombuffer(different.tobytes(), np.uint8).reshape(-1, width)
+    own = many > 0
+    return words, word, odds, (np.cumsum(many) - many)[own], sizes[own]
+
+
+def _odds_of(matrix: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.arange(len(matrix))
+    return 2.0 ** matrix[at, words].sum(1), 2.0 ** matrix[::-1][at, 3 - words].sum(1)
+
+
+def _expected(windows: tuple, both: np.ndarray, gamma: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weights by word, and expected occurrences, log2-likelihood over the background and sequences of a packed row; ``both`` are the
+    words' odds on either strand together."""
+    words, word, odds, first, sizes = windows
+    each = both[word] * odds
     rate = gamma / sizes
     sums = np.add.reduceat(each, first) * rate
     whole = 1 - gamma + sums
     weight = odds * np.repeat(rate / whole, np.diff(np.append(first, len(word))))
     by_word = np.bincount(word, weights=weight, minlength=len(words))
+    return by_word, np.array([(sums / whole).sum(), np.log2(whole).sum(), len(sizes)])
+
+
+def _counts(words: np.ndarray, by_word: np.ndarray, forward: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """Expected counts by place and base."""
+    width = words.shape[1]
     counts = np.zeros((width, 4))
     for j in range(width):
         counts[j] += np.bincount(words[:, j], weights=by_word * forward, minlength=4)
         counts[width - 1 - j] += np.bincount(3 - words[:, j], weights=by_word * back, minlength=4)
-    return counts, float((sums / whole).sum()), float(np.log2(whole).sum()), len(sizes)
+    return counts
 
 
 @dataclass
@@ -192,21 +262,30 @@ def em(seqs: DataFrame, seeds: dict[str, Motif], background: Background, gamma:
     bases = np.array([background.bases[b] for b in BASES])
     with np.errstate(divide="ignore"):
         states = [_Search(name, np.log2(m.fractions), gamma, beta[name] if isinstance(beta, dict) else beta, (without or {}).get(name)) for name, m in seeds.items()]
-    table = packed(seqs, sorted({len(s.matrix) for s in states}), background)
+    table = packed(seqs, background)
     tasks = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while open_ := [i for i, s in enumerate(states) if not s.done]:
         now = [(i, states[i].matrix, states[i].gamma, states[i].without) for i in open_]
 
         def expect(batches, now=now):
             sums: dict[int, list] = {}
+            tables = {i: (_letters(len(m)), *_odds_of(m, _letters(len(m)))) for i, m, *_ in now if len(m) <= 8}
             for b in batches:
                 for r in range(b.num_rows):
-                    part, width, *row = (b.column(c)[r].as_py() for c in range(7))
-                    for i, matrix, share, other in now:
-                        if len(matrix) == width and part != other:
-                            found = _expected(tuple(row), matrix, share)
-                            sums[i] = [x + y for x, y in zip(sums[i], found, strict=True)] if i in sums else list(found)
-            for i, (counts, *rest) in sums.items():
+                    part, text, sizes = b.column(0)[r].as_py(), np.frombuffer(b.column(1)[r].as_buffer(), np.uint8), np.frombuffer(b.column(2)[r].as_buffer(), np.int64)
+                    for width in sorted({len(m) for _, m, _, other in now if part != other}):
+                        windows = _windows(text, sizes, width, background)
+                        for i, matrix, share, other in now:
+                            if windows is None or len(matrix) != width or part == other:
+                                continue
+                            words, forward, back = tables[i] if i in tables else (windows[0], *_odds_of(matrix, windows[0]))
+                            by_word, rest = _expected(windows, forward + back, share)
+                            found = by_word if i in tables else _counts(words, by_word, forward, back)
+                            sums[i] = [sums[i][0] + found, sums[i][1] + rest] if i in sums else [found, rest]
+            for i, (counts, rest) in sums.items():
+                if i in tables:
+                    words, forward, back = tables[i]
+                    counts = _counts(words, counts, forward, back)
                 flat = np.concatenate([counts.ravel(), rest])
                 yield pa.RecordBatch.from_pydict({"seed": pa.array(np.full(len(flat), i, np.int32)), "at": pa.array(np.arange(len(flat), dtype=np.int32)), "x": pa.array(flat)})
 
@@ -279,8 +358,10 @@ def discover(probes: DataFrame, subset: DataFrame, width: int = 7, seeds: Sequen
             continue  # a matrix that says almost nothing: its words aren't counted
     tails = {r.motif: r for r in motif_table.evaluate_all(probes, subset, named).collect()}
     rows = []
-    for t, (m, share, gain, n) in found.items():
+    scored = written(probes.select("probe_id", best_scores([m for m, *_ in found.values()])("seq").alias("scores")), "scores")
+    for k, (t, (m, share, gain, n)) in enumerate(found.items()):
         r = tails.get(t)
-        special = group_specificity(probes.select("probe_id", best_scorer(m)("seq").alias("score")), subset).first().p
+        special = group_specificity(scored.select("probe_id", F.col("scores")[k].alias("score")), subset).first().p
         rows.append((t, m.consensus, float(share), float(gain), n, float(r.probe) if r else 1.0, float(special), float(r.share) if r else 0.0))
+    dropped(scored)
     return spark.createDataFrame(rows, "seed string, consensus string, share double, gain double, rounds int, p double, specificity double, found double")
