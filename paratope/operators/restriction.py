@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paratope.functions.sequences import IUPAC, iupac_regex, reverse_complement
 from paratope.operators.productivity import REGIONS
+from paratope.plans.shared import written
 
 
 def sites_table(spark, sites: list[tuple[str, str]]) -> DataFrame:
@@ -30,17 +31,25 @@ def hits(reads: DataFrame, sites: list[tuple[str, str]], *keep: str) -> DataFram
 
 def statistics(reads: DataFrame, sites: list[tuple[str, str]]) -> DataFrame:
     """Hits and cut molecules of each enzyme with their shares, and the rows ``Cut by any`` and ``Total``; shares are of 100."""
-    found = hits(reads, sites)
-    total = reads.agg(F.count("*").alias("molecules"))
-    per = found.groupBy("enzyme", "iupac").agg(F.sum("n_hits").alias("hits"), F.count("*").alias("cut"))
+    named = list(dict(sites).items())
+    # One search of the texts: a row for each read_id leaves it, and all figures are sums of these rows.
+    counts = reads.select("read_id", F.inline(F.array(F.struct(*(hit_count(F.col("seq"), iupac_regex(s)).alias(f"h{i}") for i, (_, s) in enumerate(named))))))
+    own = [x for i in range(len(named)) for x in (F.sum(F.when(F.col(f"h{i}") > 0, F.col(f"h{i}"))).alias(f"h{i}"), F.count_if(F.col(f"h{i}") > 0).alias(f"c{i}"))]
+    ids = counts.groupBy("read_id").agg(F.count("*").alias("n"), *own)
+    some = F.greatest(F.lit(0), *(F.col(f"c{i}") for i in range(len(named)))) > 0
+    sums = [x for i in range(len(named)) for x in (F.sum(f"h{i}").alias(f"h{i}"), F.sum(f"c{i}").alias(f"c{i}"))]
+    one = written(ids.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("molecules"), F.count_if(some & F.col("read_id").isNotNull()).alias("cut"), *sums), "hits")
+    total = one.select("molecules")
+    each = [F.struct(F.lit(e).alias("enzyme"), F.lit(s).alias("iupac"), F.col(f"h{i}").alias("hits"), F.col(f"c{i}").alias("cut")) for i, (e, s) in enumerate(named)]
+    per = one.select(F.inline(F.array(*each))).where("cut > 0")
     every = per.agg(F.sum("hits").alias("all_hits"))
     rows = per.crossJoin(F.broadcast(every)).crossJoin(F.broadcast(total))
     share = lambda a, b: F.round(F.try_divide(100.0 * F.col(a), F.col(b)), 6)
-    named = rows.select("enzyme", "iupac", "hits", share("hits", "all_hits").alias("pct_hits"), F.col("cut").alias("molecules"), share("cut", "molecules").alias("pct_molecules"))
-    cut = found.agg(F.count_distinct("read_id").alias("cut")).crossJoin(total)
+    listed = rows.select("enzyme", "iupac", "hits", share("hits", "all_hits").alias("pct_hits"), F.col("cut").alias("molecules"), share("cut", "molecules").alias("pct_molecules"))
+    cut = one.select("cut", "molecules")
     any_ = cut.select(F.lit("Cut by any").alias("enzyme"), F.lit("").alias("iupac"), F.lit(None).cast("long").alias("hits"), F.lit(None).cast("double").alias("pct_hits"), F.col("cut").alias("molecules"), share("cut", "molecules").alias("pct_molecules"))
     all_ = total.crossJoin(every).select(F.lit("Total").alias("enzyme"), F.lit("").alias("iupac"), F.coalesce("all_hits", F.lit(0)).alias("hits"), F.lit(100.0).alias("pct_hits"), "molecules", F.lit(100.0).alias("pct_molecules"))
-    return named.unionByName(any_).unionByName(all_)
+    return listed.unionByName(any_).unionByName(all_)
 
 
 def jaccard(found: DataFrame, enzymes: list[str]) -> DataFrame:
