@@ -24,7 +24,8 @@ from paratope.operators.motifs import BASES, FLIP, Motif, top_kmers
 
 MOST_WORDS = 1 << 20  # words looked up in one pass; more motifs take more passes
 MOST_OF_ONE = 1 << 16  # words that a motif may stand for
-RUN = 1 << 18  # letters looked at together
+RUN = 1 << 16  # letters looked at together
+HELD = 1 << 20  # rows of a task that are held before they are added up
 _CODE = np.full(256, 4, dtype=np.int64)
 for _i, _b in enumerate(BASES):
     _CODE[[ord(_b), ord(_b.lower())]] = _i
@@ -87,45 +88,109 @@ class Words:
         pad = int(self.widths.max()) if len(self.widths) else 1
         raw = [np.frombuffer(s.encode("ascii", "replace"), np.uint8) for s in seqs]
         sizes = np.array([len(x) + pad for x in raw], dtype=np.int64)
-        first = np.cumsum(sizes) - sizes
         whole = int(sizes.sum())
         text, inside, owner = np.full(whole, 4, dtype=np.int64), np.zeros(whole, dtype=bool), np.repeat(np.arange(len(raw)), sizes)
-        for x, at in zip(raw, first.tolist(), strict=True):
+        for x, at in zip(raw, (np.cumsum(sizes) - sizes).tolist(), strict=True):
             text[at : at + len(x)] = _CODE[x]
             inside[at : at + len(x)] = True
-        found = []
-        for at, width, keys, motif in self.shapes:
+        runs: dict[int, tuple[np.ndarray, np.ndarray]] = {1: (text & 3, text < 4)}
+        found, out = [], []
+        for (at, width, *_), index in zip(self.shapes, self._indexes(), strict=True):
             n = whole - width + 1
             if n < 1:
                 continue
             fits = inside[:n] & inside[width - 1 :]  # pads are as wide as any motif, so both ends lie in one sequence
             key = np.zeros(n, dtype=np.int64)
-            for i in at:
-                fits &= text[i : i + n] < 4
-                key = key * 4 + (text[i : i + n] & 3)
+            for first, size in _stretches(at):
+                letters, bases = _run(runs, size)
+                fits &= bases[first : first + n]
+                key = (key << 2 * size) | letters[first : first + n]
             place = np.flatnonzero(fits)
-            lo, hi = np.searchsorted(keys, key[place], side="left"), np.searchsorted(keys, key[place], side="right")
-            many = hi - lo
+            lo, many = index.rows(key[place])
             total = int(many.sum())
             row = np.repeat(np.arange(len(place)), many)
             which = np.arange(total) - np.repeat(np.cumsum(many) - many, many) + lo[row]
-            found.append(motif[which] * (whole + pad) + place[row])
-        one = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
-        motif, place = np.divmod(one, whole + pad)
-        width = self.widths[motif]
-        free = np.ones(len(one), dtype=bool)
-        free[1:] = one[1:] - one[:-1] >= width[:-1]
-        taken = free.copy()
-        front = np.flatnonzero(free)
-        while len(front):  # from each site on to the first one past its end, within stretches of overlapping sites
-            front = np.searchsorted(one, one[front] + width[front])
-            front = front[front < len(one)]
-            front = front[~free[front]]
-            taken[front] = True
-        group = motif * len(raw) + owner[place]
-        cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, dtype=np.int64)
-        m, s = np.divmod(group[cut], max(1, len(raw)))
-        return m, s, np.add.reduceat(taken.astype(np.int64), cut) if len(cut) else cut, np.diff(np.append(cut, len(group)))
+            if index.alone:  # these motifs have one width and occur in no other shape: hits are sorted by a short number
+                motif, place = index.local[which], place[row]
+                order = np.argsort(motif, kind="stable")
+                motif, place = index.motifs[motif[order]], place[order]
+                out.append(_counted(motif, place, width, owner, whole, pad, len(raw)))
+            else:
+                found.append(index.of[which] * (whole + pad) + place[row])
+        if found:
+            motif, place = np.divmod(np.unique(np.concatenate(found)), whole + pad)
+            out.append(_counted(motif, place, self.widths[motif], owner, whole, pad, len(raw)))
+        if not out:
+            return (np.zeros(0, dtype=np.int64),) * 4
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+    def _indexes(self) -> list[_Index]:
+        """How keys are looked up, made once in a task."""
+        if (made := self.__dict__.get("_made")) is None:
+            shapes = np.zeros(len(self.widths), dtype=np.int64)
+            for *_, of in self.shapes:
+                shapes[np.unique(of)] += 1
+            made = self.__dict__["_made"] = [_Index(len(at), keys, of, bool((shapes[of] == 1).all())) for at, _, keys, of in self.shapes]
+        return made
+
+
+class _Index:
+    """The motifs of each key of a shape: by a table of all keys if these are few, else by search. ``alone``: no motif is in another shape
+    and there are few, whose short numbers are ``local``."""
+
+    def __init__(self, places: int, keys: np.ndarray, of: np.ndarray, alone: bool):
+        self.keys, self.of = keys, of
+        self.first = np.searchsorted(keys, np.arange(4**places + 1)) if places <= 10 else None
+        self.motifs, local = np.unique(of, return_inverse=True)
+        self.alone = alone and len(self.motifs) <= 1 << 16
+        self.local = local.astype(np.uint16) if self.alone else None
+
+    def rows(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key's motifs begin, and how many there are."""
+        if self.first is not None:
+            lo, hi = self.first[key], self.first[key + 1]
+        else:
+            lo, hi = np.searchsorted(self.keys, key, side="left"), np.searchsorted(self.keys, key, side="right")
+        return lo, hi - lo
+
+
+def _stretches(at: Sequence[int]) -> list[tuple[int, int]]:
+    """(first, size) of the stretches of neighbouring places."""
+    out: list[tuple[int, int]] = []
+    for i in at:
+        if out and sum(out[-1]) == i:
+            out[-1] = out[-1][0], out[-1][1] + 1
+        else:
+            out.append((i, 1))
+    return out
+
+
+def _run(runs: dict[int, tuple[np.ndarray, np.ndarray]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the ``size`` letters from each place on, and whether all are bases; shapes share them."""
+    for k in range(2, size + 1):
+        if k not in runs:
+            letters, bases = runs[k - 1]
+            runs[k] = (letters[:-1] << 2) | runs[1][0][k - 1 :], bases[:-1] & runs[1][1][k - 1 :]
+    return runs[size]
+
+
+def _counted(motif: np.ndarray, place: np.ndarray, width, owner: np.ndarray, whole: int, pad: int, seqs: int):
+    """(motif, sequence, sites, starts) from hits by motif and place; ``width`` is one number or one for each hit."""
+    one = motif * (whole + pad) + place
+    width = np.broadcast_to(width, len(one))
+    free = np.ones(len(one), dtype=bool)
+    free[1:] = one[1:] - one[:-1] >= width[:-1]
+    taken = free.copy()
+    front = np.flatnonzero(free[:-1] & ~free[1:])  # only stretches of overlapping sites are followed
+    while len(front):  # from each site on to the first one past its end, within stretches of overlapping sites
+        front = np.searchsorted(one, one[front] + width[front])
+        front = front[front < len(one)]
+        front = front[~free[front]]
+        taken[front] = True
+    group = motif * seqs + owner[place]
+    cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, dtype=np.int64)
+    m, s = np.divmod(group[cut], max(1, seqs))
+    return m, s, np.add.reduceat(taken.astype(np.int64), cut) if len(cut) else cut, np.diff(np.append(cut, len(group)))
 
 
 _OUT = pa.schema([("motif", pa.int64()), ("own", pa.bool_()), ("sites", pa.int64()), ("starts", pa.int64()), ("probes", pa.int64()), ("bases", pa.int64())])
@@ -159,7 +224,7 @@ def site_histograms(probes: DataFrame, subset: DataFrame, motifs: dict[str, Sequ
                     m, s, sites, starts = words.sites(seqs[lo:hi])
                     kept.append(pa.Table.from_arrays([pa.array(m), pa.array(own[lo:hi][s]), pa.array(sites), pa.array(starts), pa.array(np.ones(len(m), np.int64)), pa.array(lengths[lo:hi][s])], schema=_OUT))
                     lo = hi
-                    if len(kept) > 8:
+                    if sum(map(len, kept[1:])) > HELD:
                         kept[:] = [summed()]
             if kept:
                 yield from summed().to_batches()
