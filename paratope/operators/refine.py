@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paratope.functions.align import aligned_pairs, primer_matcher
+from paratope.functions.align import ALIGNED, aligned_pairs, no_gap_pays, path_behind, primer_matcher
 from paratope.functions.sequences import protein_fragment, reverse_complement, translate_dna
 from paratope.operators.productivity import REGIONS, mark_filtered
+from paratope.plans.shared import written
 
 # FR4 consensus of each chain, protein and DNA.
 FR4_PROTEIN = {"VH": "WGQGTXVTVSS", "VK": "FGXGTKLEIK", "VL": "FGXGTKLTVL"}
@@ -70,6 +71,21 @@ def reading(rows: DataFrame, chain: str = "hv", qstart: int = -1, trim5: int = 0
     return out.withColumn("fr1_start", F.col("offset") + 1)
 
 
+def _in_protein() -> Column:
+    return F.coalesce(F.col("__p.start").isNotNull() & ~F.col("__p.gapped") & (F.col("__p.end") > F.col("__p.start")), F.lit(False))
+
+
+def _bounded(rows: DataFrame) -> DataFrame:
+    """Bounds of CDR3 and FR4 from the consensus's places ``__p`` in the protein and ``__d`` in the DNA behind FR3."""
+    rows = rows if "jqend" in rows.columns else rows.withColumn("jqend", F.lit(None).cast("int"))
+    ok_p = _in_protein()
+    ok_d = F.coalesce(~ok_p & F.col("__d.start").isNotNull() & (F.col("__d.end") > F.col("__d.start")), F.lit(False))
+    start = F.when(ok_p, (F.col("__p.start") - 1) * 3 + F.col("fr3_end") + 1).when(ok_d, F.col("__d.start") + F.col("fr3_end"))
+    end = F.when(ok_p, F.col("fr3_end") + F.col("__p.end") * 3).when(ok_d, F.col("fr3_end") + F.col("__d.end"))
+    out = rows.withColumns({"fr4_start": start.cast("int"), "fr4_end": end.cast("int"), "cdr3_start": F.col("fr3_end") + 1})
+    return flagged(out.withColumn("cdr3_end", F.coalesce(F.col("fr4_start") - 1, F.col("jqend"))), ("CDR3dna", ok_d)).drop("__p", "__d")
+
+
 def locate_fr4(rows: DataFrame, cut: bool = True, ends: list[str] | None = None) -> DataFrame:
     """Sets cdr3_start, cdr3_end, fr4_start and fr4_end, and ``broken`` where FR4's end can't be told.
 
@@ -79,15 +95,8 @@ def locate_fr4(rows: DataFrame, cut: bool = True, ends: list[str] | None = None)
     """
     tail = F.expr("substring(protein, cast(floor((fr3_end - offset) / 3) as int) + 1)")
     dna = F.expr("substring(read, fr3_end + 1)")
-    rows = rows if "jqend" in rows.columns else rows.withColumn("jqend", F.lit(None).cast("int"))
-    ok_p = F.coalesce(F.col("__p.start").isNotNull() & ~F.col("__p.gapped") & (F.col("__p.end") > F.col("__p.start")), F.lit(False))
     out = settled(rows.withColumn("__p", aligned_pairs(False)(tail, by_chain(FR4_PROTEIN, F.col("chain")))))
-    out = settled(out.withColumn("__d", aligned_pairs(True)(F.when(~ok_p, dna), by_chain(FR4_DNA, F.col("chain")))))
-    ok_d = F.coalesce(~ok_p & F.col("__d.start").isNotNull() & (F.col("__d.end") > F.col("__d.start")), F.lit(False))
-    start = F.when(ok_p, (F.col("__p.start") - 1) * 3 + F.col("fr3_end") + 1).when(ok_d, F.col("__d.start") + F.col("fr3_end"))
-    end = F.when(ok_p, F.col("fr3_end") + F.col("__p.end") * 3).when(ok_d, F.col("fr3_end") + F.col("__d.end"))
-    out = out.withColumns({"fr4_start": start.cast("int"), "fr4_end": end.cast("int"), "cdr3_start": F.col("fr3_end") + 1})
-    out = flagged(out.withColumn("cdr3_end", F.coalesce(F.col("fr4_start") - 1, F.col("jqend"))), ("CDR3dna", ok_d)).drop("__p", "__d")
+    out = _bounded(settled(out.withColumn("__d", aligned_pairs(True)(F.when(~_in_protein(), dna), by_chain(FR4_DNA, F.col("chain"))))))
     if cut:
         out = out.withColumn("broken", F.col("fr4_end").isNull())
         return settled(flagged(out, ("FR4PredictedError", F.col("broken"))))
@@ -165,12 +174,67 @@ def refine(rows: DataFrame, chain: str = "hv", qstart: int = -1, trim5: int = 0,
     """All steps. ``trim3`` is a number of bases, or sequences that end FR4 if reads aren't cut behind it (``cut``). A failed frame
     check sets Out-of-frame. Gap and mismatch columns of regions are used where the rows have them."""
     ends = trim3 if isinstance(trim3, list) else None
-    out = counters(regions(locate_fr4(reading(rows, chain, qstart, trim5, 0 if ends else trim3), cut, ends)))
+    return _checked(regions(locate_fr4(reading(rows, chain, qstart, trim5, 0 if ends else trim3), cut, ends)), qstart)
+
+
+def _checked(rows: DataFrame, qstart: int = -1) -> DataFrame:
+    out = counters(rows)
     out = settled(out.withColumn("__f", frame_failure(out.columns, qstart)))
     out = out.withColumn("flags", F.when(F.col("__f").isNull(), F.col("flags")).otherwise(F.concat("flags", F.array("__f", F.lit("updatedInFrame")))))
     return out.withColumn("v_j_frame", F.when(F.col("__f").isNull(), F.col("v_j_frame")).otherwise("Out-of-frame")).drop("__f", "broken")
 
 
+FRAMES = 3
+
+
+def frames(reads: DataFrame, consensus: str, lead: int) -> DataFrame:
+    """(read_id, reversed, seq, p0, p1, p2, h0, h1, h2): for either strand of a read its protein in each frame, and where the consensus
+    lies in it behind ``lead`` residues."""
+    reads = reads.repartition(int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few files may hold all reads
+    both = reads.select("read_id", "seq", F.explode(F.array(F.lit(False), F.lit(True))).alias("reversed"))
+    both = settled(both.withColumn("__s", F.when(F.col("reversed"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))))
+    both = settled(both.withColumns({f"p{i}": translate_dna(F.expr(f"substring(__s, {i + 1})")) for i in range(FRAMES)}).drop("__s"))
+    return both.withColumns({f"h{i}": path_behind(consensus, lead)(F.col(f"p{i}")) for i in range(FRAMES)})
+
+
+def refine_reads(rows: DataFrame, reads: DataFrame, chain: str = "hv") -> DataFrame:
+    """``refine`` of annotation rows that name their read, joined to ``reads`` (read_id, seq), without the columns seq and read.
+
+    Each strand of a read is translated once a frame, and FR4's consensus is looked for there once, in place of once a row. What was
+    found holds for a row if it lies behind the row's FR3 as a whole; then the protein is all that the row needs. Other rows, those
+    of short reads above all, are refined with their reads.
+    """
+    known = chain_of(chain) if "chain" in rows.columns else F.lit(chain[::-1].upper())
+    offset = F.greatest(F.col("vqstart") - F.col("vstart"), F.lit(0)).cast("int")
+    behind = F.floor((F.col("fr3_end") - F.col("offset")) / 3)  # residues before the row's tail, in its own protein
+    rows = written(rows.withColumn("reversed", F.coalesce(F.col("strand") == "reversed", F.lit(False))).withColumn("offset", offset), "annotation")
+    places = rows.agg(F.min(behind + F.floor(F.col("offset") / FRAMES)).alias("lead")).first()
+    main = "VK" if chain == "klv" else chain[::-1].upper()
+    if not no_gap_pays(FR4_PROTEIN[main]):
+        raise ValueError("the consensus could be aligned with gaps")
+    made = written(frames(reads.select("read_id", "seq"), FR4_PROTEIN[main], max(0, places.lead or 0)), "frames")
+
+    def of_frame(name: str) -> Column:
+        part = F.col("offset") % FRAMES
+        return F.when(part == 0, F.col(f"{name}0")).when(part == 1, F.col(f"{name}1")).when(part == 2, F.col(f"{name}2"))
+
+    # The row's protein begins floor(offset / 3) residues into the frame's, its tail ``behind`` residues further on.
+    skipped = F.floor(F.col("offset") / FRAMES)
+    cut = (skipped + behind).cast("int")
+    found = F.struct((F.greatest(F.col("__h.start"), cut + 1) - cut).alias("start"), (F.col("__h.end") - cut).alias("end"), F.lit(False).alias("gapped"))
+    met = rows.join(made.withColumn("reversed", F.col("reversed")), ["read_id", "reversed"]).withColumn("__h", of_frame("h"))
+    sure = F.coalesce((known == main) & (behind >= 0) & (F.col("__h.first") > cut) & (found["end"] > found["start"]), F.lit(False))
+    spare = ["reversed", "__h", *(f"{x}{i}" for x in "ph" for i in range(FRAMES))]
+
+    fast = met.where(sure).withColumn("protein", F.substring(of_frame("p"), (skipped + 1).cast("int"), F.lit(1 << 30)))
+    fast = fast.withColumn("__p", found.cast(ALIGNED)).withColumn("chain", known).drop(*spare, "seq")
+    fast = flagged(settled(fast.withColumn("flags", F.array().cast("array<string>"))), ("fr1NotAtBegin", ~F.col("vqstart").eqNullSafe(F.col("fr1_start"))))
+    fast = _bounded(fast.withColumn("fr1_start", F.col("offset") + 1).withColumn("__d", F.lit(None).cast(ALIGNED)))
+    fast = _checked(regions(settled(fast.withColumn("broken", F.lit(False)))))
+    slow = refine(met.where(~sure).drop(*spare, "offset"), chain).drop("seq", "read")
+    return fast.unionByName(slow)
+
+
 def mark_lengths(rows: DataFrame) -> DataFrame:
     """Adds ``filtered`` and, for reads in frame whose framework lengths aren't those of most reads, the flag filterFRLength."""
     return flagged(mark_filtered(rows), ("filterFRLength", (F.col("v_j_frame") == "In-frame") & (F.col("filtered") == "Yes")))

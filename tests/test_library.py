@@ -168,6 +168,25 @@ def test_refinement(spark):
     assert {r.flag for r in refine.flag_examples(refine.refine(frame)).collect()} == set(counts)
 
 
+def test_refinement_of_joined_reads(spark, monkeypatch):
+    """Reads looked at once a frame give what rows with their reads give, and few rows are aligned by themselves."""
+    end = END.replace("GGGACC", "GGCACC")
+    texts = [READ["seq"], S_reverse(READ["seq"]), "AC" + READ["seq"] + FR + end, FR * 9, FR * 7, FR * 5, "ACGT", "", None, FR[:14] + READ["seq"][:225] + END + FR * 3]
+    reads = spark.createDataFrame(list(enumerate(texts)), "read_id long, seq string")
+    rows = [{k: v for k, v in READ.items() if k != "seq"} | {"read_id": i, "queryid": f"{i}-{q}-{s}-{c}", "vqstart": q, "strand": s, "chain": c, "fr3_end": e} for i in range(len(texts) + 1) for q in (1, 2, 3, 5, 12, None) for s, c in (("forward", "VH"), ("reversed", "VH"), ("forward", "VK")) for e in (219, 222, 1, None)]
+    schema = spark.createDataFrame([READ]).drop("seq").schema.add("read_id", "long")
+    frame = spark.createDataFrame(rows, schema)
+    whole = refine.refine(frame.join(reads, "read_id"))
+    alone = []
+    old = refine.refine
+    monkeypatch.setattr(refine, "refine", lambda r, *a: (alone.append(r), old(r, *a))[1])
+    got = refine.refine_reads(frame, reads)
+    names = [c for c in whole.columns if c not in ("seq", "read")]
+    assert set(got.columns) == set(names)
+    assert sorted(map(repr, got.select(*sorted(names)).collect())) == sorted(map(repr, whole.select(*sorted(names)).collect()))
+    assert 0 < alone[0].where("chain = 'VH'").count() < frame.where("chain = 'VH'").count()
+
+
 def S_reverse(seq):
     return seq.translate(str.maketrans("ACGT", "TGCA"))[::-1]
 
