@@ -19,7 +19,7 @@ from paratope.llm.common import BASE, Scratch, bloom_bits, bloom_of, join_hot, m
 
 CROWD = 20_000  # a seed of more suffixes (about 4 MB) is not grouped in one task
 SUFFIX = "seed long, right binary, left binary, doc_id long, text_hash long, pos int"
-MATCH = "doc_id long, text_hash long, start int, end int, other_doc_id long, later boolean"
+MATCH = "doc_id long, text_hash long, start int, end int, other_doc_id long, later boolean, copy_start int, copy_end int"
 NONE = np.iinfo(np.int64).min  # stands for a null id
 
 
@@ -121,7 +121,10 @@ def _crowded_matches(passages: DataFrame, size: int) -> DataFrame:
     both = first.join(twice, "k")
     other = F.when(same & F.col("s").isNotNull(), F.col("s.doc_id")).otherwise(F.col("f.doc_id"))
     met = join_hot(passages, both.select("k", "f", "s", "m"), "k", first.select("k", "n"), total, "inner")
-    return met.select("doc_id", "text_hash", "start", (F.col("start") + size).alias("end"), other.alias("other_doc_id"), (~same | (F.col("m") > 1)).alias("later"))
+    apart = ~(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_hash") == F.col("f.text_hash"))) | (F.col("start") >= F.col("f.start") + size)
+    end = F.col("start") + size
+    copy = F.when(apart, F.col("start")).alias("copy_start"), F.when(apart, end).alias("copy_end")
+    return met.select("doc_id", "text_hash", "start", end.alias("end"), other.alias("other_doc_id"), (~same | (F.col("m") > 1)).alias("later"), *copy)
 
 
 def _among(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -154,6 +157,7 @@ def _matches(t, seed: int, least: int) -> pa.RecordBatch | None:
     after, n_after = _prefixes(np.zeros(n, np.uint64), right)
     lo, hi, other = np.full(n, -1), np.full(n, -1), np.full(n, np.iinfo(np.int64).max)
     later = np.zeros(n, dtype=bool)
+    copy_lo, copy_hi = np.full(n, -1), np.full(n, -1)  # the same of what has an earlier copy that it doesn't overlap
     for l in range(reach + 1):  # noqa: E741
         at = np.flatnonzero((n_before >= l) & (n_after >= reach - l))
         k = mix64(before[l][at] * np.uint64(BASE) + after[reach - l][at])
@@ -171,22 +175,20 @@ def _matches(t, seed: int, least: int) -> pa.RecordBatch | None:
         hi[x] = np.where(hi[x] < 0, reach - l, hi[x])
         other[x] = np.minimum(other[x], doc[y])
         later[x] |= after_first
+        z = at[lead[many]]
+        c = x[(doc[x] != doc[z]) | (text[x] != text[z]) | (pos[x] - pos[z] >= least)]
+        copy_lo[c] = l
+        copy_hi[c] = np.where(copy_hi[c] < 0, reach - l, copy_hi[c])
     hit = np.flatnonzero(lo >= 0)
     if not len(hit):
         return None
-    return pa.RecordBatch.from_arrays([pa.array(doc[hit], mask=doc[hit] == NONE), pa.array(text[hit]), pa.array((pos[hit] - lo[hit]).astype(np.int32)), pa.array((pos[hit] + seed + hi[hit]).astype(np.int32)), pa.array(other[hit], mask=other[hit] == NONE), pa.array(later[hit])], names=["doc_id", "text_hash", "start", "end", "other_doc_id", "later"])
+    none = copy_lo[hit] < 0
+    copy = pa.array((pos[hit] - copy_lo[hit]).astype(np.int32), mask=none), pa.array((pos[hit] + seed + copy_hi[hit]).astype(np.int32), mask=none)
+    return pa.RecordBatch.from_arrays([pa.array(doc[hit], mask=doc[hit] == NONE), pa.array(text[hit]), pa.array((pos[hit] - lo[hit]).astype(np.int32)), pa.array((pos[hit] + seed + hi[hit]).astype(np.int32)), pa.array(other[hit], mask=other[hit] == NONE), pa.array(later[hit]), *copy], names=["doc_id", "text_hash", "start", "end", "other_doc_id", "later", "copy_start", "copy_end"])
 
 
-def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> DataFrame:
-    """Word spans of at least ``min_words`` words that also occur elsewhere, in another document or further on in the same one.
-
-    Takes (doc_id, text) and returns (doc_id, start, end, n_words, other_doc_id, is_first): overlapping matches of a document are
-    merged; start and end count words (runs of characters other than space and \\t..\\r, A-Z in lower case), end exclusive;
-    other_doc_id is the smallest document that holds a copy of any ``min_words`` words of it; is_first says that no copy of any
-    comes before it in (doc_id, position). Every run of min_words words or more that recurs is found, in its full extent.
-    Null, empty and shorter texts have no span. A null id is an id that ranks first. Rows that share an id but not the text have
-    spans of their own; rows that repeat both have theirs once, and each is another place where the passage occurs. Other columns are ignored; an empty table gives no rows. Words are known by hashes.
-    """
+def _found(docs: DataFrame, min_words: int, seed: int) -> DataFrame:
+    """MATCH rows of all repeats."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffixes")
     window = min_words - seed + 1
@@ -214,9 +216,38 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> D
     matches = rows.mapInArrow(compare, MATCH)
     if len(crowded):
         matches = matches.unionByName(_crowded_matches(scratch.table(_passages(docs, seed, window, known)), min_words))
+    return matches
+
+
+def repeated_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> DataFrame:
+    """Word spans of at least ``min_words`` words that also occur elsewhere, in another document or further on in the same one.
+
+    Takes (doc_id, text) and returns (doc_id, start, end, n_words, other_doc_id, is_first): overlapping matches of a document are
+    merged; start and end count words (runs of characters other than space and \\t..\\r, A-Z in lower case), end exclusive;
+    other_doc_id is the smallest document that holds a copy of any ``min_words`` words of it; is_first says that no copy of any
+    comes before it in (doc_id, position). Every run of min_words words or more that recurs is found, in its full extent.
+    Null, empty and shorter texts have no span. A null id is an id that ranks first. Rows that share an id but not the text have
+    spans of their own; rows that repeat both have theirs once, and each is another place where the passage occurs. Other columns are ignored; an empty table gives no rows. Words are known by hashes.
+    """
+    matches = _found(docs, min_words, seed)
     span = matches.groupBy("doc_id", "text_hash", "start", "end").agg(F.min("other_doc_id").alias("other_doc_id"), F.max("later").alias("later"))
     by = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end")
     islands = span.withColumn("new", (F.col("start") > F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))).cast("int"))
     islands = islands.withColumn("island", F.sum(F.coalesce("new", F.lit(0))).over(by.rowsBetween(Window.unboundedPreceding, 0)))
     merged = islands.groupBy("doc_id", "text_hash", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("other_doc_id").alias("other_doc_id"), (~F.max("later")).alias("is_first"))
     return merged.select("doc_id", "start", "end", (F.col("end") - F.col("start")).alias("n_words"), "other_doc_id", "is_first")
+
+
+def later_passages(docs: DataFrame, min_words: int = 50, seed: int = 30) -> DataFrame:
+    """(doc_id, text_hash, start, end): the word spans, merged, of passages of at least ``min_words`` words that occur before, in a document of
+    lesser id or further up in the same one.
+
+    A run of min_words words is such a passage unless it is the first of its kind in ascending (doc_id, text_hash, start), overlaps the first, or
+    is the same place in a row that repeats id and text; so each word of it has a copy elsewhere that is no part of it. Otherwise as
+    ``repeated_passages``.
+    """
+    span = _found(docs, min_words, seed).where("copy_start IS NOT NULL").select("doc_id", "text_hash", F.col("copy_start").alias("start"), F.col("copy_end").alias("end")).distinct()
+    by = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end")
+    islands = span.withColumn("new", (F.col("start") > F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))).cast("int"))
+    islands = islands.withColumn("island", F.sum(F.coalesce("new", F.lit(0))).over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    return islands.groupBy("doc_id", "text_hash", "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
