@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType
 
 from paratope.functions.sequences import IUPAC
 from paratope.functions.stats import binomial_tails, chi2_tail, hypergeometric_tails
-from paratope.operators.motifs import BASES, FLIP, Motif, top_kmers
+from paratope.operators.motifs import BASES, FLIP, Motif, top_kmers, top_kmers_of
 
 MOST_WORDS = 1 << 20  # words looked up in one pass; more motifs take more passes
 MOST_OF_ONE = 1 << 16  # words that a motif may stand for
@@ -376,7 +376,7 @@ def all_words(k: int) -> dict[str, list[str]]:
 
 def frequent_words(seqs: DataFrame, widths: Iterable[int], n: int) -> dict[str, list[str]]:
     """The n most frequent words of each width (``seqs`` has a column seq), a few rows on the driver."""
-    return {r.kmer: [r.kmer] for k in widths for r in top_kmers(seqs, k, n).where("kmer RLIKE '^[ACGT]+$'").collect()}
+    return {r.kmer: [r.kmer] for top in top_kmers_of(seqs, list(widths), n).values() for r in top.where("kmer RLIKE '^[ACGT]+$'").collect()}
 
 
 def texts(listed: Iterable[str]) -> dict[str, list[str]]:
