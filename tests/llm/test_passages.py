@@ -66,3 +66,13 @@ def test_the_pipeline_removes_passages_within_lines(spark):
     assert got[0].text == rows[0][1]
     for i in range(1, 4):
         assert got[i].text.split() == rows[i][1].split()[:30] + rows[i][1].split()[-20:] and got[i].n_chars == len(got[i].text)
+
+
+def test_cuts_need_one_python_worker_a_task(spark):
+    """The filter of texts that may have cuts and the cutting itself used to run in one task, with a worker each."""
+    docs = spark.createDataFrame([(i, f"a b c d e f\nown {i}") for i in range(4)], "doc_id long, text string")
+    left = units.without_units(docs, units.repeated_units(docs))
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    branches = plan.split("ArrowEvalPython")
+    assert len(branches) == 3  # cutting in one branch of the union, the filter in the other
+    assert sorted(r.text for r in left.collect()) == ["a b c d e f\nown 0", "own 1", "own 2", "own 3"]
