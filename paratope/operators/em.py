@@ -323,13 +323,12 @@ def words_of_top_probes(probes: DataFrame, scores: DataFrame, n: int, width: int
     one of a word and its reverse complement."""
     top = scores.orderBy(F.desc("score"), "probe_id").limit(n).select("probe_id")
     counts = motif_table.top_kmers(probes.join(F.broadcast(top), "probe_id", "left_semi"), width).where("cnt > 1 AND kmer RLIKE '^[ACGT]+$'")
-    return [r.kmer for r in counts.orderBy(F.desc("cnt"), "kmer").limit(1000).collect()]
+    return [r.kmer for r in counts.orderBy(F.desc("cnt"), "kmer").collect()]
 
 
-def enriched_words(probes: DataFrame, subset: DataFrame, width: int, tried: int = 1000, kept: int = 20) -> list[str]:
-    """Of the ``tried`` words most frequent in the subset the ``kept`` of least hypergeometric tail, all tried in one pass."""
-    own = probes.join(subset.select("probe_id").distinct(), "probe_id", "left_semi")
-    rows = motif_table.evaluate_all(probes, subset, motif_table.frequent_words(own, [width], tried))
+def enriched_words(probes: DataFrame, subset: DataFrame, width: int, kept: int = 20) -> list[str]:
+    """Of all words that the subset's probes hold the ``kept`` of least hypergeometric tail, all tried in one pass."""
+    rows = motif_table.word_probes(probes, subset, width)
     return [r.motif for r in rows.orderBy("probe", "motif").limit(kept).collect()]
 
 

@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType
 
 from paratope.functions.sequences import IUPAC
 from paratope.functions.stats import binomial_tails, chi2_tail, hypergeometric_tails
-from paratope.operators.motifs import BASES, FLIP, Motif, top_kmers, top_kmers_of
+from paratope.operators.motifs import BASES, FLIP, MOST_COUNTED, Motif, top_kmers, top_kmers_of
 
 MOST_WORDS = 1 << 20  # words looked up in one pass; more motifs take more passes
 MOST_OF_ONE = 1 << 16  # words that a motif may stand for
@@ -379,6 +379,63 @@ def frequent_words(seqs: DataFrame, widths: Iterable[int], n: int) -> dict[str,
     return {r.kmer: [r.kmer] for top in top_kmers_of(seqs, list(widths), n).values() for r in top.where("kmer RLIKE '^[ACGT]+$'").collect()}
 
 
+def word_probes(probes: DataFrame, subset: DataFrame, width: int) -> DataFrame:
+    """(motif, found, marked, draws, total, probe) of every word of ``width`` bases that the subset's probes hold on either strand, by the first
+    of a word and its reverse complement: probes of the subset and of all with it, and the hypergeometric tail, as ``evaluate_all`` has
+    them. A task counts words of up to MOST_COUNTED letters in a table of all of them."""
+    if not 1 <= width <= 31:
+        raise ValueError("a word has 1 to 31 letters")
+
+    def out(key: np.ndarray, found: np.ndarray, marked: np.ndarray):
+        for lo in range(0, len(key), 1 << 16):
+            part = [pa.array(x[lo : lo + (1 << 16)].astype(np.int64)) for x in (key, found, marked)]
+            yield pa.RecordBatch.from_arrays(part, names=["key", "found", "marked"])
+
+    def run(batches):
+        table = np.zeros((2, 4**width), dtype=np.int64) if width <= MOST_COUNTED else None
+        for b in batches:
+            mine, seqs = np.asarray(b.column(0).cast(pa.int8())).astype(bool), b.column(1).to_pylist()
+            ends = np.cumsum([len(s) for s in seqs])
+            lo = 0
+            while lo < len(seqs):
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + 16 * RUN, side="right")))
+                owner, key = _canonical(seqs[lo:hi], width)
+                words, size = None, 4**width
+                if table is None:
+                    words, key = np.unique(key, return_inverse=True)
+                    size = max(1, len(words))
+                owner, key = np.divmod(np.unique(owner * size + key), size)  # a probe counts once
+                marked, found = (np.bincount(x, minlength=size) for x in (key, key[mine[lo:hi][owner]]))
+                if table is None:
+                    yield from out(words, found[: len(words)], marked[: len(words)])
+                else:
+                    table += found, marked
+                lo = hi
+        if table is not None:
+            words = np.flatnonzero(table[1])
+            yield from out(words, table[0][words], table[1][words])
+
+    rows = _marked(probes, subset, None).where("seq <> ''").mapInArrow(run, "key long, found long, marked long")
+    counts = rows.groupBy("key").agg(F.sum("found").alias("found"), F.sum("marked").alias("marked")).where("found > 0")
+    letters = F.concat(*(F.substring(F.lit(BASES), (F.shiftright("key", 2 * j).bitwiseAND(3) + 1).cast("int"), F.lit(1)) for j in reversed(range(width))))
+    one = counts.crossJoin(F.broadcast(totals(probes, subset)))
+    return one.select(letters.alias("motif"), "found", "marked", "draws", "total", _hyper("found", "draws", "marked", "total").alias("probe"))
+
+
+def _canonical(seqs: Sequence[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sequence, key) of each window of bases: the lesser number, in base 4, of its letters and their reverse complement's."""
+    raw = [_CODE[np.frombuffer(s.encode("ascii", "replace"), np.uint8)] for s in seqs]
+    text = np.concatenate([x for codes in raw for x in (codes, [4])]) if raw else np.zeros(0, dtype=np.int64)
+    n = max(0, len(text) - width + 1)
+    owner = np.repeat(np.arange(len(raw)), [len(x) + 1 for x in raw])[:n]
+    key, turned, plain = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    for j in range(width):
+        letter = text[j : j + n]
+        key, turned = (key << 2) | (letter & 3), turned | ((3 - (letter & 3)) << 2 * j)
+        plain &= letter < 4
+    return owner[plain], np.minimum(key, turned)[plain]
+
+
 def texts(listed: Iterable[str]) -> dict[str, list[str]]:
     """Ambiguous or gapped texts, such as those of ``functions.words``."""
     return {t: text_words(t) for t in listed}

@@ -8,7 +8,7 @@ import os
 import numpy as np
 import pytest
 
-from paratope.operators import em
+from paratope.operators import em, motif_table
 
 
 def _texts(rng, n, size):
@@ -38,3 +38,28 @@ def test_odds_are_those_of_windows(spark, order):
         want = np.concatenate([(2.0 ** -background.windows(c, width))[[i for _, d, i in plain if d is c]] for c in codes if len(c) >= width])
         assert odds == pytest.approx(want, rel=1e-9)
         assert sizes.tolist() == [len(s) for s in seqs if any(x is s for x, *_ in plain)]
+
+
+def test_a_rare_word_is_tried_too(spark):
+    """Before, only the thousand words most frequent in the subset were tried, and this one comes after 1,500 others."""
+    rng = np.random.default_rng(4)
+    common = _texts(rng, 1, 4000)[0].replace("GATTAC", "GAATAC").replace("GTAATC", "GTATTC") * 2
+    rows = [(i, common + ("CCGATTACCC" if i < 6 else "CC")) for i in range(14)]
+    probes = spark.createDataFrame(rows, "probe_id long, seq string")
+    assert "GATTAC" in em.enriched_words(probes, probes.where("probe_id < 6"), 6, kept=5)
+
+
+@pytest.mark.parametrize("width", [5, 13])
+def test_word_probes_are_those_of_all_metrics(spark, width):
+    rng = np.random.default_rng(width)
+    rows = [(i, s) for i, s in enumerate([*_texts(rng, 12, 50), "ACGTNACGTACGTACGTNNacgtaacc", "AC", "", None])]
+    rows += [(90, rows[0][1]), (91, rows[0][1][:30])]
+    probes = spark.createDataFrame(rows, "probe_id long, seq string").repartition(3)
+    subset = probes.where("probe_id % 3 = 0").select("probe_id")
+    words = {w: [w] for _, s in rows if s for i in range(len(s) - width + 1) if set(w := s[i : i + width].upper()) <= set("ACGT")}
+    words = {min(w, w.translate(motif_table.FLIP)[::-1]): v for w, v in words.items()}
+    want = {r.motif: r for r in motif_table.evaluate_all(probes, subset, words).collect() if r.found}
+    got = {r.motif: r for r in motif_table.word_probes(probes, subset, width).collect()}
+    assert got.keys() == want.keys() and got
+    assert all((got[w].found, got[w].marked, got[w].draws, got[w].total) == (want[w].found, want[w].marked, want[w].draws, want[w].total) for w in got)
+    assert all(got[w].probe == pytest.approx(want[w].probe) for w in got)
