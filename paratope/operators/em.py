@@ -1,13 +1,15 @@
 """Motif discovery by expectation maximisation: zero or one occurrence a sequence, many seeds in one job a round.
 
-A written table holds the sequences' letters, many sequences a row. A round's E step numbers each window's word, looks up its odds
-under a Markov background and the word's score, and adds up windows by word, so its work is a few operations a letter and seed, and
-a task sends back one small matrix for each seed.
+A round sees a sequence's windows only by their words and their odds under a Markov background, which stay as they are. So a written
+table holds, for each width, the different words of each sequence with the sum of their windows' odds; a word and its reverse
+complement are one. A round's E step looks up each word's score and adds up by word, a few operations a word of a sequence and seed,
+and a task sends back one small matrix for each seed. Wider seeds than TABLED are numbered in each round from the letters themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 
@@ -17,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paratope.operators import motif_table
-from paratope.operators.motifs import BASES, Motif, best_scores, group_specificity, markov
+from paratope.operators.motifs import BASES, MOST_COUNTED, Motif, best_scores, canonical_counts, group_specificity
 from paratope.plans.shared import dropped, written
 
 ROW = 1 << 15  # letters of a packed row, about; a round's arrays then fit a core's cache
+TABLED = 8  # letters of the widest words that are summed once, before the rounds
+FEW_ROWS = 16  # rows of a table that pass between Spark and Python at once
 FEW = 1024  # matrices of a round that come to the driver one by one; more are added up before
 _CODE = np.full(256, 4, dtype=np.int64)
 for _i, _b in enumerate(BASES):
@@ -36,17 +40,14 @@ class Background:
     @classmethod
     def of(cls, seqs: DataFrame, order: int) -> Background:
         """From all sequences on both strands, one count added to each base; 4 ** (order + 1) rows come to the driver."""
-        tables = []
-        for k in range(order + 1):
-            t = np.full(4 ** (k + 1), 0.25)
-            seen = np.zeros(4**k, dtype=bool)
-            for r in markov(seqs, k).toLocalIterator():
-                n = reduce(lambda x, c: 4 * x + BASES.index(c), r.kmer, 0)
-                if not seen[n // 4]:  # bases not seen after this context have one count in the sum
-                    seen[n // 4] = True
-                    t[n // 4 * 4 : n // 4 * 4 + 4] = r.p / (r.cnt + 1)
-                t[n] = r.p
-            tables.append(np.log2(t))
+        if order + 1 > MOST_COUNTED:
+            raise ValueError(f"the background has order {MOST_COUNTED - 1} at most")
+        counts = [np.zeros(4 ** (k + 1)) for k in range(order + 1)]
+        for r in canonical_counts(seqs, range(1, order + 2)).where("key IS NOT NULL").toLocalIterator():
+            turned = reduce(lambda x, j: 4 * x + 3 - (r.key >> 2 * j) % 4, range(r.k), 0)
+            for n in (r.key, turned):  # one that is its own reverse complement counts twice
+                counts[r.k - 1][n] += r.cnt
+        tables = [np.log2(((c + 1).reshape(-1, 4) / (c.reshape(-1, 4).sum(1, keepdims=True) + 4)).ravel()) for c in counts]
         return cls(tables)
 
     @classmethod
@@ -122,23 +123,72 @@ def packed(seqs: DataFrame, background: Background) -> DataFrame:
     Long sequences stay whole, one a row."""
 
     def run(batches):
-        for b in batches:
-            parts = np.asarray(b.column(1).fill_null(-1))
-            for part in np.unique(parts).tolist():
-                held, size = [], 0
-                for s in [*b.column(0).filter(pa.array(parts == part)).to_pylist(), None]:
-                    if s is not None:
-                        held.append(_CODE[np.frombuffer(s.encode("ascii", "replace"), np.uint8)].astype(np.uint8))
-                        size += len(s)
-                    if held and (s is None or size >= ROW):
-                        text = np.concatenate([x for codes in held for x in (codes, _MARK)])
-                        row = part, text.tobytes(), np.array([len(x) for x in held], np.int64).tobytes()
-                        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _PACKED.types, strict=True)], schema=_PACKED)
-                        held, size = [], 0
+        for part, text, size in _rows(batches, ROW):
+            row = part, text.tobytes(), size.tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _PACKED.types, strict=True)], schema=_PACKED)
 
+    return _dealt(seqs, run, _PACKED, "letters", "zstd")
+
+
+def _dealt(seqs: DataFrame, run, schema: pa.Schema, name: str, compression: str) -> DataFrame:
+    """What ``run`` makes of (seq, part), dealt evenly, as a written table."""
     own = F.col("part").cast("int") if "part" in seqs.columns else F.lit(-1)
-    rows = seqs.select("seq", own.alias("part")).where("seq <> ''").mapInArrow(run, "part int, text binary, size binary")
-    return written(rows.repartition(max(1, int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "letters", compression="zstd")
+    kind = {pa.int32(): "int", pa.binary(): "binary"}
+    texts = seqs.select("seq", own.alias("part")).where("seq <> ''").repartition(max(1, int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return written(texts.mapInArrow(run, ", ".join(f"{f.name} {kind[f.type]}" for f in schema)), name, compression=compression)
+
+
+def _rows(batches, most: int):
+    """(part, text, sizes) of some sequences of a part, about ``most`` letters: their codes with a mark behind each, and their lengths."""
+    for b in batches:
+        parts = np.asarray(b.column(1).fill_null(-1))
+        for part in np.unique(parts).tolist():
+            held, size = [], 0
+            for s in [*b.column(0).filter(pa.array(parts == part)).to_pylist(), None]:
+                if s is not None:
+                    held.append(_CODE[np.frombuffer(s.encode("ascii", "replace"), np.uint8)].astype(np.uint8))
+                    size += len(s)
+                if held and (s is None or size >= most):
+                    yield part, np.concatenate([x for codes in held for x in (codes, _MARK)]), np.array([len(x) for x in held], np.int64)
+                    held, size = [], 0
+
+
+@contextmanager
+def _small_batches(spark):
+    """While it holds, FEW_ROWS rows at most pass between Parquet, Spark and Python at once; they are long here."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    old = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, str(FEW_ROWS))
+    try:
+        yield
+    finally:
+        for n, x in zip(names, old, strict=True):
+            spark.conf.set(n, x)
+
+
+_SUMMED = pa.schema([("part", pa.int32()), ("words", pa.int32()), ("word", pa.binary()), ("odds", pa.binary()), ("many", pa.binary()), ("size", pa.binary())])
+
+
+def summed(seqs: DataFrame, background: Background, width: int) -> DataFrame:
+    """A written table of the words of some sequences for each part, of a width of at most TABLED: the words of each sequence that has some, by
+    the number of the lesser of a word and its reverse complement, with the sum of their windows' odds, how many words a sequence has, and
+    the sequences' lengths. The odds are single precision, so a word of a sequence costs six bytes before they are
+    compressed, here and not by Parquet, so that a round's bytes stay few until they are looked at."""
+
+    def run(batches):
+        for part, text, sizes in _rows(batches, 4 * ROW):
+            if (windows := _windows(text, sizes, width, background)) is None:
+                continue
+            _, word, odds, first, own = windows
+            owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
+            key, at = np.unique(owner * 4**width + _least(width)[word], return_inverse=True)
+            owner, word = np.divmod(key, 4**width)
+            packs = word.astype(np.uint16), np.bincount(at, weights=odds).astype(np.float32)
+            row = part, len(word), *(pa.compress(x.tobytes(), codec="zstd", asbytes=True) for x in packs), np.bincount(owner).astype(np.int32).tobytes(), own.tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _SUMMED.types, strict=True)], schema=_SUMMED)
+
+    return _dealt(seqs, run, _SUMMED, "words", "uncompressed")
 
 
 _MARK = np.array([4], dtype=np.uint8)
@@ -170,6 +220,13 @@ def _letters(width: int) -> np.ndarray:
     return ((np.arange(4**width)[:, None] >> 2 * np.arange(width)[::-1]) & 3).astype(np.uint8)
 
 
+@lru_cache
+def _least(width: int) -> np.ndarray:
+    """The number of the lesser of each word of a width and its reverse complement."""
+    words = _letters(width).astype(np.int64)
+    return np.minimum(np.arange(4**width), ((3 - words) << 2 * np.arange(width)).sum(1))
+
+
 def _windows(text: np.ndarray, sizes: np.ndarray, width: int, background: Background):
     """The windows of bases of a packed row: their different words (codes; all of them if they are few), each window's word, the inverse
     of its background's odds, and where the windows of each sequence that has some begin, with its length."""
@@ -205,12 +262,14 @@ def _expected(windows: tuple, both: np.ndarray, gamma: float) -> tuple[np.ndarra
     """Weights by word, and expected occurrences, log2-likelihood over the background and sequences of a packed row; ``both`` are the
     words' odds on either strand together."""
     words, word, odds, first, sizes = windows
-    each = both[word] * odds
+    return _weighed(len(words), word, odds, first, np.diff(np.append(first, len(word))), sizes, both, gamma)
+
+
+def _weighed(words: int, word: np.ndarray, odds: np.ndarray, first: np.ndarray, many: np.ndarray, sizes: np.ndarray, both: np.ndarray, gamma: float) -> tuple[np.ndarray, np.ndarray]:
     rate = gamma / sizes
-    sums = np.add.reduceat(each, first) * rate
+    sums = np.add.reduceat(both[word] * odds, first) * rate
     whole = 1 - gamma + sums
-    weight = odds * np.repeat(rate / whole, np.diff(np.append(first, len(word))))
-    by_word = np.bincount(word, weights=weight, minlength=len(words))
+    by_word = np.bincount(word, weights=odds * np.repeat(rate / whole, many), minlength=words)
     return by_word, np.array([(sums / whole).sum(), np.log2(whole).sum(), len(sizes)])
 
 
@@ -262,38 +321,65 @@ def em(seqs: DataFrame, seeds: dict[str, Motif], background: Background, gamma:
     bases = np.array([background.bases[b] for b in BASES])
     with np.errstate(divide="ignore"):
         states = [_Search(name, np.log2(m.fractions), gamma, beta[name] if isinstance(beta, dict) else beta, (without or {}).get(name)) for name, m in seeds.items()]
-    table = packed(seqs, background)
-    tasks = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    while open_ := [i for i, s in enumerate(states) if not s.done]:
+    # One width after the other, so that one table is on disk at a time; all wide ones together.
+    groups: dict[int, list[int]] = {}
+    for i, s in enumerate(states):
+        groups.setdefault(min(len(s.matrix), TABLED + 1), []).append(i)
+    for width, own in groups.items():
+        table = summed(seqs, background, width) if width <= TABLED else packed(seqs, background)
+        _search(table, states, own, background, bases, gamma, stop, rounds)
+        dropped(table)
+    final = lambda s: seeds[s.seed] if s.counts is None or not s.counts.any() else Motif.from_counts(s.counts, background.bases, 0.001)
+    return {s.seed: (final(s), s.gamma, s.gain, s.rounds) for s in states}
+
+
+def _search(table: DataFrame, states: list[_Search], own: list[int], background: Background, bases: np.ndarray, gamma: float, stop: float, rounds: int) -> None:
+    """Rounds of the states numbered ``own`` over their table, until all have ended."""
+    tabled = len(states[own[0]].matrix) <= TABLED
+    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    while open_ := [i for i in own if not states[i].done]:
         now = [(i, states[i].matrix, states[i].gamma, states[i].without) for i in open_]
 
-        def expect(batches, now=now):
+        def by_words(batches, now=now):
+            sums: dict[int, list] = {}
+            tables = {i: _odds_of(m, _letters(len(m))) for i, m, *_ in now}
+            both = {i: forward + back for i, (forward, back) in tables.items()}
+            for b in batches:
+                for r in range(b.num_rows):
+                    part, n = (b.column(c)[r].as_py() for c in range(2))
+                    word, odds = (np.frombuffer(pa.decompress(b.column(c)[r].as_buffer(), n * np.dtype(t).itemsize, codec="zstd"), t) for c, t in ((2, np.uint16), (3, np.float32)))
+                    many, sizes = (np.frombuffer(b.column(c)[r].as_buffer(), t) for c, t in ((4, np.int32), (5, np.int64)))
+                    word, odds, first = word.astype(np.int64), odds.astype(np.float64), np.cumsum(many) - many
+                    for i, matrix, share, other in now:
+                        if part != other:
+                            found = _weighed(4 ** len(matrix), word, odds, first, many, sizes, both[i], share)
+                            sums[i] = [x + y for x, y in zip(sums[i], found, strict=True)] if i in sums else [*found]
+            yield from _sent({i: (_counts(_letters(len(m)), sums[i][0], *tables[i]), sums[i][1]) for i, m, *_ in now if i in sums})
+
+        def by_letters(batches, now=now):
             sums: dict[int, list] = {}
-            tables = {i: (_letters(len(m)), *_odds_of(m, _letters(len(m)))) for i, m, *_ in now if len(m) <= 8}
             for b in batches:
                 for r in range(b.num_rows):
                     part, text, sizes = b.column(0)[r].as_py(), np.frombuffer(b.column(1)[r].as_buffer(), np.uint8), np.frombuffer(b.column(2)[r].as_buffer(), np.int64)
                     for width in sorted({len(m) for _, m, _, other in now if part != other}):
-                        windows = _windows(text, sizes, width, background)
+                        if (windows := _windows(text, sizes, width, background)) is None:
+                            continue
                         for i, matrix, share, other in now:
-                            if windows is None or len(matrix) != width or part == other:
+                            if len(matrix) != width or part == other:
                                 continue
-                            words, forward, back = tables[i] if i in tables else (windows[0], *_odds_of(matrix, windows[0]))
+                            forward, back = _odds_of(matrix, windows[0])
                             by_word, rest = _expected(windows, forward + back, share)
-                            found = by_word if i in tables else _counts(words, by_word, forward, back)
+                            found = _counts(windows[0], by_word, forward, back)
                             sums[i] = [sums[i][0] + found, sums[i][1] + rest] if i in sums else [found, rest]
-            for i, (counts, rest) in sums.items():
-                if i in tables:
-                    words, forward, back = tables[i]
-                    counts = _counts(words, counts, forward, back)
-                flat = np.concatenate([counts.ravel(), rest])
-                yield pa.RecordBatch.from_pydict({"seed": pa.array(np.full(len(flat), i, np.int32)), "at": pa.array(np.arange(len(flat), dtype=np.int32)), "x": pa.array(flat)})
+            yield from _sent(sums)
 
+        sums = table.mapInArrow(by_words if tabled else by_letters, _SENT)
         found: dict[int, dict[int, float]] = {i: {} for i in open_}
-        sums = table.mapInArrow(expect, "seed int, at int, x double")
         if tasks * len(open_) > FEW:
             sums = sums.groupBy("seed", "at").agg(F.sum("x").alias("x"))
-        for r in sums.collect():
+        with _small_batches(table.sparkSession):
+            came = sums.collect()
+        for r in came:
             found[r.seed][r["at"]] = found[r.seed].get(r["at"], 0.0) + r.x
         for i, x in found.items():
             if not x:
@@ -301,9 +387,16 @@ def em(seqs: DataFrame, seeds: dict[str, Motif], background: Background, gamma:
                 continue
             flat = np.array([x[j] for j in range(len(x))])
             states[i].step(flat[:-3].reshape(-1, 4), flat[-3], float(flat[-2]), int(flat[-1]), gamma, bases, stop, rounds)
-    dropped(table)
-    final = lambda s: seeds[s.seed] if s.counts is None or not s.counts.any() else Motif.from_counts(s.counts, background.bases, 0.001)
-    return {s.seed: (final(s), s.gamma, s.gain, s.rounds) for s in states}
+
+
+_SENT = "seed int, at int, x double"
+
+
+def _sent(sums: dict[int, tuple[np.ndarray, np.ndarray]]):
+    """What a task sends back: a row for each number."""
+    for i, (counts, rest) in sums.items():
+        flat = np.concatenate([counts.ravel(), rest])
+        yield pa.RecordBatch.from_pydict({"seed": pa.array(np.full(len(flat), i, np.int32)), "at": pa.array(np.arange(len(flat), dtype=np.int32)), "x": pa.array(flat)})
 
 
 def seed_matrices(texts: Sequence[str], background: Background, beta: float = 0.02) -> dict[str, Motif]:
@@ -357,7 +450,9 @@ def discover(probes: DataFrame, subset: DataFrame, width: int = 7, seeds: Sequen
             continue  # a matrix that says almost nothing: its words aren't counted
     tails = {r.motif: r for r in motif_table.evaluate_all(probes, subset, named).collect()}
     rows = []
-    scored = written(probes.select("probe_id", best_scores([m for m, *_ in found.values()])("seq").alias("scores")), "scores")
+    # A word's score on either strand is the same sum in another order: its last digits must not part probes that tie.
+    scores = F.transform(best_scores([m for m, *_ in found.values()])("seq"), lambda x: F.round(x, 9))
+    scored = written(probes.select("probe_id", scores.alias("scores")), "scores")
     for k, (t, (m, share, gain, n)) in enumerate(found.items()):
         r = tails.get(t)
         special = group_specificity(scored.select("probe_id", F.col("scores")[k].alias("score")), subset).first().p

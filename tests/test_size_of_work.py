@@ -63,3 +63,14 @@ def test_word_probes_are_those_of_all_metrics(spark, width):
     assert got.keys() == want.keys() and got
     assert all((got[w].found, got[w].marked, got[w].draws, got[w].total) == (want[w].found, want[w].marked, want[w].draws, want[w].total) for w in got)
     assert all(got[w].probe == pytest.approx(want[w].probe) for w in got)
+
+
+def test_a_round_reads_each_word_of_a_sequence_once(spark):
+    """Before, each round numbered every window of the letters again."""
+    seqs = ["ACGTTGCA" * 50, "GATTACA" * 30, "ACGNNACGTAC", "AC"]
+    df = spark.createDataFrame([(s,) for s in seqs], "seq string")
+    background = em.Background.of(df, 2)
+    rows = em.summed(df, background, 5).collect()
+    least = {min(w, w.translate(motif_table.FLIP)[::-1]) for s in seqs[:1] for i in range(len(s) - 4) if set(w := s[i : i + 5]) <= set("ACGT")}
+    counts = {n: many for r in rows for n, many in zip(np.frombuffer(r["size"], np.int64).tolist(), np.frombuffer(r.many, np.int32).tolist(), strict=True)}
+    assert counts[400] == len(least) and sum(counts.values()) == sum(r.words for r in rows) and 2 not in counts
